@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ledgerline.plans.catalog"]
+MODULES = ["ledgerline.plans.catalog", "ledgerline.plans.catalog_quality"]
 
 
 def all_queries():
