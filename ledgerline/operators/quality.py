@@ -328,3 +328,77 @@ def small_report(df: DataFrame, columns: list[str], amount_col: str = "amount")
                               F.lit(amount_col).alias("item"), F.count_if(x <= 0).alias("value")))
     return (df.agg(F.array(*parts).alias("a")).select(F.inline("a"))
             .where((F.col("section") == "row_count") | (F.col("value") > 0)))
+
+
+# ------------------------------------------------------------ full report --
+
+def _one(df: DataFrame) -> DataFrame:
+    return df.withColumn("_k", F.lit(1))
+
+
+def _sorted_entries(df: DataFrame, key: str, value: Column, order: str = "pos") -> Column:
+    """collect into an array ordered by ``order`` (column order, bounded by
+    the number of columns, not by data)."""
+    return F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"),
+                                                            F.col(key).alias("k"),
+                                                            value.alias("v")))),
+                       lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
+
+
+def quality_report(df: DataFrame, columns: list[str], order_col: str | None = None,
+                   file_name: str | None = None, file_path: str | None = None,
+                   file_size: int | None = None, analysis_date: str | None = None) -> DataFrame:
+    """The whole report as one row of nested structs: metadata, summary,
+    column_analysis (map column -> stats), issues, recommendations.  Every
+    part is built from the per-column aggregates above; the assembly joins
+    one-row frames on a constant key."""
+    vc = value_counts(df, columns, order_col)
+    prof = column_profile(vc)
+    nums = numeric_stats(vc)
+    rk = rule_counts(vc, columns)
+    summ = summary(df, columns, vc)
+    iss = issues(prof, rk)
+    recs = recommendations(prof, summ)
+
+    num_struct = F.struct("count", "sum", "average", "min", "max", "range")
+    cols = (prof.join(nums.select("pos", num_struct.alias("numeric_stats")), "pos", "left")
+            .withColumn("stats", F.struct(
+                "missing_count", "missing_percentage", "completeness_severity", "data_type",
+                "type_confidence", "unique_values",
+                F.struct(F.col("min_length").alias("min"), F.col("max_length").alias("max"))
+                .alias("value_length"), "numeric_stats")))
+    col_map = cols.agg(F.map_from_entries(_sorted_entries(cols, "column_name", F.col("stats")))
+                       .alias("column_analysis"))
+    inv = rk.withColumn("pos", F.lit(0)).agg(F.map_from_entries(
+        _sorted_entries(rk.withColumn("pos", F.col("rule_key")), "rule_key",
+                        F.col("invalid_count"), "pos")).alias("invalid_values"))
+    cwi = iss.agg(F.transform(F.array_sort(F.collect_list(F.struct(
+        "pos", F.col("column_name").alias("column"), "missing_percentage", "severity"))),
+        lambda e: e.dropFields("pos")).alias("columns_with_issues"))
+    dup_rows = (duplicate_rows(df, columns, order_col).orderBy(order_col)
+                .limit(DUPLICATE_ROWS_REPORTED)
+                .agg(F.sort_array(F.collect_list(order_col)).alias("rows"))
+                if order_col else df.sparkSession.range(1).select(
+                    F.array().cast("array<bigint>").alias("rows")))
+    rec = recs.agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "recommendation"))),
+                               lambda e: e["recommendation"]).alias("recommendations"))
+    meta = summ.select(F.struct(
+        F.lit(file_name).cast("string").alias("file_name"),
+        F.lit(file_path).cast("string").alias("file_path"),
+        F.lit(file_size).cast("bigint").alias("file_size_bytes"),
+        (F.lit(analysis_date) if analysis_date else
+         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        .alias("analysis_date")).alias("metadata"),
+        F.struct("total_rows", "total_columns", "complete_rows", "completeness_percentage",
+                 "quality_score", "quality_rating").alias("summary"),
+        "duplicate_rows", "total_rows")
+    out = (_one(meta).join(_one(col_map), "_k").join(_one(inv), "_k").join(_one(cwi), "_k")
+           .join(_one(dup_rows), "_k").join(_one(rec), "_k"))
+    dpct = _pct(F.col("duplicate_rows"), F.col("total_rows"))
+    return out.select(
+        "metadata", "summary", "column_analysis",
+        F.struct(F.struct(F.col("duplicate_rows").alias("count"), dpct.alias("percentage"),
+                          F.coalesce(F.col("rows"), F.array().cast("array<bigint>"))
+                          .alias("rows")).alias("duplicates"),
+                 "invalid_values", "columns_with_issues").alias("issues"),
+        "recommendations")

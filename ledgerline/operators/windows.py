@@ -146,7 +146,8 @@ def daily_revenue(sales: DataFrame) -> DataFrame:
     return sales.groupBy("order_date").agg(F.sum(agg.revenue()).alias("daily_revenue"))
 
 
-_BY_DAY = Window.orderBy("order_date")
+def _by_day():
+    return Window.orderBy("order_date")
 
 
 def _pct(change: Column, prev: Column) -> Column:
@@ -156,7 +157,7 @@ def _pct(change: Column, prev: Column) -> Column:
 
 def with_previous(daily: DataFrame, value: str = "daily_revenue") -> DataFrame:
     """One LAG column, reused by every expression that needs it."""
-    prev = F.lag(value, 1).over(_BY_DAY)
+    prev = F.lag(value, 1).over(_by_day())
     return (daily.withColumn("previous_day_revenue", prev)
             .withColumn("day_over_day_change", F.col(value) - F.col("previous_day_revenue")))
 
@@ -196,7 +197,7 @@ def trend_na(sales: DataFrame) -> DataFrame:
 
 def rolling7(sales: DataFrame) -> DataFrame:
     """AVG over the current and 6 preceding ROWS (7 rows, not 7 days)."""
-    w = _BY_DAY.rowsBetween(-6, 0)
+    w = _by_day().rowsBetween(-6, 0)
     return (daily_revenue(sales)
             .withColumn("rolling_7day_avg", F.avg("daily_revenue").over(w))
             .orderBy("order_date"))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["ledgerline.plans.catalog", "ledgerline.plans.catalog_quality"]
+MODULES = ["ledgerline.plans.catalog", "ledgerline.plans.catalog_quality",
+           "ledgerline.plans.catalog_jobs"]
 
 
 def all_queries():
