@@ -87,10 +87,10 @@ def zip_arrays(df: DataFrame, arrays: dict[str, str], keep: list[str] | None = N
     same = F.lit(True)
     for s in sizes[1:]:
         same = same & (s == sizes[0])
-    checked = df.withColumn("_ok", F.when(same, F.lit(True)).otherwise(
-        F.raise_error(F.lit("arrays of different lengths"))))
     z = F.arrays_zip(*[F.col(arrays[n]).alias(n) for n in names])
-    return checked.select(*(keep or []), F.inline(z))
+    # the check sits inside the zipped value, so no projection can prune it
+    z = F.when(same, z).otherwise(F.raise_error(F.lit("arrays of different lengths")))
+    return df.select(*(keep or []), F.inline(z))
 
 
 def vectorized_rules(df: DataFrame, high: float = rules.VALUE_HIGH_ABOVE,
