@@ -332,8 +332,12 @@ def small_report(df: DataFrame, columns: list[str], amount_col: str = "amount")
 
 # ------------------------------------------------------------ full report --
 
-def _one(df: DataFrame) -> DataFrame:
-    return df.withColumn("_k", F.lit(1))
+def _side_by_side(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row: UNION ALL with the
+    missing columns NULL, then one ``first(ignorenulls)`` aggregate (a join
+    on a constant key would be planned as a nested-loop join)."""
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in u.columns])
 
 
 def _sorted_entries(df: DataFrame, key: str, value: Column, order: str = "pos") -> Column:
@@ -392,8 +396,7 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
         F.struct("total_rows", "total_columns", "complete_rows", "completeness_percentage",
                  "quality_score", "quality_rating").alias("summary"),
         "duplicate_rows", "total_rows")
-    out = (_one(meta).join(_one(col_map), "_k").join(_one(inv), "_k").join(_one(cwi), "_k")
-           .join(_one(dup_rows), "_k").join(_one(rec), "_k"))
+    out = _side_by_side(meta, col_map, inv, cwi, dup_rows, rec)
     dpct = _pct(F.col("duplicate_rows"), F.col("total_rows"))
     return out.select(
         "metadata", "summary", "column_analysis",
