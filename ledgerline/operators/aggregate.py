@@ -12,6 +12,16 @@ def revenue(quantity: str = "quantity", price: str = "price") -> Column:
     return F.col(quantity).cast("bigint") * F.col(price).cast("bigint")
 
 
+def measures(df: DataFrame) -> tuple[Column, Column, Column]:
+    """(revenue sum, row count, quantity sum) aggregate expressions.  A
+    line-grain frame sums ``quantity * price`` and counts rows; a
+    pre-aggregated fact frame (columns _revenue, _lines, _quantity) sums
+    those.  Both give the same numbers and types."""
+    if "_lines" in df.columns:
+        return F.sum("_revenue"), F.sum("_lines"), F.sum("_quantity")
+    return F.sum(revenue()), F.count(F.lit(1)), F.sum("quantity")
+
+
 def with_revenue(df: DataFrame, name: str = "revenue", quantity: str = "quantity",
                  price: str = "price") -> DataFrame:
     return df.withColumn(name, revenue(quantity, price))
@@ -19,58 +29,62 @@ def with_revenue(df: DataFrame, name: str = "revenue", quantity: str = "quantity
 
 def total(df: DataFrame) -> DataFrame:
     """SUM(quantity*price) AS total_revenue, COUNT(*) AS total_orders."""
-    return df.agg(F.sum(revenue()).alias("total_revenue"),
-                  F.count(F.lit(1)).alias("total_orders"))
+    rev, cnt, _ = measures(df)
+    return df.agg(rev.alias("total_revenue"), cnt.alias("total_orders"))
 
 
 def average(df: DataFrame) -> DataFrame:
     """Average order value, as AVG and as SUM/COUNT."""
-    return df.agg(F.avg(revenue()).alias("avg_order_value"),
-                  (F.sum(revenue()) / F.count(F.lit(1))).alias("avg_order_value_manual"))
+    rev, cnt, _ = measures(df)
+    # AVG skips rows whose revenue is NULL; SUM / COUNT(*) does not.
+    valued = F.sum("_valued") if "_valued" in df.columns else F.count(revenue())
+    return df.agg((rev / valued).alias("avg_order_value"),
+                  (rev / cnt).alias("avg_order_value_manual"))
 
 
 def by_region(df: DataFrame) -> DataFrame:
+    rev, cnt, _ = measures(df)
     return (df.groupBy("region")
-            .agg(F.sum(revenue()).alias("total_revenue"),
-                 F.count(F.lit(1)).alias("order_count"))
+            .agg(rev.alias("total_revenue"), cnt.alias("order_count"))
             .orderBy(F.desc("total_revenue"), "region"))
 
 
 def by_product(df: DataFrame) -> DataFrame:
+    rev, cnt, qty = measures(df)
     return (df.groupBy("product")
-            .agg(F.sum(revenue()).alias("total_revenue"),
-                 F.sum("quantity").alias("total_quantity_sold"),
-                 F.count(F.lit(1)).alias("order_count"))
+            .agg(rev.alias("total_revenue"), qty.alias("total_quantity_sold"),
+                 cnt.alias("order_count"))
             .orderBy(F.desc("total_revenue"), "product"))
 
 
 def by_region_multi(df: DataFrame) -> DataFrame:
     """Region summary with the reference's renamed columns."""
+    rev, _, qty = measures(df)
     return (df.groupBy("region")
-            .agg(F.sum(revenue()).alias("Total_Revenue"),
-                 F.sum("quantity").alias("Total_Quantity"))
+            .agg(rev.alias("Total_Revenue"), qty.alias("Total_Quantity"))
             .withColumnRenamed("region", "Region")
             .orderBy(F.desc("Total_Revenue"), "Region"))
 
 
 def daily(df: DataFrame) -> DataFrame:
+    rev, cnt, _ = measures(df)
     return (df.groupBy("order_date")
-            .agg(F.sum(revenue()).alias("daily_revenue"),
-                 F.count(F.lit(1)).alias("daily_orders"))
+            .agg(rev.alias("daily_revenue"), cnt.alias("daily_orders"))
             .orderBy("order_date"))
 
 
 def filtered_region(df: DataFrame, region: str) -> DataFrame:
     """Filter then group; the equality reaches the scan of the table that
     carries the region column."""
+    rev, _, _ = measures(df)
     return (df.where(F.col("region") == region).groupBy("region")
-            .agg(F.sum(revenue()).alias("total_revenue")))
+            .agg(rev.alias("total_revenue")))
 
 
 def customer_region(df: DataFrame) -> DataFrame:
+    rev, cnt, _ = measures(df)
     return (df.groupBy("customer_id", "region")
-            .agg(F.sum(revenue()).alias("total_revenue"),
-                 F.count(F.lit(1)).alias("order_count")))
+            .agg(rev.alias("total_revenue"), cnt.alias("order_count")))
 
 
 def region_average(df: DataFrame) -> DataFrame:
@@ -82,8 +96,9 @@ def region_average(df: DataFrame) -> DataFrame:
 
 def daily_customers(df: DataFrame) -> DataFrame:
     """Daily revenue and exact distinct customers per day."""
+    rev, _, _ = measures(df)
     return (df.groupBy("order_date")
-            .agg(F.sum(revenue()).alias("daily_revenue"),
+            .agg(rev.alias("daily_revenue"),
                  F.count_distinct("customer_id").alias("unique_customers"))
             .orderBy("order_date"))
 

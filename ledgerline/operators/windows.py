@@ -21,7 +21,7 @@ from ledgerline.session import checkpoint_dir
 # ---------------------------------------------------------------- ranking --
 
 def product_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("product").agg(F.sum(agg.revenue()).alias("total_revenue"))
+    return sales.groupBy("product").agg(agg.measures(sales)[0].alias("total_revenue"))
 
 
 def rank_products(sales: DataFrame) -> DataFrame:
@@ -95,7 +95,7 @@ def rank_within(df: DataFrame, group_cols: list[str], order_col: str,
 def rank_in_region(sales: DataFrame) -> DataFrame:
     """Customers ranked by revenue within their region, all rows."""
     totals = sales.groupBy("customer_id", "region").agg(
-        F.sum(agg.revenue()).alias("total_revenue"))
+        agg.measures(sales)[0].alias("total_revenue"))
     return (rank_within(totals, ["region"], "total_revenue", out="rank_in_region")
             .select("customer_id", "region", "total_revenue", "rank_in_region")
             .orderBy("region", "rank_in_region", "customer_id"))
@@ -143,7 +143,7 @@ def top_customer_per_region(sales: DataFrame, high: float = rules.SEGMENT_HIGH_F
 # ------------------------------------------------------------ time series --
 
 def daily_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("order_date").agg(F.sum(agg.revenue()).alias("daily_revenue"))
+    return sales.groupBy("order_date").agg(agg.measures(sales)[0].alias("daily_revenue"))
 
 
 def _by_day():

@@ -46,52 +46,52 @@ REV = "quantity * price"
 @register("agg_region", S + f"""SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   COUNT(*) AS order_count FROM sales GROUP BY region""")
 def q_agg_region(spark, d):
-    return agg.by_region(b.sales(spark, d))
+    return agg.by_region(b.order_grain(spark, d))
 
 
 @register("agg_total", S + f"""SELECT CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   COUNT(*) AS total_orders FROM sales""")
 def q_agg_total(spark, d):
-    return agg.total(b.sales(spark, d))
+    return agg.total(b.order_grain(spark, d))
 
 
 @register("agg_avg", S + f"""SELECT AVG({REV}) AS avg_order_value,
   CAST(SUM({REV}) AS DOUBLE) / COUNT(*) AS avg_order_value_manual FROM sales""")
 def q_agg_avg(spark, d):
-    return agg.average(b.sales(spark, d))
+    return agg.average(b.order_grain(spark, d))
 
 
 @register("agg_product", S + f"""SELECT product, CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold, COUNT(*) AS order_count
   FROM sales GROUP BY product""")
 def q_agg_product(spark, d):
-    return agg.by_product(b.sales(spark, d))
+    return agg.by_product(b.part_grain(spark, d))
 
 
 @register("agg_region_multi", S + f"""SELECT region AS Region,
   CAST(SUM({REV}) AS BIGINT) AS Total_Revenue, CAST(SUM(quantity) AS BIGINT) AS Total_Quantity
   FROM sales GROUP BY region""")
 def q_agg_region_multi(spark, d):
-    return agg.by_region_multi(b.sales(spark, d))
+    return agg.by_region_multi(b.order_grain(spark, d))
 
 
 @register("agg_daily", S + f"""SELECT order_date, CAST(SUM({REV}) AS BIGINT) AS daily_revenue,
   COUNT(*) AS daily_orders FROM sales GROUP BY order_date""")
 def q_agg_daily(spark, d):
-    return agg.daily(b.sales(spark, d))
+    return agg.daily(b.order_grain(spark, d))
 
 
 @register("agg_filtered", S + f"""SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue
   FROM sales WHERE region = '{REGION_FILTER}' GROUP BY region""")
 def q_agg_filtered(spark, d):
-    return agg.filtered_region(b.sales(spark, d), REGION_FILTER)
+    return agg.filtered_region(b.order_grain(spark, d), REGION_FILTER)
 
 
 @register("agg_customer_region", S + f"""SELECT customer_id, region,
   CAST(SUM({REV}) AS BIGINT) AS total_revenue, COUNT(*) AS order_count
   FROM sales GROUP BY customer_id, region""")
 def q_agg_customer_region(spark, d):
-    return agg.customer_region(b.sales(spark, d))
+    return agg.customer_region(b.order_grain(spark, d))
 
 
 @register("agg_region_avg", S + f""", region_summary AS (
@@ -100,14 +100,14 @@ def q_agg_customer_region(spark, d):
 SELECT region, total_revenue, order_count,
   CAST(total_revenue AS DOUBLE) / order_count AS avg_order_value FROM region_summary""")
 def q_agg_region_avg(spark, d):
-    return agg.region_average(b.sales(spark, d))
+    return agg.region_average(b.order_grain(spark, d))
 
 
 @register("agg_daily_customers", S + f"""SELECT order_date,
   CAST(SUM({REV}) AS BIGINT) AS daily_revenue,
   COUNT(DISTINCT customer_id) AS unique_customers FROM sales GROUP BY order_date""")
 def q_agg_daily_customers(spark, d):
-    return agg.daily_customers(b.sales(spark, d))
+    return agg.daily_customers(b.order_grain(spark, d))
 
 
 @register("agg_items_ratio", with_(S_ORDERS, S_ITEMS) + """SELECT
@@ -141,7 +141,8 @@ SELECT COUNT(*) AS group_count, CAST(COALESCE(SUM(total_revenue), 0) AS BIGINT)
   arg_min(region, (-total_revenue, region)) AS best_group,
   MAX(total_revenue) AS best_value FROM g""")
 def q_rep_summary(spark, d):
-    g = b.sales(spark, d).groupBy("region").agg(F.sum(agg.revenue()).alias("total_revenue"))
+    facts = b.order_grain(spark, d)
+    g = facts.groupBy("region").agg(agg.measures(facts)[0].alias("total_revenue"))
     return agg.pipeline_summary(g, "region", "total_revenue")
 
 
@@ -178,7 +179,7 @@ def q_filt_and(spark, d):
   CAST(SUM({REV}) AS BIGINT) AS Total_Revenue, CAST(SUM(quantity) AS BIGINT) AS Total_Quantity
   FROM sales GROUP BY region) WHERE Total_Revenue < {REGION_LOW_BELOW}""")
 def q_filt_threshold(spark, d):
-    return agg.by_region_multi(b.sales(spark, d)).where(
+    return agg.by_region_multi(b.order_grain(spark, d)).where(
         F.col("Total_Revenue") < F.lit(REGION_LOW_BELOW))
 
 
@@ -205,7 +206,7 @@ def q_lim_verify5(spark, d):
 @register("top2_products", S + f"""SELECT product, CAST(SUM({REV}) AS BIGINT) AS total_revenue
   FROM sales GROUP BY product ORDER BY total_revenue DESC, product LIMIT 2""")
 def q_top2_products(spark, d):
-    return (windows.product_revenue(b.sales(spark, d))
+    return (windows.product_revenue(b.part_grain(spark, d))
             .orderBy(F.desc("total_revenue"), "product").limit(2))
 
 
@@ -213,7 +214,7 @@ def q_top2_products(spark, d):
   CAST(SUM(quantity) AS BIGINT) AS Total_Quantity FROM sales GROUP BY region
   ORDER BY Total_Revenue DESC, Region LIMIT 1""")
 def q_top_region(spark, d):
-    return agg.by_region_multi(b.sales(spark, d)).limit(1)
+    return agg.by_region_multi(b.order_grain(spark, d)).limit(1)
 
 
 @register("set_union_all", with_(S_CUSTOMERS, S_ORDERS, S_ITEMS) + """
@@ -414,7 +415,7 @@ DAILY = S + f""", daily_revenue AS (
   CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product) AS BIGINT) AS row_number_rank
   FROM product_revenue""")
 def q_win_rank_rownum(spark, d):
-    return windows.rank_products(b.sales(spark, d))
+    return windows.rank_products(b.part_grain(spark, d))
 
 
 @register("win_rank_compare", PRODUCT_REV + """SELECT product, total_revenue,
@@ -423,14 +424,14 @@ def q_win_rank_rownum(spark, d):
   CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product) AS BIGINT) AS row_number_value
   FROM product_revenue""")
 def q_win_rank_compare(spark, d):
-    return windows.rank_compare(b.sales(spark, d))
+    return windows.rank_compare(b.part_grain(spark, d))
 
 
 @register("win_rank_region", CUSTOMER_REV + """SELECT customer_id, region, total_revenue,
   CAST(RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC) AS BIGINT)
   AS rank_in_region FROM customer_revenue""")
 def q_win_rank_region(spark, d):
-    return windows.rank_in_region(b.sales(spark, d))
+    return windows.rank_in_region(b.order_grain(spark, d))
 
 
 @register("win_top2_region", CUSTOMER_REV + """SELECT * FROM (SELECT customer_id, region,
@@ -438,14 +439,14 @@ def q_win_rank_region(spark, d):
   CAST(RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC) AS BIGINT)
   AS rank_in_region FROM customer_revenue) WHERE rank_in_region <= 2""")
 def q_win_top2_region(spark, d):
-    return windows.top2_customers_per_region(b.sales(spark, d))
+    return windows.top2_customers_per_region(b.order_grain(spark, d))
 
 
 @register("win_top3_products", PRODUCT_REV + """SELECT * FROM (SELECT product, total_revenue,
   CAST(RANK() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS revenue_rank
   FROM product_revenue) WHERE revenue_rank <= 3""")
 def q_win_top3_products(spark, d):
-    return windows.top3_products(b.sales(spark, d))
+    return windows.top3_products(b.part_grain(spark, d))
 
 
 @register("win_top_customer", CUSTOMER_REV + f"""SELECT region, customer_id AS top_customer,
@@ -456,7 +457,7 @@ def q_win_top3_products(spark, d):
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY total_revenue DESC,
         customer_id) AS rn FROM customer_revenue) WHERE rn = 1""")
 def q_win_top_customer(spark, d):
-    return windows.top_customer_per_region(b.sales(spark, d), CUSTOMER_HIGH_FROM,
+    return windows.top_customer_per_region(b.order_grain(spark, d), CUSTOMER_HIGH_FROM,
                                            CUSTOMER_MEDIUM_FROM)
 
 
@@ -466,7 +467,7 @@ LAG = "LAG(daily_revenue, 1) OVER (ORDER BY order_date)"
 @register("ts_lag", DAILY + f"""SELECT order_date, daily_revenue, {LAG} AS previous_day_revenue
   FROM daily_revenue""")
 def q_ts_lag(spark, d):
-    return windows.lag_daily(b.sales(spark, d))
+    return windows.lag_daily(b.order_grain(spark, d))
 
 
 @register("ts_trend_stable", DAILY + f"""SELECT order_date, daily_revenue,
@@ -474,7 +475,7 @@ def q_ts_lag(spark, d):
   CASE WHEN daily_revenue > {LAG} THEN 'GROWTH' WHEN daily_revenue < {LAG} THEN 'DECLINE'
   ELSE 'STABLE' END AS trend FROM daily_revenue""")
 def q_ts_trend_stable(spark, d):
-    return windows.trend_stable(b.sales(spark, d))
+    return windows.trend_stable(b.order_grain(spark, d))
 
 
 @register("ts_pct_change", DAILY + f""", daily_comparison AS (
@@ -483,7 +484,7 @@ SELECT order_date, daily_revenue, previous_day_revenue,
   {round2("(daily_revenue - previous_day_revenue) / NULLIF(previous_day_revenue, 0) * 100")}
   AS percent_change FROM daily_comparison WHERE previous_day_revenue IS NOT NULL""")
 def q_ts_pct_change(spark, d):
-    return windows.pct_change(b.sales(spark, d))
+    return windows.pct_change(b.order_grain(spark, d))
 
 
 @register("ts_trend_na", DAILY + f""", daily_comparison AS (
@@ -495,14 +496,14 @@ SELECT order_date, daily_revenue, previous_day_revenue, day_over_day_change,
   THEN '↓ DECLINE' WHEN day_over_day_change = 0 THEN '→ STABLE' ELSE 'N/A' END AS trend
   FROM daily_comparison""")
 def q_ts_trend_na(spark, d):
-    return windows.trend_na(b.sales(spark, d))
+    return windows.trend_na(b.order_grain(spark, d))
 
 
 @register("ts_rolling7", DAILY + """SELECT order_date, daily_revenue,
   AVG(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
   AS rolling_7day_avg FROM daily_revenue""")
 def q_ts_rolling7(spark, d):
-    return windows.rolling7(b.sales(spark, d))
+    return windows.rolling7(b.order_grain(spark, d))
 
 
 @register("ts_daily_full", S + f""", daily_summary AS (
@@ -516,7 +517,7 @@ SELECT order_date, daily_revenue, unique_customers, prev_day_revenue,
        WHEN daily_revenue - prev_day_revenue < 0 THEN 'DECLINE' ELSE 'STABLE' END AS trend
   FROM daily_trends""")
 def q_ts_daily_full(spark, d):
-    return windows.daily_full(b.sales(spark, d))
+    return windows.daily_full(b.order_grain(spark, d))
 
 
 # ------------------------------------------------------------------ rules --
@@ -546,7 +547,7 @@ def q_rule_short_class(spark, d):
        WHEN total_revenue >= {CUSTOMER_MEDIUM_FROM} THEN 'MEDIUM_VALUE'
        ELSE 'LOW_VALUE' END AS customer_segment FROM customer_revenue""")
 def q_rule_segment(spark, d):
-    t = agg.customer_region(b.sales(spark, d))
+    t = agg.customer_region(b.order_grain(spark, d))
     return t.select("customer_id", "region", "total_revenue",
                     rules.segment("total_revenue", CUSTOMER_HIGH_FROM, CUSTOMER_MEDIUM_FROM)
                     .alias("customer_segment"))
@@ -558,5 +559,5 @@ def q_rule_segment(spark, d):
 def q_rep_low_regions(spark, d):
     """Quarantine split: one small aggregate, flagged; the two outputs are
     the two filters on the flag."""
-    return agg.by_region_multi(b.sales(spark, d)).withColumn(
+    return agg.by_region_multi(b.order_grain(spark, d)).withColumn(
         "low_performing", F.col("Total_Revenue") < F.lit(REGION_LOW_BELOW))

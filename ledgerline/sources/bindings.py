@@ -85,3 +85,103 @@ def docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
     return d.join(lab, "doc_id", "left").select(
         "doc_id", "lang", "source", "n_chars", "quality", "toxic")
+
+
+# --------------------------------------------------- pre-aggregated facts --
+# Sums and counts over an inner join can be taken below the join: for each
+# row of the other side, the pre-aggregated group of its key contributes
+# exactly what the matching rows would have.  So the line measures are
+# summed per order (or per part) first, and only order-grain (part-grain)
+# rows travel through the remaining joins.  Columns: _revenue, _lines,
+# _quantity (see ``ledgerline.operators.aggregate.measures``).
+
+def _line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), "l_partkey",
+        F.col("l_quantity").cast("bigint").alias("quantity"))
+    p = products(spark, sf_dir).select("p_partkey", "price", "product")
+    return li.join(p, li.l_partkey == p.p_partkey)
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order that has lines: (order_id, order_date, customer_id,
+    region, _revenue, _lines, _valued, _quantity).  Equal, for any SUM / COUNT /
+    COUNT DISTINCT of order, customer, date or region attributes, to the
+    same aggregate over ``sales``."""
+    per_order = (_line_measures(spark, sf_dir).groupBy("order_id")
+                 .agg(F.sum(F.col("quantity") * F.col("price")).alias("_revenue"),
+                      F.count(F.lit(1)).alias("_lines"),
+                      F.count(F.col("quantity") * F.col("price")).alias("_valued"),
+                      F.sum("quantity").alias("_quantity")))
+    o = orders(spark, sf_dir)
+    c = customers(spark, sf_dir).select("customer_id", "region")
+    return (per_order.join(o, "order_id").join(c, "customer_id")
+            .select("order_id", "order_date", "customer_id", "region",
+                    "_revenue", "_lines", "_valued", "_quantity"))
+
+
+def product_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per part with lines in ``sales``: (product, _revenue, _lines,
+    _quantity).  Lines are kept only when their order, customer, nation and
+    region exist (a semi join at order grain), then summed per part."""
+    o = orders(spark, sf_dir).select("order_id", "customer_id")
+    c = customers(spark, sf_dir).select("customer_id")
+    valid = o.join(c, "customer_id").select("order_id")
+    lines = _line_measures(spark, sf_dir).join(valid, "order_id", "left_semi")
+    return (lines.groupBy("l_partkey", "product")
+            .agg(F.sum(F.col("quantity") * F.col("price")).alias("_revenue"),
+                 F.count(F.lit(1)).alias("_lines"),
+                 F.sum("quantity").alias("_quantity"))
+            .select("product", "_revenue", "_lines", "_quantity"))
+
+
+# ------------------------------------------------- choosing the input grain --
+# When every dimension side (orders, customers, parts) is small enough for a
+# broadcast join, the line-grain plan needs no line-grain shuffle at all
+# (scan -> broadcast joins -> partial aggregate), and it is the faster plan.
+# Past that size each of those joins would shuffle every line, and the
+# pre-aggregated facts move far fewer rows.  The size test is the planner's
+# own estimate against the broadcast threshold; LEDGERLINE_FACTS=always /
+# never overrides it (tests run both).
+
+import os as _os
+
+
+def _broadcast_threshold(spark: SparkSession) -> int:
+    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a plan (file sizes scaled by the columns
+    kept); no job is run."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def dimensions_broadcastable(spark: SparkSession, sf_dir: str) -> bool:
+    thr = _broadcast_threshold(spark)
+    if thr <= 0:
+        return False
+    # base-table projections: basic statistics multiply the sizes of a
+    # join's inputs, and the 25-row nation/region side does not change size
+    sides = [orders(spark, sf_dir),
+             read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
+             products(spark, sf_dir)]
+    return all(estimated_bytes(s) <= thr for s in sides)
+
+
+def _use_facts(spark: SparkSession, sf_dir: str) -> bool:
+    mode = _os.environ.get("LEDGERLINE_FACTS", "auto")
+    if mode in ("always", "never"):
+        return mode == "always"
+    return not dimensions_broadcastable(spark, sf_dir)
+
+
+def order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input for aggregates of order, customer, date and region attributes:
+    ``sales`` (line grain) or ``order_facts``, chosen by size."""
+    return order_facts(spark, sf_dir) if _use_facts(spark, sf_dir) else sales(spark, sf_dir)
+
+
+def part_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input for product aggregates: ``sales`` or ``product_facts``."""
+    return product_facts(spark, sf_dir) if _use_facts(spark, sf_dir) else sales(spark, sf_dir)
