@@ -63,6 +63,14 @@ def _pct(num: Column, den: Column) -> Column:
     return F.coalesce(F.round(F.try_divide(num, den) * 100, 2), F.lit(0.0))
 
 
+def _side_by_side(*frames: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row: UNION ALL with the
+    missing columns NULL, then one ``first(ignorenulls)`` aggregate (a join
+    on a constant key would be planned as a nested-loop join)."""
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in u.columns])
+
+
 # ------------------------------------------------------------ pre-aggregate --
 
 def value_counts(df: DataFrame, columns: list[str], order_col: str | None = None) -> DataFrame:
@@ -90,23 +98,46 @@ def classify(vc: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------- column level --
 
+def per_type(vc: DataFrame) -> DataFrame:
+    """(pos, column, data_type, value_count, first_row, distinct_values,
+    min_len, max_len); data_type NULL is the missing-cell row."""
+    v = F.col("value")
+    cls = vc.select("*", F.when(v.isNotNull(), T.guess_type(v)).alias("data_type"),
+                    F.length(v).cast("bigint").alias("len"))
+    return (cls.groupBy("pos", "column", "data_type")
+            .agg(F.sum("n").alias("value_count"), F.min("first_row").alias("first_row"),
+                 F.count("value").alias("distinct_values"),
+                 F.min("len").alias("min_len"), F.max("len").alias("max_len")))
+
+
 def type_counts(vc: DataFrame) -> DataFrame:
-    """(pos, column, data_type, value_count, first_row)."""
-    return (classify(vc).groupBy("pos", "column", "data_type")
-            .agg(F.sum("n").alias("value_count"), F.min("first_row").alias("first_row")))
+    """(pos, column, data_type, value_count, first_row) of present values."""
+    return per_type(vc).where(F.col("data_type").isNotNull()) \
+        .select("pos", "column", "data_type", "value_count", "first_row")
+
+
+def column_stats(vc: DataFrame) -> DataFrame:
+    """One row per column from the per-class rows: missing / present
+    counts, distinct present values, length range, and the dominant class
+    (most values; a tie goes to the class seen first, then the name)."""
+    t = per_type(vc)
+    present = F.col("data_type").isNotNull()
+    key = F.when(present, F.struct(F.col("value_count"),
+                                   F.coalesce(-F.col("first_row"), F.lit(0)),
+                                   F.col("data_type")))
+    return (t.groupBy("pos", "column").agg(
+        F.sum(F.when(~present, F.col("value_count")).otherwise(0)).alias("missing_count"),
+        F.sum(F.when(present, F.col("value_count")).otherwise(0)).alias("present_count"),
+        F.sum("distinct_values").alias("unique_values"),
+        F.min("min_len").alias("min_length"), F.max("max_len").alias("max_length"),
+        F.max_by(F.struct("data_type", "value_count"), key).alias("d"))
+        .select("pos", "column", "missing_count", "present_count", "unique_values",
+                "min_length", "max_length", F.col("d.data_type").alias("data_type"),
+                F.col("d.value_count").alias("dominant_count")))
 
 
 def dominant_types(vc: DataFrame) -> DataFrame:
-    """Most frequent class per column; a tie goes to the class seen first
-    (smallest first row), then to the class name."""
-    tc = type_counts(vc)
-    key = F.struct(F.col("value_count"), F.coalesce(-F.col("first_row"), F.lit(0)),
-                   F.col("data_type"))
-    return (tc.groupBy("pos", "column")
-            .agg(F.max_by(F.struct("data_type", "value_count"), key).alias("d"),
-                 F.sum("value_count").alias("typed_values"))
-            .select("pos", "column", F.col("d.data_type").alias("data_type"),
-                    F.col("d.value_count").alias("dominant_count"), "typed_values"))
+    return column_stats(vc).select("pos", "column", "data_type", "dominant_count")
 
 
 def column_profile(vc: DataFrame) -> DataFrame:
@@ -114,19 +145,7 @@ def column_profile(vc: DataFrame) -> DataFrame:
     confidence, distinct present values, min / max text length.  Every row
     has one cell per column, so a column's missing + present count is the
     row count; no join with a row total is needed."""
-    present = classify(vc)
-    base = (vc.groupBy("pos", "column")
-            .agg(F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0))
-                 .alias("missing_count"),
-                 F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
-                 .alias("present_count"),
-                 F.count("value").alias("unique_values")))
-    lengths = present.groupBy("pos", "column").agg(F.min("len").alias("min_length"),
-                                                   F.max("len").alias("max_length"))
-    dom = dominant_types(vc)
-    out = (base.join(lengths, ["pos", "column"], "left")
-           .join(dom.drop("typed_values"), ["pos", "column"], "left")
-           .withColumn("_rows", F.col("missing_count") + F.col("present_count")))
+    out = column_stats(vc).withColumn("_rows", F.col("missing_count") + F.col("present_count"))
     missing_pct = _pct(F.col("missing_count"), F.col("_rows"))
     return out.select(
         "pos", F.col("column").alias("column_name"), "missing_count",
@@ -158,18 +177,13 @@ def numeric_stats(vc: DataFrame) -> DataFrame:
                     F.round(F.col("mx") - F.col("mn"), 2).alias("range")))
 
 
-def rule_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
-    """(rule_key, invalid_count) for every rule that fired at least once;
-    key = '<column>_<problem>'.  The rule family is chosen per column from
-    its name; the tests run once per distinct value."""
-    present = vc.where(F.col("value").isNotNull())
-    v, n = F.col("value"), F.col("n")
-    parts = []
+def rule_tests(columns: list[str]) -> list[tuple[str, str, Column]]:
+    """(column, rule key, failing test on ``value``) for every column that a
+    rule family applies to."""
+    v = F.col("value")
+    out = []
     for c in columns:
         fam = rule_family(c)
-        if fam is None:
-            continue
-        mine = present.where(F.col("column") == c)
         if fam == "email":
             checks = {"invalid_email": ~T.is_valid_email(v)}
         elif fam == "amount":
@@ -177,17 +191,37 @@ def rule_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
             checks = {"negative": x < 0, "zero": x == 0, "non_numeric": x.isNull()}
         elif fam == "date":
             checks = {"invalid_date": ~T.is_valid_date_shape(v)}
-        else:
+        elif fam == "id":
             checks = {"invalid_id": ~T.is_alnum(v)}
-        parts.append(mine.agg(*[F.sum(F.when(t, n).otherwise(0)).alias(k)
-                                for k, t in checks.items()])
-                     .select(F.inline(F.array(*[F.struct(F.lit(f"{c}_{k}").alias("rule_key"),
-                                                         F.col(k).cast("bigint")
-                                                         .alias("invalid_count"))
-                                                for k in checks]))))
-    if not parts:
-        return present.sparkSession.createDataFrame([], "rule_key string, invalid_count bigint")
-    return reduce(DataFrame.unionByName, parts).where(F.col("invalid_count") > 0)
+        else:
+            checks = {}
+        out += [(c, f"{c}_{k}", t) for k, t in checks.items()]
+    return out
+
+
+def _cell_sums(vc: DataFrame, columns: list[str]) -> DataFrame:
+    """One aggregate over the value counts: missing cells and every rule
+    count (each test runs once per distinct value)."""
+    n, present = F.col("n"), F.col("value").isNotNull()
+    sums = [F.sum(F.when(~present, n).otherwise(0)).alias("empty_cells")]
+    sums += [F.sum(F.when(present & (F.col("column") == c) & F.coalesce(t, F.lit(False)), n)
+                   .otherwise(0)).alias(f"r{i}")
+             for i, (c, _, t) in enumerate(rule_tests(columns))]
+    return vc.agg(*sums)
+
+
+def rule_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
+    """(rule_key, invalid_count) for every rule that fired at least once;
+    key = '<column>_<problem>'.  The rule family is chosen per column from
+    its name."""
+    tests = rule_tests(columns)
+    if not tests:
+        return vc.sparkSession.createDataFrame([], "rule_key string, invalid_count bigint")
+    s = _cell_sums(vc, columns)
+    entries = F.array(*[F.struct(F.lit(k).alias("rule_key"),
+                                 F.col(f"r{i}").cast("bigint").alias("invalid_count"))
+                        for i, (_, k, _) in enumerate(tests)])
+    return s.select(F.inline(entries)).where(F.col("invalid_count") > 0)
 
 
 # -------------------------------------------------------------- row level --
@@ -199,11 +233,19 @@ def row_key(columns: list[str]) -> Column:
                               for c in columns])
 
 
+def _complete(columns: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [~T.is_missing_text(F.col(c)) for c in columns])
+
+
 def row_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One global aggregate: total rows and rows with no missing cell."""
-    complete = reduce(lambda a, b: a & b, [~T.is_missing_text(F.col(c)) for c in columns])
-    return df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  F.count_if(complete).alias("complete_rows"))
+    """One grouping by row key, partial-aggregated: total rows, rows with
+    no missing cell, duplicate rows (rows - distinct keys)."""
+    per_key = (df.select(row_key(columns).alias("_key"), _complete(columns).alias("_ok"))
+               .groupBy("_key").agg(F.count(F.lit(1)).alias("c"), F.count_if("_ok").alias("k")))
+    return per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
+                       F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("complete_rows"),
+                       F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
+                       .alias("duplicate_rows"))
 
 
 def duplicate_rows(df: DataFrame, columns: list[str], order_col: str) -> DataFrame:
@@ -228,23 +270,21 @@ def duplicate_count(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None) -> DataFrame:
     """The one-row summary: rows, columns, complete rows and %, empty
-    cells, duplicate rows, invalid values, quality score and rating."""
+    cells, duplicate rows, invalid values, quality score and rating.  Two
+    aggregate chains: one over row keys, one over value counts."""
     vc = vc if vc is not None else value_counts(df, columns)
-    from ledgerline.operators.reconcile import one_row
-    parts = {
-        "total_rows": df.agg(F.count(F.lit(1))),
-        "complete_rows": row_metrics(df, columns).select("complete_rows"),
-        "empty_cells": vc.agg(F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))),
-                                         F.lit(0))),
-        "duplicate_rows": duplicate_count(df, columns),
-        "invalid_values": rule_counts(vc, columns).agg(
-            F.coalesce(F.sum("invalid_count"), F.lit(0))),
-    }
-    s = one_row(parts).withColumn("total_columns", F.lit(len(columns)).cast("bigint"))
+    tests = rule_tests(columns)
+    cells = _cell_sums(vc, columns)
+    invalid = reduce(lambda a, b: a + b, [F.col(f"r{i}") for i in range(len(tests))],
+                     F.lit(0).cast("bigint"))
+    cells = cells.select("empty_cells", invalid.cast("bigint").alias("invalid_values"))
+    s = _side_by_side(row_metrics(df, columns), cells) \
+        .withColumn("total_columns", F.lit(len(columns)).cast("bigint"))
     return s.select("total_rows", "total_columns", "complete_rows",
                     _pct(F.col("complete_rows"), F.col("total_rows"))
                     .alias("completeness_percentage"),
-                    "empty_cells", "duplicate_rows", "invalid_values") \
+                    F.coalesce("empty_cells", F.lit(0)).cast("bigint").alias("empty_cells"),
+                    "duplicate_rows", "invalid_values") \
         .transform(with_score)
 
 
@@ -332,14 +372,6 @@ def small_report(df: DataFrame, columns: list[str], amount_col: str = "amount")
 
 # ------------------------------------------------------------ full report --
 
-def _side_by_side(*frames: DataFrame) -> DataFrame:
-    """Columns of several one-row frames in one row: UNION ALL with the
-    missing columns NULL, then one ``first(ignorenulls)`` aggregate (a join
-    on a constant key would be planned as a nested-loop join)."""
-    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return u.agg(*[F.first(c, ignorenulls=True).alias(c) for c in u.columns])
-
-
 def _sorted_entries(df: DataFrame, key: str, value: Column, order: str = "pos") -> Column:
     """collect into an array ordered by ``order`` (column order, bounded by
     the number of columns, not by data)."""

@@ -157,16 +157,22 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+_dims_small: dict[tuple[str, int], bool] = {}
+
+
 def dimensions_broadcastable(spark: SparkSession, sf_dir: str) -> bool:
     thr = _broadcast_threshold(spark)
     if thr <= 0:
         return False
+    if (sf_dir, thr) in _dims_small:
+        return _dims_small[(sf_dir, thr)]
     # base-table projections: basic statistics multiply the sizes of a
     # join's inputs, and the 25-row nation/region side does not change size
     sides = [orders(spark, sf_dir),
              read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
              products(spark, sf_dir)]
-    return all(estimated_bytes(s) <= thr for s in sides)
+    _dims_small[(sf_dir, thr)] = all(estimated_bytes(s) <= thr for s in sides)
+    return _dims_small[(sf_dir, thr)]
 
 
 def _use_facts(spark: SparkSession, sf_dir: str) -> bool:

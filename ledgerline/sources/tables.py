@@ -14,12 +14,21 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 BROADCAST_MAX_ROWS = 100_000
 
 _row_counts: dict[tuple[str, str], int] = {}
+_schemas: dict[str, object] = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied Parquet tables; projection and filters given later
-    are pushed into this scan by Catalyst."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    are pushed into this scan by Catalyst.  The schema is inferred from the
+    footer once per path and passed on later reads (no repeated footer
+    reads while plans are built)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _schemas.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _schemas[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def bounded_broadcast(df: DataFrame, key: tuple[str, str] | None = None,
