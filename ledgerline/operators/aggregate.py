@@ -140,4 +140,5 @@ def pipeline_summary(grouped: DataFrame, key: str, value: str) -> DataFrame:
         F.coalesce(F.sum(v), F.lit(0)).alias("total"),
         F.avg(v).alias("mean_per_group"),
         F.min_by(k, order).alias("best_group"),
-        F.max(v).alias("best_value"))
+        F.max(v).alias("best_value"),
+        F.format_number(F.coalesce(F.sum(v), F.lit(0)), 2).alias("total_text"))

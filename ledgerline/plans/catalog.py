@@ -139,7 +139,8 @@ def q_agg_skip_missing(spark, d):
 SELECT COUNT(*) AS group_count, CAST(COALESCE(SUM(total_revenue), 0) AS BIGINT) AS total,
   AVG(total_revenue) AS mean_per_group,
   arg_min(region, (-total_revenue, region)) AS best_group,
-  MAX(total_revenue) AS best_value FROM g""")
+  MAX(total_revenue) AS best_value,
+  format('{{:,.2f}}', CAST(COALESCE(SUM(total_revenue), 0) AS DOUBLE)) AS total_text FROM g""")
 def q_rep_summary(spark, d):
     facts = b.order_grain(spark, d)
     g = facts.groupBy("region").agg(agg.measures(facts)[0].alias("total_revenue"))

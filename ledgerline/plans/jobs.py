@@ -71,11 +71,7 @@ def clean_and_aggregate(df: DataFrame) -> dict[str, DataFrame]:
     c = clean.to_numeric(dedup.drop_duplicates(df).na.drop(subset=["quantity"]),
                          "quantity", "price")
     c = agg.with_revenue(c)
-    prod = (c.groupBy("product").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
-            .orderBy(F.desc("total_revenue"), "product"))
-    reg = (c.groupBy("region").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
-           .orderBy(F.desc("total_revenue"), "region"))
-    return {"clean": c, "product": prod, "region": reg}
+    return {"clean": c, **clean_and_aggregate_from_clean(c)}
 
 
 # E05 -------------------------------------------------------------------------
@@ -137,7 +133,44 @@ def analyze_csv(spark, path: str, report_dir: str | None = None) -> DataFrame:
     return rep
 
 
-def write_outputs(frames: dict[str, DataFrame], folder: str, shared: DataFrame | None = None):
+def write_outputs(frames: dict[str, DataFrame], folder: str) -> dict[str, str]:
     """Write each frame as a header CSV folder under ``folder``."""
-    for name, f in frames.items():
-        sinks.write_csv(f, posixpath.join(folder, name))
+    return {name: sinks.write_csv(f, posixpath.join(folder, name)) for name, f in frames.items()}
+
+
+def run_clean_and_aggregate(spark, in_path: str, out_dir: str,
+                            schema: str = "order_id INT, region STRING, product STRING, "
+                                          "quantity DOUBLE, price DOUBLE") -> dict[str, str]:
+    """E04 end to end: typed CSV in, three CSV outputs.  The clean frame is
+    written once to the checkpoint folder and the two aggregates read it, so
+    dedup and cleaning run once however many outputs use them."""
+    from ledgerline.sources import csv as C
+    df = C.read_csv_typed(spark, in_path, schema).drop("malformed", "bad_cells")
+    res = clean_and_aggregate(df)
+    shared = materialise(res["clean"], "clean_sales")
+    out = {"clean": shared}
+    out.update({k: v for k, v in clean_and_aggregate_from_clean(shared).items()})
+    return write_outputs(out, out_dir)
+
+
+def clean_and_aggregate_from_clean(c: DataFrame) -> dict[str, DataFrame]:
+    prod = (c.groupBy("product").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
+            .orderBy(F.desc("total_revenue"), "product"))
+    reg = (c.groupBy("region").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
+           .orderBy(F.desc("total_revenue"), "region"))
+    return {"product": prod, "region": reg}
+
+
+def run_regional(spark, in_path: str, out_dir: str, threshold: float = DEFAULT_THRESHOLD,
+                 schema: str = "order_id INT, region STRING, product STRING, "
+                               "quantity DOUBLE, price DOUBLE") -> dict[str, str]:
+    """E03 end to end: the small regional summary is materialised once, then
+    written whole and as the low-performer split (a header-only file when
+    no region is below the threshold)."""
+    from ledgerline.sources import csv as C
+    df = C.read_csv_typed(spark, in_path, schema).drop("malformed", "bad_cells")
+    summ = materialise(regional_sales(df, threshold)["summary"], "regional_summary")
+    summ = summ.orderBy(F.desc("Total_Revenue"), "Region")
+    low = summ.where(F.col("Total_Revenue") < F.lit(threshold))
+    return write_outputs({"regional_revenue_summary": summ, "low_performing_regions": low},
+                         out_dir)
