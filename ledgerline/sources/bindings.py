@@ -30,11 +30,40 @@ def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bounded_broadcast(nr, (sf_dir, "nation_region"))
 
 
+NATION_MAP_MAX = 10_000
+_nation_maps: dict[str, dict | None] = {}
+
+
+def nation_region_map(spark: SparkSession, sf_dir: str) -> dict | None:
+    """nation key -> region name as a Python dict, when the joined nation /
+    region pair is small (row count checked first) and its keys are unique;
+    else None.  At most ``NATION_MAP_MAX`` rows ever reach the driver."""
+    if sf_dir not in _nation_maps:
+        nr = nation_regions(spark, sf_dir)
+        rows = nr.limit(NATION_MAP_MAX + 1).collect()
+        keys = [r.n_nationkey for r in rows]
+        ok = len(rows) <= NATION_MAP_MAX and len(set(keys)) == len(keys)
+        _nation_maps[sf_dir] = {r.n_nationkey: r.region for r in rows} if ok else None
+    return _nation_maps[sf_dir]
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customers(customer_id, customer_name, region)."""
+    """customers(customer_id, customer_name, region).
+
+    The nation -> region step is a literal map lookup when that mapping is
+    small with unique keys (equal to the inner join: customers whose nation
+    has no region are dropped).  The dimension is then a plain projection of
+    the customer scan, so the planner sizes it right (its estimate of a join
+    is the product of the inputs) and broadcasts it only when it is small."""
     c = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"), "c_nationkey")
+    m = nation_region_map(spark, sf_dir)
+    if m is not None:
+        lookup = F.create_map(*[x for k, v in sorted(m.items()) for x in (F.lit(k), F.lit(v))])
+        return (c.withColumn("region", lookup[F.col("c_nationkey")])
+                .where(F.col("region").isNotNull())
+                .select("customer_id", "customer_name", "region"))
     nr = nation_regions(spark, sf_dir)
     return (c.join(nr, c.c_nationkey == nr.n_nationkey)
             .select("customer_id", "customer_name", "region"))
