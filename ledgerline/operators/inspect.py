@@ -63,46 +63,40 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float],
+def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float],
                     partitions: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas / ``percentile``)
-    without gathering a column in one task.
-
-    Distinct values with their counts are range-partitioned (a contiguous
-    slice of the sorted column per task, checkpointed so the slicing is
-    fixed); a per-slice running count plus the totals of earlier slices give
-    each distinct value its position interval.  The values at the two
-    positions around ``q * (n - 1)`` are then picked by a filter.  Output:
-    one row per q: (q, value)."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = (df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double")))
-            .groupBy(F.col(col).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    sliced = (vals.repartitionByRange(n_parts, "v").withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
-    in_slice = Window.partitionBy("_slice").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    local = sliced.withColumn("_end", F.sum("n").over(in_slice))
-    # one row per slice (bounded by the partition count): offset and total
-    tot = sliced.groupBy("_slice").agg(F.sum("n").alias("_tot"))
-    off = (tot.withColumn("_off", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        .withColumn("_total", F.sum("_tot").over(Window.partitionBy())))
-    pos = (local.join(F.broadcast(off.select("_slice", "_off", "_total")), "_slice")
-           .select("v", "_total", (F.col("_off") + F.col("_end") - F.col("n")).alias("start"),
-                   (F.col("_off") + F.col("_end")).alias("end")))
+    """Exact quantiles with linear interpolation (pandas / ``percentile``) of
+    one or more numeric columns, without gathering a column in one task:
+    (column_name, q, value).
+
+    The columns are unpivoted to (column_name, value) and counted per
+    distinct value; ``windows.value_positions`` places every distinct value
+    in its column's sorted order (range slices, checkpointed); the values at
+    the two positions around ``q * (n - 1)`` are picked by a filter and
+    interpolated.  NULL and NaN are skipped, as pandas does."""
+    from ledgerline.operators.windows import value_positions
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
+                               F.col(c).cast("double").alias("v")) for c in cols])
+    long = df.select(F.inline(cells)).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    vals = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    pos = value_positions(vals, ["column_name"], "v", "n", partitions=partitions)
+    # one row per column (bounded by the column list): its row count
+    counts = pos.groupBy("column_name").agg(F.max("end").alias("_total"))
+    pos = pos.join(F.broadcast(counts), "column_name")
 
     def at(p):
         return F.max(F.when((F.col("start") <= p) & (p < F.col("end")), F.col("v")))
 
-    cols = []
+    parts = []
     for i, q in enumerate(qs):
         p = (F.col("_total") - 1) * F.lit(q)
         lo, hi = F.floor(p), F.ceil(p)
-        frac = F.max(p - lo)
-        cols.append(F.struct(F.lit(q).alias("q"),
-                             (at(lo) + (at(hi) - at(lo)) * frac).alias("value")).alias(f"q{i}"))
-    return pos.agg(*cols).select(F.inline(F.array(*[F.col(f"q{i}") for i in range(len(qs))])))
+        parts.append(F.struct(F.lit(q).alias("q"),
+                              (at(lo) + (at(hi) - at(lo)) * F.max(p - lo)).alias("value"))
+                     .alias(f"q{i}"))
+    return (pos.groupBy("column_name").agg(*parts)
+            .select("column_name", F.inline(F.array(*[F.col(f"q{i}") for i in range(len(qs))]))))
 
 
 def describe(df: DataFrame, columns: list[str] | None = None,
@@ -116,13 +110,8 @@ def describe(df: DataFrame, columns: list[str] | None = None,
                       "min": lambda c: F.min(F.col(c)).cast("double"),
                       "max": lambda c: F.max(F.col(c)).cast("double")}, cols)
     names = {q: f"p{int(round(q * 100))}" for q in qs}
-    parts = []
-    for c in cols:
-        qv = exact_quantiles(df, c, list(qs))
-        parts.append(qv.agg(F.lit(c).alias("column_name"),
-                            *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(names[q])
-                              for q in qs]))
-    quant = reduce(DataFrame.unionByName, parts)
+    quant = (exact_quantiles(df, cols, list(qs)).groupBy("column_name")
+             .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(names[q]) for q in qs]))
     return base.join(quant, "column_name").select(
         "column_name", "count", "mean", "std", "min", *names.values(), "max")
 

@@ -45,48 +45,53 @@ def rank_compare(sales: DataFrame) -> DataFrame:
                     F.row_number().over(w_rn).cast("bigint").alias("row_number_value")))
 
 
-def rank_within(df: DataFrame, group_cols: list[str], order_col: str,
-                descending: bool = True, out: str = "rank", dense: bool = False,
-                partitions: int | None = None) -> DataFrame:
-    """RANK() (or DENSE_RANK()) OVER (PARTITION BY group ORDER BY order_col)
-    for groups of any size.
-
-    1. Ties collapse first: one row per (group, value) with its row count
-       (partial aggregation, so a hot value costs nothing extra).
-    2. Those rows are range-partitioned on (group, value); each partition is
-       a contiguous slice of the sort order, so a large group spans many
-       tasks.  The partition id is stored and the slice is checkpointed into
-       the shared checkpoint folder, so the slicing is fixed and survives
-       lost executors.
-    3. Inside a slice, a window partitioned by (slice, group) gives the
-       count of rows before each value; per-(slice, group) totals summed
-       over earlier slices give the offset.  rank = offset + before + 1.
-    4. The rank joins back to the rows on (group, value).
-    """
-    spark = df.sparkSession
+def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
+                    weight: str, descending: bool = False,
+                    partitions: int | None = None) -> DataFrame:
+    """For rows that are one distinct (group, value) each with a weight
+    (a row count), the interval [start, end) that the value's rows take in
+    the group's sorted order, for groups of any size.
+
+    The rows are range-partitioned on (group, value), so each task holds a
+    contiguous slice of the sort order and a large group spans many tasks.
+    The slice id is stored and the slicing checkpointed into the shared
+    checkpoint folder (fixed, survives lost executors).  A running sum
+    inside each (slice, group) plus the totals of the group's earlier slices
+    (one row per slice and group) give the interval."""
+    spark = values.sparkSession
     checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(order_col)
     ordered = v.desc() if descending else v.asc()
-    weight = F.lit(1).cast("bigint") if dense else F.count(F.lit(1))
-
-    values = df.groupBy(*group_cols, order_col).agg(weight.alias("_n"))
     sliced = (values.repartitionByRange(n_parts, *[F.col(c) for c in group_cols], ordered)
               .withColumn("_slice", F.spark_partition_id())
               .checkpoint(eager=True))
-
-    in_slice = Window.partitionBy("_slice", *group_cols).orderBy(ordered)
-    local = sliced.withColumn(
-        "_before", F.sum("_n").over(in_slice.rowsBetween(Window.unboundedPreceding, -1)))
-    totals = sliced.groupBy("_slice", *group_cols).agg(F.sum("_n").alias("_tot"))
+    in_slice = Window.partitionBy("_slice", *group_cols).orderBy(ordered).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = sliced.withColumn("_run", F.sum(weight).over(in_slice))
+    totals = sliced.groupBy("_slice", *group_cols).agg(F.sum(weight).alias("_tot"))
     earlier = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)))
-    ranked = (local.join(offsets.select("_slice", *group_cols, "_off"), ["_slice", *group_cols])
-              .select(*group_cols, order_col,
-                      (F.col("_off") + F.coalesce(F.col("_before"), F.lit(0)) + 1)
-                      .cast("bigint").alias(out)))
-    # NULL order values: RANK puts them last (DESC) / first (ASC) as one tie.
+    return (local.join(offsets.select("_slice", *group_cols, "_off"), ["_slice", *group_cols])
+            .select(*group_cols, order_col, weight,
+                    (F.col("_off") + F.col("_run") - F.col(weight)).alias("start"),
+                    (F.col("_off") + F.col("_run")).alias("end")))
+
+
+def rank_within(df: DataFrame, group_cols: list[str], order_col: str,
+                descending: bool = True, out: str = "rank", dense: bool = False,
+                partitions: int | None = None) -> DataFrame:
+    """RANK() (or DENSE_RANK()) OVER (PARTITION BY group ORDER BY order_col)
+    for groups of any size: ties collapse first (one row per (group, value)
+    with its row count, a partial aggregate, so a hot value costs nothing
+    extra); ``value_positions`` places each value; rank = start + 1 (dense:
+    weight 1 per value); the rank joins back to the rows on (group, value)."""
+    weight = F.lit(1).cast("bigint") if dense else F.count(F.lit(1))
+    values = df.groupBy(*group_cols, order_col).agg(weight.alias("_n"))
+    pos = value_positions(values, group_cols, order_col, "_n", descending, partitions)
+    ranked = pos.select(*group_cols, order_col, (F.col("start") + 1).cast("bigint").alias(out))
+    # NULL order values form one tie, last for DESC / first for ASC, as RANK does
     keys = [*group_cols, order_col]
     return (df.join(ranked, [df[c].eqNullSafe(ranked[c]) for c in keys], "inner")
             .select(df["*"], ranked[out]))

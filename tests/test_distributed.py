@@ -37,7 +37,7 @@ def test_rank_within_matches_window(spark, parts, dense):
 def test_exact_quantiles(spark, parts):
     vals = [r[2] for r in skewed_rows() if r[2] is not None]
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = {r.q: r.value for r in inspect.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0],
+    got = {r.q: r.value for r in inspect.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0],
                                                          partitions=parts).collect()}
     for q, v in got.items():
         assert v == pytest.approx(float(np.percentile(vals, q * 100)))
