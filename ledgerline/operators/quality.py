@@ -237,24 +237,42 @@ def _complete(columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [~T.is_missing_text(F.col(c)) for c in columns])
 
 
-def row_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
+def row_metrics(df: DataFrame, columns: list[str], fingerprints: bool = False) -> DataFrame:
     """One grouping by row key, partial-aggregated: total rows, rows with
-    no missing cell, duplicate rows (rows - distinct keys)."""
-    per_key = (df.select(row_key(columns).alias("_key"), _complete(columns).alias("_ok"))
-               .groupBy("_key").agg(F.count(F.lit(1)).alias("c"), F.count_if("_ok").alias("k")))
+    no missing cell, duplicate rows (rows - distinct keys).
+
+    With ``fingerprints`` (wide rows, e.g. long texts) the grouping is by a
+    128-bit fingerprint of the key; only rows whose fingerprint repeats are
+    regrouped by their exact key, so duplicates stay exact and unique long
+    keys are never shuffled."""
+    base = df.select(row_key(columns).alias("_key"), _complete(columns).alias("_ok"))
+    if fingerprints:
+        from ledgerline.operators.dedup import fingerprint
+        h = base.select("_key", "_ok", *fingerprint(["_key"]))
+        per_fp = h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("c"),
+                                             F.count_if("_ok").alias("k"))
+        rep = per_fp.where(F.col("c") > 1).select("_h0", "_h1")
+        dup = (h.join(rep, ["_h0", "_h1"], "left_semi").groupBy("_key")
+               .agg(F.count(F.lit(1)).alias("c"))
+               .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
+                    .alias("duplicate_rows")))
+        tot = per_fp.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
+                         F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("complete_rows"))
+        return _side_by_side(tot, dup)
+    per_key = base.groupBy("_key").agg(F.count(F.lit(1)).alias("c"), F.count_if("_ok").alias("k"))
     return per_key.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
                        F.coalesce(F.sum("k"), F.lit(0)).cast("bigint").alias("complete_rows"),
                        F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
                        .alias("duplicate_rows"))
 
 
-def duplicate_rows(df: DataFrame, columns: list[str], order_col: str) -> DataFrame:
+def duplicate_rows(df: DataFrame, columns: list[str], order_col: str,
+                   fingerprints: bool = False) -> DataFrame:
     """Rows whose row key was seen on an earlier row (first occurrence
-    excluded): (order_col).  The first row per key is a partial aggregate;
-    the join back is an equi join, which AQE splits if one key is hot."""
+    excluded): (order_col).  Exact; see ``dedup.duplicate_rows``."""
+    from ledgerline.operators import dedup
     keyed = df.select(F.col(order_col).alias("_row"), row_key(columns).alias("_key"))
-    first = keyed.groupBy("_key").agg(F.min("_row").alias("_first"))
-    return (keyed.join(first, "_key").where(F.col("_row") > F.col("_first"))
+    return (dedup.duplicate_rows(keyed, ["_key"], "_row", fingerprints)
             .select(F.col("_row").alias(order_col)))
 
 
@@ -268,7 +286,8 @@ def duplicate_count(df: DataFrame, columns: list[str]) -> DataFrame:
 
 # ----------------------------------------------------------------- report --
 
-def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None) -> DataFrame:
+def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None,
+            fingerprints: bool = False) -> DataFrame:
     """The one-row summary: rows, columns, complete rows and %, empty
     cells, duplicate rows, invalid values, quality score and rating.  Two
     aggregate chains: one over row keys, one over value counts."""
@@ -278,7 +297,7 @@ def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None) -> D
     invalid = reduce(lambda a, b: a + b, [F.col(f"r{i}") for i in range(len(tests))],
                      F.lit(0).cast("bigint"))
     cells = cells.select("empty_cells", invalid.cast("bigint").alias("invalid_values"))
-    s = _side_by_side(row_metrics(df, columns), cells) \
+    s = _side_by_side(row_metrics(df, columns, fingerprints), cells) \
         .withColumn("total_columns", F.lit(len(columns)).cast("bigint"))
     return s.select("total_rows", "total_columns", "complete_rows",
                     _pct(F.col("complete_rows"), F.col("total_rows"))
@@ -383,7 +402,8 @@ def _sorted_entries(df: DataFrame, key: str, value: Column, order: str = "pos")
 
 def quality_report(df: DataFrame, columns: list[str], order_col: str | None = None,
                    file_name: str | None = None, file_path: str | None = None,
-                   file_size: int | None = None, analysis_date: str | None = None) -> DataFrame:
+                   file_size: int | None = None, analysis_date: str | None = None,
+                   fingerprints: bool = False) -> DataFrame:
     """The whole report as one row of nested structs: metadata, summary,
     column_analysis (map column -> stats), issues, recommendations.  Every
     part is built from the per-column aggregates above; the assembly joins
@@ -392,7 +412,7 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
     prof = column_profile(vc)
     nums = numeric_stats(vc)
     rk = rule_counts(vc, columns)
-    summ = summary(df, columns, vc)
+    summ = summary(df, columns, vc, fingerprints)
     iss = issues(prof, rk)
     recs = recommendations(prof, summ)
 
@@ -411,7 +431,7 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
     cwi = iss.agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "pos", F.col("column_name").alias("column"), "missing_percentage", "severity"))),
         lambda e: e.dropFields("pos")).alias("columns_with_issues"))
-    dup_rows = (duplicate_rows(df, columns, order_col).orderBy(order_col)
+    dup_rows = (duplicate_rows(df, columns, order_col, fingerprints).orderBy(order_col)
                 .limit(DUPLICATE_ROWS_REPORTED)
                 .agg(F.sort_array(F.collect_list(order_col)).alias("rows"))
                 if order_col else df.sparkSession.range(1).select(

@@ -135,7 +135,7 @@ def q_dq_small(spark, d):
 @register("dq_summary_docs", DOCS_PRS + "SELECT * FROM summ")
 def q_dq_summary_docs(spark, d):
     docs = R.docs_raw(spark, d)
-    return Q.summary(docs, DOCS, Q.value_counts(docs, DOCS, "row_id"))
+    return Q.summary(docs, DOCS, Q.value_counts(docs, DOCS, "row_id"), fingerprints=True)
 
 
 @register("dq_columns_docs", DOCS_PRS + f"SELECT {', '.join(PROFILE_COLS)} FROM prof2")
@@ -149,7 +149,7 @@ def q_dq_columns_docs(spark, d):
 SELECT k.row_id FROM k JOIN f ON k.k = f.k WHERE k.row_id > f.first
 ORDER BY k.row_id LIMIT 100""")
 def q_dup_text_rows(spark, d):
-    return (Q.duplicate_rows(R.docs_raw(spark, d), DOCS, "row_id")
+    return (Q.duplicate_rows(R.docs_raw(spark, d), DOCS, "row_id", fingerprints=True)
             .orderBy("row_id").limit(Q.DUPLICATE_ROWS_REPORTED))
 
 
@@ -167,19 +167,19 @@ def _docs(spark, d):
   ON d.text IS NOT DISTINCT FROM g.text AND d.lang IS NOT DISTINCT FROM g.lang
   AND d.source IS NOT DISTINCT FROM g.source WHERE d.doc_id > g.f""")
 def q_dup_rows(spark, d):
-    return dedup.duplicate_rows(_docs(spark, d), DOC_KEY, "doc_id")
+    return dedup.duplicate_rows(_docs(spark, d), DOC_KEY, "doc_id", fingerprints=True)
 
 
 @register("dup_count", """SELECT CAST(SUM(c) AS BIGINT) AS total_rows,
   COUNT(*) AS distinct_rows, CAST(SUM(c - 1) AS BIGINT) AS duplicate_rows
   FROM (SELECT COUNT(*) AS c FROM documents GROUP BY text, lang, source)""")
 def q_dup_count(spark, d):
-    return dedup.duplicate_count(_docs(spark, d).drop("doc_id"))
+    return dedup.duplicate_count(_docs(spark, d).drop("doc_id"), fingerprints=True)
 
 
 @register("dup_drop", "SELECT DISTINCT text, lang, source FROM documents")
 def q_dup_drop(spark, d):
-    return dedup.drop_duplicates(_docs(spark, d).drop("doc_id"))
+    return dedup.drop_duplicates(_docs(spark, d).drop("doc_id"), fingerprints=True)
 
 
 # -------------------------------------------------------------- validation --
@@ -351,4 +351,4 @@ def q_dq_issues_docs(spark, d):
 def q_dq_recommend_docs(spark, d):
     docs = R.docs_raw(spark, d)
     vc = Q.value_counts(docs, DOCS, "row_id")
-    return Q.recommendations(Q.column_profile(vc), Q.summary(docs, DOCS, vc))
+    return Q.recommendations(Q.column_profile(vc), Q.summary(docs, DOCS, vc, fingerprints=True))

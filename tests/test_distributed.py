@@ -46,9 +46,10 @@ def test_exact_quantiles(spark, parts):
 def test_duplicate_rows_with_hot_value(spark):
     rows = [(i, "same" if i % 3 else f"u{i}", None) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, a string, b string")
-    got = sorted(r.id for r in dedup.duplicate_rows(df, ["a", "b"], "id").collect())
     first = min(i for i in range(300) if i % 3)
-    assert got == [i for i in range(300) if i % 3 and i != first]
+    for fp in (False, True):
+        got = sorted(r.id for r in dedup.duplicate_rows(df, ["a", "b"], "id", fp).collect())
+        assert got == [i for i in range(300) if i % 3 and i != first]
 
 
 def test_results_do_not_depend_on_partitioning(spark):
@@ -61,3 +62,33 @@ def test_results_do_not_depend_on_partitioning(spark):
         assert sorted(map(tuple, agg.by_region(shuffled).collect())) == ref
         ranked = sorted(map(tuple, windows.rank_in_region(shuffled).collect()))
         assert ranked == sorted(map(tuple, windows.rank_in_region(base).collect()))
+
+
+def test_dedup_exact_even_when_every_fingerprint_collides(spark, monkeypatch):
+    rows = [(1, "a", None), (2, "a", None), (3, None, "a"), (4, "a", "a"), (5, "b", None),
+            (6, None, "a"), (7, "a", None)]
+    df = spark.createDataFrame(rows, "id int, x string, y string")
+    monkeypatch.setattr(dedup, "fingerprint",
+                        lambda cols: [F.lit(0).cast("bigint").alias("_h0"),
+                                      F.lit(0).cast("bigint").alias("_h1")])
+    for fp in (False, True):
+        got = sorted(r.id for r in dedup.duplicate_rows(df, ["x", "y"], "id", fp).collect())
+        assert got == [2, 6, 7]
+        c = dedup.duplicate_count(df.drop("id"), fingerprints=fp).first()
+        assert (c.total_rows, c.distinct_rows, c.duplicate_rows) == (7, 4, 3)
+        got = sorted(map(tuple, dedup.drop_duplicates(df.drop("id"), fingerprints=fp).collect()),
+                     key=repr)
+        assert got == sorted([("a", None), (None, "a"), ("a", "a"), ("b", None)], key=repr)
+
+
+def test_quality_row_metrics_fingerprints_agree(spark):
+    from ledgerline.operators import quality as Q
+    rows = [(i, f"t{i % 7}", None if i % 5 == 0 else "x", " y " if i % 2 else "y") for i in range(200)]
+    df = spark.createDataFrame(rows, "r bigint, a string, b string, c string")
+    cols = ["a", "b", "c"]
+    plain = Q.row_metrics(df, cols).first()
+    fp = Q.row_metrics(df, cols, fingerprints=True).first()
+    assert tuple(plain) == tuple(fp)
+    a = sorted(r.r for r in Q.duplicate_rows(df, cols, "r").collect())
+    b = sorted(r.r for r in Q.duplicate_rows(df, cols, "r", fingerprints=True).collect())
+    assert a == b and len(a) > 0
