@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions import rules
 from ledgerline.operators import joins
 from ledgerline.operators import quality as Q
 from ledgerline.plans import jobs
-from ledgerline.plans.catalog import (CUSTOMER_HIGH_FROM, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM,
-                                      REGION_FILTER, REGION_LOW_BELOW)
+from ledgerline.plans.catalog import (LINE_HIGH_ABOVE, LINE_MEDIUM_FROM, REGION_FILTER,
+                                      REGION_LOW_BELOW)
 from ledgerline.plans.oracle import S_ITEMS, SALES, with_
 from ledgerline.session import scratch_path
 from ledgerline.sources import bindings as b
@@ -19,7 +18,6 @@ from ledgerline.sources import sinks
 from ledgerline.sources.tables import read_table
 
 REGISTRY: dict = {}
-del CUSTOMER_HIGH_FROM
 
 
 def register(key, oracle):
@@ -203,5 +201,3 @@ def q_sink_json_report(spark, d):
     sinks.write_json_report(rep, path)
     return spark.read.text(path)
 
-
-del rules

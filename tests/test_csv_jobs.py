@@ -187,3 +187,14 @@ def test_report_error_form(spark, tmpdir_fresh):
     assert r.status == "error" and r.error_message.startswith("File not found")
     assert sinks.write_json_report(jobs.analyze_csv(spark, f"{tmpdir_fresh}/nope.csv"),
                                    f"{tmpdir_fresh}/x.json") is None
+
+
+def test_report_headers_only_and_no_headers(spark, tmpdir_fresh):
+    p = write(f"{tmpdir_fresh}/headers_only.csv", "\nid,name,age\n")
+    r = jobs.analyze_csv(spark, p).first()
+    assert (r.summary.total_rows, r.summary.quality_score, r.summary.quality_rating) == \
+        (0, 0.0, "Critical 🚨")
+    assert r.column_analysis == {} and r.issues.duplicates["count"] == 0
+    p = write(f"{tmpdir_fresh}/empty_file.csv", "\n")
+    r = jobs.analyze_csv(spark, p).first()
+    assert r.status == "error" and r.error_message == "CSV file has no headers"
