@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import posixpath
 from collections.abc import Callable
 
@@ -30,7 +31,9 @@ def process_new_files(spark: SparkSession, folder: str, schema: str,
     under ``out_dir/batch=<id>`` (overwrite per batch id, so a replayed
     batch after a failure rewrites the same folder: no duplicates).  Runs
     what is available now, then stops; the next call picks up new files."""
-    ckpt = posixpath.join(checkpoint_dir(spark), "ledgerline", "streams", name)
+    # one stream state per (name, source folder, output folder)
+    tag = hashlib.sha1(f"{folder}|{out_dir}".encode()).hexdigest()[:12]
+    ckpt = posixpath.join(checkpoint_dir(spark), "ledgerline", "streams", f"{name}-{tag}")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         transform(batch).write.mode("overwrite").parquet(posixpath.join(out_dir, f"batch={batch_id}"))
