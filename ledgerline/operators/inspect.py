@@ -112,6 +112,16 @@ def describe(df: DataFrame, columns: list[str] | None = None,
         "column_name", "count", "mean", "std", "min", *names.values(), "max")
 
 
+def observed(df: DataFrame, name: str):
+    """(df with a row-count observation, the Observation).  The count is
+    collected as a side result of whatever action later runs the plan, so
+    reporting rows in / out of a step costs no extra job; read it with
+    ``obs.get["rows"]`` after that action."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+
 def step_counts(steps: dict[str, DataFrame]) -> DataFrame:
     """Rows after each step, as (step, row_count)."""
     from ledgerline.operators.reconcile import labelled_counts

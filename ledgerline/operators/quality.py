@@ -160,6 +160,55 @@ def column_profile(vc: DataFrame) -> DataFrame:
         (F.col("dominant_count") / F.col("present_count") * 100).alias("type_pct_raw"))
 
 
+TYPE_CLASSES = ["integer", "float", "boolean", "email", "date", "string"]
+
+
+def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = None,
+                   rsd: float = 0.01) -> DataFrame:
+    """``column_profile`` without the exact (column, value) shuffle: every
+    statistic is a decomposable per-column aggregate of the cells (missing
+    and per-class counts, first row per class, lengths), and only
+    ``unique_values`` is approximate (HyperLogLog++, relative error
+    ``rsd``).  Partial aggregation leaves one small row per column and task,
+    so free-text columns cost one pass and no value shuffle.  A named opt-in;
+    the default profile is exact."""
+    cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
+                               F.col(c).cast("string").alias("raw"))
+                      for i, c in enumerate(columns)])
+    order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
+    long = df.select(order.alias("_row"), F.inline(cells))
+    v = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
+    typed = long.select("_row", "pos", "column", v.alias("value")).select(
+        "*", F.when(F.col("value").isNotNull(), T.guess_type("value")).alias("t"),
+        F.length("value").cast("bigint").alias("len"))
+    per_class = []
+    for t in TYPE_CLASSES:
+        per_class += [F.count_if(F.col("t") == t).alias(f"n_{t}"),
+                      F.min(F.when(F.col("t") == t, F.col("_row"))).alias(f"f_{t}")]
+    g = typed.groupBy("pos", "column").agg(
+        F.count_if(F.col("value").isNull()).alias("missing_count"),
+        F.count("value").alias("present_count"),
+        F.approx_count_distinct("value", rsd).alias("unique_values"),
+        F.min("len").alias("min_length"), F.max("len").alias("max_length"), *per_class)
+    best = F.greatest(*[F.when(F.col(f"n_{t}") > 0, F.struct(
+        F.col(f"n_{t}").alias("c"), F.coalesce(-F.col(f"f_{t}"), F.lit(0)).alias("f"),
+        F.lit(t).alias("t"))) for t in TYPE_CLASSES])
+    out = (g.withColumn("_b", best)
+           .withColumn("_rows", F.col("missing_count") + F.col("present_count")))
+    missing_pct = _pct(F.col("missing_count"), F.col("_rows"))
+    return out.select(
+        "pos", F.col("column").alias("column_name"), "missing_count",
+        missing_pct.alias("missing_percentage"),
+        rules.severity(missing_pct).alias("completeness_severity"),
+        F.coalesce(F.col("_b.t"), F.lit("unknown")).alias("data_type"),
+        _pct(F.col("_b.c"), F.col("present_count")).alias("type_confidence"),
+        F.col("unique_values").cast("bigint").alias("unique_values"),
+        F.coalesce(F.col("min_length"), F.lit(0)).cast("bigint").alias("min_length"),
+        F.coalesce(F.col("max_length"), F.lit(0)).cast("bigint").alias("max_length"),
+        F.col("_rows").alias("total_rows"),
+        (F.col("_b.c") / F.col("present_count") * 100).alias("type_pct_raw"))
+
+
 def numeric_stats(vc: DataFrame) -> DataFrame:
     """count / sum / average / min / max / range (2 dp) of the values that
     are integer or float, for columns whose dominant class is numeric."""

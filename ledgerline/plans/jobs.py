@@ -140,17 +140,24 @@ def write_outputs(frames: dict[str, DataFrame], folder: str) -> dict[str, str]:
 
 def run_clean_and_aggregate(spark, in_path: str, out_dir: str,
                             schema: str = "order_id INT, region STRING, product STRING, "
-                                          "quantity DOUBLE, price DOUBLE") -> dict[str, str]:
+                                          "quantity DOUBLE, price DOUBLE") -> dict:
     """E04 end to end: typed CSV in, three CSV outputs.  The clean frame is
     written once to the checkpoint folder and the two aggregates read it, so
-    dedup and cleaning run once however many outputs use them."""
+    dedup and cleaning run once however many outputs use them.  Rows in and
+    out of each step are observed on that one write (no extra jobs).
+    Returns {"paths": {output: folder}, "steps": {step: rows}}."""
+    from ledgerline.operators.inspect import observed
     from ledgerline.sources import csv as C
     df = C.read_csv_typed(spark, in_path, schema).drop("malformed", "bad_cells")
-    res = clean_and_aggregate(df)
-    shared = materialise(res["clean"], "clean_sales")
-    out = {"clean": shared}
-    out.update({k: v for k, v in clean_and_aggregate_from_clean(shared).items()})
-    return write_outputs(out, out_dir)
+    df, o_in = observed(df, "loaded")
+    dd, o_dd = observed(dedup.drop_duplicates(df), "drop_duplicates")
+    kept, o_na = observed(dd.na.drop(subset=["quantity"]), "dropna_quantity")
+    clean_df = agg.with_revenue(clean.to_numeric(kept, "quantity", "price"))
+    shared = materialise(clean_df, "clean_sales")
+    steps = {n: o.get["rows"] for n, o in (("loaded", o_in), ("drop_duplicates", o_dd),
+                                           ("dropna_quantity", o_na))}
+    out = {"clean": shared, **clean_and_aggregate_from_clean(shared)}
+    return {"paths": write_outputs(out, out_dir), "steps": steps}
 
 
 def clean_and_aggregate_from_clean(c: DataFrame) -> dict[str, DataFrame]:

@@ -92,3 +92,20 @@ def test_quality_row_metrics_fingerprints_agree(spark):
     a = sorted(r.r for r in Q.duplicate_rows(df, cols, "r").collect())
     b = sorted(r.r for r in Q.duplicate_rows(df, cols, "r", fingerprints=True).collect())
     assert a == b and len(a) > 0
+
+
+def test_profile_approx_matches_exact_profile(spark):
+    from ledgerline.operators import quality as Q
+    from ledgerline.sources import raw_views as R
+    d = "/root/testdata/sf0.01"
+    for df, cols in ((R.txn_raw(spark, d), R.TXN_COLUMNS), (R.docs_raw(spark, d), R.DOCS_COLUMNS)):
+        exact = {r.column_name: r for r in
+                 Q.column_profile(Q.value_counts(df, cols, "row_id")).collect()}
+        approx = {r.column_name: r for r in Q.profile_approx(df, cols, "row_id").collect()}
+        assert exact.keys() == approx.keys()
+        for c, e in exact.items():
+            a = approx[c]
+            for f in ("missing_count", "missing_percentage", "completeness_severity", "data_type",
+                      "type_confidence", "min_length", "max_length", "total_rows"):
+                assert e[f] == a[f], (c, f)
+            assert abs(a.unique_values - e.unique_values) <= max(2, 0.05 * e.unique_values)

@@ -29,8 +29,9 @@ def test_random_sales_ranges_and_seed(spark):
 
 def test_run_clean_and_aggregate_writes_three_outputs(spark, tmpdir_fresh):
     src = write(os.path.join(tmpdir_fresh, "sales_raw.csv"), SALES_RAW_CSV)
-    out = jobs.run_clean_and_aggregate(spark, src, os.path.join(tmpdir_fresh, "out"))
-    back = {k: spark.read.option("header", True).csv(v) for k, v in out.items()}
+    res = jobs.run_clean_and_aggregate(spark, src, os.path.join(tmpdir_fresh, "out"))
+    assert res["steps"] == {"loaded": 6, "drop_duplicates": 5, "dropna_quantity": 4}
+    back = {k: spark.read.option("header", True).csv(v) for k, v in res["paths"].items()}
     assert back["clean"].count() == 4
     assert {r.product: float(r.total_revenue) for r in back["product"].collect()} == \
         {"Monitor": 36000.0, "Keyboard": 4500.0}
