@@ -432,7 +432,9 @@ def q_win_rank_compare(spark, d):
   CAST(RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC) AS BIGINT)
   AS rank_in_region FROM customer_revenue""")
 def q_win_rank_region(spark, d):
-    return windows.rank_in_region(b.order_grain(spark, d))
+    # the customer dimension fitting a broadcast bounds every region's size
+    return windows.rank_in_region(b.order_grain(spark, d),
+                                  distributed=b.use_distributed_rank(spark, d))
 
 
 @register("win_top2_region", CUSTOMER_REV + """SELECT * FROM (SELECT customer_id, region,

@@ -220,3 +220,15 @@ def order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def part_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Input for product aggregates: ``sales`` or ``product_facts``."""
     return product_facts(spark, sf_dir) if _use_facts(spark, sf_dir) else sales(spark, sf_dir)
+
+
+def use_distributed_rank(spark: SparkSession, sf_dir: str) -> bool:
+    """Rank per region with ``rank_within`` unless the whole customer
+    dimension is small enough to broadcast (then any region fits one task).
+    LEDGERLINE_RANK=distributed / window overrides (tests run both)."""
+    mode = _os.environ.get("LEDGERLINE_RANK", "auto")
+    if mode in ("distributed", "window"):
+        return mode == "distributed"
+    thr = _broadcast_threshold(spark)
+    base = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return thr <= 0 or estimated_bytes(base) > thr
