@@ -130,12 +130,19 @@ def skip_missing(df: DataFrame, key: str, value: str, name: str = "total") -> Da
             .orderBy(key))
 
 
-def pipeline_summary(grouped: DataFrame, key: str, value: str) -> DataFrame:
+def pipeline_summary(grouped: DataFrame, key: str, value: str,
+                     count: str | None = None) -> DataFrame:
     """One summary row over a grouped frame in a single aggregate: group
-    count, total, mean per group, best group (ties: smallest key)."""
+    count, total, mean per group, best group (ties: smallest key); with a
+    per-group row ``count`` also the record count and the mean per record."""
     v, k = F.col(value), F.col(key)
     order = F.when(v.isNotNull(), F.struct((-v).alias("neg"), k.alias("k")))
+    per_record = []
+    if count:
+        per_record = [F.coalesce(F.sum(count), F.lit(0)).alias("record_count"),
+                      F.try_divide(F.sum(v), F.sum(count)).alias("mean_per_record")]
     return grouped.agg(
+        *per_record,
         F.count(F.lit(1)).alias("group_count"),
         F.coalesce(F.sum(v), F.lit(0)).alias("total"),
         F.avg(v).alias("mean_per_group"),

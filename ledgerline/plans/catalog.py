@@ -135,16 +135,18 @@ def q_agg_skip_missing(spark, d):
 
 
 @register("rep_summary", S + f""", g AS (
-  SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue FROM sales GROUP BY region)
-SELECT COUNT(*) AS group_count, CAST(COALESCE(SUM(total_revenue), 0) AS BIGINT) AS total,
+  SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue, COUNT(*) AS order_count
+  FROM sales GROUP BY region)
+SELECT CAST(COALESCE(SUM(order_count), 0) AS BIGINT) AS record_count,
+  SUM(total_revenue) / SUM(order_count) AS mean_per_record,
+  COUNT(*) AS group_count, CAST(COALESCE(SUM(total_revenue), 0) AS BIGINT) AS total,
   AVG(total_revenue) AS mean_per_group,
   arg_min(region, (-total_revenue, region)) AS best_group,
   MAX(total_revenue) AS best_value,
   format('{{:,.2f}}', CAST(COALESCE(SUM(total_revenue), 0) AS DOUBLE)) AS total_text FROM g""")
 def q_rep_summary(spark, d):
-    facts = b.order_grain(spark, d)
-    g = facts.groupBy("region").agg(agg.measures(facts)[0].alias("total_revenue"))
-    return agg.pipeline_summary(g, "region", "total_revenue")
+    return agg.pipeline_summary(agg.by_region(b.order_grain(spark, d)), "region",
+                                "total_revenue", "order_count")
 
 
 # ------------------------------------------------------------- projection --

@@ -9,7 +9,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import jobs
 from ledgerline.plans.catalog import (LINE_HIGH_ABOVE, LINE_MEDIUM_FROM, REGION_FILTER,
                                       REGION_LOW_BELOW)
-from ledgerline.plans.oracle import S_ITEMS, SALES, with_
+from ledgerline.plans.oracle import S_CUSTOMERS, S_ITEMS, S_ORDERS, SALES, with_
 from ledgerline.session import scratch_path
 from ledgerline.sources import bindings as b
 from ledgerline.sources import csv as C
@@ -164,6 +164,17 @@ def q_src_load_audit(spark, d):
     return C.load_audit(spark, parts + [f"{path}/missing_file.csv"])
 
 
+@register("src_load_audit_totals", S + """SELECT CAST(COUNT(*) AS BIGINT) AS rows_loaded,
+  CAST(1 AS BIGINT) AS files_not_found FROM sales""")
+def q_src_load_audit_totals(spark, d):
+    """The audit of the sales CSV export summed up: rows over the files that
+    loaded (= sales rows) and the files not found (the one missing path)."""
+    a = q_src_load_audit(spark, d)
+    return a.agg(F.coalesce(F.sum(F.when(F.col("success"), F.col("row_count"))), F.lit(0))
+                 .cast("bigint").alias("rows_loaded"),
+                 F.count_if(F.col("error").startswith("File not found")).alias("files_not_found"))
+
+
 @register("src_arrays_zip", """SELECT vec_id, unnest(range(1, len(embedding) + 1)) AS pos,
   CAST(unnest(embedding) AS DOUBLE) AS value FROM embeddings""")
 def q_src_arrays_zip(spark, d):
@@ -173,19 +184,23 @@ def q_src_arrays_zip(spark, d):
     return jobs.zip_arrays(e, {"pos": "pos", "value": "value"}, keep=["vec_id"])
 
 
-@register("sink_csv", None)
+@register("sink_csv", S + f"""SELECT region AS Region, CAST(SUM({REV}) AS BIGINT) AS Total_Revenue,
+  CAST(SUM(quantity) AS BIGINT) AS Total_Quantity FROM sales GROUP BY region""")
 def q_sink_csv(spark, d):
-    """Region summary written as header CSV and read back (rows-only)."""
+    """Region summary written as header CSV and read back: the read-back
+    frame must equal the summary."""
     from ledgerline.operators import aggregate as agg
-    summ = agg.by_region_multi(b.sales(spark, d))
+    summ = agg.by_region_multi(b.order_grain(spark, d))
     path = sinks.write_csv(summ, scratch_path(spark, "regional_summary"))
     return sinks.read_back_csv(summ, path)
 
 
-@register("sink_csv_empty", None)
+@register("sink_csv_empty", with_(S_ORDERS, S_CUSTOMERS) + """SELECT o.order_id, o.customer_id,
+  o.order_date FROM s_orders o LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+  WHERE c.customer_id IS NULL""")
 def q_sink_csv_empty(spark, d):
     """Orders without a customer (empty on these tables) written and read
-    back: a header-only file, zero rows (rows-only)."""
+    back: a header-only file, zero rows."""
     empty = joins.orders_without_customer(b.orders(spark, d), b.customers(spark, d))
     path = sinks.write_csv(empty, scratch_path(spark, "orders_without_customer"))
     return sinks.read_back_csv(empty, path)

@@ -96,7 +96,8 @@ def load_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dirs = sorted({posixpath.dirname(p) or "." for p in paths})
+    # qualified, so one folder spelled two ways is listed and read once
+    dirs = sorted({_qualify(spark, posixpath.dirname(p) or ".") for p in paths})
     live_dirs, listed = [], []
     for d in dirs:   # folder metadata only: one listing call per distinct folder
         hp = jvm.org.apache.hadoop.fs.Path(d)

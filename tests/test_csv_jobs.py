@@ -198,3 +198,9 @@ def test_report_headers_only_and_no_headers(spark, tmpdir_fresh):
     p = write(f"{tmpdir_fresh}/empty_file.csv", "\n")
     r = jobs.analyze_csv(spark, p).first()
     assert r.status == "error" and r.error_message == "CSV file has no headers"
+
+
+def test_load_audit_same_folder_spelled_two_ways(spark, tmpdir_fresh):
+    p = write(f"{tmpdir_fresh}/a.csv", "x,y\n1,2\n3,4\n")
+    got = C.load_audit(spark, [f"file:{p}", f"{tmpdir_fresh}/missing.csv"]).collect()
+    assert sorted((r.success, r.row_count) for r in got) == [(False, None), (True, 2)]
