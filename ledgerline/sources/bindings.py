@@ -160,17 +160,28 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part with lines in ``sales``: (product, _revenue, _lines,
-    _quantity).  Lines are kept only when their order, customer, nation and
-    region exist (a semi join at order grain), then summed per part."""
+    _valued, _quantity).
+
+    Lines are kept when their order, customer, nation and region exist (a
+    semi join on order key), then summed per part key before the part join:
+    a part's price is one value, so its revenue is price x (sum of
+    quantities), exact in cents.  Line rows are shuffled twice (order key,
+    then part key with a map-side partial sum), and only part-grain rows
+    meet the part table."""
     o = orders(spark, sf_dir).select("order_id", "customer_id")
     c = customers(spark, sf_dir).select("customer_id")
     valid = o.join(c, "customer_id").select("order_id")
-    lines = _line_measures(spark, sf_dir).join(valid, "order_id", "left_semi")
-    return (lines.groupBy("l_partkey", "product")
-            .agg(F.sum(F.col("quantity") * F.col("price")).alias("_revenue"),
-                 F.count(F.lit(1)).alias("_lines"),
-                 F.sum("quantity").alias("_quantity"))
-            .select("product", "_revenue", "_lines", "_quantity"))
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), "l_partkey",
+        F.col("l_quantity").cast("bigint").alias("quantity"))
+    per_part = (li.join(valid, "order_id", "left_semi").groupBy("l_partkey")
+                .agg(F.sum("quantity").alias("_q"), F.count(F.lit(1)).alias("_lines"),
+                     F.count("quantity").alias("_nq")))
+    p = products(spark, sf_dir)
+    return (per_part.join(p, per_part.l_partkey == p.p_partkey)
+            .select("product", (F.col("_q") * F.col("price")).alias("_revenue"), "_lines",
+                    F.when(F.col("price").isNotNull(), F.col("_nq")).otherwise(0).alias("_valued"),
+                    F.col("_q").alias("_quantity")))
 
 
 # ------------------------------------------------- choosing the input grain --
