@@ -99,21 +99,23 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sales(order_id, order_date, customer_id, region, product, quantity,
     price): the reference's line-grain fact table.
 
-    Join order: orders x customers first, at order grain, then lines x that
-    on order key, then x parts.  When the sides are too big to broadcast,
-    line rows are shuffled twice (order key, part key) instead of three times
-    (part key, order key, customer key)."""
+    Join order: when every dimension fits a broadcast, lines meet each one
+    in a broadcast join (one stage, no shuffle).  Otherwise orders x
+    customers is joined first, at order grain, then lines x that on order
+    key, then x parts: line rows are shuffled twice (order key, part key)
+    instead of three times (part key, order key, customer key)."""
     o = orders(spark, sf_dir)
     c = customers(spark, sf_dir).select("customer_id", "region")
-    oc = o.join(c, "customer_id")
     li = read_table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), "l_partkey",
         F.col("l_quantity").cast("bigint").alias("quantity"))
     p = products(spark, sf_dir)
-    return (li.join(oc, "order_id")
-            .join(p, F.col("l_partkey") == p.p_partkey)
-            .select("order_id", "order_date", "customer_id", "region",
-                    "product", "quantity", "price"))
+    cols = ["order_id", "order_date", "customer_id", "region", "product", "quantity", "price"]
+    if dimensions_broadcastable(spark, sf_dir):
+        return (li.join(p, F.col("l_partkey") == p.p_partkey).join(o, "order_id")
+                .join(c, "customer_id").select(*cols))
+    return (li.join(o.join(c, "customer_id"), "order_id")
+            .join(p, F.col("l_partkey") == p.p_partkey).select(*cols))
 
 
 def docs_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
