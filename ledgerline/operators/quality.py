@@ -325,14 +325,6 @@ def duplicate_rows(df: DataFrame, columns: list[str], order_col: str,
             .select(F.col("_row").alias(order_col)))
 
 
-def duplicate_count(df: DataFrame, columns: list[str]) -> DataFrame:
-    """rows - distinct row keys."""
-    keyed = df.select(row_key(columns).alias("_key"))
-    per_key = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("c"))
-    return per_key.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
-                       .alias("duplicate_rows"))
-
-
 # ----------------------------------------------------------------- report --
 
 def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None,
