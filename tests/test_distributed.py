@@ -109,3 +109,21 @@ def test_profile_approx_matches_exact_profile(spark):
                       "type_confidence", "min_length", "max_length", "total_rows"):
                 assert e[f] == a[f], (c, f)
             assert abs(a.unique_values - e.unique_values) <= max(2, 0.05 * e.unique_values)
+
+
+def test_quality_and_dedup_do_not_depend_on_partitioning(spark):
+    from ledgerline.operators import quality as Q
+    from ledgerline.sources import raw_views as R
+    base = R.docs_raw(spark, "/root/testdata/sf0.001")
+    cols = R.DOCS_COLUMNS
+
+    def results(df):
+        vc = Q.value_counts(df, cols, "row_id")
+        return (tuple(Q.summary(df, cols, vc, fingerprints=True).first()),
+                sorted(map(tuple, Q.column_profile(vc).collect())),
+                sorted(map(tuple, Q.rule_counts(vc, cols).collect())),
+                sorted(r.row_id for r in Q.duplicate_rows(df, cols, "row_id", True).collect()))
+
+    ref = results(base)
+    for n in (1, 3, 11):
+        assert results(base.repartition(n).orderBy(F.rand(n))) == ref
