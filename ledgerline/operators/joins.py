@@ -67,3 +67,25 @@ def region_revenue(orders: DataFrame, customers: DataFrame, items: DataFrame) ->
     return (per_customer.join(customers.select("customer_id", "region"), "customer_id")
             .groupBy("region").agg(F.sum("rev").alias("total_revenue"))
             .orderBy(F.desc("total_revenue"), "region"))
+
+
+def cross_preview(frames: list[tuple[DataFrame, list[str]]], n: int = 20) -> DataFrame:
+    """The first ``n`` rows, in lexicographic order of the given sort
+    columns, of the cartesian product of the frames (the comma-join preview)
+    without forming the product: a row among the first n of the product can
+    only use an element ranked <= n in every factor.  So each factor is cut
+    to its top n (distributed top-k), gathered as an array of at most n
+    structs, and the arrays are exploded one after another: at most n^k
+    rows, however big the tables are, and no join of any kind."""
+    arrays = []
+    for i, (f, cols) in enumerate(frames):
+        top = f.select(*cols).orderBy(*cols).limit(n)
+        arrays.append(top.agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(f"a{i}")))
+    from ledgerline.operators.quality import _side_by_side
+    out = _side_by_side(*arrays)
+    for i in range(len(frames)):
+        out = out.withColumn(f"e{i}", F.explode(f"a{i}")).drop(f"a{i}")
+    out = out.select(*[F.col(f"e{i}.{c}").alias(c) for i, (_, cols) in enumerate(frames)
+                       for c in cols])
+    order = [c for _, cols in frames for c in cols]
+    return out.orderBy(*order).limit(n)

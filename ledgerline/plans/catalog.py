@@ -277,6 +277,18 @@ def q_anti_orders_items(spark, d):
     return joins.orders_without_items(b.orders(spark, d), b.order_items(spark, d))
 
 
+@register("cross_preview", None)
+def q_cross_preview(spark, d):
+    """First 20 rows of orders x customers x order_items (the comma join)
+    in (order_id, customer_name, product, quantity, price) order, without
+    forming the product.  Rows-only: an SQL oracle would enumerate all
+    pairs; tested against a brute-force product on the reference fixture."""
+    return joins.cross_preview([(b.orders(spark, d), ["order_id"]),
+                                (b.customers(spark, d), ["customer_name"]),
+                                (b.order_items(spark, d), ["product", "quantity", "price"])],
+                               20).select("order_id", "customer_name", "product")
+
+
 @register("cross_count", with_(S_ORDERS, S_CUSTOMERS, S_ITEMS) + """SELECT
   (SELECT COUNT(*) FROM s_orders) * (SELECT COUNT(*) FROM s_customers)
   * (SELECT COUNT(*) FROM s_items) AS cartesian_product_rows""")

@@ -132,3 +132,19 @@ def test_skip_missing_and_summary(spark):
     g = spark.createDataFrame([("x", 10), ("y", 30), ("z", 30)], "k string, v bigint")
     s = agg.pipeline_summary(g, "k", "v").first()
     assert (s.group_count, s.total, s.best_group, s.best_value) == (3, 70, "y", 30)
+
+
+def test_cross_preview_matches_bruteforce_product(spark):
+    import itertools
+    c = spark.createDataFrame(CUSTOMERS, "customer_id string, customer_name string, region string")
+    o = spark.createDataFrame(ORDERS, "order_id int, customer_id string, order_date date")
+    i = spark.createDataFrame(ITEMS, "order_id int, product string, quantity int, price int")
+    for n in (1, 7, 20, 200):
+        got = [tuple(r) for r in joins.cross_preview(
+            [(o, ["order_id"]), (c, ["customer_name"]), (i, ["product", "quantity", "price"])],
+            n).collect()]
+        full = sorted((a[0], b[1], x[1], x[2], x[3])
+                      for a, b, x in itertools.product(ORDERS, CUSTOMERS, ITEMS))
+        assert got == full[:n]
+    p = joins.cross_preview([(o, ["order_id"]), (c, ["customer_name"])], 5)
+    assert "CartesianProduct" not in p._jdf.queryExecution().executedPlan().toString()
