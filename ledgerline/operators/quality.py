@@ -88,6 +88,21 @@ def value_counts(df: DataFrame, columns: list[str], order_col: str | None = None
             .agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first_row")))
 
 
+def cells(df: DataFrame, columns: list[str], order_col: str | None = None) -> DataFrame:
+    """The unpivoted cells in the value-counts layout (pos, column, value,
+    n = 1, first_row = the row), without grouping.  Feeds the decomposable
+    sums (missing cells, rule counts) when grouping by value would shuffle
+    long texts; never use it where distinct values are counted."""
+    cells_ = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
+                                F.col(c).cast("string").alias("raw"))
+                       for i, c in enumerate(columns)])
+    order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
+    value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
+    return (df.select(order.alias("first_row"), F.inline(cells_))
+            .select("pos", "column", value.alias("value"), F.lit(1).cast("bigint").alias("n"),
+                    "first_row"))
+
+
 def classify(vc: DataFrame) -> DataFrame:
     """Adds the value class, length and parsed number to each present value."""
     v = F.col("value")
@@ -163,15 +178,35 @@ def column_profile(vc: DataFrame) -> DataFrame:
 TYPE_CLASSES = ["integer", "float", "boolean", "email", "date", "string"]
 
 
+def _exact_distinct_by_fingerprint(typed: DataFrame) -> DataFrame:
+    """(pos, unique_values): exact distinct present values per column
+    without shuffling unique values.  Distinct (column, fingerprint) pairs
+    are counted from fingerprints alone; only cells whose fingerprint repeats
+    in their column are regrouped by their real value, which adds the
+    values a fingerprint collision would have merged."""
+    from ledgerline.operators.dedup import fingerprint
+    fp = typed.where(F.col("value").isNotNull()).select("pos", "value", *fingerprint(["value"]))
+    per_fp = fp.groupBy("pos", "_h0", "_h1").agg(F.count(F.lit(1)).alias("c"))
+    distinct_fp = per_fp.groupBy("pos").agg(F.count(F.lit(1)).alias("d"))
+    repeated = per_fp.where(F.col("c") > 1).select("pos", "_h0", "_h1")
+    extra = (fp.join(repeated, ["pos", "_h0", "_h1"], "left_semi")
+             .groupBy("pos", "_h0", "_h1", "value").agg(F.lit(1).alias("_x"))
+             .groupBy("pos", "_h0", "_h1").agg((F.count(F.lit(1)) - 1).alias("more"))
+             .groupBy("pos").agg(F.sum("more").alias("more")))
+    return (distinct_fp.join(extra, "pos", "left")
+            .select("pos", (F.col("d") + F.coalesce(F.col("more"), F.lit(0)))
+                    .alias("unique_values")))
+
+
 def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = None,
-                   rsd: float = 0.01) -> DataFrame:
-    """``column_profile`` without the exact (column, value) shuffle: every
+                   rsd: float = 0.01, exact_distinct: bool = False) -> DataFrame:
+    """``column_profile`` without the (column, value) shuffle: every
     statistic is a decomposable per-column aggregate of the cells (missing
-    and per-class counts, first row per class, lengths), and only
-    ``unique_values`` is approximate (HyperLogLog++, relative error
-    ``rsd``).  Partial aggregation leaves one small row per column and task,
-    so free-text columns cost one pass and no value shuffle.  A named opt-in;
-    the default profile is exact."""
+    and per-class counts, first row per class, lengths), so free-text
+    columns cost one pass and no value shuffle.  ``unique_values`` is
+    approximate (HyperLogLog++, relative error ``rsd``), the named opt-in of
+    the survey; with ``exact_distinct`` it is exact, counted
+    fingerprint-first (unique long texts are never shuffled)."""
     cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
                                F.col(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
@@ -195,6 +230,10 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
         F.lit(t).alias("t"))) for t in TYPE_CLASSES])
     out = (g.withColumn("_b", best)
            .withColumn("_rows", F.col("missing_count") + F.col("present_count")))
+    if exact_distinct:
+        exact = _exact_distinct_by_fingerprint(typed)
+        out = (out.drop("unique_values").join(exact, "pos", "left")
+               .withColumn("unique_values", F.coalesce(F.col("unique_values"), F.lit(0))))
     missing_pct = _pct(F.col("missing_count"), F.col("_rows"))
     return out.select(
         "pos", F.col("column").alias("column_name"), "missing_count",

@@ -132,16 +132,26 @@ def q_dq_small(spark, d):
     return Q.small_report(_txn(spark, d), TXN)
 
 
+# The document view holds long texts: its reports never group by value.  Sums
+# come from the cells, the profile from per-cell aggregates with the exact
+# distinct count taken fingerprint-first, duplicates fingerprint-first.
+
+def _docs_profile(docs):
+    return Q.profile_approx(docs, DOCS, "row_id", exact_distinct=True)
+
+
+def _docs_summary(docs):
+    return Q.summary(docs, DOCS, Q.cells(docs, DOCS, "row_id"), fingerprints=True)
+
+
 @register("dq_summary_docs", DOCS_PRS + "SELECT * FROM summ")
 def q_dq_summary_docs(spark, d):
-    docs = R.docs_raw(spark, d)
-    return Q.summary(docs, DOCS, Q.value_counts(docs, DOCS, "row_id"), fingerprints=True)
+    return _docs_summary(R.docs_raw(spark, d))
 
 
 @register("dq_columns_docs", DOCS_PRS + f"SELECT {', '.join(PROFILE_COLS)} FROM prof2")
 def q_dq_columns_docs(spark, d):
-    docs = R.docs_raw(spark, d)
-    return Q.column_profile(Q.value_counts(docs, DOCS, "row_id")).select(*PROFILE_COLS)
+    return _docs_profile(R.docs_raw(spark, d)).select(*PROFILE_COLS)
 
 
 @register("dup_text_rows", with_(R.DOCS_CTE) + f""", k AS (SELECT row_id,
@@ -343,12 +353,11 @@ def q_insp_min_max(spark, d):
   WHERE missing_percentage > 20 OR column_name IN (SELECT rule_key FROM rules)""")
 def q_dq_issues_docs(spark, d):
     docs = R.docs_raw(spark, d)
-    vc = Q.value_counts(docs, DOCS, "row_id")
-    return Q.issues(Q.column_profile(vc), Q.rule_counts(vc, DOCS)).drop("pos")
+    return Q.issues(_docs_profile(docs),
+                    Q.rule_counts(Q.cells(docs, DOCS, "row_id"), DOCS)).drop("pos")
 
 
 @register("dq_recommend_docs", DOCS_PRS.rstrip("\n") + _RECOMMEND_SQL)
 def q_dq_recommend_docs(spark, d):
     docs = R.docs_raw(spark, d)
-    vc = Q.value_counts(docs, DOCS, "row_id")
-    return Q.recommendations(Q.column_profile(vc), Q.summary(docs, DOCS, vc, fingerprints=True))
+    return Q.recommendations(_docs_profile(docs), _docs_summary(docs))

@@ -64,6 +64,18 @@ def test_results_do_not_depend_on_partitioning(spark):
         assert ranked == sorted(map(tuple, windows.rank_in_region(base).collect()))
 
 
+def test_exact_distinct_survives_fingerprint_collisions(spark, monkeypatch):
+    from ledgerline.operators import quality as Q
+    rows = [(i, f"v{i % 9}", None if i % 4 == 0 else f"w{i % 2}") for i in range(60)]
+    df = spark.createDataFrame(rows, "r bigint, a string, b string")
+    want = sorted(map(tuple, Q.column_profile(Q.value_counts(df, ["a", "b"], "r")).collect()))
+    monkeypatch.setattr(dedup, "fingerprint",
+                        lambda cols: [F.lit(0).cast("bigint").alias("_h0"),
+                                      F.lit(0).cast("bigint").alias("_h1")])
+    got = sorted(map(tuple, Q.profile_approx(df, ["a", "b"], "r", exact_distinct=True).collect()))
+    assert got == want
+
+
 def test_dedup_exact_even_when_every_fingerprint_collides(spark, monkeypatch):
     rows = [(1, "a", None), (2, "a", None), (3, None, "a"), (4, "a", "a"), (5, "b", None),
             (6, None, "a"), (7, "a", None)]
@@ -102,6 +114,10 @@ def test_profile_approx_matches_exact_profile(spark):
         exact = {r.column_name: r for r in
                  Q.column_profile(Q.value_counts(df, cols, "row_id")).collect()}
         approx = {r.column_name: r for r in Q.profile_approx(df, cols, "row_id").collect()}
+        cells = sorted(map(tuple, Q.profile_approx(df, cols, "row_id", exact_distinct=True)
+                           .collect()))
+        assert cells == sorted(map(tuple, Q.column_profile(
+            Q.value_counts(df, cols, "row_id")).collect()))
         assert exact.keys() == approx.keys()
         for c, e in exact.items():
             a = approx[c]
