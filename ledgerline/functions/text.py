@@ -22,6 +22,9 @@ DATE_MIN_LENGTH = 8
 # Python whitespace = Unicode White_Space plus the four information
 # separators U+001C..U+001F.
 STRIP_PATTERN = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# The same set as characters, derived from Python's own rule (str.isspace),
+# for ``btrim``: a character-set trim without a regex.
+STRIP_CHARS = "".join(ch for ch in map(chr, range(0x110000)) if ch.isspace())
 DIGITS = r"[0-9]+(?:_[0-9]+)*"
 INTEGER_PATTERN = rf"^[+-]?{DIGITS}$"
 FLOAT_PATTERN = (rf"(?i)^[+-]?(?:(?:{DIGITS}(?:\.(?:{DIGITS})?)?|\.{DIGITS})"
@@ -36,8 +39,9 @@ def _c(c: Column | str) -> Column:
 
 
 def py_strip(c: Column | str) -> Column:
-    """Python ``str.strip()``; ``trim`` removes only spaces."""
-    return F.regexp_replace(_c(c), STRIP_PATTERN, "")
+    """Python ``str.strip()`` (``trim`` removes only spaces): ``btrim`` with
+    Python's whitespace characters."""
+    return F.btrim(_c(c), F.lit(STRIP_CHARS))
 
 
 def is_missing_text(c: Column | str) -> Column:

@@ -48,7 +48,8 @@ def py_email_ok(v):
 ATOMS = ["1", "0", "12", "-3", "+4", "1_000", "_1", "1__0", "1.5", ".5", "5.", "1e5", "1E-3",
          "e5", "inf", "-Infinity", "nan", "NaN", "5d", "0x10", "true", "No", "YES", "a@b.c",
          "a@b", "@.", "2024-01-05", "2024/1/5", "05.01.2024", "--", "1-2", " ", "\t", "\x1c",
-         "abc", "null", "None", "x y", "ü", "٣", "2024-13-45x", "a.b.c.d.e", "", "1 000"]
+         "abc", "null", "None", "x y", "ü", "٣", "2024-13-45x", "a.b.c.d.e", "", "1 000",
+         "\u2003", "\xa0", "\x85", "\u3000", "\u200b", "\x0b"]
 
 
 def gen(n=1500, seed=7):
