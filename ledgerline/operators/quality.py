@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
 from ledgerline.functions import text as T
+from ledgerline.session import spread_narrow
 
 # --- fixed values -----------------------------------------------------------
 AMOUNT_WORDS = ["amount", "price", "cost", "total"]
@@ -81,7 +82,7 @@ def value_counts(df: DataFrame, columns: list[str], order_col: str | None = None
                                F.col(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
-    long = df.select(order.alias("_row"), F.inline(cells))
+    long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
     value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
     return (long.select("_row", "pos", "column", value.alias("value"))
             .groupBy("pos", "column", "value")
@@ -98,7 +99,7 @@ def cells(df: DataFrame, columns: list[str], order_col: str | None = None) -> Da
                        for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
     value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
-    return (df.select(order.alias("first_row"), F.inline(cells_))
+    return (spread_narrow(df).select(order.alias("first_row"), F.inline(cells_))
             .select("pos", "column", value.alias("value"), F.lit(1).cast("bigint").alias("n"),
                     "first_row"))
 
@@ -211,7 +212,7 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
                                F.col(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
-    long = df.select(order.alias("_row"), F.inline(cells))
+    long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
     v = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
     typed = long.select("_row", "pos", "column", v.alias("value")).select(
         "*", F.when(F.col("value").isNotNull(), T.guess_type("value")).alias("t"),
@@ -333,7 +334,8 @@ def row_metrics(df: DataFrame, columns: list[str], fingerprints: bool = False) -
     128-bit fingerprint of the key; only rows whose fingerprint repeats are
     regrouped by their exact key, so duplicates stay exact and unique long
     keys are never shuffled."""
-    base = df.select(row_key(columns).alias("_key"), _complete(columns).alias("_ok"))
+    base = spread_narrow(df).select(row_key(columns).alias("_key"),
+                                    _complete(columns).alias("_ok"))
     if fingerprints:
         from ledgerline.operators.dedup import fingerprint
         h = base.select("_key", "_ok", *fingerprint(["_key"]))

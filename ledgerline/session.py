@@ -61,3 +61,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     token = os.urandom(6).hex()
     return f"{base}/ledgerline/{name}-{token}"
+
+
+def spread_narrow(df):
+    """Spread rows over the cluster's parallelism before CPU-heavy per-row
+    work, when the input arrives in fewer partitions than that (a small
+    file is one scan task).  A no-op for inputs with enough splits, so on
+    big tables it adds nothing; round-robin repartitioning sorts rows first,
+    so a retried task sees the same rows."""
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
