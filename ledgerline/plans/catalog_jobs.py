@@ -129,11 +129,23 @@ def q_dq_report(spark, d):
 
 # ---------------------------------------------------------- sources, sinks --
 
+_exports: dict[tuple[str, str], str] = {}
+
+
 def _sales_csv(spark, d):
-    """sales written as a header CSV folder under the shared checkpoint
-    folder (the round trip every CSV source test reads)."""
+    """sales written once (per table folder and checkpoint folder) as a
+    header CSV folder under the shared checkpoint folder; the CSV source
+    queries all read this one export."""
+    key = (d, spark.conf.get("spark.checkpoint.dir", ""))
+    path = _exports.get(key)
+    jvm = spark.sparkContext._jvm
+    if path is not None:
+        hp = jvm.org.apache.hadoop.fs.Path(path)
+        if hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp):
+            return path
     path = scratch_path(spark, "sales_csv")
     sinks.write_csv(b.sales(spark, d), path)
+    _exports[key] = path
     return path
 
 
