@@ -56,6 +56,13 @@ def q_job_sales_analytics_top(spark, d):
     return jobs.sales_analytics(b.sales(spark, d))["top"]
 
 
+@register("job_sales_analytics_totals", S + f"""SELECT
+  CAST(COALESCE(SUM({REV}), 0) AS BIGINT) AS total_revenue,
+  AVG({REV}) AS average_order_value FROM sales""")
+def q_job_sales_analytics_totals(spark, d):
+    return jobs.sales_analytics(b.sales(spark, d))["totals"]
+
+
 _REGIONAL = S + f""", c AS (SELECT DISTINCT * FROM sales WHERE quantity IS NOT NULL),
  g AS (SELECT region AS Region, CAST(COALESCE(SUM({REV}), 0) AS BIGINT) AS Total_Revenue,
   CAST(COALESCE(SUM(quantity), 0) AS BIGINT) AS Total_Quantity FROM c GROUP BY region)
@@ -118,6 +125,16 @@ def q_job_rules_transactions(spark, d):
     return jobs.business_rules_engine(t, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM)
 
 
+@register("job_rules_distribution", S + f"""SELECT CASE WHEN {REV} > {LINE_HIGH_ABOVE} THEN 'HIGH'
+  WHEN {REV} >= {LINE_MEDIUM_FROM} THEN 'MEDIUM' ELSE 'LOW' END AS category,
+  COUNT(*) AS count, CAST(COALESCE(SUM({REV}), 0) AS BIGINT) AS total_revenue
+  FROM sales GROUP BY 1""")
+def q_job_rules_distribution(spark, d):
+    t = b.sales(spark, d).select(F.col("order_id").alias("transaction_id"), "price", "quantity")
+    return jobs.category_distribution(
+        jobs.business_rules_engine(t, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM))
+
+
 @register("dq_report", None)
 def q_dq_report(spark, d):
     """The nested report of the transaction view as one JSON row

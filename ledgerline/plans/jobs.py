@@ -46,7 +46,11 @@ def sales_analytics(df: DataFrame, top_n: int = 2) -> dict[str, DataFrame]:
     prod = (s.groupBy("product").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue")))
     reg = (s.groupBy("region").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue")))
     top = prod.orderBy(F.desc("total_revenue"), "product").limit(top_n)
-    return {"product": prod, "region": reg, "top": top}
+    # printed totals: over every row, also rows whose group key is missing;
+    # a missing revenue is skipped (pandas sum / mean)
+    totals = s.agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
+                   F.avg("revenue").alias("average_order_value"))
+    return {"product": prod, "region": reg, "top": top, "totals": totals}
 
 
 # E03 -------------------------------------------------------------------------
@@ -100,6 +104,15 @@ def vectorized_rules(df: DataFrame, high: float = rules.VALUE_HIGH_ABOVE,
 
 
 # E06 -------------------------------------------------------------------------
+def category_distribution(classified: DataFrame, col: str = "category") -> DataFrame:
+    """Rows per class, most frequent first (``value_counts``) with the
+    summary totals of the rule jobs: rows and revenue per class."""
+    return (classified.groupBy(col)
+            .agg(F.count(F.lit(1)).alias("count"),
+                 F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
+            .orderBy(F.desc("count"), col))
+
+
 def business_rules_engine(df: DataFrame, high: float = rules.VALUE_HIGH_ABOVE,
                           medium: float = rules.VALUE_MEDIUM_FROM) -> DataFrame:
     """(transaction_id, price, quantity) -> (transaction_id, revenue,

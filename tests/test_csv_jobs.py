@@ -227,3 +227,14 @@ def test_analyze_csv_at_table_scale_matches_table_path(spark, tmpdir_fresh):
         assert stats.missing_count == prof[c].missing_count
         assert stats.data_type == prof[c].data_type
         assert stats.unique_values == prof[c].unique_values
+
+
+def test_sales_analytics_totals_and_rule_distribution(spark, tmpdir_fresh):
+    df = typed(spark, tmpdir_fresh, "sales_data.csv", SALES_DATA_CSV)
+    t = jobs.sales_analytics(df)["totals"].first()
+    assert (t.total_revenue, t.average_order_value) == (31000.0, 7750.0)
+    rules_df = typed(spark, tmpdir_fresh, "transactions.csv", RULES_CSV,
+                     "transaction_id string, price bigint, quantity bigint")
+    dist = [tuple(r) for r in jobs.category_distribution(
+        jobs.business_rules_engine(rules_df)).collect()]
+    assert dist == [("MEDIUM", 3, 15500), ("HIGH", 2, 48000)]
