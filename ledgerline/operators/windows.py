@@ -34,15 +34,36 @@ def rank_products(sales: DataFrame) -> DataFrame:
                     F.row_number().over(w_rn).cast("bigint").alias("row_number_rank")))
 
 
-def rank_compare(sales: DataFrame) -> DataFrame:
-    """RANK, DENSE_RANK and ROW_NUMBER side by side."""
+def rank_compare(sales: DataFrame, distributed: bool = False) -> DataFrame:
+    """RANK, DENSE_RANK and ROW_NUMBER side by side.  The product aggregate
+    is one row per product type (a bounded domain), so a window without
+    partition is the right plan; ``distributed=True`` ranks an aggregate of
+    any size without one task (``global_ranks``)."""
+    pr = product_revenue(sales)
+    if distributed:
+        return global_ranks(pr, "product", "total_revenue")
     w = Window.orderBy(F.desc("total_revenue"))
     w_rn = Window.orderBy(F.desc("total_revenue"), "product")
-    return (product_revenue(sales)
-            .select("product", "total_revenue",
-                    F.rank().over(w).cast("bigint").alias("rank_value"),
-                    F.dense_rank().over(w).cast("bigint").alias("dense_rank_value"),
-                    F.row_number().over(w_rn).cast("bigint").alias("row_number_value")))
+    return pr.select("product", "total_revenue",
+                     F.rank().over(w).cast("bigint").alias("rank_value"),
+                     F.dense_rank().over(w).cast("bigint").alias("dense_rank_value"),
+                     F.row_number().over(w_rn).cast("bigint").alias("row_number_value"))
+
+
+def global_ranks(df: DataFrame, key: str, value: str) -> DataFrame:
+    """RANK / DENSE_RANK / ROW_NUMBER by ``value`` descending over the whole
+    frame (ROW_NUMBER ties: ``key`` ascending; one row per key), without a
+    window that puts every row in one task: ranks via ``rank_within``,
+    row numbers via ``value_positions`` over the unique (-value, key)."""
+    r = rank_within(df, [], value, out="rank_value")
+    dr = rank_within(df.select(key, value), [], value, out="dense_rank_value", dense=True)
+    keyed = df.select(key, F.struct((-F.col(value)).alias("v"), F.col(key).alias("k"))
+                      .alias("_o"))
+    rn = (value_positions(keyed.groupBy("_o").agg(F.count(F.lit(1)).alias("_n")), [], "_o", "_n")
+          .select(F.col("_o.k").alias(key), (F.col("start") + 1).cast("bigint")
+                  .alias("row_number_value")))
+    return (r.join(dr.select(key, "dense_rank_value"), key).join(rn, key)
+            .select(key, value, "rank_value", "dense_rank_value", "row_number_value"))
 
 
 def value_positions(values: DataFrame, group_cols: list[str], order_col: str,

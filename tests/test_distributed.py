@@ -143,3 +143,21 @@ def test_quality_and_dedup_do_not_depend_on_partitioning(spark):
     ref = results(base)
     for n in (1, 3, 11):
         assert results(base.repartition(n).orderBy(F.rand(n))) == ref
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_global_ranks_match_windows(spark, parts):
+    rnd = random.Random(parts)
+    rows = [(f"p{i}", rnd.choice([5, 5, 7, 9, 11, rnd.randint(0, 300)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "product string, total_revenue bigint")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = sorted(map(tuple, windows.global_ranks(df, "product", "total_revenue").collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    w = Window.orderBy(F.desc("total_revenue"))
+    exp = df.select("product", "total_revenue", F.rank().over(w).alias("a"),
+                    F.dense_rank().over(w).alias("b"),
+                    F.row_number().over(Window.orderBy(F.desc("total_revenue"), "product"))
+                    .alias("c"))
+    assert got == sorted(map(tuple, exp.collect()))
