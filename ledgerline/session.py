@@ -19,12 +19,32 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # AQE merges small shuffle partitions up to this size; skew splitting
+    # uses the same unit
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
 }
 
+# Shuffle sizing for a given input volume: about one initial shuffle
+# partition per 256 MB of input (projections and partial aggregation shrink
+# shuffle data well below the input), clamped; AQE then coalesces toward
+# the advisory size, so over-provisioning costs little and spills stay rare.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
+MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+
+
+def shuffle_partitions_for(input_bytes: int) -> int:
+    n = -(-int(input_bytes) // INPUT_BYTES_PER_SHUFFLE_PARTITION)
+    return max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, n))
+
 
 def get_spark(master: str | None = None, app: str = "ledgerline",
-              shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
-    """Build (or reuse) a session with the library defaults."""
+              shuffle_partitions: int | None = None, input_bytes: int | None = None,
+              **conf: str) -> SparkSession:
+    """Build (or reuse) a session with the library defaults.  Give either
+    ``shuffle_partitions`` or the expected ``input_bytes`` (e.g. ~100 TB on
+    a cluster: 100,000 initial partitions, coalesced by AQE)."""
+    if shuffle_partitions is None and input_bytes:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
