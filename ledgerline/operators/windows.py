@@ -81,12 +81,15 @@ def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
     (one row per slice and group) give the interval."""
     spark = values.sparkSession
     checkpoint_dir(spark)
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     v = F.col(order_col)
     ordered = v.desc() if descending else v.asc()
-    sliced = (values.repartitionByRange(n_parts, *[F.col(c) for c in group_cols], ordered)
-              .withColumn("_slice", F.spark_partition_id())
-              .checkpoint(eager=True))
+    keys = [*[F.col(c) for c in group_cols], ordered]
+    # without an explicit count AQE may merge adjacent range partitions of
+    # small data: slices stay contiguous in sort order, and the checkpoint
+    # fixes the slice ids whatever their number
+    ranged = (values.repartitionByRange(partitions, *keys) if partitions
+              else values.repartitionByRange(*keys))
+    sliced = ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
     in_slice = Window.partitionBy("_slice", *group_cols).orderBy(ordered).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = sliced.withColumn("_run", F.sum(weight).over(in_slice))

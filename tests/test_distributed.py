@@ -21,7 +21,7 @@ def skewed_rows(n=3000, seed=3):
     return rows
 
 
-@pytest.mark.parametrize("parts", [1, 3, 16])
+@pytest.mark.parametrize("parts", [None, 1, 3, 16])
 @pytest.mark.parametrize("dense", [False, True])
 def test_rank_within_matches_window(spark, parts, dense):
     df = spark.createDataFrame(skewed_rows(), "id int, g string, v int")
