@@ -23,6 +23,8 @@ PANDAS_NA_WORDS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 # --- fixed values: load-audit messages, in the order they are tested --------
 AUDIT_NOT_FOUND = "File not found: {path}"
 AUDIT_EMPTY = "File is empty: {path}"
+AUDIT_PERMISSION = "Permission denied: {path}"
+AUDIT_UNREADABLE = "Unexpected error: could not read {path}"
 AUDIT_ENCODING = "File encoding error: {path}"
 AUDIT_NO_HEADERS = "CSV file has no headers"
 AUDIT_NO_ROWS = "CSV file has headers but no data rows"
@@ -82,58 +84,74 @@ def load_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     Per requested path: (file_path, success, error, row_count, columns,
     size_bytes).  Tests, first match wins: not found, empty (0 bytes),
-    encoding (bytes that are not UTF-8), no headers (no non-blank line),
-    headers but no rows, else success.
+    permission (the listed permission bits grant read to nobody), other
+    (nothing could be read), encoding (bytes that are not UTF-8), no
+    headers (no non-blank line), headers but no rows, else success.
 
     * existence and size come from one metadata listing per parent folder
       (Spark's scans leave 0-byte files out, so they cannot tell "empty"
       from "missing");
-    * non-blank lines, invalid UTF-8 lines and the header line come from a
-      text scan grouped by ``_metadata.file_path``; the header is the
-      first non-blank line by (split start, position in split);
+    * only the requested, existing, non-empty files are scanned, with
+      ``ignoreCorruptFiles`` so one unreadable file cannot fail the job: a
+      non-empty readable file yields at least one line, so a file with no
+      line read is reported as not readable;
+    * line counts, invalid UTF-8 lines and the header line come from a
+      text scan grouped by ``_metadata.file_path``; the header is the first
+      non-blank line by (split start, position in split);
     * data rows come from the CSV reader itself (header skipped per file,
       blank lines skipped, quoted newlines handled).
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    # qualified, so one folder spelled two ways is listed and read once
+    qualified = {p: _qualify(spark, p) for p in paths}
+    wanted = set(qualified.values())
+    # qualified, so one folder spelled two ways is listed once
     dirs = sorted({_qualify(spark, posixpath.dirname(p) or ".") for p in paths})
-    live_dirs, listed = [], []
+    listed = []
     for d in dirs:   # folder metadata only: one listing call per distinct folder
         hp = jvm.org.apache.hadoop.fs.Path(d)
         fs = hp.getFileSystem(conf)
         if fs.exists(hp):
-            live_dirs.append(d)
-            listed += [(st.getPath().toString(), st.getLen())
-                       for st in fs.listStatus(hp) if st.isFile()]
-    manifest = spark.createDataFrame([(p, _qualify(spark, p)) for p in paths],
-                                     "file_path string, qpath string")
-    listing = spark.createDataFrame(listed, "qpath string, size_bytes bigint")
+            read = jvm.org.apache.hadoop.fs.permission.FsAction.READ
+            for st in fs.listStatus(hp):
+                q = st.getPath().toString()
+                if st.isFile() and q in wanted:
+                    perm = st.getPermission()
+                    readable = any(a.implies(read) for a in (
+                        perm.getUserAction(), perm.getGroupAction(), perm.getOtherAction()))
+                    listed.append((q, st.getLen(), readable))
+    manifest = spark.createDataFrame(list(qualified.items()), "file_path string, qpath string")
+    listing = spark.createDataFrame(listed, "qpath string, size_bytes bigint, readable boolean")
     found = manifest.join(listing, "qpath", "left")
     existing = found.where(F.col("size_bytes").isNotNull())
+    to_scan = sorted({q for q, n, r in listed if n > 0 and r})
 
-    text = (spark.read.format("text").load(live_dirs) if live_dirs else None)
-    if text is not None:
+    if to_scan:
+        text = spark.read.option("ignoreCorruptFiles", True).text(to_scan)
         t = text.select(F.col("_metadata.file_path").alias("qpath"), "value",
                         F.col("_metadata.file_block_start").alias("blk"),
                         F.monotonically_increasing_id().alias("pos"))
         blank = F.regexp_replace("value", r"^\s+|\s+$", "") == ""
         lines = (t.groupBy("qpath").agg(
+            F.count(F.lit(1)).alias("all_lines"),
             F.count_if(~blank).alias("nonblank"),
             F.count_if(~F.is_valid_utf8("value")).alias("bad_utf8"),
             F.min_by("value", F.when(~blank, F.struct("blk", "pos"))).alias("header")))
-        rows = (spark.read.schema("_c0 string").option("header", True).csv(live_dirs)
+        rows = (spark.read.option("ignoreCorruptFiles", True).schema("_c0 string")
+                .option("header", True).csv(to_scan)
                 .groupBy(F.col("_metadata.file_path").alias("qpath"))
                 .agg(F.count(F.lit(1)).alias("row_count")))
         existing = existing.join(lines, "qpath", "left").join(rows, "qpath", "left")
     else:
         existing = existing.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("nonblank", "bigint"), ("bad_utf8", "bigint"), ("header", "string"),
-            ("row_count", "bigint"))])
+            ("all_lines", "bigint"), ("nonblank", "bigint"), ("bad_utf8", "bigint"),
+            ("header", "string"), ("row_count", "bigint"))])
     missing = found.where(F.col("size_bytes").isNull())
     msg = lambda tpl: F.replace(F.lit(tpl), F.lit("{path}"), F.col("file_path"))
     status_exist = (
         F.when(F.col("size_bytes") == 0, msg(AUDIT_EMPTY))
+        .when(~F.col("readable"), msg(AUDIT_PERMISSION))
+        .when(F.coalesce(F.col("all_lines"), F.lit(0)) == 0, msg(AUDIT_UNREADABLE))
         .when(F.coalesce(F.col("bad_utf8"), F.lit(0)) > 0, msg(AUDIT_ENCODING))
         .when(F.coalesce(F.col("nonblank"), F.lit(0)) == 0, F.lit(AUDIT_NO_HEADERS))
         .when(F.coalesce(F.col("row_count"), F.lit(0)) == 0, F.lit(AUDIT_NO_ROWS)))

@@ -238,3 +238,17 @@ def test_sales_analytics_totals_and_rule_distribution(spark, tmpdir_fresh):
     dist = [tuple(r) for r in jobs.category_distribution(
         jobs.business_rules_engine(rules_df)).collect()]
     assert dist == [("MEDIUM", 3, 15500), ("HIGH", 2, 48000)]
+
+
+def test_load_audit_unreadable_and_unrequested_files(spark, tmpdir_fresh):
+    d = tmpdir_fresh
+    ok = write(f"{d}/ok.csv", "a,b\n1,2\n")
+    locked = write(f"{d}/locked.csv", "a,b\n1,2\n")
+    os.chmod(locked, 0)
+    bad_gz = write(f"{d}/broken.csv.gz", b"not gzip at all", "wb")
+    write(f"{d}/other.csv", b"x\n\xff\xfe\n", "wb")      # in the folder, not requested
+    got = {os.path.basename(r.file_path): r for r in C.load_audit(spark, [ok, locked, bad_gz]).collect()}
+    assert set(got) == {"ok.csv", "locked.csv", "broken.csv.gz"}
+    assert got["ok.csv"].success and got["ok.csv"].row_count == 1
+    assert got["locked.csv"].error.startswith("Permission denied: ")
+    assert got["broken.csv.gz"].error.startswith("Unexpected error: could not read ")
