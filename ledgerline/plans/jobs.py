@@ -23,6 +23,13 @@ from ledgerline.sources import sinks
 DEFAULT_THRESHOLD = 5000
 
 
+def _pandas_sum(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``df.groupby(key)[value].sum()``: rows with a missing key form no
+    group, missing values are skipped, an all-missing group sums to 0."""
+    return (df.where(F.col(key).isNotNull()).groupBy(key)
+            .agg(F.coalesce(F.sum(value), F.lit(0)).alias(name)))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back."""
     path = scratch_path(df.sparkSession, name)
@@ -43,8 +50,8 @@ def sales_analytics(df: DataFrame, top_n: int = 2) -> dict[str, DataFrame]:
     """revenue -> per product, per region, top n products.  No cleaning: a
     missing revenue is skipped by the sums (a group of only missing sums to 0)."""
     s = agg.with_revenue(df)
-    prod = (s.groupBy("product").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue")))
-    reg = (s.groupBy("region").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue")))
+    prod = _pandas_sum(s, "product", "revenue", "total_revenue")
+    reg = _pandas_sum(s, "region", "revenue", "total_revenue")
     top = prod.orderBy(F.desc("total_revenue"), "product").limit(top_n)
     # printed totals: over every row, also rows whose group key is missing;
     # a missing revenue is skipped (pandas sum / mean)
@@ -59,7 +66,7 @@ def regional_sales(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> dict[
     per region revenue + quantity (renamed, sorted) -> low performers."""
     c = clean.to_numeric(df.na.drop(subset=["quantity"]), "quantity", "price")
     c = agg.with_revenue(dedup.drop_duplicates(c))
-    summary = (c.groupBy("region")
+    summary = (c.where(F.col("region").isNotNull()).groupBy("region")
                .agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("Total_Revenue"),
                     F.coalesce(F.sum("quantity"), F.lit(0)).alias("Total_Quantity"))
                .withColumnRenamed("region", "Region")
@@ -174,9 +181,9 @@ def run_clean_and_aggregate(spark, in_path: str, out_dir: str,
 
 
 def clean_and_aggregate_from_clean(c: DataFrame) -> dict[str, DataFrame]:
-    prod = (c.groupBy("product").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
+    prod = (_pandas_sum(c, "product", "revenue", "total_revenue")
             .orderBy(F.desc("total_revenue"), "product"))
-    reg = (c.groupBy("region").agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"))
+    reg = (_pandas_sum(c, "region", "revenue", "total_revenue")
            .orderBy(F.desc("total_revenue"), "region"))
     return {"product": prod, "region": reg}
 

@@ -252,3 +252,12 @@ def test_load_audit_unreadable_and_unrequested_files(spark, tmpdir_fresh):
     assert got["ok.csv"].success and got["ok.csv"].row_count == 1
     assert got["locked.csv"].error.startswith("Permission denied: ")
     assert got["broken.csv.gz"].error.startswith("Unexpected error: could not read ")
+
+
+def test_pandas_group_semantics_missing_key(spark, tmpdir_fresh):
+    text = "order_id,region,product,quantity,price\n1,,Mouse,2,10\n2,East,Mouse,1,10\n3,East,,x,5\n"
+    df = typed(spark, tmpdir_fresh, "k.csv", text)
+    res = jobs.sales_analytics(df)
+    assert {r.region: r.total_revenue for r in res["region"].collect()} == {"East": 10.0}
+    assert {r.product: r.total_revenue for r in res["product"].collect()} == {"Mouse": 30.0}
+    assert res["totals"].first().total_revenue == 30.0      # missing keys kept in totals
