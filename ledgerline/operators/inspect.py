@@ -108,7 +108,8 @@ def describe(df: DataFrame, columns: list[str] | None = None,
     names = {q: f"p{int(round(q * 100))}" for q in qs}
     quant = (exact_quantiles(df, cols, list(qs)).groupBy("column_name")
              .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(names[q]) for q in qs]))
-    return base.join(quant, "column_name").select(
+    # left: a column with no value still reports count 0 (pandas does)
+    return base.join(quant, "column_name", "left").select(
         "column_name", "count", "mean", "std", "min", *names.values(), "max")
 
 
