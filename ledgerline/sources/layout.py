@@ -24,7 +24,10 @@ def bucket_by_order(spark: SparkSession, sf_dir: str, buckets: int,
                     database: str = DATABASE) -> dict[str, str]:
     """Write lineitem (by l_orderkey) and orders (by o_orderkey) bucketed and
     sorted into ``buckets`` buckets; returns the table names."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if not spark.catalog.databaseExists(database):
+        # located under the shared checkpoint folder, not the local working dir
+        spark.sql(f"CREATE DATABASE {database} LOCATION "
+                  f"'{scratch_path(spark, 'catalog-' + database)}'")
     out = {}
     for name, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
         table = f"{database}.{name}_by_order"
