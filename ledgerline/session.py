@@ -48,6 +48,11 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # a local session (tests, bench): keep Spark's default-database
+            # folder out of the working directory; a cluster sets its own
+            b = b.config("spark.sql.warehouse.dir",
+                         tempfile.mkdtemp(prefix="ledgerline-warehouse-"))
     for k, v in DEFAULTS.items():
         b = b.config(k, v)
     if shuffle_partitions:
