@@ -161,3 +161,25 @@ def test_global_ranks_match_windows(spark, parts):
                     F.row_number().over(Window.orderBy(F.desc("total_revenue"), "product"))
                     .alias("c"))
     assert got == sorted(map(tuple, exp.collect()))
+
+
+@pytest.mark.parametrize("parts", [None, 1, 5, 40])
+def test_lags_over_slices_match_window(spark, parts):
+    rnd = random.Random(7)
+    rows = [(i * 3 + rnd.randint(0, 2), None if rnd.random() < 0.1 else rnd.randint(-50, 50))
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "d bigint, v bigint")
+    got = windows.lags_over_slices(df, "d", "v", 6, partitions=parts)
+    w = Window.orderBy("d")
+    exp = df.select("d", "v", *[F.lag("v", j).over(w).alias(f"_lag{j}") for j in range(1, 7)])
+    assert sorted(map(tuple, got.select(*exp.columns).collect())) == \
+        sorted(map(tuple, exp.collect()))
+
+
+def test_distributed_rolling_and_trend_match(spark):
+    from tests.fixtures import SALES_SCHEMA, sales_rows
+    s = spark.createDataFrame(sales_rows(14), SALES_SCHEMA).repartition(3)
+    for fn in (windows.rolling7, windows.trend_na, windows.daily_full, windows.pct_change):
+        a = sorted(map(tuple, fn(s).collect()))
+        b = sorted(map(tuple, fn(s, distributed=True).collect()))
+        assert a == b, fn.__name__

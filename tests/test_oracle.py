@@ -41,7 +41,8 @@ def test_all_queries_match_oracle(spark, duck):
 SCALE_PATH_KEYS = ["agg_region", "agg_total", "agg_avg", "agg_product", "agg_daily",
                    "agg_filtered", "agg_customer_region", "agg_daily_customers", "rep_summary",
                    "win_rank_rownum", "win_rank_compare", "win_rank_region", "win_top2_region", "win_top_customer",
-                   "ts_trend_na", "ts_rolling7", "ts_daily_full", "rule_segment", "top2_products"]
+                   "ts_lag", "ts_trend_stable", "ts_pct_change", "ts_trend_na", "ts_rolling7",
+                   "ts_daily_full", "rule_segment", "top2_products"]
 
 
 def test_scale_paths_match_oracle(spark, duck, monkeypatch):

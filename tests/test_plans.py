@@ -59,3 +59,20 @@ def test_top_customer_is_one_aggregate_not_a_window(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["region", "total_revenue", "order_count"] and df.count() == 5
+
+
+def test_scale_mode_plans_have_no_pair_joins(spark, monkeypatch):
+    """With the large-data paths forced (facts, distributed ranks and
+    windows) the plans still contain no pair-forming join."""
+    monkeypatch.setenv("LEDGERLINE_FACTS", "always")
+    monkeypatch.setenv("LEDGERLINE_RANK", "distributed")
+    keys = ["agg_region", "agg_product", "win_rank_region", "win_rank_compare",
+            "ts_rolling7", "ts_daily_full", "ts_trend_na", "insp_describe"]
+    bad = []
+    for k in keys:
+        p = plan(E.queries()[k](spark, SF))
+        for tok in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+                    "ArrowEvalPython"):
+            if tok in p:
+                bad.append((k, tok))
+    assert not bad
