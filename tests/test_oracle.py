@@ -59,3 +59,40 @@ def test_scale_paths_match_oracle(spark, duck, monkeypatch):
         if rows_of(df.columns, [tuple(r) for r in df.collect()]) != rows_of(dcols, cur.fetchall()):
             bad.append(k)
     assert not bad, bad
+
+
+NO_BROADCAST_KEYS = ["agg_region", "agg_product", "agg_daily_customers", "agg_filtered",
+                     "proj_revenue", "join_three", "anti_orders", "anti_customers",
+                     "anti_orders_items", "chk_fk", "rec_allclose", "rec_row_check",
+                     "join_region_revenue", "win_rank_region", "win_top_customer",
+                     "ts_daily_full", "dup_rows", "dup_drop", "dq_summary_docs",
+                     "insp_describe", "job_clean_aggregate_region", "job_rules_arrays"]
+
+
+def test_no_broadcast_plans_match_oracle(spark, duck):
+    """Broadcast joins off: every join is a sort-merge join and the
+    automatic choices pick the large-data paths; results stay exact."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    qs, orc = E.queries(), E.oracle_sql()
+    bad = []
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for k in NO_BROADCAST_KEYS:
+            df = qs[k](spark, SF)
+            if k != "insp_describe":     # its one-row-per-column side is hinted on purpose
+                assert "BroadcastHashJoin" not in \
+                    df._jdf.queryExecution().executedPlan().toString(), k
+            cur = duck.execute(orc[k])
+            dcols = [c[0] for c in cur.description]
+            if rows_of(df.columns, [tuple(r) for r in df.collect()]) != \
+                    rows_of(dcols, cur.fetchall()):
+                bad.append(k)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert not bad, bad
