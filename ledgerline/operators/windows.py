@@ -57,13 +57,18 @@ def global_ranks(df: DataFrame, key: str, value: str) -> DataFrame:
     row numbers via ``value_positions`` over the unique (-value, key)."""
     r = rank_within(df, [], value, out="rank_value")
     dr = rank_within(df.select(key, value), [], value, out="dense_rank_value", dense=True)
-    keyed = df.select(key, F.struct((-F.col(value)).alias("v"), F.col(key).alias("k"))
+    # ascending (value is NULL, -value, key) = value DESC NULLS LAST, key ASC
+    keyed = df.select(key, F.struct(F.col(value).isNull().alias("n"),
+                                    (-F.col(value)).alias("v"), F.col(key).alias("k"))
                       .alias("_o"))
     rn = (value_positions(keyed.groupBy("_o").agg(F.count(F.lit(1)).alias("_n")), [], "_o", "_n")
           .select(F.col("_o.k").alias(key), (F.col("start") + 1).cast("bigint")
                   .alias("row_number_value")))
-    return (r.join(dr.select(key, "dense_rank_value"), key).join(rn, key)
-            .select(key, value, "rank_value", "dense_rank_value", "row_number_value"))
+    d2 = dr.select(F.col(key).alias("_k2"), "dense_rank_value")
+    r2 = rn.select(F.col(key).alias("_k3"), "row_number_value")
+    # null-safe: a NULL key is one row of the frame like any other
+    return (r.join(d2, r[key].eqNullSafe(d2["_k2"])).join(r2, r[key].eqNullSafe(r2["_k3"]))
+            .select(r[key], r[value], "rank_value", "dense_rank_value", "row_number_value"))
 
 
 def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
@@ -97,9 +102,14 @@ def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
     earlier = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(earlier), F.lit(0)))
-    return (local.join(offsets.select("_slice", *group_cols, "_off"), ["_slice", *group_cols])
-            .select(*group_cols, order_col, weight,
-                    (F.col("_off") + F.col("_run") - F.col(weight)).alias("start"),
+    # null-safe on the group columns: a NULL group is a group, as in a window
+    offs = offsets.select("_slice", *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)],
+                          "_off")
+    cond = [local["_slice"] == offs["_slice"]] + \
+        [local[c].eqNullSafe(offs[f"_g{i}"]) for i, c in enumerate(group_cols)]
+    return (local.join(offs, cond)
+            .select(*[local[c] for c in group_cols], local[order_col], local[weight],
+                    (F.col("_off") + F.col("_run") - local[weight]).alias("start"),
                     (F.col("_off") + F.col("_run")).alias("end")))
 
 
@@ -208,7 +218,9 @@ def top_customer_per_region(sales: DataFrame, high: float = rules.SEGMENT_HIGH_F
     one aggregate: ``min_by`` over (-revenue, customer_id) merges partial
     results, so a region with a third of all customers is no hot task."""
     totals = agg.customer_region(sales)
-    order = F.struct((-F.col("total_revenue")).alias("r"), F.col("customer_id").alias("c"))
+    # ascending (revenue is NULL, -revenue, id) = revenue DESC NULLS LAST, id ASC
+    order = F.struct(F.col("total_revenue").isNull().alias("n"),
+                     (-F.col("total_revenue")).alias("r"), F.col("customer_id").alias("c"))
     best = F.min_by(F.struct("customer_id", "total_revenue", "order_count"), order)
     return (totals.groupBy("region").agg(best.alias("b"))
             .select("region", F.col("b.customer_id").alias("top_customer"),

@@ -149,10 +149,12 @@ def test_quality_and_dedup_do_not_depend_on_partitioning(spark):
 def test_global_ranks_match_windows(spark, parts):
     rnd = random.Random(parts)
     rows = [(f"p{i}", rnd.choice([5, 5, 7, 9, 11, rnd.randint(0, 300)])) for i in range(400)]
+    rows += [(None, 6), ("pn", None)]                  # a NULL key and a NULL value
     df = spark.createDataFrame(rows, "product string, total_revenue bigint")
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
-        got = sorted(map(tuple, windows.global_ranks(df, "product", "total_revenue").collect()))
+        got = sorted(map(tuple, windows.global_ranks(df, "product", "total_revenue").collect()),
+                     key=repr)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     w = Window.orderBy(F.desc("total_revenue"))
@@ -160,7 +162,7 @@ def test_global_ranks_match_windows(spark, parts):
                     F.dense_rank().over(w).alias("b"),
                     F.row_number().over(Window.orderBy(F.desc("total_revenue"), "product"))
                     .alias("c"))
-    assert got == sorted(map(tuple, exp.collect()))
+    assert got == sorted(map(tuple, exp.collect()), key=repr)
 
 
 @pytest.mark.parametrize("parts", [None, 1, 5, 40])
@@ -183,3 +185,13 @@ def test_distributed_rolling_and_trend_match(spark):
         a = sorted(map(tuple, fn(s).collect()))
         b = sorted(map(tuple, fn(s, distributed=True).collect()))
         assert a == b, fn.__name__
+
+
+def test_rank_within_keeps_null_groups(spark):
+    rows = [(1, None, 5), (2, None, 7), (3, "a", 1), (4, "a", 9), (5, None, 7)]
+    df = spark.createDataFrame(rows, "id int, g string, v int")
+    exp = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.desc("v"))))
+    for parts in (None, 1, 3):
+        got = windows.rank_within(df, ["g"], "v", out="r", partitions=parts)
+        assert sorted((r.id, r.r) for r in got.collect()) == \
+            sorted((r.id, r.r) for r in exp.collect())

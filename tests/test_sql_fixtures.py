@@ -148,3 +148,11 @@ def test_cross_preview_matches_bruteforce_product(spark):
         assert got == full[:n]
     p = joins.cross_preview([(o, ["order_id"]), (c, ["customer_name"])], 5)
     assert "CartesianProduct" not in p._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_customer_null_revenue_is_last(spark):
+    import datetime as dt
+    rows = [(1, dt.date(2024, 1, 1), "C1", "E", "A", None, 100),
+            (2, dt.date(2024, 1, 1), "C2", "E", "A", 1, 5)]
+    s = spark.createDataFrame(rows, SALES_SCHEMA)
+    assert [r.top_customer for r in windows.top_customer_per_region(s).collect()] == ["C2"]
