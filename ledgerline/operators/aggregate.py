@@ -38,8 +38,8 @@ def average(df: DataFrame) -> DataFrame:
     rev, cnt, _ = measures(df)
     # AVG skips rows whose revenue is NULL; SUM / COUNT(*) does not.
     valued = F.sum("_valued") if "_valued" in df.columns else F.count(revenue())
-    return df.agg((rev / valued).alias("avg_order_value"),
-                  (rev / cnt).alias("avg_order_value_manual"))
+    return df.agg(F.try_divide(rev, valued).alias("avg_order_value"),
+                  F.try_divide(rev, cnt).alias("avg_order_value_manual"))
 
 
 def by_region(df: DataFrame) -> DataFrame:
@@ -109,7 +109,8 @@ def items_ratio(orders: DataFrame, items: DataFrame) -> DataFrame:
     return j.agg(F.lit("Orders to Order Items").alias("relationship"),
                  F.count_distinct("order_id").alias("orders"),
                  F.count("order_id").alias("order_items"),
-                 (F.count("order_id") / F.count_distinct("order_id")).alias("avg_items_per_order"))
+                 F.try_divide(F.count("order_id"), F.count_distinct("order_id"))
+                 .alias("avg_items_per_order"))
 
 
 def order_items_summary(orders: DataFrame, items: DataFrame) -> DataFrame:

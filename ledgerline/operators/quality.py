@@ -173,7 +173,8 @@ def column_profile(vc: DataFrame) -> DataFrame:
         F.coalesce(F.col("min_length"), F.lit(0)).cast("bigint").alias("min_length"),
         F.coalesce(F.col("max_length"), F.lit(0)).cast("bigint").alias("max_length"),
         F.col("_rows").alias("total_rows"),
-        (F.col("dominant_count") / F.col("present_count") * 100).alias("type_pct_raw"))
+        (F.try_divide(F.col("dominant_count"), F.col("present_count")) * 100)
+        .alias("type_pct_raw"))
 
 
 TYPE_CLASSES = ["integer", "float", "boolean", "email", "date", "string"]
@@ -246,7 +247,7 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
         F.coalesce(F.col("min_length"), F.lit(0)).cast("bigint").alias("min_length"),
         F.coalesce(F.col("max_length"), F.lit(0)).cast("bigint").alias("max_length"),
         F.col("_rows").alias("total_rows"),
-        (F.col("_b.c") / F.col("present_count") * 100).alias("type_pct_raw"))
+        (F.try_divide(F.col("_b.c"), F.col("present_count")) * 100).alias("type_pct_raw"))
 
 
 def numeric_stats(vc: DataFrame) -> DataFrame:
@@ -261,7 +262,7 @@ def numeric_stats(vc: DataFrame) -> DataFrame:
             .where(F.col("count") > 0)
             .select("pos", F.col("column").alias("column_name"), "count",
                     F.round("s", 2).alias("sum"),
-                    F.round(F.col("s") / F.col("count"), 2).alias("average"),
+                    F.round(F.try_divide(F.col("s"), F.col("count")), 2).alias("average"),
                     F.round("mn", 2).alias("min"), F.round("mx", 2).alias("max"),
                     F.round(F.col("mx") - F.col("mn"), 2).alias("range")))
 
@@ -391,7 +392,7 @@ def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None,
 
 def with_score(s: DataFrame) -> DataFrame:
     cells = F.col("total_rows") * F.col("total_columns")
-    comp = (1 - F.col("empty_cells") / cells) * WEIGHT_COMPLETE
+    comp = (1 - F.try_divide(F.col("empty_cells"), cells)) * WEIGHT_COMPLETE
     uniq = (1 - F.col("duplicate_rows") / F.greatest(F.lit(1), F.col("total_rows"))) \
         * WEIGHT_UNIQUE
     valid = (1 - F.col("invalid_values")
@@ -420,7 +421,7 @@ def recommendations(profile: DataFrame, summ: DataFrame) -> DataFrame:
     rows = summ.select("total_rows", "duplicate_rows", "quality_score")
     # 1. imputation: the first five >20 % columns, '...' if more.
     heavy = profile.where(
-        F.col("missing_count") / F.col("total_rows") > MISSING_ISSUE_PCT / 100)
+        F.try_divide(F.col("missing_count"), F.col("total_rows")) > MISSING_ISSUE_PCT / 100)
     imp = heavy.agg(F.sort_array(F.collect_list(F.struct("pos", "column_name"))).alias("cs")) \
         .where(F.size("cs") > 0).select(
             F.lit(1).alias("seq"), F.lit(0).alias("sub"),
@@ -430,7 +431,8 @@ def recommendations(profile: DataFrame, summ: DataFrame) -> DataFrame:
                      F.when(F.size("cs") > 5, F.lit("...")).otherwise(F.lit("")))
             .alias("recommendation"))
     # 2. duplicates.
-    dup_pct = F.format_string("%.1f", F.bround(F.col("duplicate_rows") / F.col("total_rows")
+    dup_pct = F.format_string("%.1f", F.bround(F.try_divide(F.col("duplicate_rows"),
+                                                            F.col("total_rows"))
                                                * 100, 1))
     dup = rows.where(F.col("duplicate_rows") > 0).select(
         F.lit(2).alias("seq"), F.lit(0).alias("sub"),

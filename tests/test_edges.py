@@ -38,3 +38,13 @@ def test_describe_and_quantiles_on_all_null(spark):
     assert d["count"] == 0 and d.p50 is None
     ok = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "x double")
     assert inspect.describe(ok, ["x"]).first().p50 == 2.0    # NaN skipped
+
+
+def test_ratios_on_empty_input_do_not_raise(spark):
+    o = spark.createDataFrame([], "order_id int, customer_id string, order_date date")
+    i = spark.createDataFrame([], "order_id int, product string, quantity int, price int")
+    r = agg.items_ratio(o, i).first()
+    assert (r.orders, r.order_items, r.avg_items_per_order) == (0, 0, None)
+    e = spark.createDataFrame([], SALES_SCHEMA)
+    a = agg.average(e).first()
+    assert (a.avg_order_value, a.avg_order_value_manual) == (None, None)
