@@ -20,8 +20,10 @@ MIN_NAME_LENGTH = 3        # a name passes when longer than this
 
 
 def typed_users(raw: DataFrame) -> DataFrame:
-    """Users with an integer age (NULL when absent or not an integer)."""
-    return raw.select("id", "name", T.to_integer("age").cast("bigint").alias("age"), "email")
+    """Users with an integer age as DECIMAL(38,0), exact like Python's int
+    up to 38 digits (NULL when absent or not an integer): a BIGINT cast
+    would fail the job under ANSI on a long digit run."""
+    return raw.select("id", "name", T.to_integer("age").alias("age"), "email")
 
 
 def _fmt(template: str, c: Column) -> Column:

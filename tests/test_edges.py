@@ -48,3 +48,14 @@ def test_ratios_on_empty_input_do_not_raise(spark):
     e = spark.createDataFrame([], SALES_SCHEMA)
     a = agg.average(e).first()
     assert (a.avg_order_value, a.avg_order_value_manual) == (None, None)
+
+
+def test_validation_on_huge_and_odd_ages(spark):
+    from ledgerline.operators import clean
+    raw = spark.createDataFrame([("1", "A", "123456789012345678901234567890", "a@b.c"),
+                                 ("2", "B", "-7", "b@c.d"), ("3", "C", "7.5", "x")],
+                                "id string, name string, age string, email string")
+    got = {r.id: r for r in clean.validation_errors(clean.typed_users(raw)).collect()}
+    assert got["1"].is_valid
+    assert got["2"].errors == ["❌ Age must be > 0, got -7"]
+    assert got["3"].errors == ["❌ Age field is missing", "❌ Email must contain '@', got 'x'"]
