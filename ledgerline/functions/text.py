@@ -34,8 +34,14 @@ ALNUM_PATTERN = r"^[\p{L}\p{N}]+$"
 # ---------------------------------------------------------------------------
 
 
+def column(name: str) -> Column:
+    """A column by its exact name; a name with dots or spaces (any CSV
+    header) is quoted, so it is never read as a struct field access."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _c(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return column(c) if isinstance(c, str) else c
 
 
 def py_strip(c: Column | str) -> Column:

@@ -26,17 +26,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions import text as T
+
 _SEEDS = (11, 29)
 
 
 def fingerprint(columns: list[str]) -> list[Column]:
-    return [F.xxhash64(F.lit(s), *[F.col(c) for c in columns]).alias(f"_h{i}")
+    return [F.xxhash64(F.lit(s), *[T.column(c) for c in columns]).alias(f"_h{i}")
             for i, s in enumerate(_SEEDS)]
 
 
 def _candidates(df: DataFrame, columns: list[str], extra: list[str] | None = None) -> DataFrame:
     """Rows (columns + extra) whose fingerprint occurs more than once."""
-    h = df.select(*(extra or []), *columns, *fingerprint(columns))
+    h = df.select(*[T.column(c) for c in (extra or []) + columns], *fingerprint(columns))
     repeated = (h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("_c"))
                 .where(F.col("_c") > 1).select("_h0", "_h1"))
     return h.join(repeated, ["_h0", "_h1"], "left_semi")
@@ -46,21 +48,22 @@ def duplicate_rows(df: DataFrame, columns: list[str], order_col: str,
                    fingerprints: bool = False) -> DataFrame:
     """Rows equal (NULL equals NULL) on ``columns`` to a row with a smaller
     ``order_col``; the first occurrence is not listed."""
+    cols = [T.column(c) for c in columns]
     if not fingerprints:
         keys = [f"_k{i}" for i in range(len(columns))]
-        first = (df.groupBy(*columns).agg(F.min(order_col).alias("_first"))
+        first = (df.groupBy(*cols).agg(F.min(T.column(order_col)).alias("_first"))
                  .toDF(*keys, "_first"))
-        cond = [df[c].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
-        return (df.join(first, cond).where(F.col(order_col) > F.col("_first"))
-                .select(order_col, *columns))
+        cond = [df[f"`{c}`"].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
+        return (df.join(first, cond).where(T.column(order_col) > F.col("_first"))
+                .select(T.column(order_col), *cols))
     cand = _candidates(df, columns, [order_col])
     keys = [f"_k{i}" for i in range(len(columns))]
-    first = (cand.groupBy("_h0", "_h1", *columns).agg(F.min(order_col).alias("_first"))
+    first = (cand.groupBy("_h0", "_h1", *cols).agg(F.min(T.column(order_col)).alias("_first"))
              .toDF("_f0", "_f1", *keys, "_first"))
     cond = [cand["_h0"] == first["_f0"], cand["_h1"] == first["_f1"]] + \
-        [cand[c].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
-    return (cand.join(first, cond).where(F.col(order_col) > F.col("_first"))
-            .select(order_col, *columns))
+        [cand[f"`{c}`"].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
+    return (cand.join(first, cond).where(T.column(order_col) > F.col("_first"))
+            .select(T.column(order_col), *cols))
 
 
 def duplicate_count(df: DataFrame, columns: list[str] | None = None,
@@ -68,7 +71,7 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None,
     """total rows, distinct rows, duplicate rows, in one row."""
     cols = columns or df.columns
     if not fingerprints:
-        per = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("c"))
+        per = df.groupBy(*[T.column(c) for c in cols]).agg(F.count(F.lit(1)).alias("c"))
         return per.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
                        F.count(F.lit(1)).alias("distinct_rows"),
                        F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
@@ -76,7 +79,8 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None,
     per_fp = df.select(*fingerprint(cols)).groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("c"))
     fp = per_fp.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
                     F.count_if(F.col("c") == 1).alias("single"))
-    cand_distinct = _candidates(df, cols).groupBy("_h0", "_h1", *cols).agg(F.lit(1).alias("_x")) \
+    cand_distinct = _candidates(df, cols).groupBy(
+        "_h0", "_h1", *[T.column(c) for c in cols]).agg(F.lit(1).alias("_x")) \
         .agg(F.count(F.lit(1)).alias("cand_distinct"))
     from ledgerline.operators.reconcile import one_row
     out = one_row({"total_rows": fp.select("total_rows"), "single": fp.select("single"),

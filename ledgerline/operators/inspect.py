@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ledgerline.functions import text as T
+
 
 def head(df: DataFrame, key: list[str], n: int = 5) -> DataFrame:
     """First n rows by a key (a frame has no row order of its own)."""
@@ -31,19 +33,19 @@ def _long(df: DataFrame, metrics: dict[str, callable], columns: list[str]) -> Da
 def schema_profile(df: DataFrame) -> DataFrame:
     """(column_name, data_type, non_null_count)."""
     types = dict(df.dtypes)
-    out = _long(df, {"non_null_count": lambda c: F.count(F.col(c))}, df.columns)
+    out = _long(df, {"non_null_count": lambda c: F.count(T.column(c))}, df.columns)
     m = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.lit(types[c]))])
     return out.select("column_name", m[F.col("column_name")].alias("data_type"),
                       "non_null_count")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    return _long(df, {"null_count": lambda c: F.count_if(F.col(c).isNull())}, df.columns)
+    return _long(df, {"null_count": lambda c: F.count_if(T.column(c).isNull())}, df.columns)
 
 
 def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact distinct values per column (one aggregate; NULL not counted)."""
-    return _long(df, {"distinct_count": lambda c: F.count_distinct(F.col(c))}, columns)
+    return _long(df, {"distinct_count": lambda c: F.count_distinct(T.column(c))}, columns)
 
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
@@ -73,7 +75,7 @@ def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float],
     from ledgerline.operators.windows import value_positions
     cols = [cols] if isinstance(cols, str) else list(cols)
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               F.col(c).cast("double").alias("v")) for c in cols])
+                               T.column(c).cast("double").alias("v")) for c in cols])
     long = df.select(F.inline(cells)).where(F.col("v").isNotNull() & ~F.isnan("v"))
     vals = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     pos = value_positions(vals, ["column_name"], "v", "n", partitions=partitions)
@@ -100,11 +102,11 @@ def describe(df: DataFrame, columns: list[str] | None = None,
     """pandas ``describe`` for numeric columns in long form: count, mean,
     sample std, min, 25/50/75 % (exact, linear interpolation), max."""
     cols = columns or numeric_columns(df)
-    base = _long(df, {"count": lambda c: F.count(F.col(c)),
-                      "mean": lambda c: F.avg(F.col(c)),
-                      "std": lambda c: F.stddev_samp(F.col(c)),
-                      "min": lambda c: F.min(F.col(c)).cast("double"),
-                      "max": lambda c: F.max(F.col(c)).cast("double")}, cols)
+    base = _long(df, {"count": lambda c: F.count(T.column(c)),
+                      "mean": lambda c: F.avg(T.column(c)),
+                      "std": lambda c: F.stddev_samp(T.column(c)),
+                      "min": lambda c: F.min(T.column(c)).cast("double"),
+                      "max": lambda c: F.max(T.column(c)).cast("double")}, cols)
     names = {q: f"p{int(round(q * 100))}" for q in qs}
     quant = (exact_quantiles(df, cols, list(qs)).groupBy("column_name")
              .agg(*[F.max(F.when(F.col("q") == q, F.col("value"))).alias(names[q]) for q in qs]))

@@ -79,7 +79,7 @@ def value_counts(df: DataFrame, columns: list[str], order_col: str | None = None
     present value of each column, plus one row per column with value NULL
     counting its missing cells."""
     cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                               F.col(c).cast("string").alias("raw"))
+                               T.column(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
     long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
@@ -95,7 +95,7 @@ def cells(df: DataFrame, columns: list[str], order_col: str | None = None) -> Da
     sums (missing cells, rule counts) when grouping by value would shuffle
     long texts; never use it where distinct values are counted."""
     cells_ = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                                F.col(c).cast("string").alias("raw"))
+                                T.column(c).cast("string").alias("raw"))
                        for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
     value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
@@ -210,7 +210,7 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
     the survey; with ``exact_distinct`` it is exact, counted
     fingerprint-first (unique long texts are never shuffled)."""
     cells = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"),
-                               F.col(c).cast("string").alias("raw"))
+                               T.column(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
     long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
@@ -319,12 +319,12 @@ def rule_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
 def row_key(columns: list[str]) -> Column:
     """Stripped values joined by '|'; an absent value prints as 'None'.  As
     in the reference the joined text can collide ('a|b','c' = 'a','b|c')."""
-    return F.concat_ws("|", *[F.coalesce(T.py_strip(F.col(c).cast("string")), F.lit("None"))
+    return F.concat_ws("|", *[F.coalesce(T.py_strip(T.column(c).cast("string")), F.lit("None"))
                               for c in columns])
 
 
 def _complete(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [~T.is_missing_text(F.col(c)) for c in columns])
+    return reduce(lambda a, b: a & b, [~T.is_missing_text(T.column(c)) for c in columns])
 
 
 def row_metrics(df: DataFrame, columns: list[str], fingerprints: bool = False) -> DataFrame:
@@ -460,7 +460,7 @@ def small_report(df: DataFrame, columns: list[str], amount_col: str = "amount")
     absent), and ``amount <= 0`` count (non-numeric ignored), in long form
     (section, item, value)."""
     miss = [F.struct(F.lit("missing_values").alias("section"), F.lit(c).alias("item"),
-                     F.count_if(F.coalesce(F.col(c), F.lit("")) == "").alias("value"))
+                     F.count_if(F.coalesce(T.column(c), F.lit("")) == "").alias("value"))
             for c in columns]
     parts = [F.struct(F.lit("row_count").alias("section"), F.lit("rows").alias("item"),
                       F.count(F.lit(1)).alias("value"))] + miss

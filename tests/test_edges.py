@@ -59,3 +59,19 @@ def test_validation_on_huge_and_odd_ages(spark):
     assert got["1"].is_valid
     assert got["2"].errors == ["❌ Age must be > 0, got -7"]
     assert got["3"].errors == ["❌ Age field is missing", "❌ Email must contain '@', got 'x'"]
+
+
+def test_headers_with_dots_and_spaces(spark, tmpdir_fresh):
+    import os
+    from ledgerline.plans import jobs
+    from tests.conftest import write
+    p = write(os.path.join(tmpdir_fresh, "odd.csv"),
+              "unit.price,a b,total amount\n1.5,x,2\n1.5,x,2\n,y,-1\n")
+    rep = jobs.analyze_csv(spark, p).first()
+    assert rep.summary.total_rows == 3 and rep.issues.duplicates["count"] == 1
+    assert rep.issues.invalid_values == {"total amount_negative": 1}
+    df = spark.createDataFrame([(1, "a", "b"), (2, "a", "b")], "`r.id` int, `x.y` string, `p q` string")
+    assert [r[0] for r in dedup.duplicate_rows(df, ["x.y", "p q"], "r.id").collect()] == [2]
+    assert [r[0] for r in dedup.duplicate_rows(df, ["x.y", "p q"], "r.id", True).collect()] == [2]
+    assert dedup.duplicate_count(df.drop("r.id")).first().duplicate_rows == 1
+    assert inspect.null_counts(df).count() == 3
