@@ -70,3 +70,20 @@ def test_daily_revenue_running(spark, tmpdir_fresh):
     got = {r.order_date.isoformat(): (r.daily_revenue, r.daily_orders)
            for r in spark.table("daily_rev_test").collect()}
     assert got == {"2024-01-01": (25, 2), "2024-01-02": (3, 1)}
+
+
+def test_running_daily_revenue_over_table_export_equals_batch(spark, tmpdir_fresh):
+    from ledgerline.operators import aggregate as agg
+    from ledgerline.sources import bindings as b
+    sales = b.sales(spark, "/root/testdata/sf0.001")
+    folder = os.path.join(tmpdir_fresh, "sales_parts")
+    sales.repartition(4).write.option("header", True).csv(folder)
+    stream = folders.csv_stream(spark, folder, sales.schema.simpleString()[7:-1]
+                                .replace(":", " "), max_files_per_trigger=1)
+    q = (folders.daily_revenue_running(stream).writeStream.outputMode("complete")
+         .format("memory").queryName("daily_rev_table").start())
+    q.processAllAvailable()
+    q.stop()
+    got = sorted(map(tuple, spark.table("daily_rev_table").collect()))
+    want = sorted(map(tuple, agg.daily(sales).collect()))
+    assert got == want and len(got) > 100
