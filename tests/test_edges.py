@@ -75,3 +75,21 @@ def test_headers_with_dots_and_spaces(spark, tmpdir_fresh):
     assert [r[0] for r in dedup.duplicate_rows(df, ["x.y", "p q"], "r.id", True).collect()] == [2]
     assert dedup.duplicate_count(df.drop("r.id")).first().duplicate_rows == 1
     assert inspect.null_counts(df).count() == 3
+
+
+def test_row_ordinals_follow_file_order_across_splits(spark, tmpdir_fresh):
+    import os
+    from ledgerline.sources import csv as C
+    from tests.conftest import write
+    p = write(os.path.join(tmpdir_fresh, "big.csv"),
+              "\nn,pad\n" + "".join(f"{i},{'x' * 40}\n" for i in range(1, 3001)))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        raw = C.read_csv_raw(spark, p)
+        assert raw.rdd.getNumPartitions() > 10
+        got = [(int(r.n), r.row_number) for r in C.with_row_ordinal(raw).collect()]
+    finally:
+        spark.conf.set(key, old)
+    assert sorted(got) == [(i, i) for i in range(1, 3001)]
