@@ -93,3 +93,19 @@ def test_row_ordinals_follow_file_order_across_splits(spark, tmpdir_fresh):
     finally:
         spark.conf.set(key, old)
     assert sorted(got) == [(i, i) for i in range(1, 3001)]
+
+
+def test_load_audit_header_and_rows_across_splits(spark, tmpdir_fresh):
+    import os
+    from ledgerline.sources import csv as C
+    from tests.conftest import write
+    p = write(os.path.join(tmpdir_fresh, "big.csv"),
+              "\n\nn,pad\n" + "".join(f"{i},{'y' * 40}\n" for i in range(1, 2001)))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        r = C.load_audit(spark, [p]).first()
+    finally:
+        spark.conf.set(key, old)
+    assert (r.success, r.row_count, r.columns) == (True, 2000, ["n", "pad"])
