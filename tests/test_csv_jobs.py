@@ -261,3 +261,19 @@ def test_pandas_group_semantics_missing_key(spark, tmpdir_fresh):
     assert {r.region: r.total_revenue for r in res["region"].collect()} == {"East": 10.0}
     assert {r.product: r.total_revenue for r in res["product"].collect()} == {"Mouse": 30.0}
     assert res["totals"].first().total_revenue == 30.0      # missing keys kept in totals
+
+
+def test_json_report_file_round_trip(spark, tmpdir_fresh):
+    import glob
+    import json
+    path = write(f"{tmpdir_fresh}/transactions.csv", TRANSACTIONS_CSV)
+    jobs.analyze_csv(spark, path, tmpdir_fresh)
+    parts = glob.glob(f"{tmpdir_fresh}/quality_report_transactions.csv_*.json/part-*")
+    assert len(parts) == 1
+    text = open(parts[0], encoding="utf-8").read()
+    rep = json.loads(text)
+    assert list(rep) == ["metadata", "summary", "column_analysis", "issues", "recommendations"]
+    assert rep["summary"]["quality_rating"] == "Excellent 🏆" and "🏆" in text   # UTF-8 kept
+    assert rep["column_analysis"]["amount"]["numeric_stats"]["sum"] == 950.0
+    assert rep["issues"]["invalid_values"] == {"amount_negative": 1}
+    assert rep["metadata"]["file_name"] == "transactions.csv"
