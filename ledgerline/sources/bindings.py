@@ -200,13 +200,28 @@ def product_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 import os as _os
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """Spark's byte-size setting text ('10485760b', '32MB', '-1') in bytes."""
+    import re
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        raise ValueError(f"not a byte size: {text!r}")
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
 def _broadcast_threshold(spark: SparkSession) -> int:
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (file sizes scaled by the columns
-    kept); no job is run."""
+    kept): the number the planner itself compares to the broadcast
+    threshold.  PySpark has no public call for it, so it is read from the
+    optimized plan's statistics; no job is run."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
