@@ -149,6 +149,21 @@ def q_dq_summary_docs(spark, d):
     return _docs_summary(R.docs_raw(spark, d))
 
 
+@register("dq_numeric_docs", DOCS_PRS.rstrip("\n") + f""", nstat AS (SELECT pos, col,
+  CAST(SUM(n) AS BIGINT) AS cnt, SUM(num * n) AS s, MIN(num) AS mn, MAX(num) AS mx
+  FROM cls WHERE data_type IN ('integer', 'float') GROUP BY pos, col)
+SELECT nstat.col AS column_name, cnt AS "count", {round2('s')} AS "sum",
+  {round2('s / cnt')} AS average, {round2('mn')} AS "min", {round2('mx')} AS "max",
+  {round2('mx - mn')} AS "range"
+FROM nstat JOIN dom ON nstat.pos = dom.pos
+WHERE dom.data_type IN ('integer', 'float') AND cnt > 0""")
+def q_dq_numeric_docs(spark, d):
+    """Numeric columns of the document view, from the cells (n = 1 each):
+    sums and the dominant class need no grouping of the long texts."""
+    docs = R.docs_raw(spark, d)
+    return Q.numeric_stats(Q.cells(docs, DOCS, "row_id")).drop("pos")
+
+
 @register("dq_columns_docs", DOCS_PRS + f"SELECT {', '.join(PROFILE_COLS)} FROM prof2")
 def q_dq_columns_docs(spark, d):
     return _docs_profile(R.docs_raw(spark, d)).select(*PROFILE_COLS)
