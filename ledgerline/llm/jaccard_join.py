@@ -358,9 +358,11 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")
     reps = live.join(classes, ["d1", "d2"]).filter("doc_id = rep").select("rep", F.explode("pivots").alias("pivot"))
-    home = Window.partitionBy("pivot").orderBy("rep")
-    near = reps.withColumn("home", F.first("rep").over(home)).filter("home <> rep") \
-        .select(F.col("rep").alias("a"), F.col("home").alias("b"))
+    # a shared pivot's home is combined before it shuffles, and a very common
+    # pivot's rows are split by the skew join
+    home = reps.groupBy("pivot").agg(F.min("rep").alias("home"), F.count(F.lit(1)).alias("n")) \
+        .filter("n > 1").select("pivot", "home")
+    near = reps.join(home, "pivot").filter("home <> rep").select(F.col("rep").alias("a"), F.col("home").alias("b"))
     clusters = saved(components(near), "clusters")
     sets = member_sets(docs, clusters, size)
     members = saved(sets.select(F.col("component").cast("string").alias("region"), "node", "shingles"), "cluster-sets")

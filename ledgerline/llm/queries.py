@@ -5,8 +5,27 @@ REGISTRY: name -> (callable (spark, sf_dir) -> DataFrame, DuckDB SQL or None).
 
 from __future__ import annotations
 
-from ledgerline.llm import token_counts, token_files
-from ledgerline.llm.common import read
+from pyspark.sql import functions as F
+
+from ledgerline.llm import (
+    crf,
+    decontaminate,
+    jaccard_join,
+    katz,
+    language_id,
+    mixing,
+    token_counts,
+    token_files,
+    topk,
+    warc,
+)
+from ledgerline.llm.common import held_out, read
+
+TOXIC_FROM = 0.5
+MIX = mixing.Mix(
+    weights={"domain": {"web": 50, "books": 20, "code": 20, "forum": 10},
+             "lang": {"en": 60, "de": 20, "fr": 15, "es": 5}},
+    domains={"0": "web", "1": "books", "2": "books", "3": "code", "4": "code", "5": "forum", "6": "forum"})
 
 
 def tokenizer_file(name: str) -> str:
@@ -14,6 +33,62 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_jaccard_join(spark, sf_dir):
+    """Component of every document under links of 4-word shingle sets."""
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"), size=4, percent=85)
+
+
+def op2_warc(spark, sf_dir):
+    """Every page written to WARC archives and read back."""
+    return warc.warc_round_trip(read(spark, sf_dir, "pages"), min_payload_bytes=0)
+
+
+def toxicity_model(docs, labels):
+    """The field, fitted on the labelled rows that are not held out."""
+    return crf.train(docs.filter(~held_out("doc_id", 5, 0)), labels)
+
+
+def op3_toxicity(spark, sf_dir):
+    """Toxicity of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(docs, read(spark, sf_dir, "labels"))
+    return crf.score(docs, model, spans=False).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op4_topk(spark, sf_dir):
+    """The ten best vectors of every query vector."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op5_mixing(spark, sf_dir):
+    """Documents of the mixture, one row per epoch that takes them."""
+    docs = read(spark, sf_dir, "documents")
+    none = F.lit("")
+    return mixing.mixed(docs, MIX).select(
+        "doc_id", mixing.domain_of(MIX).alias("domain"), F.coalesce("lang", none).alias("lang"),
+        F.coalesce("source", none).alias("source"), F.col("mix_epoch").alias("epoch"))
+
+
+def op6_language_id(spark, sf_dir):
+    """Language of every document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.train(docs.filter(~held_out("doc_id", 4, 2)))
+    return language_id.predict(docs, model).select(
+        "doc_id", held_out("doc_id", 4, 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op7_katz_backoff(spark, sf_dir):
+    """Log probability of every document."""
+    return katz.katz_scores(read(spark, sf_dir, "documents"), held_out("doc_id", 7, 2))
+
+
+def op8_decontamination(spark, sf_dir):
+    """Benchmark windows found in every document."""
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), window=10)
+
+
 def op9_token_output(spark, sf_dir):
     """Token ids of every document in the file format, read back."""
     return token_files.token_output(read(spark, sf_dir, "documents"),
@@ -27,6 +102,14 @@ def op10_token_counts(spark, sf_dir):
 
 
 REGISTRY = {
+    "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
+    "op2_warc": (op2_warc, None),
+    "op3_toxicity": (op3_toxicity, None),
+    "op4_topk": (op4_topk, None),
+    "op5_mixing": (op5_mixing, mixing.oracle_sql(MIX)),
+    "op6_language_id": (op6_language_id, None),
+    "op7_katz_backoff": (op7_katz_backoff, None),
+    "op8_decontamination": (op8_decontamination, None),
     "op9_token_output": (op9_token_output, None),
     "op10_token_counts": (op10_token_counts, None),
 }
