@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerline.llm.common import batch_of, map_arrow, texts_of
 
@@ -373,14 +374,6 @@ def score(docs: DataFrame, model: ToxicityModel, spans: bool = True) -> DataFram
             yield pa.RecordBatch.from_arrays(cols, [*x.schema.names, "toxicity"] + ["toxic_spans"] * spans)
 
     extra = "toxicity double" + ", toxic_spans array<struct<start:long,end:long>>" * spans
-    schema = rows.schema
-    for f in spark_fields(extra):
-        schema = schema.add(f)
-    out = map_arrow(rows, run, schema)
+    out = map_arrow(rows, run, StructType([*rows.schema.fields, *StructType.fromDDL(extra).fields]))
     back = [F.col(n).alias(c) for c, n in names.items() if c not in ("toxicity", "toxic_spans")]
     return out.select(*back, "toxicity", *["toxic_spans"] * spans)
-
-
-def spark_fields(ddl: str):
-    from pyspark.sql.types import StructType
-    return StructType.fromDDL(ddl).fields
