@@ -157,6 +157,45 @@ def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
                      "doc_id long, n long, d1 long, d2 long, pivots array<long>")
 
 
+def shared_pivots(sets: DataFrame) -> DataFrame:
+    """Links (a, b) that join the sets (d1, pivots) with a common pivot.
+
+    A block of a task's input links its own sets of one pivot to the least of
+    them and sends on only that one, so a very common pivot costs a row per
+    block.  A link found in a block travels as a pivot of its own."""
+    schema = pa.schema([("pivot", pa.int64()), ("node", pa.int64())])
+
+    def close(pivots: list, nodes: list) -> pa.RecordBatch:
+        p, n = np.concatenate(pivots), np.concatenate(nodes)
+        order = np.lexsort((n, p))
+        p, n = p[order], n[order]
+        first = np.concatenate([[True], p[1:] != p[:-1]])
+        home = n[first][np.cumsum(first) - 1]
+        link = np.unique(np.stack([n, home])[:, n != home], axis=1)
+        own = (link.view(np.uint64) * _MULT[:2, None]).sum(axis=0, dtype=np.uint64).view(np.int64)
+        return batch_of(schema, pivot=np.concatenate([p[first], own, own]),
+                        node=np.concatenate([n[first], link[0], link[1]]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivots, nodes, held = [], [], 0
+        for b in batches:
+            p = b.column("pivots")
+            lens = np.diff(p.offsets.to_numpy())
+            pivots.append(p.flatten().to_numpy())
+            nodes.append(np.repeat(b.column("d1").to_numpy(), lens))
+            held += len(pivots[-1])
+            if held >= COUNT_BLOCK:
+                yield close(pivots, nodes)
+                pivots, nodes, held = [], [], 0
+        if held:
+            yield close(pivots, nodes)
+
+    home = Window.partitionBy("pivot").orderBy("node")
+    return map_arrow(sets.select("d1", "pivots"), run, "pivot long, node long") \
+        .withColumn("home", F.first("node").over(home)).filter("home <> node") \
+        .select(F.col("node").alias("a"), F.col("home").alias("b"))
+
+
 def member_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """(node, d1, shingles binary) of the documents in ``nodes`` (node).  A
     bounded filter of their ids thins the texts before they are cut into
@@ -357,14 +396,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     sig = saved(signatures(docs, size, percent), "signatures")
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")
-    reps = live.join(classes, ["d1", "d2"]).filter("doc_id = rep").select("rep", F.explode("pivots").alias("pivot"))
-    # a shared pivot's home is combined before it shuffles, and a very common
-    # pivot's rows are split by the skew join
-    home = reps.groupBy("pivot").agg(F.min("rep").alias("home"), F.count(F.lit(1)).alias("n")) \
-        .filter("n > 1").select("pivot", "home")
-    near = reps.join(home, "pivot").filter("home <> rep").select(F.col("rep").alias("a"), F.col("home").alias("b"))
-    clusters = saved(components(near), "clusters")
-    sets = member_sets(docs, clusters, size)
+    clusters = saved(components(shared_pivots(live)), "clusters")
+    members = clusters.withColumnRenamed("node", "d1").join(classes, "d1") \
+        .select(F.col("rep").alias("node"), "component")
+    sets = member_sets(docs, saved(members, "cluster-members"), size)
     members = saved(sets.select(F.col("component").cast("string").alias("region"), "node", "shingles"), "cluster-sets")
     links = verified_links(members, percent)
     rows = sig.select("doc_id", "n", "d1", "d2").join(classes, ["d1", "d2"], "left")
