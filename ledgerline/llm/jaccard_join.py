@@ -5,11 +5,13 @@ with a link radius eps = 1 - threshold the triangle inequality says which
 sets near a boundary must also be copied into the neighbouring region.
 
 1.  Sets that share nothing are at distance 1 from one another, so no set can
-    serve as their pivot.  The first pivots are therefore single shingles: a
-    set lies nearest to the pivots inside it (they tie; the first in a fixed
-    order, rare before frequent, is its home), and a linked partner can miss at
-    most |x| - ceil(threshold * |x|) of them, which bounds the window: x is
-    copied to its first |x| - ceil(threshold * |x|) + 1 pivots.
+    serve as their pivot.  The first pivots are therefore taken in parts of
+    the space: sets are grouped with those of the sizes that they can link
+    with, and the shingles of a group are cut by their hash into more parts
+    than linked sets can differ in shingles (at most (1 - t) / (1 + t) of both
+    sizes).  A linked pair then has distance 0 in some part: the content of a
+    part is the pivot of the region of all sets that hold it there, and a set
+    is copied to the regions of all its parts.
 2.  Regions that overlap join into clusters; no link leaves a cluster.
 3.  A cluster too large for one task is cut by pivot sets: every member goes
     to its nearest pivot p and to every pivot q with d(x, q) <= d(x, p) + 2 eps.
@@ -17,8 +19,8 @@ sets near a boundary must also be copied into the neighbouring region.
     member can reach within eps is settled and leaves.  This recurs until the
     regions are small; a region that pivots do not divide is joined in pairs
     of bounded blocks.
-4.  A small cluster is joined in one task by the same recursion, with exact
-    distances from inverted lists.
+4.  A small cluster is joined in one task, with exact distances to what the
+    inverted lists of its rare shingles hold.
 
 Equal sets are one class from the start.  The result is exact up to
 collisions of 64-bit shingle hashes.
@@ -26,6 +28,7 @@ collisions of 64-bit shingle hashes.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +41,8 @@ from ledgerline.llm.common import batch_of, map_arrow, saved, texts_of
 from ledgerline.llm.components import components
 
 CACHE_WORDS = 500_000
-COUNT_BLOCK = 4_000_000            # shingles whose repeats are counted at a time
-FREQUENT_SHINGLES = 1 << 20        # entries of the frequency order that are shipped to tasks (9 bytes each)
-LOCAL_SETS = 2_000                 # members of a region that one task joins
+PIVOT_BLOCK = 2_000_000            # pivots of a task's input that are linked at a time
+LOCAL_SHINGLES = 4_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
 TINY = 1e-9
@@ -84,81 +86,81 @@ class Shingler:
         return np.unique(x)
 
 
-def window_size(n: int, percent: int) -> int:
-    """Pivots that a set of n shingles is copied to."""
-    return n - -(-percent * n // 100) + 1
-
-
-# --- frequency order --------------------------------------------------------
-
-def frequent_shingles(docs: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, order class) of the most frequent shingles, by counts
-    of those that repeat within blocks of a task's input.  They only order the
-    pivots, so a shingle that is missed costs time and never a link."""
-    schema = pa.schema([("s", pa.int64()), ("n", pa.int64())])
-
-    def repeats(held: list[np.ndarray]) -> pa.RecordBatch:
-        v, n = np.unique(np.concatenate(held), return_counts=True)
-        return batch_of(schema, s=v[n > 1].view(np.int64), n=n[n > 1])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, held, total = Shingler(size), [], 0
-        for b in batches:
-            for t in texts_of(b):
-                held.append(shingles(t))
-                total += len(held[-1])
-                if total >= COUNT_BLOCK:
-                    yield repeats(held)
-                    held, total = [], 0
-        if held:
-            yield repeats(held)
-
-    counts = saved(map_arrow(docs.select("text"), run, "s long, n long").groupBy("s")
-                   .agg(F.floor(4 * F.log2(F.sum("n"))).cast("int").alias("grade")), "shingle-counts")
-    left, least = FREQUENT_SHINGLES, 1 << 20
-    for r in sorted(counts.groupBy("grade").count().collect(), reverse=True):     # a few hundred grades at most
-        left -= r["count"]
-        if left < 0:
-            break
-        least = r.grade
-    rows = counts.filter(F.col("grade") >= least).toPandas()
-    h, g = rows["s"].to_numpy(np.int64).view(np.uint64), rows["grade"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], np.minimum(g[order], 250).astype(np.uint8)
-
-
 # --- sets and their pivots ----------------------------------------------------
 
-def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """doc_id, n (shingles), d1, d2 (128-bit digest of the set), pivots."""
-    shipped = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, size))
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
-                        ("pivots", pa.list_(pa.int64()))])
+class Parts:
+    """Pivots of a set (sorted hashes): one per part and size group.
+
+    Size group g holds the sets of size bands g - 1 and g; a linked pair whose
+    smaller set is in band g - 1 meets there.  With ``spare`` parts more than
+    needed, a linked pair can agree in empty parts alone only if both sets
+    have more than ``spare`` of them: only such sets have pivots for those."""
+
+    def __init__(self, percent: int):
+        self.percent, self.bands = percent, [1]
+
+    def layout(self, group: int) -> tuple[int, int]:
+        """(parts, spare) of a size group."""
+        small = self.bands[group] - 1
+        both = small + 100 * small // self.percent
+        differ = (100 - self.percent) * both // (100 + self.percent)
+        spare = 1 + differ // 8 if differ else 0
+        return differ + 1 + spare, spare
+
+    def __call__(self, s: np.ndarray) -> np.ndarray:
+        if not len(s):
+            return s
+        while self.bands[-1] <= len(s):
+            self.bands.append(100 * self.bands[-1] // self.percent + 1)
+        band = bisect.bisect_right(self.bands, len(s)) - 1
+        mixed = _mix(s)
+        out = []
+        for g in (band, band + 1):
+            if not g:
+                continue
+            parts, spare = self.layout(g)
+            own = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)      # ascends with s
+            at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            place, content = own[at], np.add.reduceat(mixed, at)
+            if parts - len(at) > spare:
+                none = np.setdiff1d(np.arange(parts, dtype=np.uint64), place)
+                place, content = np.concatenate([place, none]), np.concatenate([content, np.zeros(len(none), np.uint64)])
+            out.append(_mix(content + place * _MULT[0] + np.uint64(g << 40)))
+        return np.concatenate(out)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
+    return x ^ (x >> np.uint64(27))
+
+
+def _digest(s: np.ndarray) -> tuple[int, int]:
+    d = xxhash.xxh3_128_digest(s.tobytes())
+    return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
+
+
+def signatures(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, n (shingles), d1, d2 (128-bit digest of the set)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, (hot, grade) = Shingler(size), shipped.value
+        shingles = Shingler(size)
         for b in batches:
-            n, d1, d2, pivots = [], [], [], []
+            n, d1, d2 = [], [], []
             for t in texts_of(b):
                 s = shingles(t)
+                x, y = _digest(s)
                 n.append(len(s))
-                d = xxhash.xxh3_128_digest(s.tobytes())
-                d1.append(int.from_bytes(d[:8], "little", signed=True))
-                d2.append(int.from_bytes(d[8:], "little", signed=True))
-                if len(s):
-                    if len(hot):
-                        at = np.minimum(np.searchsorted(hot, s), len(hot) - 1)
-                        s = s[np.argsort(np.where(hot[at] == s, grade[at], np.uint8(0)), kind="stable")]
-                    s = s[:window_size(len(s), percent)]
-                pivots.append(s.view(np.int64))
-            yield batch_of(schema, doc_id=b.column("doc_id"), n=n, d1=d1, d2=d2, pivots=pivots)
+                d1.append(x)
+                d2.append(y)
+            yield batch_of(schema, doc_id=b.column("doc_id"), n=n, d1=d1, d2=d2)
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                     "doc_id long, n long, d1 long, d2 long, pivots array<long>")
+                     "doc_id long, n long, d1 long, d2 long")
 
 
-def shared_pivots(sets: DataFrame) -> DataFrame:
-    """Links (a, b) that join the sets (d1, pivots) with a common pivot.
+def shared_pivots(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the sets (by their digest d1) with a common pivot.
 
     A block of a task's input links its own sets of one pivot to the least of
     them and sends on only that one, so a very common pivot costs a row per
@@ -166,7 +168,7 @@ def shared_pivots(sets: DataFrame) -> DataFrame:
     schema = pa.schema([("pivot", pa.int64()), ("node", pa.int64())])
 
     def close(pivots: list, nodes: list) -> pa.RecordBatch:
-        p, n = np.concatenate(pivots), np.concatenate(nodes)
+        p, n = np.concatenate(pivots).view(np.int64), np.repeat(np.array(nodes, np.int64), [len(x) for x in pivots])
         order = np.lexsort((n, p))
         p, n = p[order], n[order]
         first = np.concatenate([[True], p[1:] != p[:-1]])
@@ -177,21 +179,23 @@ def shared_pivots(sets: DataFrame) -> DataFrame:
                         node=np.concatenate([n[first], link[0], link[1]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, parts = Shingler(size), Parts(percent)
         pivots, nodes, held = [], [], 0
         for b in batches:
-            p = b.column("pivots")
-            lens = np.diff(p.offsets.to_numpy())
-            pivots.append(p.flatten().to_numpy())
-            nodes.append(np.repeat(b.column("d1").to_numpy(), lens))
-            held += len(pivots[-1])
-            if held >= COUNT_BLOCK:
-                yield close(pivots, nodes)
-                pivots, nodes, held = [], [], 0
+            for t in texts_of(b):
+                s = shingles(t)
+                if len(s):
+                    pivots.append(parts(s))
+                    nodes.append(_digest(s)[0])
+                    held += len(pivots[-1])
+                if held >= PIVOT_BLOCK:
+                    yield close(pivots, nodes)
+                    pivots, nodes, held = [], [], 0
         if held:
             yield close(pivots, nodes)
 
     home = Window.partitionBy("pivot").orderBy("node")
-    return map_arrow(sets.select("d1", "pivots"), run, "pivot long, node long") \
+    return map_arrow(docs.filter("doc_id IS NOT NULL").select("text"), run, "pivot long, node long") \
         .withColumn("home", F.first("node").over(home)).filter("home <> node") \
         .select(F.col("node").alias("a"), F.col("home").alias("b"))
 
@@ -227,36 +231,44 @@ def member_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 # --- joins of regions ---------------------------------------------------------
 
 def link_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """Component (smallest place) of each set under links, exactly: take a
-    pivot, link what lies within the radius, drop what no unlinked set can
-    reach, go on with the rest."""
+    """Component (smallest place) of each set under links, exactly: in the
+    order rare before frequent, linked sets share one of their first
+    n - ceil(threshold * n) + 1 shingles, so the inverted lists of those hold
+    all partners; the distances to them are exact."""
     m = len(sets)
     label = np.arange(m)
     lens = np.array([len(s) for s in sets], dtype=np.int64)
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
     at = np.concatenate([[0], np.cumsum(lens)])
-    eps = 1 - percent / 100
-    mark = np.zeros(int(flat.max(initial=0)) + 1, dtype=np.int32)
-    active = np.ones(m, dtype=bool)
-    order = np.argsort(-lens, kind="stable")
-    for p in order:
-        if not active[p]:
+    _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(count), dtype=np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    flat = rank[flat]
+    first = []
+    for i in range(m):
+        own = np.sort(flat[at[i]:at[i + 1]])
+        flat[at[i]:at[i + 1]] = own
+        first.append(own[:len(own) + percent * len(own) // -100 + 1])
+    shingle, owner = np.concatenate(first), np.repeat(np.arange(m), [len(f) for f in first])
+    order = np.argsort(shingle, kind="stable")
+    owner, ends = owner[order], np.cumsum(np.bincount(shingle, minlength=len(count)))
+    starts = np.concatenate([[0], ends[:-1]])
+    mark = np.zeros(len(count), dtype=np.int32)
+    for i in range(m):
+        lists = [owner[starts[t]:ends[t]] for t in first[i] if ends[t] - starts[t] > 1]
+        if not lists:
+            continue
+        near = np.unique(np.concatenate(lists))
+        near = near[(near < i) & (label[near] != label[i])]
+        near = near[100 * np.minimum(lens[near], lens[i]) >= percent * np.maximum(lens[near], lens[i])]
+        if not len(near):
             continue
-        own = flat[at[p]:at[p + 1]]
-        mark[own] = 1
-        common = np.add.reduceat(mark[flat], at[:-1]).astype(np.int64)
-        mark[own] = 0
-        union = lens + lens[p] - common
-        linked = active & (100 * common >= percent * union)
+        mark[flat[at[i]:at[i + 1]]] = 1
+        common = np.array([mark[flat[at[j]:at[j + 1]]].sum() for j in near], dtype=np.int64)
+        mark[flat[at[i]:at[i + 1]]] = 0
+        linked = near[100 * common >= percent * (lens[near] + lens[i] - common)]
         for other in np.unique(label[linked]):
-            if other != label[p]:
-                low, high = sorted((other, label[p]))
-                label[label == high] = low
-        d = 1 - common / union
-        ring = active & ~linked & (label != label[p])
-        edge = d[ring].min(initial=np.inf)
-        active &= ~(linked & (d < edge - eps - TINY))
-        active[p] = False
+            low, high = sorted((other, label[i]))
+            label[label == high] = low
     return label
 
 
@@ -341,8 +353,7 @@ def _divide(regions: DataFrame, percent: int, level: int) -> DataFrame:
 def _in_block_pairs(regions: DataFrame, sizes: DataFrame) -> DataFrame:
     """Regions that pivots do not divide, as pairs of blocks of at most about
     half a task's members each, so that every two members meet."""
-    half = LOCAL_SETS // 2
-    n = F.ceil(F.col("size") / half).cast("int")
+    n = F.ceil(2 * F.col("load") / LOCAL_SHINGLES).cast("int")
     rows = regions.join(sizes.select("region", n.alias("blocks")), "region") \
         .withColumn("own", F.pmod(F.xxhash64("node", F.lit(99)), F.col("blocks")).cast("int")) \
         .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
@@ -356,25 +367,32 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
     eps = 1 - percent / 100
     regions, links, level = members, [], 0
     while True:
-        sizes = saved(regions.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "region-sizes")
-        small = sizes.filter(F.col("size") <= LOCAL_SETS)
-        links.append(_local_links(regions.join(small.filter("size > 1").select("region"), "region", "left_semi"), percent))
-        large = sizes.filter(F.col("size") > LOCAL_SETS)
+        load = F.expr("sum(octet_length(shingles) div 8)")
+        sizes = saved(regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), load.alias("load")), "region-sizes")
+        fits = (F.col("load") <= LOCAL_SHINGLES) | (F.col("size") == 1)
+        small = sizes.filter(fits & (F.col("size") > 1)).select("region")
+        links.append(_local_links(regions.join(small, "region", "left_semi"), percent))
+        large = sizes.filter(~fits)
         if large.isEmpty():
             break
         rest = regions.join(large.select("region"), "region", "left_semi")
-        cells = saved(_divide(rest, percent, level), f"regions-{level}")
-        links.append(cells.filter("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        edge = cells.filter("NOT linked").groupBy("region").agg(F.min("d").alias("edge"))
-        cells = cells.join(edge, "region").filter(~F.col("linked") | (F.col("d") >= F.col("edge") - F.lit(eps + TINY)))
-        # what a round leaves almost whole will not be divided by further ones
+        cells = _divide(rest, percent, level)
+        narrow = saved(cells.select("region", "node", "d", "linked", "hub", F.octet_length("shingles").alias("bytes")),
+                       f"cells-{level}")
+        links.append(narrow.filter("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        edge = narrow.filter("NOT linked").groupBy("region").agg(F.min("d").alias("edge"))
+        reach = F.col("d") >= F.col("edge") - F.lit(eps + TINY)
+        stay = narrow.join(edge, "region").filter(~F.col("linked") | reach)
+        # a region that a round leaves almost whole is joined in pairs of blocks
         parent = F.regexp_extract("region", "^(.*)/[^/]*$", 1)
-        after = cells.groupBy("region").agg(F.count(F.lit(1)).alias("size")).withColumn("parent", parent) \
-            .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before")), "parent")
-        stuck = saved(after.filter((F.col("size") > LOCAL_SETS) & (F.col("size") > 0.7 * F.col("before"))), "stuck")
-        whole = stuck.select("region", "size")
-        links.append(_local_links(_in_block_pairs(cells.join(whole.select("region"), "region", "left_semi"), whole), percent))
-        regions = saved(cells.join(whole.select("region"), "region", "left_anti")
+        after = stay.groupBy("region").agg(F.count(F.lit(1)).alias("size")).withColumn("parent", parent) \
+            .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before"), "load"), "parent")
+        stuck = saved(after.filter(F.col("size") > 0.7 * F.col("before")).groupBy("parent")
+                      .agg(F.first("load").alias("load")), "stuck")
+        whole = stuck.select(F.col("parent").alias("region"), "load")
+        links.append(_local_links(_in_block_pairs(rest.join(whole.select("region"), "region", "left_semi"), whole), percent))
+        kept = stay.withColumn("parent", parent).join(stuck.select("parent"), "parent", "left_anti").select("region", "node", "parent")
+        regions = saved(rest.withColumnRenamed("region", "parent").join(kept, ["parent", "node"])
                         .select("region", "node", "shingles"), f"regions-kept-{level}")
         level += 1
     out = links[0]
@@ -393,10 +411,10 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     document for linking; a NULL doc_id links with nothing and has a NULL
     component.  Empty input gives no rows.
     """
-    sig = saved(signatures(docs, size, percent), "signatures")
+    sig = saved(signatures(docs, size), "signatures")
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")
-    clusters = saved(components(shared_pivots(live)), "clusters")
+    clusters = saved(components(shared_pivots(docs, size, percent)), "clusters")
     members = clusters.withColumnRenamed("node", "d1").join(classes, "d1") \
         .select(F.col("rep").alias("node"), "component")
     sets = member_sets(docs, saved(members, "cluster-members"), size)
