@@ -182,7 +182,7 @@ def test_top_k_equals_brute_force(spark, block):
     x[3] = x[7] = x[11]                                     # ties
     x[20] = 0
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
-    rows += [(200, None), (201, [1.0, None, 0, 0, 0, 0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (None, [1.0] * 6)]
+    rows += [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (None, [1.0] * 6)]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=10, every=10, block_vectors=block)
     m = np.floor(1024 * x).astype(np.int64)
     want = []
