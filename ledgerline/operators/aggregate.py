@@ -74,8 +74,7 @@ def daily(df: DataFrame) -> DataFrame:
 
 
 def filtered_region(df: DataFrame, region: str) -> DataFrame:
-    """Filter then group; the equality reaches the scan of the table that
-    carries the region column."""
+    """Filter then group."""
     rev, _, _ = measures(df)
     return (df.where(F.col("region") == region).groupBy("region")
             .agg(rev.alias("total_revenue")))

@@ -49,12 +49,9 @@ def cross_count(*frames: DataFrame) -> DataFrame:
     """Row count of the cartesian product, from the factor counts: the same
     number without forming a single pair.  One global aggregate per factor;
     the one-row results are combined in one projection."""
-    from ledgerline.operators.reconcile import one_row
+    from ledgerline.operators.reconcile import one_row, product_of_counts
     out = one_row({f"n{i}": f.agg(F.count(F.lit(1))) for i, f in enumerate(frames)})
-    prod = F.lit(1).cast("bigint")
-    for i in range(len(frames)):
-        prod = prod * F.col(f"n{i}")
-    return out.select(prod.alias("cartesian_product_rows"))
+    return out.select(product_of_counts(*out.columns).alias("cartesian_product_rows"))
 
 
 def region_revenue(orders: DataFrame, customers: DataFrame, items: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ report is one row per column.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +25,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
 from ledgerline.functions import text as T
-from ledgerline.session import spread_narrow
 
 # --- fixed values -----------------------------------------------------------
 AMOUNT_WORDS = ["amount", "price", "cost", "total"]
@@ -34,7 +34,6 @@ NUMERIC_TYPES = ["integer", "float"]
 MISSING_ISSUE_PCT = 20           # columns above this missing % are issues
 MIXED_TYPE_PCT = 90              # dominant type below this % is "mixed"
 LOW_SCORE = 70                   # overall recommendation below this score
-DUPLICATE_ROWS_REPORTED = 100
 WEIGHT_COMPLETE, WEIGHT_UNIQUE, WEIGHT_VALID = 40, 30, 30
 RECOMMEND_IMPUTE = "Consider data imputation for columns with >20% missing values: "
 RECOMMEND_DUPLICATES = "Remove {n} duplicate rows ({pct}% of total) to improve data quality"
@@ -82,7 +81,7 @@ def value_counts(df: DataFrame, columns: list[str], order_col: str | None = None
                                T.column(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
-    long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
+    long = df.select(order.alias("_row"), F.inline(cells))
     value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
     return (long.select("_row", "pos", "column", value.alias("value"))
             .groupBy("pos", "column", "value")
@@ -99,7 +98,7 @@ def cells(df: DataFrame, columns: list[str], order_col: str | None = None) -> Da
                        for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
     value = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
-    return (spread_narrow(df).select(order.alias("first_row"), F.inline(cells_))
+    return (df.select(order.alias("first_row"), F.inline(cells_))
             .select("pos", "column", value.alias("value"), F.lit(1).cast("bigint").alias("n"),
                     "first_row"))
 
@@ -213,7 +212,7 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
                                T.column(c).cast("string").alias("raw"))
                       for i, c in enumerate(columns)])
     order = F.col(order_col) if order_col else F.lit(None).cast("bigint")
-    long = spread_narrow(df).select(order.alias("_row"), F.inline(cells))
+    long = df.select(order.alias("_row"), F.inline(cells))
     v = F.when(~T.is_missing_text("raw"), T.py_strip("raw"))
     typed = long.select("_row", "pos", "column", v.alias("value")).select(
         "*", F.when(F.col("value").isNotNull(), T.guess_type("value")).alias("t"),
@@ -335,7 +334,7 @@ def row_metrics(df: DataFrame, columns: list[str], fingerprints: bool = False) -
     128-bit fingerprint of the key; only rows whose fingerprint repeats are
     regrouped by their exact key, so duplicates stay exact and unique long
     keys are never shuffled."""
-    base = spread_narrow(df).select(row_key(columns).alias("_key"),
+    base = df.select(row_key(columns).alias("_key"),
                                     _complete(columns).alias("_ok"))
     if fingerprints:
         from ledgerline.operators.dedup import fingerprint
@@ -416,6 +415,12 @@ def issues(profile: DataFrame, rule_keys: DataFrame) -> DataFrame:
                     F.col("completeness_severity").alias("severity")))
 
 
+def _filled(template: str, **values: Column) -> Column:
+    """The template with each {name} replaced by its column."""
+    parts = re.split(r"[{}]", template)          # text, name, text, name, ...
+    return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts)])
+
+
 def recommendations(profile: DataFrame, summ: DataFrame) -> DataFrame:
     """(seq, recommendation) in the reference's order."""
     rows = summ.select("total_rows", "duplicate_rows", "quality_score")
@@ -436,16 +441,14 @@ def recommendations(profile: DataFrame, summ: DataFrame) -> DataFrame:
                                                * 100, 1))
     dup = rows.where(F.col("duplicate_rows") > 0).select(
         F.lit(2).alias("seq"), F.lit(0).alias("sub"),
-        F.concat(F.lit("Remove "), F.col("duplicate_rows").cast("string"),
-                 F.lit(" duplicate rows ("), dup_pct,
-                 F.lit("% of total) to improve data quality")).alias("recommendation"))
+        _filled(RECOMMEND_DUPLICATES, n=F.col("duplicate_rows").cast("string"), pct=dup_pct)
+        .alias("recommendation"))
     # 3. mixed types, one per column in column order.
     mixed = profile.where((F.col("data_type") != "unknown")
                           & (F.col("type_pct_raw") < MIXED_TYPE_PCT)).select(
         F.lit(3).alias("seq"), F.col("pos").alias("sub"),
-        F.concat(F.lit("Column '"), F.col("column_name"),
-                 F.lit("' has mixed data types. Consider standardizing to "),
-                 F.col("data_type")).alias("recommendation"))
+        _filled(RECOMMEND_MIXED, col=F.col("column_name"), t=F.col("data_type"))
+        .alias("recommendation"))
     # 4. overall.
     overall = rows.where(F.col("quality_score") < LOW_SCORE).select(
         F.lit(4).alias("seq"), F.lit(0).alias("sub"), F.lit(RECOMMEND_OVERALL)
@@ -515,8 +518,7 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
     cwi = iss.agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "pos", F.col("column_name").alias("column"), "missing_percentage", "severity"))),
         lambda e: e.dropFields("pos")).alias("columns_with_issues"))
-    dup_rows = (duplicate_rows(df, columns, order_col, fingerprints).orderBy(order_col)
-                .limit(DUPLICATE_ROWS_REPORTED)
+    dup_rows = (duplicate_rows(df, columns, order_col, fingerprints)
                 .agg(F.sort_array(F.collect_list(order_col)).alias("rows"))
                 if order_col else df.sparkSession.range(1).select(
                     F.array().cast("array<bigint>").alias("rows")))

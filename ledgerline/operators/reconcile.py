@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import aggregate as agg
@@ -35,6 +35,13 @@ def one_row(parts: dict[str, DataFrame]) -> DataFrame:
     return u.agg(*[F.max(F.when(F.col("_k") == n, F.col("_v"))).alias(n) for n in parts])
 
 
+def product_of_counts(*names: str) -> Column:
+    """Product of count columns as DECIMAL(38,0): three tables of 10^9 rows
+    pass the BIGINT range; beyond 38 digits ANSI mode raises an error."""
+    wide = [F.col(n).cast("decimal(38,0)") for n in names]
+    return reduce(lambda a, b: (a * b).cast("decimal(38,0)"), wide)
+
+
 def group_loss(df: DataFrame, key: str) -> DataFrame:
     """Row count vs the sum of per-group counts, with a match flag."""
     per_group = df.groupBy(key).agg(F.count(F.lit(1)).alias("c"))
@@ -50,11 +57,23 @@ def fanout(orders: DataFrame, customers: DataFrame, items: DataFrame,
                    ((orders, "orders"), (customers, "customers"), (items, "items"),
                     (joined, "joined_rows"))})
     return out.select(
-        (F.col("orders") * F.col("customers") * F.col("items")).alias("cartesian_product_rows"),
+        product_of_counts("orders", "customers", "items").alias("cartesian_product_rows"),
         "joined_rows", F.col("items").alias("order_items_rows"),
         (F.col("joined_rows") == F.col("items")).alias("join_preserves_rows"))
 
 
+def order_revenue_check(items: DataFrame, joined: DataFrame) -> DataFrame:
+    """Revenue per order straight from the items beside that of the joined
+    rows.  A full outer join: an order that one side lost is listed, with
+    ``revenue_matches`` false."""
+    def total(df, name):
+        return df.groupBy("order_id").agg(F.sum(agg.revenue()).alias(name))
+    return (total(items, "expected_revenue")
+            .join(total(joined, "actual_revenue"), "order_id", "full_outer")
+            .withColumn("revenue_matches",
+                        F.col("expected_revenue").eqNullSafe(F.col("actual_revenue"))))
+
+
 def duplicate_keys(df: DataFrame, key: str, name: str = "occurrence_count") -> DataFrame:
     """Keys that occur more than once, with their count (GROUP BY ... HAVING)."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias(name))

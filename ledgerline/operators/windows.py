@@ -34,14 +34,11 @@ def rank_products(sales: DataFrame) -> DataFrame:
                     F.row_number().over(w_rn).cast("bigint").alias("row_number_rank")))
 
 
-def rank_compare(sales: DataFrame, distributed: bool = False) -> DataFrame:
+def rank_compare(sales: DataFrame) -> DataFrame:
     """RANK, DENSE_RANK and ROW_NUMBER side by side.  The product aggregate
     is one row per product type (a bounded domain), so a window without
-    partition is the right plan; ``distributed=True`` ranks an aggregate of
-    any size without one task (``global_ranks``)."""
+    partition is the right plan."""
     pr = product_revenue(sales)
-    if distributed:
-        return global_ranks(pr, "product", "total_revenue")
     w = Window.orderBy(F.desc("total_revenue"))
     w_rn = Window.orderBy(F.desc("total_revenue"), "product")
     return pr.select("product", "total_revenue",
@@ -50,27 +47,6 @@ def rank_compare(sales: DataFrame, distributed: bool = False) -> DataFrame:
                      F.row_number().over(w_rn).cast("bigint").alias("row_number_value"))
 
 
-def global_ranks(df: DataFrame, key: str, value: str) -> DataFrame:
-    """RANK / DENSE_RANK / ROW_NUMBER by ``value`` descending over the whole
-    frame (ROW_NUMBER ties: ``key`` ascending; one row per key), without a
-    window that puts every row in one task: ranks via ``rank_within``,
-    row numbers via ``value_positions`` over the unique (-value, key)."""
-    r = rank_within(df, [], value, out="rank_value")
-    dr = rank_within(df.select(key, value), [], value, out="dense_rank_value", dense=True)
-    # ascending (value is NULL, -value, key) = value DESC NULLS LAST, key ASC
-    keyed = df.select(key, F.struct(F.col(value).isNull().alias("n"),
-                                    (-F.col(value)).alias("v"), F.col(key).alias("k"))
-                      .alias("_o"))
-    rn = (value_positions(keyed.groupBy("_o").agg(F.count(F.lit(1)).alias("_n")), [], "_o", "_n")
-          .select(F.col("_o.k").alias(key), (F.col("start") + 1).cast("bigint")
-                  .alias("row_number_value")))
-    d2 = dr.select(F.col(key).alias("_k2"), "dense_rank_value")
-    r2 = rn.select(F.col(key).alias("_k3"), "row_number_value")
-    # null-safe: a NULL key is one row of the frame like any other
-    return (r.join(d2, r[key].eqNullSafe(d2["_k2"])).join(r2, r[key].eqNullSafe(r2["_k3"]))
-            .select(r[key], r[value], "rank_value", "dense_rank_value", "row_number_value"))
-
-
 def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
                     weight: str, descending: bool = False,
                     partitions: int | None = None) -> DataFrame:
@@ -113,48 +89,6 @@ def value_positions(values: DataFrame, group_cols: list[str], order_col: str,
                     (F.col("_off") + F.col("_run")).alias("end")))
 
 
-def lags_over_slices(df: DataFrame, order_col: str, value_col: str, k: int,
-                     partitions: int | None = None) -> DataFrame:
-    """``LAG(value_col, j) OVER (ORDER BY order_col)`` for j = 1..k as columns
-    ``_lag1``..``_lagk``, for a frame with one row per ``order_col`` value,
-    without a window that holds every row in one task.
-
-    Rows are range-sliced on the order key (checkpointed, so the slicing is
-    fixed).  Each slice gets a halo: the k rows that precede its first row.
-    Those are among the other slices' last k rows, a table of at most k rows
-    per slice; they are matched to the slices they precede by an equi join
-    on position.  A window per slice over its rows plus its halo gives every
-    lag; halo rows are dropped."""
-    spark = df.sparkSession
-    checkpoint_dir(spark)
-    o = F.col(order_col)
-    ranged = (df.repartitionByRange(partitions, o) if partitions else df.repartitionByRange(o))
-    sliced = ranged.withColumn("_slice", F.spark_partition_id()).checkpoint(eager=True)
-    in_slice = Window.partitionBy("_slice").orderBy(order_col)
-    local = sliced.withColumn("_i", F.row_number().over(in_slice))
-    sizes = local.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per slice: offset of its first row in the global order
-    offs = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(
-        Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    pos = (local.join(offs.select("_slice", "_off", "_n"), "_slice")
-           .withColumn("_g", F.col("_off") + F.col("_i")))
-    # the last k rows of each slice, each sent to the slices whose first row
-    # lies 1..k positions after it
-    tail = pos.where(F.col("_i") > F.col("_n") - k).select("_g", order_col, value_col)
-    targets = tail.select("*", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("_d")) \
-        .withColumn("_start", F.col("_g") + F.col("_d"))
-    starts = offs.select(F.col("_slice").alias("_to"), (F.col("_off") + 1).alias("_start"))
-    halo = (targets.join(starts, "_start")
-            .select(F.col("_to").alias("_slice"), order_col, value_col,
-                    F.lit(True).alias("_halo")))
-    rows = pos.select("_slice", *df.columns, F.lit(False).alias("_halo"))
-    both = rows.unionByName(halo, allowMissingColumns=True)
-    w = Window.partitionBy("_slice").orderBy(order_col)
-    lagged = both.select("*", *[F.lag(value_col, j).over(w).alias(f"_lag{j}")
-                                for j in range(1, k + 1)])
-    return lagged.where(~F.col("_halo")).drop("_slice", "_halo")
-
-
 def rank_within(df: DataFrame, group_cols: list[str], order_col: str,
                 descending: bool = True, out: str = "rank", dense: bool = False,
                 partitions: int | None = None) -> DataFrame:
@@ -173,19 +107,13 @@ def rank_within(df: DataFrame, group_cols: list[str], order_col: str,
             .select(df["*"], ranked[out]))
 
 
-def rank_in_region(sales: DataFrame, distributed: bool = True) -> DataFrame:
+def rank_in_region(sales: DataFrame) -> DataFrame:
     """Customers ranked by revenue within their region, all rows.  A region
-    holds a fifth of all customers, so by default the rank is computed with
-    ``rank_within``; ``distributed=False`` (the caller knows the customers
-    fit in one task, e.g. they fit a broadcast) uses a plain window."""
+    holds a fifth of all customers, so the rank goes through ``rank_within``."""
     totals = sales.groupBy("customer_id", "region").agg(
         agg.measures(sales)[0].alias("total_revenue"))
-    if distributed:
-        ranked = rank_within(totals, ["region"], "total_revenue", out="rank_in_region")
-    else:
-        w = Window.partitionBy("region").orderBy(F.desc("total_revenue"))
-        ranked = totals.withColumn("rank_in_region", F.rank().over(w).cast("bigint"))
-    return (ranked.select("customer_id", "region", "total_revenue", "rank_in_region")
+    return (rank_within(totals, ["region"], "total_revenue", out="rank_in_region")
+            .select("customer_id", "region", "total_revenue", "rank_in_region")
             .orderBy("region", "rank_in_region", "customer_id"))
 
 
@@ -245,34 +173,29 @@ def _pct(change: Column, prev: Column) -> Column:
     return F.round(F.try_divide(change, prev) * 100, 2)
 
 
-def with_previous(daily: DataFrame, value: str = "daily_revenue",
-                  distributed: bool = False) -> DataFrame:
+def with_previous(daily: DataFrame, value: str = "daily_revenue") -> DataFrame:
     """One LAG column, reused by every expression that needs it.  The daily
     series has one row per calendar day, a bounded domain, so the window
-    over it is the plan; ``distributed`` uses ``lags_over_slices``."""
-    if distributed:
-        out = lags_over_slices(daily, "order_date", value, 1).withColumnRenamed(
-            "_lag1", "previous_day_revenue")
-    else:
-        out = daily.withColumn("previous_day_revenue", F.lag(value, 1).over(_by_day()))
-    return out.withColumn("day_over_day_change", F.col(value) - F.col("previous_day_revenue"))
+    over it is the plan."""
+    return (daily.withColumn("previous_day_revenue", F.lag(value, 1).over(_by_day()))
+            .withColumn("day_over_day_change", F.col(value) - F.col("previous_day_revenue")))
 
 
-def lag_daily(sales: DataFrame, distributed: bool = False) -> DataFrame:
-    return (with_previous(daily_revenue(sales), distributed=distributed)
+def lag_daily(sales: DataFrame) -> DataFrame:
+    return (with_previous(daily_revenue(sales))
             .select("order_date", "daily_revenue", "previous_day_revenue")
             .orderBy("order_date"))
 
 
-def trend_stable(sales: DataFrame, distributed: bool = False) -> DataFrame:
-    return (with_previous(daily_revenue(sales), distributed=distributed)
+def trend_stable(sales: DataFrame) -> DataFrame:
+    return (with_previous(daily_revenue(sales))
             .withColumn("trend", rules.trend_stable("day_over_day_change"))
             .orderBy("order_date"))
 
 
-def pct_change(sales: DataFrame, distributed: bool = False) -> DataFrame:
+def pct_change(sales: DataFrame) -> DataFrame:
     """Percent change, first day removed."""
-    return (with_previous(daily_revenue(sales), distributed=distributed)
+    return (with_previous(daily_revenue(sales))
             .where(F.col("previous_day_revenue").isNotNull())
             .select("order_date", "daily_revenue", "previous_day_revenue",
                     _pct(F.col("day_over_day_change"), F.col("previous_day_revenue"))
@@ -280,9 +203,9 @@ def pct_change(sales: DataFrame, distributed: bool = False) -> DataFrame:
             .orderBy("order_date"))
 
 
-def trend_na(sales: DataFrame, distributed: bool = False) -> DataFrame:
+def trend_na(sales: DataFrame) -> DataFrame:
     """Percent change with arrow trend; the first day is kept as N/A."""
-    return (with_previous(daily_revenue(sales), distributed=distributed)
+    return (with_previous(daily_revenue(sales))
             .withColumn("percent_change",
                         _pct(F.col("day_over_day_change"), F.col("previous_day_revenue")))
             .withColumn("trend", rules.trend_arrow("day_over_day_change"))
@@ -291,27 +214,16 @@ def trend_na(sales: DataFrame, distributed: bool = False) -> DataFrame:
             .orderBy("order_date"))
 
 
-def rolling7(sales: DataFrame, distributed: bool = False) -> DataFrame:
-    """AVG over the current and 6 preceding ROWS (7 rows, not 7 days).
-    ``distributed``: the mean of the non-NULL values among the row and its
-    six lags (``lags_over_slices``), which is what AVG over that frame is."""
-    daily = daily_revenue(sales)
-    if not distributed:
-        w = _by_day().rowsBetween(-6, 0)
-        return (daily.withColumn("rolling_7day_avg", F.avg("daily_revenue").over(w))
-                .orderBy("order_date"))
-    lagged = lags_over_slices(daily, "order_date", "daily_revenue", 6)
-    vals = [F.col("daily_revenue")] + [F.col(f"_lag{j}") for j in range(1, 7)]
-    total = sum((F.coalesce(v, F.lit(0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0)))
-    count = sum((v.isNotNull().cast("int") for v in vals[1:]), vals[0].isNotNull().cast("int"))
-    return (lagged.select("order_date", "daily_revenue",
-                          F.try_divide(total.cast("double"), count).alias("rolling_7day_avg"))
+def rolling7(sales: DataFrame) -> DataFrame:
+    """AVG over the current and 6 preceding ROWS (7 rows, not 7 days)."""
+    w = _by_day().rowsBetween(-6, 0)
+    return (daily_revenue(sales).withColumn("rolling_7day_avg", F.avg("daily_revenue").over(w))
             .orderBy("order_date"))
 
 
-def daily_full(sales: DataFrame, distributed: bool = False) -> DataFrame:
+def daily_full(sales: DataFrame) -> DataFrame:
     """Daily revenue, distinct customers, previous day, change, trend."""
-    return (with_previous(agg.daily_customers(sales), distributed=distributed)
+    return (with_previous(agg.daily_customers(sales))
             .withColumnRenamed("previous_day_revenue", "prev_day_revenue")
             .withColumn("trend", rules.trend_stable("day_over_day_change"))
             .select("order_date", "daily_revenue", "unique_customers", "prev_day_revenue",

@@ -7,7 +7,6 @@ callable and in its oracle.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,13 +30,6 @@ REGION_LOW_BELOW = 29_000_000_000                                # P06 / C08
 # ---------------------------------------------------------------------------
 
 
-def _distributed_windows() -> bool:
-    """The daily series is one row per calendar day (bounded), so its
-    windows run as plain windows; LEDGERLINE_RANK=distributed runs the
-    any-size versions instead (tests check both against the oracle)."""
-    return os.environ.get("LEDGERLINE_RANK") == "distributed"
-
-
 def register(key: str, oracle: str | None):
     def deco(fn: Query) -> Query:
         REGISTRY[key] = (fn, oracle)
@@ -49,73 +41,85 @@ S = with_(SALES)
 REV = "quantity * price"
 
 
+def grouped(keys: str, *measures: str) -> str:
+    """Subquery: the given measures of ``sales`` per key."""
+    return f"(SELECT {keys}, {', '.join(measures)} FROM sales GROUP BY {keys})"
+
+
+def money(name: str) -> str:
+    return f"CAST(SUM({REV}) AS BIGINT) AS {name}"
+
+
+ROWS = "COUNT(*) AS order_count"
+PER_PRODUCT = grouped("product", money("total_revenue"))
+PER_CUSTOMER = grouped("customer_id, region", money("total_revenue"), ROWS)
+PER_DAY = grouped("order_date", money("daily_revenue"))
+
+
 # ------------------------------------------------------------ aggregation --
 
 @register("agg_region", S + f"""SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   COUNT(*) AS order_count FROM sales GROUP BY region""")
 def q_agg_region(spark, d):
-    return agg.by_region(b.order_grain(spark, d))
+    return agg.by_region(b.order_facts(spark, d))
 
 
 @register("agg_total", S + f"""SELECT CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   COUNT(*) AS total_orders FROM sales""")
 def q_agg_total(spark, d):
-    return agg.total(b.order_grain(spark, d))
+    return agg.total(b.order_facts(spark, d))
 
 
 @register("agg_avg", S + f"""SELECT AVG({REV}) AS avg_order_value,
   CAST(SUM({REV}) AS DOUBLE) / COUNT(*) AS avg_order_value_manual FROM sales""")
 def q_agg_avg(spark, d):
-    return agg.average(b.order_grain(spark, d))
+    return agg.average(b.order_facts(spark, d))
 
 
 @register("agg_product", S + f"""SELECT product, CAST(SUM({REV}) AS BIGINT) AS total_revenue,
   CAST(SUM(quantity) AS BIGINT) AS total_quantity_sold, COUNT(*) AS order_count
   FROM sales GROUP BY product""")
 def q_agg_product(spark, d):
-    return agg.by_product(b.part_grain(spark, d))
+    return agg.by_product(b.product_facts(spark, d))
 
 
 @register("agg_region_multi", S + f"""SELECT region AS Region,
   CAST(SUM({REV}) AS BIGINT) AS Total_Revenue, CAST(SUM(quantity) AS BIGINT) AS Total_Quantity
   FROM sales GROUP BY region""")
 def q_agg_region_multi(spark, d):
-    return agg.by_region_multi(b.order_grain(spark, d))
+    return agg.by_region_multi(b.order_facts(spark, d))
 
 
 @register("agg_daily", S + f"""SELECT order_date, CAST(SUM({REV}) AS BIGINT) AS daily_revenue,
   COUNT(*) AS daily_orders FROM sales GROUP BY order_date""")
 def q_agg_daily(spark, d):
-    return agg.daily(b.order_grain(spark, d))
+    return agg.daily(b.order_facts(spark, d))
 
 
 @register("agg_filtered", S + f"""SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue
   FROM sales WHERE region = '{REGION_FILTER}' GROUP BY region""")
 def q_agg_filtered(spark, d):
-    return agg.filtered_region(b.order_grain(spark, d), REGION_FILTER)
+    return agg.filtered_region(b.order_facts(spark, d), REGION_FILTER)
 
 
 @register("agg_customer_region", S + f"""SELECT customer_id, region,
   CAST(SUM({REV}) AS BIGINT) AS total_revenue, COUNT(*) AS order_count
   FROM sales GROUP BY customer_id, region""")
 def q_agg_customer_region(spark, d):
-    return agg.customer_region(b.order_grain(spark, d))
+    return agg.customer_region(b.order_facts(spark, d))
 
 
-@register("agg_region_avg", S + f""", region_summary AS (
-  SELECT region, CAST(SUM({REV}) AS BIGINT) AS total_revenue, COUNT(*) AS order_count
-  FROM sales GROUP BY region)
-SELECT region, total_revenue, order_count,
-  CAST(total_revenue AS DOUBLE) / order_count AS avg_order_value FROM region_summary""")
+@register("agg_region_avg", S + f"""SELECT *, CAST(total_revenue AS DOUBLE) / order_count
+  AS avg_order_value FROM {grouped("region", money("total_revenue"), ROWS)}""")
 def q_agg_region_avg(spark, d):
-    return agg.region_average(b.order_grain(spark, d))
+    return agg.region_average(b.order_facts(spark, d))
 
 
 @register("agg_daily_customers", S + f"""SELECT order_date,
   CAST(SUM({REV}) AS BIGINT) AS daily_revenue,
   COUNT(DISTINCT customer_id) AS unique_customers FROM sales GROUP BY order_date""")
 def q_agg_daily_customers(spark, d):
-    return agg.daily_customers(b.order_grain(spark, d))
+    return agg.daily_customers(b.order_facts(spark, d))
 
 
 @register("agg_items_ratio", with_(S_ORDERS, S_ITEMS) + """SELECT
@@ -153,7 +157,7 @@ SELECT CAST(COALESCE(SUM(order_count), 0) AS BIGINT) AS record_count,
   MAX(total_revenue) AS best_value,
   format('{{:,.2f}}', CAST(COALESCE(SUM(total_revenue), 0) AS DOUBLE)) AS total_text FROM g""")
 def q_rep_summary(spark, d):
-    return agg.pipeline_summary(agg.by_region(b.order_grain(spark, d)), "region",
+    return agg.pipeline_summary(agg.by_region(b.order_facts(spark, d)), "region",
                                 "total_revenue", "order_count")
 
 
@@ -190,7 +194,7 @@ def q_filt_and(spark, d):
   CAST(SUM({REV}) AS BIGINT) AS Total_Revenue, CAST(SUM(quantity) AS BIGINT) AS Total_Quantity
   FROM sales GROUP BY region) WHERE Total_Revenue < {REGION_LOW_BELOW}""")
 def q_filt_threshold(spark, d):
-    return agg.by_region_multi(b.order_grain(spark, d)).where(
+    return agg.by_region_multi(b.order_facts(spark, d)).where(
         F.col("Total_Revenue") < F.lit(REGION_LOW_BELOW))
 
 
@@ -217,7 +221,7 @@ def q_lim_verify5(spark, d):
 @register("top2_products", S + f"""SELECT product, CAST(SUM({REV}) AS BIGINT) AS total_revenue
   FROM sales GROUP BY product ORDER BY total_revenue DESC, product LIMIT 2""")
 def q_top2_products(spark, d):
-    return (windows.product_revenue(b.part_grain(spark, d))
+    return (windows.product_revenue(b.product_facts(spark, d))
             .orderBy(F.desc("total_revenue"), "product").limit(2))
 
 
@@ -225,7 +229,7 @@ def q_top2_products(spark, d):
   CAST(SUM(quantity) AS BIGINT) AS Total_Quantity FROM sales GROUP BY region
   ORDER BY Total_Revenue DESC, Region LIMIT 1""")
 def q_top_region(spark, d):
-    return agg.by_region_multi(b.order_grain(spark, d)).limit(1)
+    return agg.by_region_multi(b.order_facts(spark, d)).limit(1)
 
 
 @register("set_union_all", with_(S_CUSTOMERS, S_ORDERS, S_ITEMS) + """
@@ -239,8 +243,8 @@ def q_set_union_all(spark, d):
 
 
 @register("subq_scalar", S + """SELECT (SELECT COUNT(*) FROM sales) AS total_rows,
-  (SELECT CAST(SUM(order_count) AS BIGINT) FROM (SELECT COUNT(*) AS order_count FROM sales
-   GROUP BY region) AS region_counts) AS aggregated_rows""")
+  (SELECT CAST(SUM(c) AS BIGINT) FROM (SELECT COUNT(*) AS c FROM sales GROUP BY region))
+  AS aggregated_rows""")
 def q_subq_scalar(spark, d):
     return reconcile.group_loss(b.sales(spark, d), "region").drop("rows_match")
 
@@ -304,8 +308,8 @@ def q_cross_preview(spark, d):
 
 
 @register("cross_count", with_(S_ORDERS, S_CUSTOMERS, S_ITEMS) + """SELECT
-  (SELECT COUNT(*) FROM s_orders) * (SELECT COUNT(*) FROM s_customers)
-  * (SELECT COUNT(*) FROM s_items) AS cartesian_product_rows""")
+  CAST((SELECT COUNT(*) FROM s_orders)::HUGEINT * (SELECT COUNT(*) FROM s_customers)
+  * (SELECT COUNT(*) FROM s_items) AS DECIMAL(38,0)) AS cartesian_product_rows""")
 def q_cross_count(spark, d):
     return joins.cross_count(b.orders(spark, d), b.customers(spark, d), b.order_items(spark, d))
 
@@ -358,8 +362,8 @@ def q_rec_join_revenue(spark, d):
 
 
 @register("rec_fanout", with_(S_ORDERS, S_CUSTOMERS, S_ITEMS) + f"""SELECT
-  (SELECT COUNT(*) FROM s_orders) * (SELECT COUNT(*) FROM s_customers)
-  * (SELECT COUNT(*) FROM s_items) AS cartesian_product_rows,
+  CAST((SELECT COUNT(*) FROM s_orders)::HUGEINT * (SELECT COUNT(*) FROM s_customers)
+  * (SELECT COUNT(*) FROM s_items) AS DECIMAL(38,0)) AS cartesian_product_rows,
   (SELECT COUNT(*) FROM {JOIN3}) AS joined_rows,
   (SELECT COUNT(*) FROM s_items) AS order_items_rows,
   (SELECT COUNT(*) FROM {JOIN3}) = (SELECT COUNT(*) FROM s_items) AS join_preserves_rows""")
@@ -414,145 +418,115 @@ def q_rec_allclose(spark, d):
   FROM s_items GROUP BY order_id),
  bb AS (SELECT o.order_id, CAST(SUM(oi.quantity * oi.price) AS BIGINT) AS actual_revenue
   FROM {JOIN3} GROUP BY o.order_id)
-SELECT a.order_id, expected_revenue, actual_revenue,
-  expected_revenue = actual_revenue AS revenue_matches
-FROM a JOIN bb ON a.order_id = bb.order_id""")
+SELECT COALESCE(a.order_id, bb.order_id) AS order_id, expected_revenue, actual_revenue,
+  expected_revenue IS NOT DISTINCT FROM actual_revenue AS revenue_matches
+FROM a FULL OUTER JOIN bb ON a.order_id = bb.order_id""")
 def q_rec_row_check(spark, d):
-    items = b.order_items(spark, d)
-    exp = items.groupBy("order_id").agg(F.sum(agg.revenue()).alias("expected_revenue"))
-    act = _joined(spark, d).groupBy("order_id").agg(F.sum(agg.revenue()).alias("actual_revenue"))
-    return (exp.join(act, "order_id")
-            .withColumn("revenue_matches", F.col("expected_revenue") == F.col("actual_revenue")))
+    return reconcile.order_revenue_check(b.order_items(spark, d), _joined(spark, d))
 
 
 # ---------------------------------------------------------------- windows --
 
-PRODUCT_REV = S + f""", product_revenue AS (
-  SELECT product, CAST(SUM({REV}) AS BIGINT) AS total_revenue FROM sales GROUP BY product)
-"""
-CUSTOMER_REV = S + f""", customer_revenue AS (
-  SELECT customer_id, region, CAST(SUM({REV}) AS BIGINT) AS total_revenue,
-  COUNT(*) AS order_count FROM sales GROUP BY customer_id, region)
-"""
-DAILY = S + f""", daily_revenue AS (
-  SELECT order_date, CAST(SUM({REV}) AS BIGINT) AS daily_revenue FROM sales GROUP BY order_date)
-"""
-
-
-@register("win_rank_rownum", PRODUCT_REV + """SELECT product, total_revenue,
+@register("win_rank_rownum", S + f"""SELECT product, total_revenue,
   CAST(RANK() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS revenue_rank,
   CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product) AS BIGINT) AS row_number_rank
-  FROM product_revenue""")
+  FROM {PER_PRODUCT}""")
 def q_win_rank_rownum(spark, d):
-    return windows.rank_products(b.part_grain(spark, d))
+    return windows.rank_products(b.product_facts(spark, d))
 
 
-@register("win_rank_compare", PRODUCT_REV + """SELECT product, total_revenue,
+@register("win_rank_compare", S + f"""SELECT product, total_revenue,
   CAST(RANK() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS rank_value,
   CAST(DENSE_RANK() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS dense_rank_value,
   CAST(ROW_NUMBER() OVER (ORDER BY total_revenue DESC, product) AS BIGINT) AS row_number_value
-  FROM product_revenue""")
+  FROM {PER_PRODUCT}""")
 def q_win_rank_compare(spark, d):
-    # one row per product type, a bounded domain: the window is the plan;
-    # LEDGERLINE_RANK=distributed runs the any-size ranking instead
-    return windows.rank_compare(
-        b.part_grain(spark, d),
-        distributed=os.environ.get("LEDGERLINE_RANK") == "distributed")
+    return windows.rank_compare(b.product_facts(spark, d))
 
 
-@register("win_rank_region", CUSTOMER_REV + """SELECT customer_id, region, total_revenue,
+@register("win_rank_region", S + f"""SELECT customer_id, region, total_revenue,
   CAST(RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC) AS BIGINT)
-  AS rank_in_region FROM customer_revenue""")
+  AS rank_in_region FROM {PER_CUSTOMER}""")
 def q_win_rank_region(spark, d):
-    # the customer dimension fitting a broadcast bounds every region's size
-    return windows.rank_in_region(b.order_grain(spark, d),
-                                  distributed=b.use_distributed_rank(spark, d))
+    return windows.rank_in_region(b.order_facts(spark, d))
 
 
-@register("win_top2_region", CUSTOMER_REV + """SELECT * FROM (SELECT customer_id, region,
+@register("win_top2_region", S + f"""SELECT * FROM (SELECT customer_id, region,
   total_revenue, order_count,
   CAST(RANK() OVER (PARTITION BY region ORDER BY total_revenue DESC) AS BIGINT)
-  AS rank_in_region FROM customer_revenue) WHERE rank_in_region <= 2""")
+  AS rank_in_region FROM {PER_CUSTOMER}) WHERE rank_in_region <= 2""")
 def q_win_top2_region(spark, d):
-    return windows.top2_customers_per_region(b.order_grain(spark, d))
+    return windows.top2_customers_per_region(b.order_facts(spark, d))
 
 
-@register("win_top3_products", PRODUCT_REV + """SELECT * FROM (SELECT product, total_revenue,
+@register("win_top3_products", S + f"""SELECT * FROM (SELECT product, total_revenue,
   CAST(RANK() OVER (ORDER BY total_revenue DESC) AS BIGINT) AS revenue_rank
-  FROM product_revenue) WHERE revenue_rank <= 3""")
+  FROM {PER_PRODUCT}) WHERE revenue_rank <= 3""")
 def q_win_top3_products(spark, d):
-    return windows.top3_products(b.part_grain(spark, d))
+    return windows.top3_products(b.product_facts(spark, d))
 
 
-@register("win_top_customer", CUSTOMER_REV + f"""SELECT region, customer_id AS top_customer,
+@register("win_top_customer", S + f"""SELECT region, customer_id AS top_customer,
   total_revenue, order_count,
   CASE WHEN total_revenue >= {CUSTOMER_HIGH_FROM} THEN 'HIGH_VALUE'
        WHEN total_revenue >= {CUSTOMER_MEDIUM_FROM} THEN 'MEDIUM_VALUE'
        ELSE 'LOW_VALUE' END AS customer_segment
   FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY region ORDER BY total_revenue DESC,
-        customer_id) AS rn FROM customer_revenue) WHERE rn = 1""")
+        customer_id) AS rn FROM {PER_CUSTOMER}) WHERE rn = 1""")
 def q_win_top_customer(spark, d):
-    return windows.top_customer_per_region(b.order_grain(spark, d), CUSTOMER_HIGH_FROM,
+    return windows.top_customer_per_region(b.order_facts(spark, d), CUSTOMER_HIGH_FROM,
                                            CUSTOMER_MEDIUM_FROM)
 
 
 LAG = "LAG(daily_revenue, 1) OVER (ORDER BY order_date)"
 
 
-@register("ts_lag", DAILY + f"""SELECT order_date, daily_revenue, {LAG} AS previous_day_revenue
-  FROM daily_revenue""")
+@register("ts_lag", S + f"""SELECT order_date, daily_revenue, {LAG} AS previous_day_revenue
+  FROM {PER_DAY}""")
 def q_ts_lag(spark, d):
-    return windows.lag_daily(b.order_grain(spark, d), distributed=_distributed_windows())
+    return windows.lag_daily(b.order_facts(spark, d))
 
 
-@register("ts_trend_stable", DAILY + f"""SELECT order_date, daily_revenue,
+@register("ts_trend_stable", S + f"""SELECT order_date, daily_revenue,
   {LAG} AS previous_day_revenue, daily_revenue - {LAG} AS day_over_day_change,
   CASE WHEN daily_revenue > {LAG} THEN 'GROWTH' WHEN daily_revenue < {LAG} THEN 'DECLINE'
-  ELSE 'STABLE' END AS trend FROM daily_revenue""")
+  ELSE 'STABLE' END AS trend FROM {PER_DAY}""")
 def q_ts_trend_stable(spark, d):
-    return windows.trend_stable(b.order_grain(spark, d), distributed=_distributed_windows())
+    return windows.trend_stable(b.order_facts(spark, d))
 
 
-@register("ts_pct_change", DAILY + f""", daily_comparison AS (
-  SELECT order_date, daily_revenue, {LAG} AS previous_day_revenue FROM daily_revenue)
-SELECT order_date, daily_revenue, previous_day_revenue,
+@register("ts_pct_change", S + f"""SELECT order_date, daily_revenue, previous_day_revenue,
   {round2("(daily_revenue - previous_day_revenue) / NULLIF(previous_day_revenue, 0) * 100")}
-  AS percent_change FROM daily_comparison WHERE previous_day_revenue IS NOT NULL""")
+  AS percent_change FROM (SELECT *, {LAG} AS previous_day_revenue FROM {PER_DAY})
+  WHERE previous_day_revenue IS NOT NULL""")
 def q_ts_pct_change(spark, d):
-    return windows.pct_change(b.order_grain(spark, d), distributed=_distributed_windows())
+    return windows.pct_change(b.order_facts(spark, d))
 
 
-@register("ts_trend_na", DAILY + f""", daily_comparison AS (
-  SELECT order_date, daily_revenue, {LAG} AS previous_day_revenue,
-  daily_revenue - {LAG} AS day_over_day_change FROM daily_revenue)
-SELECT order_date, daily_revenue, previous_day_revenue, day_over_day_change,
+@register("ts_trend_na", S + f"""SELECT order_date, daily_revenue, previous_day_revenue, day_over_day_change,
   {round2("day_over_day_change / NULLIF(previous_day_revenue, 0) * 100")} AS percent_change,
   CASE WHEN day_over_day_change > 0 THEN '↑ GROWTH' WHEN day_over_day_change < 0
   THEN '↓ DECLINE' WHEN day_over_day_change = 0 THEN '→ STABLE' ELSE 'N/A' END AS trend
-  FROM daily_comparison""")
+  FROM (SELECT *, {LAG} AS previous_day_revenue, daily_revenue - {LAG} AS day_over_day_change
+  FROM {PER_DAY})""")
 def q_ts_trend_na(spark, d):
-    return windows.trend_na(b.order_grain(spark, d), distributed=_distributed_windows())
+    return windows.trend_na(b.order_facts(spark, d))
 
 
-@register("ts_rolling7", DAILY + """SELECT order_date, daily_revenue,
+@register("ts_rolling7", S + f"""SELECT order_date, daily_revenue,
   AVG(daily_revenue) OVER (ORDER BY order_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)
-  AS rolling_7day_avg FROM daily_revenue""")
+  AS rolling_7day_avg FROM {PER_DAY}""")
 def q_ts_rolling7(spark, d):
-    return windows.rolling7(b.order_grain(spark, d), distributed=_distributed_windows())
-
-
-@register("ts_daily_full", S + f""", daily_summary AS (
-  SELECT order_date, CAST(SUM({REV}) AS BIGINT) AS daily_revenue,
-  COUNT(DISTINCT customer_id) AS unique_customers FROM sales GROUP BY order_date),
- daily_trends AS (SELECT *, LAG(daily_revenue, 1) OVER (ORDER BY order_date) AS prev_day_revenue
-  FROM daily_summary)
-SELECT order_date, daily_revenue, unique_customers, prev_day_revenue,
-  daily_revenue - prev_day_revenue AS day_over_day_change,
-  CASE WHEN daily_revenue - prev_day_revenue > 0 THEN 'GROWTH'
-       WHEN daily_revenue - prev_day_revenue < 0 THEN 'DECLINE' ELSE 'STABLE' END AS trend
-  FROM daily_trends""")
+    return windows.rolling7(b.order_facts(spark, d))
+
+
+@register("ts_daily_full", S + f"""SELECT *, daily_revenue - prev_day_revenue
+  AS day_over_day_change, CASE WHEN daily_revenue > prev_day_revenue THEN 'GROWTH'
+  WHEN daily_revenue < prev_day_revenue THEN 'DECLINE' ELSE 'STABLE' END AS trend
+  FROM (SELECT *, {LAG} AS prev_day_revenue FROM {grouped("order_date", money("daily_revenue"),
+                                                         "COUNT(DISTINCT customer_id) AS unique_customers")})""")
 def q_ts_daily_full(spark, d):
-    return windows.daily_full(b.order_grain(spark, d), distributed=_distributed_windows())
+    return windows.daily_full(b.order_facts(spark, d))
 
 
 # ------------------------------------------------------------------ rules --
@@ -577,12 +551,12 @@ def q_rule_short_class(spark, d):
                                       rules.SHORT_LABELS).alias("category"))
 
 
-@register("rule_segment", CUSTOMER_REV + f"""SELECT customer_id, region, total_revenue,
+@register("rule_segment", S + f"""SELECT customer_id, region, total_revenue,
   CASE WHEN total_revenue >= {CUSTOMER_HIGH_FROM} THEN 'HIGH_VALUE'
        WHEN total_revenue >= {CUSTOMER_MEDIUM_FROM} THEN 'MEDIUM_VALUE'
-       ELSE 'LOW_VALUE' END AS customer_segment FROM customer_revenue""")
+       ELSE 'LOW_VALUE' END AS customer_segment FROM {PER_CUSTOMER}""")
 def q_rule_segment(spark, d):
-    t = agg.customer_region(b.order_grain(spark, d))
+    t = agg.customer_region(b.order_facts(spark, d))
     return t.select("customer_id", "region", "total_revenue",
                     rules.segment("total_revenue", CUSTOMER_HIGH_FROM, CUSTOMER_MEDIUM_FROM)
                     .alias("customer_segment"))
@@ -594,5 +568,5 @@ def q_rule_segment(spark, d):
 def q_rep_low_regions(spark, d):
     """Quarantine split: one small aggregate, flagged; the two outputs are
     the two filters on the flag."""
-    return agg.by_region_multi(b.order_grain(spark, d)).withColumn(
+    return agg.by_region_multi(b.order_facts(spark, d)).withColumn(
         "low_performing", F.col("Total_Revenue") < F.lit(REGION_LOW_BELOW))

@@ -146,24 +146,11 @@ def q_dq_report(spark, d):
 
 # ---------------------------------------------------------- sources, sinks --
 
-_exports: dict[tuple[str, str], str] = {}
-
-
 def _sales_csv(spark, d):
-    """sales written once (per table folder and checkpoint folder) as a
-    header CSV folder under the shared checkpoint folder; the CSV source
-    queries all read this one export."""
-    key = (d, spark.conf.get("spark.checkpoint.dir", ""))
-    path = _exports.get(key)
-    jvm = spark.sparkContext._jvm
-    if path is not None:
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        if hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp):
-            return path
-    path = scratch_path(spark, "sales_csv")
-    sinks.write_csv(b.sales(spark, d), path)
-    _exports[key] = path
-    return path
+    """sales written as a header CSV folder under the shared checkpoint
+    folder, afresh for each call, so the export is never older than its
+    tables."""
+    return sinks.write_csv(b.sales(spark, d), scratch_path(spark, "sales_csv"))
 
 
 @register("src_csv_typed", S + """SELECT *, false AS malformed, 0 AS bad_cells FROM sales""")
@@ -219,7 +206,7 @@ def q_sink_csv(spark, d):
     """Region summary written as header CSV and read back: the read-back
     frame must equal the summary."""
     from ledgerline.operators import aggregate as agg
-    summ = agg.by_region_multi(b.order_grain(spark, d))
+    summ = agg.by_region_multi(b.order_facts(spark, d))
     path = sinks.write_csv(summ, scratch_path(spark, "regional_summary"))
     return sinks.read_back_csv(summ, path)
 

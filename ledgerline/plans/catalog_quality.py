@@ -171,11 +171,9 @@ def q_dq_columns_docs(spark, d):
 
 @register("dup_text_rows", with_(R.DOCS_CTE) + f""", k AS (SELECT row_id,
   {O.row_key(DOCS)} AS k FROM {DC}), f AS (SELECT k, MIN(row_id) AS first FROM k GROUP BY k)
-SELECT k.row_id FROM k JOIN f ON k.k = f.k WHERE k.row_id > f.first
-ORDER BY k.row_id LIMIT 100""")
+SELECT k.row_id FROM k JOIN f ON k.k = f.k WHERE k.row_id > f.first""")
 def q_dup_text_rows(spark, d):
-    return (Q.duplicate_rows(R.docs_raw(spark, d), DOCS, "row_id", fingerprints=True)
-            .orderBy("row_id").limit(Q.DUPLICATE_ROWS_REPORTED))
+    return Q.duplicate_rows(R.docs_raw(spark, d), DOCS, "row_id", fingerprints=True)
 
 
 # -------------------------------------------------------------- duplicates --
@@ -199,12 +197,12 @@ def q_dup_rows(spark, d):
   COUNT(*) AS distinct_rows, CAST(SUM(c - 1) AS BIGINT) AS duplicate_rows
   FROM (SELECT COUNT(*) AS c FROM documents GROUP BY text, lang, source)""")
 def q_dup_count(spark, d):
-    return dedup.duplicate_count(_docs(spark, d).drop("doc_id"), fingerprints=True)
+    return dedup.duplicate_count(_docs(spark, d).drop("doc_id"))
 
 
 @register("dup_drop", "SELECT DISTINCT text, lang, source FROM documents")
 def q_dup_drop(spark, d):
-    return dedup.drop_duplicates(_docs(spark, d).drop("doc_id"), fingerprints=True)
+    return dedup.drop_duplicates(_docs(spark, d).drop("doc_id"))
 
 
 # -------------------------------------------------------------- validation --

@@ -26,15 +26,15 @@ DEFAULTS = {
 
 # Shuffle sizing for a given input volume: about one initial shuffle
 # partition per 256 MB of input (projections and partial aggregation shrink
-# shuffle data well below the input), clamped; AQE then coalesces toward
-# the advisory size, so over-provisioning costs little and spills stay rare.
+# shuffle data well below the input), 200 at least; AQE then coalesces
+# toward the advisory size, so over-provisioning costs little and spills stay rare.
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 256 * 1024 * 1024
-MIN_SHUFFLE_PARTITIONS, MAX_SHUFFLE_PARTITIONS = 200, 100_000
+MIN_SHUFFLE_PARTITIONS = 200
 
 
 def shuffle_partitions_for(input_bytes: int) -> int:
     n = -(-int(input_bytes) // INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    return max(MIN_SHUFFLE_PARTITIONS, min(MAX_SHUFFLE_PARTITIONS, n))
+    return max(MIN_SHUFFLE_PARTITIONS, n)
 
 
 def get_spark(master: str | None = None, app: str = "ledgerline",
@@ -42,7 +42,7 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
               **conf: str) -> SparkSession:
     """Build (or reuse) a session with the library defaults.  Give either
     ``shuffle_partitions`` or the expected ``input_bytes`` (e.g. ~100 TB on
-    a cluster: 100,000 initial partitions, coalesced by AQE)."""
+    a cluster: about 373,000 initial partitions, coalesced by AQE)."""
     if shuffle_partitions is None and input_bytes:
         shuffle_partitions = shuffle_partitions_for(input_bytes)
     b = SparkSession.builder.appName(app)
@@ -61,7 +61,6 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
         b = b.config(k.replace("__", "."), v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
@@ -69,11 +68,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     A cluster names it in ``spark.checkpoint.dir``; it is read from the
-    session.  Only when it is unset (a local test) is a fresh scratch folder
-    created and set.
+    session.  Where it is unset, a local session gets a fresh scratch folder
+    and any other one is refused: a folder of one machine is not shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a shared folder (master {master})")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -86,16 +88,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     token = os.urandom(6).hex()
     return f"{base}/ledgerline/{name}-{token}"
-
-
-def spread_narrow(df):
-    """Spread rows over the cluster's parallelism before CPU-heavy per-row
-    work, when the input arrives in fewer partitions than that (a small
-    file is one scan task).  A no-op for inputs with enough splits, so on
-    big tables it adds nothing; round-robin repartitioning sorts rows first,
-    so a retried task sees the same rows."""
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df

@@ -16,56 +16,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.sources.tables import bounded_broadcast, read_table
+from ledgerline.sources.tables import read_table
 
 
 def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation key -> region name.  Both tables are fixed-size dimensions; the
-    pair is broadcast after its size is checked."""
+    """nation key -> region name."""
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    r = bounded_broadcast(r, (sf_dir, "region"))
-    nr = (n.join(r, n.n_regionkey == r.r_regionkey)
-          .select("n_nationkey", F.col("r_name").alias("region")))
-    return bounded_broadcast(nr, (sf_dir, "nation_region"))
-
-
-NATION_MAP_MAX = 10_000
-_nation_maps: dict[str, dict | None] = {}
-
-
-def nation_region_map(spark: SparkSession, sf_dir: str) -> dict | None:
-    """nation key -> region name as a Python dict, when the joined nation /
-    region pair is small (row count checked first) and its keys are unique;
-    else None.  At most ``NATION_MAP_MAX`` rows ever reach the driver."""
-    if sf_dir not in _nation_maps:
-        nr = nation_regions(spark, sf_dir)
-        rows = nr.limit(NATION_MAP_MAX + 1).collect()
-        keys = [r.n_nationkey for r in rows]
-        ok = len(rows) <= NATION_MAP_MAX and len(set(keys)) == len(keys)
-        _nation_maps[sf_dir] = {r.n_nationkey: r.region for r in rows} if ok else None
-    return _nation_maps[sf_dir]
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", F.col("r_name").alias("region"))
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "region")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customers(customer_id, customer_name, region).
-
-    The nation -> region step is a literal map lookup when that mapping is
-    small with unique keys (equal to the inner join: customers whose nation
-    has no region are dropped).  The dimension is then a plain projection of
-    the customer scan, so the planner sizes it right (its estimate of a join
-    is the product of the inputs) and broadcasts it only when it is small."""
+    """customers(customer_id, customer_name, region); customers whose nation
+    has no region are dropped, as by the inner join."""
     c = read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"), "c_nationkey")
-    m = nation_region_map(spark, sf_dir)
-    if m is not None:
-        lookup = F.create_map(*[x for k, v in sorted(m.items()) for x in (F.lit(k), F.lit(v))])
-        # membership, not a non-NULL value: equal to the inner join even for
-        # a nation whose region name is NULL
-        return (c.where(F.col("c_nationkey").isin(sorted(m)))
-                .withColumn("region", lookup[F.col("c_nationkey")])
-                .select("customer_id", "customer_name", "region"))
     nr = nation_regions(spark, sf_dir)
     return (c.join(nr, c.c_nationkey == nr.n_nationkey)
             .select("customer_id", "customer_name", "region"))
@@ -101,11 +67,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sales(order_id, order_date, customer_id, region, product, quantity,
     price): the reference's line-grain fact table.
 
-    Join order: when every dimension fits a broadcast, lines meet each one
-    in a broadcast join (one stage, no shuffle).  Otherwise orders x
-    customers is joined first, at order grain, then lines x that on order
-    key, then x parts: line rows are shuffled twice (order key, part key)
-    instead of three times (part key, order key, customer key)."""
+    Orders meet customers first, at order grain, then lines meet that on the
+    order key, then parts: where nothing fits a broadcast, line rows are
+    shuffled twice (order key, part key) instead of three times."""
     o = orders(spark, sf_dir)
     c = customers(spark, sf_dir).select("customer_id", "region")
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -113,9 +77,6 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("quantity"))
     p = products(spark, sf_dir)
     cols = ["order_id", "order_date", "customer_id", "region", "product", "quantity", "price"]
-    if dimensions_broadcastable(spark, sf_dir):
-        return (li.join(p, F.col("l_partkey") == p.p_partkey).join(o, "order_id")
-                .join(c, "customer_id").select(*cols))
     return (li.join(o.join(c, "customer_id"), "order_id")
             .join(p, F.col("l_partkey") == p.p_partkey).select(*cols))
 
@@ -186,88 +147,3 @@ def product_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("product", (F.col("_q") * F.col("price")).alias("_revenue"), "_lines",
                     F.when(F.col("price").isNotNull(), F.col("_nq")).otherwise(0).alias("_valued"),
                     F.col("_q").alias("_quantity")))
-
-
-# ------------------------------------------------- choosing the input grain --
-# When every dimension side (orders, customers, parts) is small enough for a
-# broadcast join, the line-grain plan needs no line-grain shuffle at all
-# (scan -> broadcast joins -> partial aggregate), and it is the faster plan.
-# Past that size each of those joins would shuffle every line, and the
-# pre-aggregated facts move far fewer rows.  The size test is the planner's
-# own estimate against the broadcast threshold; LEDGERLINE_FACTS=always /
-# never overrides it (tests run both).
-
-import os as _os
-
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
-
-
-def byte_size(text: str) -> int:
-    """Spark's byte-size setting text ('10485760b', '32MB', '-1') in bytes."""
-    import re
-    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
-    if not m or m.group(2).lower() not in _UNITS:
-        raise ValueError(f"not a byte size: {text!r}")
-    return int(m.group(1)) * _UNITS[m.group(2).lower()]
-
-
-def _broadcast_threshold(spark: SparkSession) -> int:
-    return byte_size(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes scaled by the columns
-    kept): the number the planner itself compares to the broadcast
-    threshold.  PySpark has no public call for it, so it is read from the
-    optimized plan's statistics; no job is run."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-_dims_small: dict[tuple[str, int], bool] = {}
-
-
-def dimensions_broadcastable(spark: SparkSession, sf_dir: str) -> bool:
-    thr = _broadcast_threshold(spark)
-    if thr <= 0:
-        return False
-    if (sf_dir, thr) in _dims_small:
-        return _dims_small[(sf_dir, thr)]
-    # base-table projections: basic statistics multiply the sizes of a
-    # join's inputs, and the 25-row nation/region side does not change size
-    sides = [orders(spark, sf_dir),
-             read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"),
-             products(spark, sf_dir)]
-    _dims_small[(sf_dir, thr)] = all(estimated_bytes(s) <= thr for s in sides)
-    return _dims_small[(sf_dir, thr)]
-
-
-def _use_facts(spark: SparkSession, sf_dir: str) -> bool:
-    mode = _os.environ.get("LEDGERLINE_FACTS", "auto")
-    if mode in ("always", "never"):
-        return mode == "always"
-    return not dimensions_broadcastable(spark, sf_dir)
-
-
-def order_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Input for aggregates of order, customer, date and region attributes:
-    ``sales`` (line grain) or ``order_facts``, chosen by size."""
-    return order_facts(spark, sf_dir) if _use_facts(spark, sf_dir) else sales(spark, sf_dir)
-
-
-def part_grain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Input for product aggregates: ``sales`` or ``product_facts``."""
-    return product_facts(spark, sf_dir) if _use_facts(spark, sf_dir) else sales(spark, sf_dir)
-
-
-def use_distributed_rank(spark: SparkSession, sf_dir: str) -> bool:
-    """Rank per region with ``rank_within`` unless the whole customer
-    dimension is small enough to broadcast (then any region fits one task).
-    LEDGERLINE_RANK=distributed / window overrides (tests run both)."""
-    mode = _os.environ.get("LEDGERLINE_RANK", "auto")
-    if mode in ("distributed", "window"):
-        return mode == "distributed"
-    thr = _broadcast_threshold(spark)
-    base = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return thr <= 0 or estimated_bytes(base) > thr

@@ -1,47 +1,15 @@
-"""Parquet table access and size-checked broadcast."""
+"""Parquet table access."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
-# Largest dimension (in rows) that is ever broadcast by an explicit hint.
-# Anything bigger is left to the planner / AQE, which broadcasts only from
-# measured runtime sizes.
-BROADCAST_MAX_ROWS = 100_000
-
-_row_counts: dict[tuple[str, str], int] = {}
-_schemas: dict[str, object] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the supplied Parquet tables; projection and filters given later
-    are pushed into this scan by Catalyst.  The schema is inferred from the
-    footer once per path and passed on later reads (no repeated footer
-    reads while plans are built)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _schemas.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _schemas[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, key: tuple[str, str] | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after its row count is checked.
-
-    The count is one small job on a dimension table and is remembered per
-    ``key`` (sf_dir, name).  Past ``max_rows`` the frame is returned as is, so
-    the join falls back to a shuffle join (or an AQE runtime broadcast).
-    """
-    n = _row_counts.get(key) if key else None
-    if n is None:
-        n = df.count()
-        if key:
-            _row_counts[key] = n
-    return F.broadcast(df) if n <= max_rows else df
+    are pushed into this scan by Catalyst.  Nothing is remembered between
+    calls, so a rewritten table is read as it is now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

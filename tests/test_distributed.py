@@ -145,48 +145,6 @@ def test_quality_and_dedup_do_not_depend_on_partitioning(spark):
         assert results(base.repartition(n).orderBy(F.rand(n))) == ref
 
 
-@pytest.mark.parametrize("parts", [1, 4])
-def test_global_ranks_match_windows(spark, parts):
-    rnd = random.Random(parts)
-    rows = [(f"p{i}", rnd.choice([5, 5, 7, 9, 11, rnd.randint(0, 300)])) for i in range(400)]
-    rows += [(None, 6), ("pn", None)]                  # a NULL key and a NULL value
-    df = spark.createDataFrame(rows, "product string, total_revenue bigint")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        got = sorted(map(tuple, windows.global_ranks(df, "product", "total_revenue").collect()),
-                     key=repr)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-    w = Window.orderBy(F.desc("total_revenue"))
-    exp = df.select("product", "total_revenue", F.rank().over(w).alias("a"),
-                    F.dense_rank().over(w).alias("b"),
-                    F.row_number().over(Window.orderBy(F.desc("total_revenue"), "product"))
-                    .alias("c"))
-    assert got == sorted(map(tuple, exp.collect()), key=repr)
-
-
-@pytest.mark.parametrize("parts", [None, 1, 5, 40])
-def test_lags_over_slices_match_window(spark, parts):
-    rnd = random.Random(7)
-    rows = [(i * 3 + rnd.randint(0, 2), None if rnd.random() < 0.1 else rnd.randint(-50, 50))
-            for i in range(120)]
-    df = spark.createDataFrame(rows, "d bigint, v bigint")
-    got = windows.lags_over_slices(df, "d", "v", 6, partitions=parts)
-    w = Window.orderBy("d")
-    exp = df.select("d", "v", *[F.lag("v", j).over(w).alias(f"_lag{j}") for j in range(1, 7)])
-    assert sorted(map(tuple, got.select(*exp.columns).collect())) == \
-        sorted(map(tuple, exp.collect()))
-
-
-def test_distributed_rolling_and_trend_match(spark):
-    from tests.fixtures import SALES_SCHEMA, sales_rows
-    s = spark.createDataFrame(sales_rows(14), SALES_SCHEMA).repartition(3)
-    for fn in (windows.rolling7, windows.trend_na, windows.daily_full, windows.pct_change):
-        a = sorted(map(tuple, fn(s).collect()))
-        b = sorted(map(tuple, fn(s, distributed=True).collect()))
-        assert a == b, fn.__name__
-
-
 def test_rank_within_keeps_null_groups(spark):
     rows = [(1, None, 5), (2, None, 7), (3, "a", 1), (4, "a", 9), (5, None, 7)]
     df = spark.createDataFrame(rows, "id int, g string, v int")

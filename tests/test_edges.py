@@ -109,12 +109,3 @@ def test_load_audit_header_and_rows_across_splits(spark, tmpdir_fresh):
     finally:
         spark.conf.set(key, old)
     assert (r.success, r.row_count, r.columns) == (True, 2000, ["n", "pad"])
-
-
-def test_byte_size_settings():
-    import pytest
-    from ledgerline.sources.bindings import byte_size
-    assert [byte_size(x) for x in ("10485760b", "32MB", "-1", "1g", "64k", "7")] == \
-        [10485760, 32 << 20, -1, 1 << 30, 64 << 10, 7]
-    with pytest.raises(ValueError):
-        byte_size("ten megs")

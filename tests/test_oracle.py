@@ -38,29 +38,6 @@ def test_all_queries_match_oracle(spark, duck):
     assert not bad, bad
 
 
-SCALE_PATH_KEYS = ["agg_region", "agg_total", "agg_avg", "agg_product", "agg_daily",
-                   "agg_filtered", "agg_customer_region", "agg_daily_customers", "rep_summary",
-                   "win_rank_rownum", "win_rank_compare", "win_rank_region", "win_top2_region", "win_top_customer",
-                   "ts_lag", "ts_trend_stable", "ts_pct_change", "ts_trend_na", "ts_rolling7",
-                   "ts_daily_full", "rule_segment", "top2_products"]
-
-
-def test_scale_paths_match_oracle(spark, duck, monkeypatch):
-    """The plans chosen for large dimensions (pre-aggregated facts, the
-    distributed rank) give the same results as the oracle."""
-    monkeypatch.setenv("LEDGERLINE_FACTS", "always")
-    monkeypatch.setenv("LEDGERLINE_RANK", "distributed")
-    qs, orc = E.queries(), E.oracle_sql()
-    bad = []
-    for k in SCALE_PATH_KEYS:
-        df = qs[k](spark, SF)
-        cur = duck.execute(orc[k])
-        dcols = [c[0] for c in cur.description]
-        if rows_of(df.columns, [tuple(r) for r in df.collect()]) != rows_of(dcols, cur.fetchall()):
-            bad.append(k)
-    assert not bad, bad
-
-
 NO_BROADCAST_KEYS = ["agg_region", "agg_product", "agg_daily_customers", "agg_filtered",
                      "proj_revenue", "join_three", "anti_orders", "anti_customers",
                      "anti_orders_items", "chk_fk", "rec_allclose", "rec_row_check",
@@ -70,8 +47,8 @@ NO_BROADCAST_KEYS = ["agg_region", "agg_product", "agg_daily_customers", "agg_fi
 
 
 def test_no_broadcast_plans_match_oracle(spark, duck):
-    """Broadcast joins off: every join is a sort-merge join and the
-    automatic choices pick the large-data paths; results stay exact."""
+    """Broadcast joins off: every join is a sort-merge join; results stay
+    exact."""
     keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
     old = {k: spark.conf.get(k, None) for k in keys}
     qs, orc = E.queries(), E.oracle_sql()
