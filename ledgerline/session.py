@@ -42,7 +42,7 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
               **conf: str) -> SparkSession:
     """Build (or reuse) a session with the library defaults.  Give either
     ``shuffle_partitions`` or the expected ``input_bytes`` (e.g. ~100 TB on
-    a cluster: about 373,000 initial partitions, coalesced by AQE)."""
+    a cluster: 409,600 initial partitions, coalesced by AQE)."""
     if shuffle_partitions is None and input_bytes:
         shuffle_partitions = shuffle_partitions_for(input_bytes)
     b = SparkSession.builder.appName(app)
