@@ -9,14 +9,22 @@ unigram counts, with exactly normalised weights:
              a(h) P(w)                               otherwise
 
 (the 1 in the denominators keeps something to back off with where no count is
-small).  The unigram level covers every training word; the bigram level covers
-pairs of the ``HEAD_WORDS`` most frequent ones, the model's stated vocabulary
-for histories: any other history backs off at once, with weight 1.
-
-Counts live in tables partitioned by a hash of the word or pair.  Documents
-are read in blocks; a block asks each partition for the words and pairs that
-it holds, and the partition answers with sums per document, so neither texts
-nor the model are gathered anywhere.  The blocks of a task are numbered in
+small).  Both levels cover every training word and every pair seen in
+training.  The score of a text is summed in three parts,
+
+    log P(w) + log a(h) of each token
+    log P(w|h) - log P(w) - log a(h) of each token whose pair was seen
+
+so that words, histories and pairs are each answered where they are stored.
+The ``HEAD_WORDS`` most frequent words are also kept in each task, which
+answers them itself and spreads their pairs by the pair's hash instead of by
+their own; the head decides nothing about what is counted.
+
+Words, backoff weights and pairs live in tables partitioned by a hash of the
+word, the history or the pair; a pair is known by a 64-bit hash.  Documents are
+read in blocks; a block asks each partition for the words and pairs that it
+holds, and the partition answers with sums per document, so neither texts nor
+the model are gathered anywhere.  The blocks of a task are numbered in
 reading order: the input must be a deterministic read, such as a table.
 """
 
@@ -35,13 +43,15 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import batch_of, map_arrow, saved, shuffle_partitions, texts_of
 
-HEAD_WORDS = 65_000                # with two more symbols a pair fits into 32 bits
+HEAD_WORDS = 65_000
 MAX_DISCOUNTED = 5
 BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 60_000
 CACHE_WORDS = 500_000
-PARTITIONS_PER_BUCKET = 8
+LEAST_BUCKETS = 12
+MERGE_PAIRS = 500_000
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))        # no word holds white space
-COUNTS, REQUEST, LOCAL = 0, 1, 2
+START = np.uint64(xxhash.xxh3_64_intdigest(b"\n\n"))
+COUNTS, SUMS, ASK_WORDS, ASK_PAIRS, LOCAL = range(5)
 
 
 # --- packing --------------------------------------------------------------------
@@ -81,12 +91,37 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]], dtype) -> tuple[np.ndarra
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def word_bucket(h: np.ndarray, n: int) -> np.ndarray:
-    return ((h >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
+def bucket_of(key: np.ndarray, n: int) -> np.ndarray:
+    return ((key >> np.uint64(33)) % np.uint64(n)).astype(np.int64)
 
 
-def pair_bucket(key: np.ndarray, n: int) -> np.ndarray:
-    return (((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(n)).astype(np.int64)
+def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """64-bit hash of (history, word), both hashes themselves."""
+    return h * np.uint64(0x9E3779B97F4A7C15) + w * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def _parts(at: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """The arrays' values by bucket."""
+    for k in np.unique(at):
+        own = at == k
+        yield int(k), [a[own] for a in arrays]
+
+
+def _pack_pairs(h: np.ndarray, w: np.ndarray, c: np.ndarray, of_word: np.ndarray | None = None) -> bytes:
+    """Pairs sorted by history, with counts; each word's hash (and value
+    ``of_word``) is kept once."""
+    own_h, h_at = np.unique(h, return_inverse=True)
+    own_w, place, w_at = np.unique(w, return_index=True, return_inverse=True)
+    order = np.argsort(h_at << 32 | w_at)
+    more = [] if of_word is None else [of_word[place].astype("<i8")]
+    return _pack(_deltas(own_h), np.bincount(h_at).astype("<u4"), _deltas(own_w), w_at[order].astype("<u4"),
+                 c[order].astype("<i8"), *more)
+
+
+def _unpack_pairs(blob: bytes) -> list[np.ndarray]:
+    """History, word and count of each pair, and the word's value if kept."""
+    h, times, w, at, c, *more = _unpack(blob, "<u8", "<u4", "<u8", "<u4", "<i8", "<i8")
+    return [np.repeat(_keys(h), times), _keys(w)[at], c, *(x[at] for x in more)]
 
 
 # --- blocks of documents ----------------------------------------------------------
@@ -111,11 +146,11 @@ class Block:
         self.table = np.array([*codes.hashes, END], dtype=np.uint64)
         lens = np.array([len(d) for d in docs], dtype=np.int64) + 1
         ends = np.cumsum(lens) - 1
-        self.code = np.full(int(lens.sum()), len(self.table) - 1, np.int64)
+        self.code = np.full(int(lens.sum()), len(self.table) - 1, np.int32)
         inner = np.ones(len(self.code), bool)
         inner[ends] = False
         self.code[inner] = np.concatenate(docs)
-        self.doc = np.repeat(np.arange(len(docs)), lens)
+        self.doc = np.repeat(np.arange(len(docs), dtype=np.int32), lens)
         self.starts = ends - lens + 1
         self.lens, self.train = lens, np.array(train, dtype=bool)
 
@@ -126,6 +161,15 @@ class Block:
         order = own[np.argsort(self.table[own])]
         return self.table[order], n[order]
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of history and word per code, START last; the history of each
+        token and a code of its pair (history, word)."""
+        table = np.append(self.table, START)
+        h = np.empty_like(self.code)
+        h[1:] = self.code[:-1]
+        h[self.starts] = len(self.table)
+        return table, h, h.astype(np.int64) * len(table) + self.code
+
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list, list]]:
     """(block, doc ids, held out) of batches with doc_id, text, train."""
@@ -133,7 +177,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, list, lis
     for b in batches:
         for d, t, tr in zip(b.column("doc_id").to_pylist(), texts_of(b), b.column("train").to_pylist()):
             w = t.encode("utf-8", "surrogatepass").lower().split()
-            docs.append(np.fromiter(map(codes.__getitem__, w), np.int64, len(w)))
+            docs.append(np.fromiter(map(codes.__getitem__, w), np.int32, len(w)))
             ids.append(d)
             train.append(tr)
             size += len(w) + 1
@@ -177,44 +221,39 @@ class Model:
     bounded by HEAD_WORDS."""
 
     def __init__(self, head: np.ndarray, counts: np.ndarray, tokens: int, types: int, docs: int,
-                 n_r: np.ndarray, word_buckets: int, pair_buckets: int):
-        self.head, self.tokens, self.types, self.docs = head, tokens, types, docs
-        self.word_buckets, self.pair_buckets = word_buckets, pair_buckets
+                 n_r: np.ndarray, buckets: int):
+        self.head, self.tokens, self.types, self.docs, self.buckets = head, tokens, types, docs, buckets
         self.d1 = discounts(n_r)
         small = np.arange(1, MAX_DISCOUNTED + 1)
         kept = tokens - (small * n_r[1:-1] * (1 - self.d1[1:])).sum()
         self.unknown = 1 - kept / (tokens + 1)
-        # history counts: head words, then the start of a document
-        self.history = np.append(counts, docs).astype(np.float64)
+        # history counts: head words, the start of a document; 0 for the others
         self.counts = counts.astype(np.int64)
+        self.history = np.concatenate([counts, [docs, 0]]).astype(np.float64)
         self.start, self.tail = len(head), len(head) + 1
-        self.p1 = discounted(counts, self.d1) / (tokens + 1)
-        self.d2, self.backoff = np.ones(MAX_DISCOUNTED + 1), np.ones(len(head) + 1)
+        self.logs1 = self.word_logs(self.counts)
+        self.d2, self.backoff = np.ones(MAX_DISCOUNTED + 1), np.ones(len(head) + 2)
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
-        """Head ids; ``tail`` for other words."""
+        """Head ids; ``start`` for START and ``tail`` for other words."""
+        other = np.where(hashes == START, self.start, self.tail)
         if not len(self.head):
-            return np.full(len(hashes), self.tail, np.int64)
+            return other
         at = np.minimum(np.searchsorted(self.head, hashes), len(self.head) - 1)
-        return np.where(self.head[at] == hashes, at, self.tail)
+        return np.where(self.head[at] == hashes, at, other)
 
     def word_logs(self, counts: np.ndarray) -> np.ndarray:
         return np.log10(np.where(counts > 0, discounted(counts, self.d1) / (self.tokens + 1), self.unknown))
 
-    def pair_logs(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        h, w = (keys >> np.uint32(16)).astype(np.int64), (keys & np.uint32(0xFFFF)).astype(np.int64)
-        seen = discounted(counts, self.d2) / (self.history[h] + 1)
-        return np.log10(np.where(counts > 0, seen, self.backoff[h] * self.p1[w]))
-
+    def pair_buckets(self, h_ids: np.ndarray, h: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Where a pair is stored: with its history, or by its own hash if the
+        history is in the head."""
+        return bucket_of(np.where(h_ids == self.tail, h, key), self.buckets)
 
-def _pairs(b: Block, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(history id, word id) per token, tail = outside the head; the third is
-    the mask of tokens with both inside."""
-    w = m.ids(b.table)[b.code]
-    h = np.empty_like(w)
-    h[1:] = w[:-1]
-    h[b.starts] = m.start
-    return h, w, (h != m.tail) & (w != m.tail)
+    def weights(self, mass: np.ndarray, below: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """a(h): the mass that the seen pairs leave, over that of the words not
+        seen behind h."""
+        return (1 - mass / (count + 1)) / np.maximum(1 - below, self.unknown)
 
 
 # --- training ------------------------------------------------------------------------
@@ -237,7 +276,7 @@ def _docs(docs: DataFrame, train) -> DataFrame:
 
 
 def _reduce(rows: DataFrame, key: str, extra: str, summary) -> DataFrame:
-    """Sum the COUNTS rows of each bucket into one (bucket, payload) row with
+    """Sum the count rows of each bucket into one (bucket, payload) row with
     what ``summary(keys, counts)`` adds to it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -270,11 +309,9 @@ def _word_counts(docs: DataFrame, buckets: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, _, _ in blocks(batches):
             h, n = b.counted()
-            at = word_bucket(h, buckets)
-            for k in np.unique(at):
-                own = at == k
+            for k, (own, times) in _parts(bucket_of(h, buckets), h, n):
                 yield batch_of(_ROWS_ARROW, bucket=[k], kind=[COUNTS], block=[0],
-                               payload=[_pack(_deltas(h[own]), n[own].astype("<i8"))])
+                               payload=[_pack(_deltas(own), times.astype("<i8"))])
 
     def summary(keys, counts):
         grade, n = np.unique(_grade(counts), return_counts=True)
@@ -310,12 +347,101 @@ def _head(words: DataFrame, grades: dict[int, int], limit: int) -> tuple[np.ndar
     return h[order], n[order]
 
 
-def train(docs: DataFrame, train_rows, head_words: int = HEAD_WORDS) -> tuple[Model, DataFrame, DataFrame]:
+def _add_pairs(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (history, word) with their summed counts."""
+    h, w, c = (np.concatenate(x) for x in zip(*parts))
+    key = pair_key(h, w)
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return h[order[first]], w[order[first]], np.add.reduceat(c[order], first)
+
+
+def _pair_counts(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
+    """Table of the training pairs' counts beside their words' (COUNTS), in the
+    buckets of Model.pair_buckets, with the sums of the head's histories
+    (SUMS).  Pairs are summed where their word's count is: with the word, or
+    anywhere (by their own hash) if it is in the head."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shipped.value
+        for b, _, _ in blocks(batches):
+            table, _, code = b.pairs()
+            code, n = np.unique(code[b.train[b.doc]], return_counts=True)
+            h, at = table[code // len(table)], code % len(table)
+            w = table[at]
+            to = bucket_of(np.where((m.ids(table) == m.tail)[at], w, pair_key(h, w)), m.buckets)
+            for k, x in _parts(to, h, w, n):
+                yield batch_of(_ROWS_ARROW, bucket=[k], kind=[SUMS], block=[0], payload=[_pack_pairs(*x)])
+
+    schema = pa.schema([*_ROWS_ARROW, ("n_r", pa.list_(pa.int64()))])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, bucket, held, keys, counts = shipped.value, None, [], None, None
+
+        def close():
+            h, w, c = _add_pairs(held)
+            w_ids, h_ids = m.ids(w), m.ids(h)
+            n = np.append(m.counts, [0, 0])[w_ids]
+            rare = w_ids == m.tail
+            if rare.any():
+                n[rare] = counts[np.searchsorted(keys, w[rare])]
+            for k, x in _parts(m.pair_buckets(h_ids, h, pair_key(h, w)), h, w, c, n):
+                yield batch_of(schema, bucket=[k], kind=[COUNTS], block=[bucket], payload=[_pack_pairs(*x)], n_r=[None])
+            common = h_ids != m.tail
+            own, at = np.unique(h_ids[common], return_inverse=True)
+            c_own, grade = c[common], np.minimum(c[common], MAX_DISCOUNTED + 1)
+            sums = [np.bincount(at, np.where(grade == r, c_own, 0), len(own)) for r in range(1, MAX_DISCOUNTED + 2)]
+            below = np.bincount(at, 10.0 ** m.word_logs(n[common]), len(own))
+            n_r = np.bincount(np.minimum(c, MAX_DISCOUNTED + 2), minlength=MAX_DISCOUNTED + 2)[:MAX_DISCOUNTED + 2]
+            yield batch_of(schema, bucket=[bucket], kind=[SUMS], block=[bucket],
+                           payload=[_pack(own.astype("<i8"), below, *sums)], n_r=[n_r.tolist()])
+
+        for b in batches:
+            for k, kind, p in zip(*(b.column(x).to_pylist() for x in ("bucket", "kind", "payload"))):
+                if k != bucket:
+                    if held:
+                        yield from close()
+                    bucket, held, keys, counts = k, [], np.empty(0, "<u8"), np.empty(0, np.int64)
+                if kind == COUNTS:
+                    d, counts = _unpack(p, "<u8", "<i8")
+                    keys = _keys(d)
+                    continue
+                held.append(_unpack_pairs(p))
+                if sum(len(x[0]) for x in held[1:]) >= len(held[0][0]) + MERGE_PAIRS:
+                    held = [_add_pairs(held)]
+        if held:
+            yield from close()
+
+    stored = words.select("bucket", F.lit(COUNTS).alias("kind"), F.lit(0).cast("long").alias("block"), "payload")
+    rows = map_arrow(docs.filter("train"), count, _ROWS).unionByName(stored)
+    return saved(map_arrow(_by_bucket(rows), add, f"{_ROWS}, n_r array<long>"), "katz-pairs")
+
+
+class _Table:
+    """One bucket of the model: its words outside the head with count and
+    log a, and its pairs with log P(w|h) - log P(w) - log a(h)."""
+
+    def __init__(self, m: Model, parts: list):
+        h, w, c, n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.empty(0, t) for t in ("<u8", "<u8", "<i8", "<i8"))
+        ids, mass, log1 = m.ids(h), discounted(c, m.d2), m.word_logs(n)
+        rare = ids == m.tail
+        self.words, at = np.unique(h[rare], return_inverse=True)
+        size = len(self.words)
+        self.counts = np.bincount(at, c[rare], size).astype(np.int64)
+        self.log_a = np.log10(m.weights(np.bincount(at, mass[rare], size), np.bincount(at, 10.0 ** log1[rare], size), self.counts))
+        gain = np.log10(mass) - log1 - (np.log10(m.history + 1) + np.log10(m.backoff))[ids]      # 0 outside the head
+        gain[rare] -= np.log10(self.counts + 1)[at] + self.log_a[at]
+        key = pair_key(h, w)
+        order = np.argsort(key)
+        self.pairs, self.gain = key[order], gain[order]
+
+
+def train(docs: DataFrame, train_rows, head_words: int = HEAD_WORDS) -> tuple[Model, DataFrame]:
     """Counts of the rows of ``docs`` (doc_id, text) where the condition
-    ``train_rows`` holds: the model and its two partitioned tables, of words
-    and of pairs (bucket, payload)."""
-    spark = docs.sparkSession
-    buckets = max(6, shuffle_partitions(spark) // PARTITIONS_PER_BUCKET)
+    ``train_rows`` holds: the model and its partitioned table."""
+    buckets = max(LEAST_BUCKETS, shuffle_partitions(docs.sparkSession))
     d = _docs(docs, train_rows)
     words = _word_counts(d, buckets)
     totals = words.agg(F.sum("tokens"), F.sum("types"), F.sum("docs")).first()
@@ -323,82 +449,74 @@ def train(docs: DataFrame, train_rows, head_words: int = HEAD_WORDS) -> tuple[Mo
     grades = {int(r.g): int(r.n) for r in words.select(F.explode(F.arrays_zip("grades", "sizes")).alias("z"))
               .groupBy(F.col("z.grades").alias("g")).agg(F.sum("z.sizes").alias("n")).collect()}
     n_r = np.array([0] + [grades.get(r, 0) for r in range(1, MAX_DISCOUNTED + 2)], dtype=float)
-    model = Model(*_head(words, grades, head_words), tokens, types, n_docs, n_r, buckets, buckets)
-    shipped = spark.sparkContext.broadcast(model)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shipped.value
-        for b, _, _ in blocks(batches):
-            h, w, both = _pairs(b, m)
-            both &= b.train[b.doc]
-            key, n = np.unique((h[both] << 16 | w[both]).astype(np.uint32), return_counts=True)
-            at = pair_bucket(key, m.pair_buckets)
-            for k in np.unique(at):
-                own = at == k
-                yield batch_of(_ROWS_ARROW, bucket=[k], kind=[COUNTS], block=[0],
-                               payload=[_pack(_deltas(key[own]), n[own].astype("<i8"))])
-
-    def summary(keys, counts):
-        return {"n_r": pa.array([np.bincount(np.minimum(counts, MAX_DISCOUNTED + 2), minlength=MAX_DISCOUNTED + 2)
-                                 [:MAX_DISCOUNTED + 2].tolist()], pa.list_(pa.int64()))}
-
-    pairs = saved(_reduce(map_arrow(d.filter("train"), count, _ROWS), "<u4", "n_r array<long>", summary), "katz-pairs")
+    head, counts = _head(words, grades, head_words)
+    if n_docs and END not in head:                          # the end is no history: always in the head
+        at = np.searchsorted(head, END)
+        head, counts = np.insert(head, at, END), np.insert(counts, at, n_docs)
+    model = Model(head, counts, tokens, types, n_docs, n_r, buckets)
+    pairs = _pair_counts(d, words, model)
     got = pairs.select(F.posexplode("n_r").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
     n_r = np.zeros(MAX_DISCOUNTED + 2)
     for r in got:
         n_r[r.r] = r.n
     model.d2 = discounts(n_r)
     _set_backoff(model, pairs)
-    return model, words, pairs
+    return model, pairs
 
 
 def _set_backoff(model: Model, pairs: DataFrame) -> None:
-    """a(h): the mass that the seen pairs leave, over that of the words not
-    seen behind h.  Sums per history come from every partition."""
-    shipped = pairs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("h", pa.int64()), ("mass", pa.float64()), ("below", pa.float64())])
+    """a(h) of the head's histories, whose sums come from every partition."""
+    names = ["below", *(f"s{r}" for r in range(1, MAX_DISCOUNTED + 2))]
+    schema = pa.schema([("h", pa.int64()), *((n, pa.float64()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shipped.value
         for b in batches:
             for p in b.column("payload").to_pylist():
-                delta, c = _unpack(p, "<u4", "<i8")
-                key = _keys(delta)
-                h = (key >> np.uint32(16)).astype(np.int64)
-                mass = np.bincount(h, discounted(c, m.d2), len(m.head) + 1)
-                below = np.bincount(h, m.p1[(key & np.uint32(0xFFFF)).astype(np.int64)], len(m.head) + 1)
-                at = np.flatnonzero(mass)
-                yield batch_of(schema, h=at, mass=mass[at], below=below[at])
-
-    sums = map_arrow(pairs.select("payload"), run, "h long, mass double, below double").groupBy("h") \
-        .agg(F.sum("mass").alias("mass"), F.sum("below").alias("below")).toPandas()     # HEAD_WORDS + 1 rows
+                h, *sums = _unpack(p, "<i8", *["<f8"] * len(names))
+                yield batch_of(schema, h=h, **dict(zip(names, sums)))
+
+    rows = map_arrow(pairs.filter(F.col("kind") == SUMS).select("payload"), run,
+                     ", ".join(["h long", *(f"{n} double" for n in names)]))
+    sums = rows.groupBy("h").agg(*[F.sum(n).alias(n) for n in names]).toPandas()                # HEAD_WORDS + 2 rows
     h = sums["h"].to_numpy(np.int64)
-    left = 1 - sums["mass"].to_numpy(float) / (model.history[h] + 1)
-    model.backoff[h] = left / np.maximum(1 - sums["below"].to_numpy(float), model.unknown)
+    mass = sums[names[1:]].to_numpy(float) @ np.append(model.d2[1:], 1.0)
+    model.backoff[h] = model.weights(mass, sums["below"].to_numpy(float), model.history[h])
 
 
 # --- scoring ---------------------------------------------------------------------------
 
-def _request(key: np.ndarray, doc: np.ndarray, dtype: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct sorted keys, their occurrences, the document of each."""
-    order = np.lexsort((doc, key)) if dtype == "<u8" else None
-    if order is None:
-        both = np.sort(key.astype(np.uint64) << np.uint64(16) | doc.astype(np.uint64))
-        key, doc = (both >> np.uint64(16)).astype(np.uint32), (both & np.uint64(0xFFFF)).astype("<u2")
+def _request(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct codes, their occurrences, the document of each."""
+    if len(code) and code.max() >= 1 << 47:                 # of one document of millions of words
+        order = np.lexsort((doc, code))
+        code, doc = code[order], doc[order].astype("<u2")
     else:
-        key, doc = key[order], doc[order].astype("<u2")
-    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    return key[first], np.diff(np.append(first, len(key))), doc
+        both = code << 16
+        both |= doc
+        both.sort()
+        doc = (both & 0xFFFF).astype("<u2")
+        code = np.right_shift(both, 16, out=both)
+    first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.empty(0, np.int64)
+    return code[first], np.diff(np.append(first, len(code))), doc
+
+
+def _split(at: np.ndarray, times: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Which of the keys go to a bucket, their occurrences and documents."""
+    of_doc = np.repeat(at.astype(np.int32), times)
+    for k in np.unique(at):
+        own = np.flatnonzero(at == k)
+        yield int(k), own, times[own], doc[of_doc == k]
 
 
-def _split(key, times, doc, at) -> Iterator[tuple[int, bytes]]:
-    of_doc = np.repeat(at, times)
-    for k in np.unique(at):
-        own = at == k
-        yield int(k), _pack(_deltas(key[own]), times[own].astype("<u4"), doc[of_doc == k])
+def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``asked`` in the sorted ``keys``, and whether they are there."""
+    if not len(keys):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return at, keys[at] == asked
 
 
-def score(docs: DataFrame, train_rows, model: Model, words: DataFrame, pairs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, train_rows, model: Model, pairs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row of ``docs`` (doc_id, text); NULL is the empty text, whose one
     token is the end."""
@@ -407,29 +525,36 @@ def score(docs: DataFrame, train_rows, model: Model, words: DataFrame, pairs: Da
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, part = shipped.value, TaskContext.get().partitionId()
-        for seq, (b, ids, train) in enumerate(blocks(batches)):
-            block, n = part << 24 | seq, len(ids)
-            h, w, both = _pairs(b, m)
-            out = []
-            key, times, doc = _request((h[both] << 16 | w[both]).astype(np.uint32), b.doc[both], "<u4")
-            out += [(k, REQUEST, p) for k, p in _split(key, times, doc, pair_bucket(key, m.pair_buckets))]
-            rare = w == m.tail
-            key, times, doc = _request(b.table[b.code[rare]], b.doc[rare], "<u8")
-            out += [(m.pair_buckets + k, REQUEST, p) for k, p in _split(key, times, doc, word_bucket(key, m.word_buckets))]
-            # what the head answers by itself: its words' unigram parts, words
-            # behind a rare one, and the backoff weight before a rare one
+        for seq, (b, doc_ids, _) in enumerate(blocks(batches)):
+            block, n = part << 24 | seq, len(doc_ids)
+            hashes, h, code = b.pairs()
+            ids = m.ids(hashes).astype(np.int32)
+            w, h = ids[b.code], ids[h]
+            rare, out = w == m.tail, []
+            own, times, doc = _request(b.code[rare].astype(np.int64), b.doc[rare])
+            for k, x, n_x, d in _split(bucket_of(hashes[own], m.buckets), times, doc):
+                out.append((k, ASK_WORDS, _pack(hashes[own[x]], n_x.astype("<u4"), d)))
+            own, times, doc = _request(code, b.doc)                  # sorted by history
+            del code
+            h_at, w_at = own // len(hashes), own % len(hashes)
+            key = pair_key(hashes[h_at], hashes[w_at])
+            for k, x, n_x, d in _split(m.pair_buckets(ids[h_at], hashes[h_at], key), times, doc):
+                first = np.flatnonzero(np.diff(h_at[x], prepend=-1))
+                own_w, at = np.unique(w_at[x], return_inverse=True)
+                out.append((k, ASK_PAIRS, _pack(hashes[h_at[x[first]]], np.diff(np.append(first, len(x))).astype("<u4"),
+                                                hashes[own_w], at.astype("<u4"), n_x.astype("<u4"), d)))
+            # what the head answers by itself: its words, and its weights as
+            # histories; a rare word brings its weight along
             common = ~rare
             own = np.bincount(b.doc[common], minlength=n)
-            base = np.bincount(b.doc[common], np.log10(m.counts[w[common]] + 1.0), n) if len(m.head) else np.zeros(n)
+            base = np.bincount(b.doc[common], np.log10(np.append(m.counts, [0, 0])[w[common]] + 1.0), n)
             base -= b.lens * np.log10(m.tokens + m.types + 1)
-            alone = common & (h == m.tail)
-            weight = rare & (h != m.tail)
-            value = np.bincount(b.doc[alone], np.log10(m.p1[w[alone]]), n) if len(m.head) else np.zeros(n)
-            value = value + np.bincount(b.doc[weight], np.log10(m.backoff[h[weight]]), n)
-            valid = np.array([i is not None for i in ids], dtype="u1")
-            local = _pack(np.array([i or 0 for i in ids], "<i8"), valid, (~b.train).astype("u1"),
+            value = np.bincount(b.doc[common], np.append(m.logs1, [0, 0])[w[common]], n)
+            value = value + np.bincount(b.doc, np.log10(m.backoff)[h], n)
+            valid = np.array([i is not None for i in doc_ids], dtype="u1")
+            local = _pack(np.array([i or 0 for i in doc_ids], "<i8"), valid, (~b.train).astype("u1"),
                           b.lens.astype("<i8"), own.astype("<i8"), base.astype("<f8"), value.astype("<f8"))
-            out.append((-1 - block % (m.pair_buckets + m.word_buckets), LOCAL, local))
+            out.append((-1 - block % m.buckets, LOCAL, local))
             yield batch_of(_ROWS_ARROW, bucket=[x[0] for x in out], kind=[x[1] for x in out],
                            block=[block] * len(out), payload=[x[2] for x in out])
 
@@ -446,24 +571,25 @@ def score(docs: DataFrame, train_rows, model: Model, words: DataFrame, pairs: Da
                                    doc_id=pa.array(ids, pa.int64(), mask=valid == 0), held_out=out.astype(bool),
                                    n_tokens=n, n_known=known, base=base, value=value)
                     continue
-                pair = k < m.pair_buckets
-                key_type = "<u4" if pair else "<u8"
                 if k != bucket:
-                    bucket, keys, counts = k, np.empty(0, key_type), np.empty(0, np.int64)
+                    bucket, parts, table = k, [], None
                 if kind == COUNTS:
-                    d, counts = _unpack(p, key_type, "<i8")
-                    keys = _keys(d)
+                    parts.append(_unpack_pairs(p))
                     continue
-                d, times, doc = _unpack(p, key_type, "<u4", "<u2")
-                asked = _keys(d)
-                c = np.zeros(len(asked), np.int64)
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                    c = np.where(keys[at] == asked, counts[at], 0)
-                value = np.bincount(doc, np.repeat(m.pair_logs(asked, c) if pair else m.word_logs(c), times))
-                if pair:
+                if table is None:
+                    table, parts = _Table(m, parts), []
+                if kind == ASK_PAIRS:
+                    h, n_h, w, at, times, doc = _unpack(p, "<u8", "<u4", "<u8", "<u4", "<u4", "<u2")
+                    at, found = _find(table.pairs, pair_key(np.repeat(h, n_h), w[at]))
+                    doc = doc[np.repeat(found, times)]
+                    value = np.bincount(doc, np.repeat(table.gain[at[found]], times[found]))
                     known, base = np.zeros(len(value), np.int64), np.zeros(len(value))
                 else:
+                    asked, times, doc = _unpack(p, "<u8", "<u4", "<u2")
+                    at, found = _find(table.words, asked)
+                    c, log = np.zeros(len(asked), np.int64), np.zeros(len(asked))
+                    c[found], log[found] = table.counts[at[found]], table.log_a[at[found]]
+                    value = np.bincount(doc, np.repeat(m.word_logs(c) + log, times))
                     known = np.bincount(doc, np.repeat(c > 0, times)).astype(np.int64)
                     base = np.bincount(doc, np.repeat(np.log10(c + 1.0), times))
                 i = np.unique(doc).astype(np.int32)
@@ -472,9 +598,7 @@ def score(docs: DataFrame, train_rows, model: Model, words: DataFrame, pairs: Da
                                held_out=pa.nulls(len(i), pa.bool_()), n_tokens=none,
                                n_known=known[i], base=base[i], value=value[i])
 
-    stored = pairs.select("bucket", "payload").unionByName(
-        words.select((F.col("bucket") + model.pair_buckets).alias("bucket"), "payload")) \
-        .select("bucket", F.lit(COUNTS).alias("kind"), F.lit(0).cast("long").alias("block"), "payload")
+    stored = pairs.filter(F.col("kind") == COUNTS).drop("n_r")
     asked = map_arrow(_docs(docs, train_rows), ask, _ROWS).unionByName(stored)
     answers = map_arrow(_by_bucket(asked), answer,
                         "block long, i int, doc_id long, held_out boolean, n_tokens long, n_known long, base double, value double")
@@ -491,5 +615,5 @@ def katz_scores(docs: DataFrame, held_out, head_words: int = HEAD_WORDS) -> Data
     them; see score().  Without training rows every token is the unknown word,
     with probability 1."""
     train_rows = ~held_out
-    model, words, pairs = train(docs, train_rows, head_words)
-    return score(docs, train_rows, model, words, pairs)
+    model, pairs = train(docs, train_rows, head_words)
+    return score(docs, train_rows, model, pairs)

@@ -289,6 +289,43 @@ def test_katz_probabilities_sum_to_one(spark):
     assert got[probes["a", "b"]] > got[probes["a", "unseen"]]
 
 
+def katz_by_hand(texts, trained):
+    """log10 scores from dictionaries of every word and every pair."""
+    tokens = {i: WORD.findall((t or "").lower()) + ["\n"] for i, t in texts}
+    one, two, hist = Counter(), Counter(), Counter()
+    for i in trained:
+        for h, w in zip([None, *tokens[i]], tokens[i]):
+            one[w] += 1
+            two[h, w] += 1
+            hist[h] += 1
+    n_r = [np.array([sum(v == r for v in c.values()) for r in range(7)], float) for c in (one, two)]
+    d1, d2 = katz.discounts(n_r[0]), katz.discounts(n_r[1])
+    total = sum(one.values())
+    p1 = {w: c * (d1[c] if c <= 5 else 1) / (total + 1) for w, c in one.items()}
+    unknown = 1 - sum(p1.values())
+    p2 = {(h, w): c * (d2[c] if c <= 5 else 1) / (hist[h] + 1) for (h, w), c in two.items()}
+    left, below = Counter(), Counter()
+    for (h, w), v in p2.items():
+        left[h] += v
+        below[h] += p1[w]
+    return {i: sum(np.log10(p2[h, w] if (h, w) in p2 else (1 - left[h]) / (1 - below[h]) * p1.get(w, unknown))
+                   for h, w in zip([None, *t], t)) for i, t in tokens.items()}
+
+
+@pytest.mark.parametrize("head", [0, 3, 65_000])
+def test_katz_counts_every_pair(spark, head):
+    """Rare words and pairs count whatever the head holds."""
+    rng = np.random.default_rng(18)
+    rows = [(i, " ".join(f"w{int(v)}" for v in rng.zipf(1.4, int(rng.integers(0, 60))) % 3_000)) for i in range(200)]
+    rows += [(200, None), (201, "w1 never1 never2 w1")]
+    out = {i for i, _ in rows if i == 201 or zlib.crc32(str(i).encode()) % 7 == 2}
+    want = katz_by_hand(rows, [i for i, _ in rows if i not in out])
+    from pyspark.sql import functions as F
+    held = held_out("doc_id", 7, 2) | (F.col("doc_id") == 201)
+    got = {r.doc_id: r.score for r in katz.katz_scores(spark.createDataFrame(rows, DOCS), held, head).collect()}
+    assert got == pytest.approx(want)
+
+
 def test_katz_edges(spark):
     assert katz.katz_scores(spark.createDataFrame([], DOCS), held_out("doc_id", 7, 2)).count() == 0
     odd = spark.createDataFrame([(1, "x " * 100_000), (1, "x " * 100_000), (None, None), (3, "")], DOCS)
