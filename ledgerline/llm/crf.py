@@ -5,7 +5,8 @@ token of a toxic document is labelled toxic if its word, or a stem of it,
 keeps to toxic documents in the training sample.  The field has two states
 and observes the word, its leading 4, 5 and 6 bytes and its neighbours.
 Forward-backward marginals give each token's probability; a document's score
-is a logistic function of its largest and summed marginals, and its offending
+is a logistic function of its largest and summed marginals, fitted on rows that
+the evidence and the field were not, at the labels' class shares; its offending
 offsets are the runs of tokens with a marginal of at least one half.
 """
 
@@ -47,6 +48,7 @@ class TrainingBounds:
     context: int = 5
     min_docs: int = 3
     min_log_odds: float = 2.5
+    chance: float = 0.05               # of any evidence term at all by luck
     evidence_terms: int = 50_000
     rounds: int = 120
 
@@ -72,15 +74,18 @@ def slots_of(word: bytes) -> tuple[list[int], int, int]:
 
 # --- training -------------------------------------------------------------
 
-def _sample(labelled: DataFrame, toxic: int, want: int) -> DataFrame:
+def _sample(labelled: DataFrame, toxic: int, want: int) -> tuple[DataFrame, int]:
+    """About ``want`` rows of the class, and how many it has."""
     rows = labelled.filter(F.col("y") == toxic)
     n = rows.count()
     share = min(1.0, want / max(n, 1))
-    return rows.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000))
+    return rows.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)), n
 
 
 def _evidence(sample: DataFrame, counts: dict[int, int], b: TrainingBounds) -> list[bytes]:
-    """Terms that keep to toxic documents: by log odds of document counts."""
+    """Terms that keep to toxic documents: by log odds of document counts, and
+    only if that many toxic among a term's documents are too unlikely by chance
+    (Chernoff's bound of the binomial tail, over all terms of the sample)."""
     schema = pa.schema([("term", pa.binary()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,16 +99,23 @@ def _evidence(sample: DataFrame, counts: dict[int, int], b: TrainingBounds) -> l
                            clean=[seen[0][t] for t in terms])
 
     odds = F.log((F.col("toxic") + 0.5) / (counts[1] + 1)) - F.log((F.col("clean") + 0.5) / (counts[0] + 1))
-    rows = map_arrow(sample, run, "term binary, toxic long, clean long").groupBy("term") \
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
-        .filter((F.col("toxic") >= b.min_docs) & (odds >= b.min_log_odds)) \
-        .orderBy(F.desc("toxic"), "term").limit(b.evidence_terms)
-    return [bytes(r.term) for r in rows.select("term").collect()]
+    share, n = counts[1] / (counts[0] + counts[1]), F.col("toxic") + F.col("clean")
+    unlikely = F.col("toxic") * F.log(F.col("toxic") / n / share) \
+        + F.when(F.col("clean") > 0, F.col("clean") * F.log(F.col("clean") / n / (1 - share))).otherwise(0.0)
+    terms = map_arrow(sample, run, "term binary, toxic long, clean long").groupBy("term") \
+        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).persist()
+    try:
+        least = float(np.log(max(terms.count(), 1) / b.chance))
+        rows = terms.filter((F.col("toxic") >= b.min_docs) & (odds >= b.min_log_odds) & (unlikely >= least)) \
+            .orderBy(F.desc("toxic"), "term").limit(b.evidence_terms)
+        return [bytes(r.term) for r in rows.select("term").collect()]
+    finally:
+        terms.unpersist()
 
 
 def _windows(sample: DataFrame, evidence: list[bytes], b: TrainingBounds) -> list[tuple[list[bytes], list[int]]]:
     """Windows of tokens with derived labels: around the evidence in toxic
-    documents, and from the start on in clean ones (every ``stride``-th)."""
+    documents, and side by side over all tokens of clean ones."""
     shipped = sample.sparkSession.sparkContext.broadcast(set(evidence))
     size = 2 * b.context + 1
 
@@ -115,7 +127,7 @@ def _windows(sample: DataFrame, evidence: list[bytes], b: TrainingBounds) -> lis
             for t, y in zip(texts_of(x), x.column("y").to_pylist()):
                 w = words_of(t)
                 tag = [int(y == 1 and any(f in bad for f in terms_of(v))) for v in w]
-                at = [i for i, g in enumerate(tag) if g] if y else range(b.context, len(w), 10 * size)
+                at = [i for i, g in enumerate(tag) if g] if y else range(b.context, len(w) + b.context, size)
                 last = -size
                 for i in at:
                     if i - last < size:
@@ -196,12 +208,13 @@ def _posteriors(e: np.ndarray, tr: np.ndarray, live: np.ndarray) -> tuple[np.nda
     return p1, np.exp(np.minimum(pairs, 0))
 
 
-def _fit_score(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _fit_score(x: np.ndarray, y: np.ndarray, totals: dict[int, int]) -> np.ndarray:
     """Logistic regression of the document label by Newton's steps; classes
-    weigh the same."""
+    weigh as their ``totals``."""
     a = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(a.shape[1])
-    weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9))
+    share = totals[1] / (totals[0] + totals[1])
+    weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
         g = a.T @ (weight * (p - y)) + 1e-2 * w
@@ -317,18 +330,28 @@ class ToxicityModel:
 def train(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingBounds()) -> ToxicityModel:
     """Fit on the rows of ``labels`` (doc_id, toxic 0/1) whose documents are in
     ``docs`` (doc_id, text); NULL ids and labels take no part, a document with
-    several label rows counts as toxic if one says so.  Without both classes
-    the model scores every text 0."""
+    several label rows counts as toxic if one says so.  A quarter of the
+    sample, by a hash of the id, is kept out of the evidence and the field and
+    fits the score; where a class is missing from either part, all rows do both.
+    Without both classes the model scores every text 0."""
     y = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     picked = [_sample(y, k, n) for k, n in ((1, bounds.toxic_docs), (0, bounds.clean_docs))]
     # the sample's ids are bounded by the parameters above
-    ids = F.broadcast(picked[0].unionByName(picked[1]))
-    sample = docs.select("doc_id", "text").join(ids, "doc_id").select("text", "y").persist()
+    ids = F.broadcast(picked[0][0].unionByName(picked[1][0]))
+    totals = {1: picked[0][1], 0: picked[1][1]}
+    apart = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(23)), F.lit(4)) == 0
+    sample = docs.select("doc_id", "text").join(ids, "doc_id") \
+        .select("text", "y", apart.alias("apart")).persist()
     try:
-        counts = {0: 0, 1: 0} | {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
+        parts = {(r.y, r.apart): r["count"] for r in sample.groupBy("y", "apart").count().collect()}
+        counts = {y: parts.get((y, False), 0) + parts.get((y, True), 0) for y in (0, 1)}
         if not (counts[0] and counts[1]):
             return ToxicityModel(np.zeros((1 << HASH_BITS) + 2), np.zeros((2, 2)), np.array([-20.0, 0.0, 0.0]))
-        windows = _windows(sample, _evidence(sample, counts, bounds), bounds)
+        fit, rest = sample, sample
+        if len(parts) == 4:
+            fit, rest = sample.filter(~F.col("apart")), sample.filter("apart")
+            counts = {y: parts[y, False] for y in (0, 1)}
+        windows = _windows(fit, _evidence(fit, counts, bounds), bounds)
         weights, tr = _fit_chain(windows, bounds.rounds)
         shipped = docs.sparkSession.sparkContext.broadcast((weights, tr))
 
@@ -339,9 +362,9 @@ def train(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingB
                 f = _features(tagger.marginals(tagger.emissions([words_of(t) for t in texts_of(x)])))
                 yield batch_of(schema, y=x.column("y"), a=f[:, 0], b=f[:, 1])
 
-        got = map_arrow(sample, run, "y int, a double, b double").collect()
+        got = map_arrow(rest, run, "y int, a double, b double").collect()
         m = np.array([(r.y, r.a, r.b) for r in got], dtype=float)
-        return ToxicityModel(weights, tr, _fit_score(m[:, 1:], m[:, 0]))
+        return ToxicityModel(weights, tr, _fit_score(m[:, 1:], m[:, 0], totals))
     finally:
         sample.unpersist()
 

@@ -159,6 +159,22 @@ def test_toxicity_tells_held_out_documents_apart(spark):
     assert sum(found[k] for k in ("scum", "vile", "hate")) > 0.9 * sum(found.values())
 
 
+def test_toxicity_evidence_is_no_chance(spark):
+    """Words that few toxic documents hold by luck are no evidence."""
+    rng = np.random.default_rng(15)
+    rows = [(" ".join(words(rng, 60, 5_000) + ["scumwort"] * (i < 15)), int(i < 30)) for i in range(90)]
+    sample = spark.createDataFrame(rows, "text string, y int")
+    got = crf._evidence(sample, {1: 30, 0: 60}, crf.TrainingBounds())
+    assert set(got) == {b"wscumwort", b"4scum", b"5scumw", b"6scumwo"}
+
+
+def test_toxicity_clean_windows_cover_every_token(spark):
+    text = " ".join(f"c{i}" for i in range(50))
+    sample = spark.createDataFrame([(text, 0), ("short one", 0)], "text string, y int")
+    got = [t.decode() for w, _ in crf._windows(sample, [], crf.TrainingBounds()) for t in w]
+    assert sorted(got) == sorted(text.split() + ["short", "one"])
+
+
 def test_toxicity_edges(spark):
     rows = toxic_corpus(np.random.default_rng(6), 60)
     docs = spark.createDataFrame([r[:2] for r in rows], DOCS)
