@@ -5,6 +5,8 @@ REGISTRY: name -> (callable (spark, sf_dir) -> DataFrame, DuckDB SQL or None).
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
@@ -14,6 +16,7 @@ from ledgerline.llm import (
     katz,
     language_id,
     mixing,
+    periodic_runs,
     token_counts,
     token_files,
     topk,
@@ -101,6 +104,33 @@ def op10_token_counts(spark, sf_dir):
                                      tokenizer_file("byte_bpe_50k.json"), limit=1024)
 
 
+def planted_repeats(doc_id, words):
+    """The words of a document in ten repeat with a period from some place
+    on, as a function of the id; without an id they stay."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    n = len(words)
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op11_periodic_runs(spark, sf_dir):
+    """Repeated stretches of every document's words."""
+    found = periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), least=6, times=4, prepare=planted_repeats)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.withColumn("best", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.floor(F.lit(1000) * F.col("best.length") / -F.col("best.p")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
 REGISTRY = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_warc": (op2_warc, None),
@@ -112,4 +142,5 @@ REGISTRY = {
     "op8_decontamination": (op8_decontamination, None),
     "op9_token_output": (op9_token_output, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_periodic_runs": (op11_periodic_runs, None),
 }
