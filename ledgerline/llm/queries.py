@@ -16,6 +16,7 @@ from ledgerline.llm import (
     katz,
     language_id,
     mixing,
+    packing,
     periodic_runs,
     token_counts,
     token_files,
@@ -131,6 +132,12 @@ def op11_periodic_runs(spark, sf_dir):
         F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
 
 
+def op12_packing(spark, sf_dir):
+    """Every document's ids in sequences of at most 4096."""
+    return packing.piece_rows(packing.pack(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"),
+                                           end_id=2, window=4096))
+
+
 REGISTRY = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_warc": (op2_warc, None),
@@ -143,4 +150,5 @@ REGISTRY = {
     "op9_token_output": (op9_token_output, None),
     "op10_token_counts": (op10_token_counts, None),
     "op11_periodic_runs": (op11_periodic_runs, None),
+    "op12_packing": (op12_packing, None),
 }
