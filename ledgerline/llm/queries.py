@@ -10,6 +10,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    conversation_repair,
     crf,
     decontaminate,
     jaccard_join,
@@ -138,6 +139,26 @@ def op12_packing(spark, sf_dir):
                                            end_id=2, window=4096))
 
 
+def damaged(rows):
+    """Conversation rows with planted faults, each a function of the row's
+    id and turn; ``alive`` is false for a row that is lost."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), space),
+                      F.coalesce(F.col("turn").cast("string"), space))
+    k = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce("text", space)
+    return rows.select(
+        "conv_id", "turn", (k != 0).alias("alive"),
+        F.when(k == 4, F.lit("user")).otherwise(F.coalesce("role", space)).alias("role"),
+        F.when(k == 1, F.lit("")).when(k == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(k == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    """Faults and cheapest repair of every damaged conversation."""
+    return conversation_repair.repair(damaged(read(spark, sf_dir, "conversations")), alive="alive")
+
+
 REGISTRY = {
     "op1_ngram_jaccard_join": (op1_ngram_jaccard_join, None),
     "op2_warc": (op2_warc, None),
@@ -151,4 +172,5 @@ REGISTRY = {
     "op10_token_counts": (op10_token_counts, None),
     "op11_periodic_runs": (op11_periodic_runs, None),
     "op12_packing": (op12_packing, None),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
