@@ -32,25 +32,31 @@ _FIND = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 HASH_BITS = 18
 STEMS = (4, 5, 6)
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 EMPTY_LOGIT = -12.0
 
 
+# tokens whose words, and padded chains, are held together when scoring
+GROUP_TOKENS = 300_000
+
+
 @dataclass(frozen=True)
 class TrainingBounds:
     """The bounded sample that the field is fitted on: about so many labelled
-    documents of each class (chosen by a hash of their id), so many windows of
-    2 * ``context`` + 1 tokens from each class, and so many evidence terms."""
+    documents of each class, fewer if they would hold more than about
+    ``chars`` characters (chosen by a hash of their id).  Every window of
+    2 * ``context`` + 1 tokens of the sample is fitted, in batches."""
 
     toxic_docs: int = 3_000
     clean_docs: int = 6_000
-    windows: int = 12_000
+    chars: int = 12_000_000            # of either class
     context: int = 5
     min_docs: int = 3
     min_log_odds: float = 2.5
     chance: float = 0.05               # of any evidence term at all by luck
-    evidence_terms: int = 50_000
-    rounds: int = 120
+    steps: int = 150                   # of the fit, at least
+    epochs: int = 2                    # over all windows, at least
+    batch: int = 4_096                 # windows of one step
 
 
 def words_of(text: str) -> list[bytes]:
@@ -74,11 +80,12 @@ def slots_of(word: bytes) -> tuple[list[int], int, int]:
 
 # --- training -------------------------------------------------------------
 
-def _sample(labelled: DataFrame, toxic: int, want: int) -> tuple[DataFrame, int]:
-    """About ``want`` rows of the class, and how many it has."""
+def _sample(labelled: DataFrame, toxic: int, want: int, chars: int) -> tuple[DataFrame, int]:
+    """About ``want`` rows of the class, of about ``chars`` characters at
+    most, and how many rows it has."""
     rows = labelled.filter(F.col("y") == toxic)
-    n = rows.count()
-    share = min(1.0, want / max(n, 1))
+    n, size = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    share = min(1.0, want / max(n, 1), chars / max(size, 1))
     return rows.filter(F.pmod(F.xxhash64(F.col("doc_id"), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)), n
 
 
@@ -106,86 +113,98 @@ def _evidence(sample: DataFrame, counts: dict[int, int], b: TrainingBounds) -> l
         .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).persist()
     try:
         least = float(np.log(max(terms.count(), 1) / b.chance))
-        rows = terms.filter((F.col("toxic") >= b.min_docs) & (odds >= b.min_log_odds) & (unlikely >= least)) \
-            .orderBy(F.desc("toxic"), "term").limit(b.evidence_terms)
-        return [bytes(r.term) for r in rows.select("term").collect()]
+        rows = terms.filter((F.col("toxic") >= b.min_docs) & (odds >= b.min_log_odds) & (unlikely >= least))
+        return sorted(bytes(r.term) for r in rows.select("term").collect())
     finally:
         terms.unpersist()
 
 
-def _windows(sample: DataFrame, evidence: list[bytes], b: TrainingBounds) -> list[tuple[list[bytes], list[int]]]:
-    """Windows of tokens with derived labels: around the evidence in toxic
-    documents, and side by side over all tokens of clean ones."""
-    shipped = sample.sparkSession.sparkContext.broadcast(set(evidence))
+def _spots(n: int, tag: list[int], y: int, b: TrainingBounds) -> Iterator[tuple[int, int]]:
+    """Windows [start, stop) of a document of n tokens: around the evidence of
+    a toxic one, side by side over all tokens of a clean one."""
     size = 2 * b.context + 1
+    last = -size
+    for i in ([i for i, g in enumerate(tag) if g] if y else range(b.context, n + b.context, size)):
+        if i - last >= size:
+            last, lo = i, max(0, i - b.context)
+            yield lo, min(n, lo + size)
+
+
+def _encoded(tokens: list[bytes], width: int, known: dict) -> np.ndarray:
+    """Weight slots of each token of a window: its own features, the bias and
+    its neighbours' words; unused places have the slot whose weight is 0."""
+    bias = 1 << HASH_BITS
+    out = np.full((width, len(STEMS) + 4), bias + 1, dtype=np.int32)
+    slots = [known.get(t) or known.setdefault(t, slots_of(t)) for t in tokens]
+    for j, (own, _, _) in enumerate(slots):
+        f = own + [bias] + ([slots[j - 1][1]] if j else []) + ([slots[j + 1][2]] if j + 1 < len(slots) else [])
+        out[j, :len(f)] = f
+    return out
+
+
+def _windows(sample: DataFrame, evidence: list[bytes], b: TrainingBounds) -> tuple[np.ndarray, ...]:
+    """Every window of the sample with derived labels: feature slots, tags,
+    length and class."""
+    shipped = sample.sparkSession.sparkContext.broadcast(set(evidence))
+    width = 2 * b.context + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bad = shipped.value
-        schema = pa.schema([("y", pa.int32()), ("tokens", pa.list_(pa.binary())), ("tags", pa.list_(pa.int32()))])
+        bad, known = shipped.value, {}
+        schema = pa.schema([("y", pa.int32()), ("n", pa.int32()), ("tags", pa.binary()), ("slots", pa.binary())])
         for x in batches:
-            ys, toks, tags = [], [], []
             for t, y in zip(texts_of(x), x.column("y").to_pylist()):
                 w = words_of(t)
                 tag = [int(y == 1 and any(f in bad for f in terms_of(v))) for v in w]
-                at = [i for i, g in enumerate(tag) if g] if y else range(b.context, len(w) + b.context, size)
-                last = -size
-                for i in at:
-                    if i - last < size:
-                        continue
-                    last, lo = i, max(0, i - b.context)
-                    ys.append(y)
-                    toks.append(w[lo:lo + size])
-                    tags.append(tag[lo:lo + size])
-            if ys:
-                yield batch_of(schema, y=ys, tokens=toks, tags=tags)
-
-    rows = map_arrow(sample, run, "y int, tokens array<binary>, tags array<int>")
-    out = []
-    for y in (0, 1):
-        got = rows.filter(F.col("y") == y).orderBy(F.xxhash64("tokens")).limit(b.windows).collect()
-        out += [([bytes(v) for v in r.tokens], list(r.tags)) for r in got]
-    return out
-
-
-def _fit_chain(windows: list, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Feature weights (of state 1 over state 0; the last is the bias) and the
-    2x2 transition weights that maximise the windows' conditional likelihood,
-    by Adam on the full sample with an L2 penalty."""
-    n_slots, width = 1 << HASH_BITS, max((len(t) for t, _ in windows), default=1)
-    n = len(windows)
-    feats = np.full((n, width, len(STEMS) + 4), n_slots + 1, dtype=np.int64)   # the last slot stays 0
-    tags, live = np.zeros((n, width), np.int64), np.zeros((n, width), bool)
-    known: dict[bytes, tuple] = {}
-    for i, (toks, tag) in enumerate(windows):
-        sl = [known.get(t) or known.setdefault(t, slots_of(t)) for t in toks]
-        for j, (own, _, _) in enumerate(sl):
-            f = own + [n_slots] + ([sl[j - 1][1]] if j else []) + ([sl[j + 1][2]] if j + 1 < len(sl) else [])
-            feats[i, j, :len(f)] = f
-        tags[i, :len(tag)], live[i, :len(tag)] = tag, True
-    used, feats = np.unique(feats, return_inverse=True)
-    feats = feats.reshape(n, width, -1)
-    w, tr = np.zeros(len(used)), np.zeros((2, 2))
-    frozen = used == n_slots + 1
+                if len(known) > CACHE_WORDS:
+                    known.clear()
+                n, tags, slots = [], [], []
+                for lo, hi in _spots(len(w), tag, y, b):
+                    n.append(hi - lo)
+                    tags.append(bytes(tag[lo:hi]).ljust(width, b"\0"))
+                    slots.append(_encoded(w[lo:hi], width, known).tobytes())
+                if n:
+                    yield batch_of(schema, y=[y] * len(n), n=n, tags=tags, slots=slots)
+
+    got = map_arrow(sample, run, "y int, n int, tags binary, slots binary").toArrow().combine_chunks()
+    raw = {c: b"".join(got.column(c).to_pylist()) for c in ("tags", "slots")}
+    return (np.frombuffer(raw["slots"], np.int32).reshape(-1, width, len(STEMS) + 4),
+            np.frombuffer(raw["tags"], np.uint8).reshape(-1, width),
+            got.column("n").to_numpy(), got.column("y").to_numpy())
+
+
+def _fit_chain(windows: tuple[np.ndarray, ...], bounds: TrainingBounds) -> tuple[np.ndarray, np.ndarray]:
+    """Feature weights (of state 1 over state 0; the last two are the bias and
+    an unused 0) and the 2x2 transition weights that maximise the windows'
+    conditional likelihood, both classes' windows weighing as much, by Adam
+    over batches with an L2 penalty."""
+    slots, tags, length, y = windows
+    n, n_slots = len(y), (1 << HASH_BITS) + 2
+    if not n:
+        return np.zeros(n_slots), np.zeros((2, 2))
+    # mixed by content, so that batches hold both classes however tasks split the sample
+    order = np.argsort(np.array([zlib.crc32(s) for s in slots]), kind="stable")
+    each = np.where(y == 1, n / max(2 * (y == 1).sum(), 1), n / max(2 * (y == 0).sum(), 1))
+    w, tr = np.zeros(n_slots), np.zeros((2, 2))
     mw, vw, mt, vt = np.zeros_like(w), np.zeros_like(w), np.zeros((2, 2)), np.zeros((2, 2))
-    pair = live[:, 1:] & live[:, :-1]
-    for step in range(1, rounds + 1):
-        e = w[feats].sum(axis=2)
-        p1, pairs = _posteriors(e, tr, live)
-        gw = np.bincount(feats.ravel(), np.repeat(((p1 - tags) * live).ravel(), feats.shape[2]), len(used))
-        gw = gw / n + 1e-4 * w
-        gw[frozen] = 0
+    batches = -(-n // bounds.batch)
+    for step in range(1, max(bounds.steps, bounds.epochs * batches) + 1):
+        own = order[(step - 1) % batches::batches]
+        feats, tag, weight = slots[own], tags[own].astype(np.int64), each[own, None]
+        live = np.arange(tags.shape[1]) < length[own, None]
+        p1, pairs = _posteriors(w[feats].sum(axis=2), tr, live)
+        pair = (live[:, 1:] & live[:, :-1]) * weight
+        gw = np.bincount(feats.ravel(), np.repeat(((p1 - tag) * live * weight).ravel(), feats.shape[2]), n_slots)
+        gw = gw / len(own) + 1e-4 * w
+        gw[-1] = 0
         gt = np.array([[(pairs[..., a, c] * pair).sum()
-                        - ((tags[:, :-1] == a) & (tags[:, 1:] == c) & pair).sum() for c in (0, 1)]
-                       for a in (0, 1)]) / n + 1e-3 * tr
+                        - ((tag[:, :-1] == a) * (tag[:, 1:] == c) * pair).sum() for c in (0, 1)]
+                       for a in (0, 1)]) / len(own) + 1e-3 * tr
         mw, vw = 0.9 * mw + 0.1 * gw, 0.99 * vw + 0.01 * gw * gw
         mt, vt = 0.9 * mt + 0.1 * gt, 0.99 * vt + 0.01 * gt * gt
         a, c = 1 - 0.9 ** step, 1 - 0.99 ** step
         w -= 0.15 * (mw / a) / (np.sqrt(vw / c) + 1e-8)
         tr -= 0.05 * (mt / a) / (np.sqrt(vt / c) + 1e-8)
-    full = np.zeros(n_slots + 2)
-    full[used] = w
-    full[n_slots + 1] = 0
-    return full, tr
+    return w, tr
 
 
 def _posteriors(e: np.ndarray, tr: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,9 +279,11 @@ class Tagger:
     def marginals(self, emissions: list[np.ndarray], group: int = 256) -> list[np.ndarray]:
         out: list = [np.empty(0)] * len(emissions)
         order = sorted(range(len(emissions)), key=lambda i: len(emissions[i]))
-        for g in range(0, len(order), group):
-            own = order[g:g + group]
-            width = len(emissions[own[-1]])
+        while order:
+            # chains of like length, of a bounded padded size together
+            width = len(emissions[order[-1]])
+            n = max(1, min(group, GROUP_TOKENS // max(width, 1)))
+            order, own = order[:-n], order[-n:]
             if width:
                 # right-aligned for the forward pass (leading padding has odds
                 # that leave the start untouched), so all chains end together
@@ -294,6 +315,18 @@ class Tagger:
         return a / (1 + a)
 
 
+def _token_groups(texts: list[str]) -> Iterator[list[list[bytes]]]:
+    """The texts' words, so many texts at a time that their words are few."""
+    group, size = [], 0
+    for t in texts:
+        group.append(words_of(t))
+        size += len(group[-1])
+        if size >= GROUP_TOKENS:
+            yield group
+            group, size = [], 0
+    yield group
+
+
 def _features(marginals: list[np.ndarray]) -> np.ndarray:
     """Largest marginal as log odds, and the expected number of toxic tokens
     among those above one in a hundred."""
@@ -329,13 +362,16 @@ class ToxicityModel:
 
 def train(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingBounds()) -> ToxicityModel:
     """Fit on the rows of ``labels`` (doc_id, toxic 0/1) whose documents are in
-    ``docs`` (doc_id, text); NULL ids and labels take no part, a document with
+    ``docs`` (doc_id, text); no other label is looked at, not even for the
+    classes' shares.  NULL ids and labels take no part, a document with
     several label rows counts as toxic if one says so.  A quarter of the
     sample, by a hash of the id, is kept out of the evidence and the field and
     fits the score; where a class is missing from either part, all rows do both.
     Without both classes the model scores every text 0."""
-    y = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
-    picked = [_sample(y, k, n) for k, n in ((1, bounds.toxic_docs), (0, bounds.clean_docs))]
+    size = docs.groupBy("doc_id").agg(F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("size"))
+    y = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")) \
+        .join(size, "doc_id").persist()
+    picked = [_sample(y, k, n, bounds.chars) for k, n in ((1, bounds.toxic_docs), (0, bounds.clean_docs))]
     # the sample's ids are bounded by the parameters above
     ids = F.broadcast(picked[0][0].unionByName(picked[1][0]))
     totals = {1: picked[0][1], 0: picked[1][1]}
@@ -352,14 +388,14 @@ def train(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingB
             fit, rest = sample.filter(~F.col("apart")), sample.filter("apart")
             counts = {y: parts[y, False] for y in (0, 1)}
         windows = _windows(fit, _evidence(fit, counts, bounds), bounds)
-        weights, tr = _fit_chain(windows, bounds.rounds)
+        weights, tr = _fit_chain(windows, bounds)
         shipped = docs.sparkSession.sparkContext.broadcast((weights, tr))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tagger = Tagger(*shipped.value)
             schema = pa.schema([("y", pa.int32()), ("a", pa.float64()), ("b", pa.float64())])
             for x in batches:
-                f = _features(tagger.marginals(tagger.emissions([words_of(t) for t in texts_of(x)])))
+                f = np.concatenate([_features(tagger.marginals(tagger.emissions(g))) for g in _token_groups(texts_of(x))])
                 yield batch_of(schema, y=x.column("y"), a=f[:, 0], b=f[:, 1])
 
         got = map_arrow(rest, run, "y int, a double, b double").collect()
@@ -367,6 +403,7 @@ def train(docs: DataFrame, labels: DataFrame, bounds: TrainingBounds = TrainingB
         return ToxicityModel(weights, tr, _fit_score(m[:, 1:], m[:, 0], totals))
     finally:
         sample.unpersist()
+        y.unpersist()
 
 
 def score(docs: DataFrame, model: ToxicityModel, spans: bool = True) -> DataFrame:
@@ -386,8 +423,8 @@ def score(docs: DataFrame, model: ToxicityModel, spans: bool = True) -> DataFram
         for x in batches:
             texts = texts_of(x, text)
             p = []
-            for i in range(0, len(texts), 2048):
-                p += tagger.marginals(tagger.emissions([words_of(t) for t in texts[i:i + 2048]]))
+            for group in _token_groups(texts):
+                p += tagger.marginals(tagger.emissions(group))
             f = _features(p)
             z = np.clip(m.score_weights[0] + f @ m.score_weights[1:], -30, 30)
             cols = [*x.columns, pa.array(1 / (1 + np.exp(-z)))]

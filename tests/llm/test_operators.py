@@ -170,9 +170,59 @@ def test_toxicity_evidence_is_no_chance(spark):
 
 def test_toxicity_clean_windows_cover_every_token(spark):
     text = " ".join(f"c{i}" for i in range(50))
-    sample = spark.createDataFrame([(text, 0), ("short one", 0)], "text string, y int")
-    got = [t.decode() for w, _ in crf._windows(sample, [], crf.TrainingBounds()) for t in w]
-    assert sorted(got) == sorted(text.split() + ["short", "one"])
+    sample = spark.createDataFrame([(text, 0), ("short one", 0), ("", 0)], "text string, y int")
+    slots, tags, length, y = crf._windows(sample, [], crf.TrainingBounds())
+    own = Counter(int(w[j, 0]) for w, n in zip(slots, length) for j in range(n))
+    assert own == Counter(crf.slots_of(t.encode())[0][0] for t in text.split() + ["short", "one"])
+    assert not tags.any() and not y.any()
+
+
+def test_toxicity_marginals_equal_enumerated_paths():
+    rng = np.random.default_rng(8)
+    tr = rng.normal(0, 1, (2, 2))
+    tagger = crf.Tagger(np.zeros((1 << crf.HASH_BITS) + 2), tr)
+    chains = [rng.normal(0, 2, n) for n in (1, 2, 5, 8, 8)]
+
+    def by_hand(e):
+        p, z = np.zeros(len(e)), 0.0
+        for path in itertools.product((0, 1), repeat=len(e)):
+            s = np.exp(sum(e[i] for i, y in enumerate(path) if y)
+                       + sum(tr[a, b] for a, b in zip(path, path[1:])))
+            p, z = p + s * np.array(path), z + s
+        return p / z
+
+    for e, p in zip(chains, tagger.marginals(chains)):
+        assert np.allclose(p, by_hand(e))
+    width = max(map(len, chains))
+    padded = np.array([np.pad(e, (0, width - len(e))) for e in chains])
+    live = np.arange(width) < np.array([len(e) for e in chains])[:, None]
+    one, _ = crf._posteriors(padded, tr, live)
+    for e, p in zip(chains, one):
+        assert np.allclose(p[:len(e)], by_hand(e))
+
+
+def test_toxicity_never_reads_held_out_labels(spark):
+    rows = toxic_corpus(np.random.default_rng(9), 120)
+    docs = spark.createDataFrame([r[:2] for r in rows], DOCS)
+    out = [zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows]
+    scores = []
+    for flip in (False, True):
+        labels = [(r[0], 1 if flip and o else r[2]) for r, o in zip(rows, out)]
+        model = queries.toxicity_model(docs, spark.createDataFrame(labels, "doc_id long, toxic int"))
+        scores.append(sorted((r.doc_id, r.toxicity) for r in crf.score(docs, model, spans=False).collect()))
+    assert sum(out) > 10 and scores[0] == scores[1]
+
+
+def test_toxicity_long_text_needs_little_memory():
+    import tracemalloc
+    tagger = crf.Tagger(np.zeros((1 << crf.HASH_BITS) + 2), np.zeros((2, 2)))
+    texts = ["ab cd ef gh ij " * 40_000] + ["x y"] * 255
+    tracemalloc.start()
+    got = [len(p) for g in crf._token_groups(texts) for p in tagger.marginals(tagger.emissions(g))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [200_000] + [2] * 255
+    assert peak < 60e6
 
 
 def test_toxicity_edges(spark):
