@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import batch_of, map_arrow, saved, texts_of
 from ledgerline.llm.components import components
 
-CACHE_WORDS = 500_000
-PIVOT_BLOCK = 2_000_000            # pivots of a task's input that are linked at a time
+CACHE_WORDS = 150_000
+PIVOT_BLOCK = 1_000_000            # pivots of a task's input that are linked at a time
 LOCAL_SHINGLES = 4_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
@@ -432,9 +432,29 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
 
 
 def keep_one_per_component(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
-    """``docs`` with one row of each component (that of its smallest doc_id;
-    of repeated rows the first by text); unlinked rows all stay."""
+    """``docs`` with one row of each component: that of its smallest doc_id.
+
+    Of rows that repeat a doc_id one stays, the least by the digest of its
+    text; of NULL-id rows with words one of each text stays.  NULL-id rows
+    without words, and all unlinked rows with an id of their own, stay.
+    """
     found = jaccard_components(docs, size, percent)
     gone = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")) \
+        .filter("rows > 1").select("doc_id")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    blank = F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*$")
+
+    def one_of_each(rows: DataFrame, *by: str) -> DataFrame:
+        """One row per ``by``; copies are merged before they shuffle."""
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        least = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+        return rows.groupBy(*by).agg(F.min_by(row, least).alias("row")).select("row.*")
+
+    own = kept.filter("doc_id IS NOT NULL")
+    nameless = kept.filter(F.col("doc_id").isNull())
+    out = own.join(repeated, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    for part in (one_of_each(own.join(repeated, "doc_id", "left_semi"), "doc_id"),
+                 nameless.filter(blank), one_of_each(nameless.filter(~blank), "text")):
+        out = out.unionByName(part.select(*[F.col(f"`{c}`") for c in docs.columns]))
+    return out
