@@ -3,7 +3,9 @@ distinct counts, value distribution, min / max, step counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -61,40 +63,97 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float],
-                    partitions: int | None = None) -> DataFrame:
+BINS = 512                        # of one interval and round
+_LARGEST = 1.7976931348623157e308
+
+
+def _bin(v: Column, low: float, high: float, log: bool) -> Column:
+    """Which of ``BINS`` ordered bins of [low, high] a value is in: never
+    falling, with ``low`` and ``high`` in different ones.  The infinities have
+    the outer bins; the finite rest is cut evenly, or evenly in its logarithm."""
+    lo, hi = max(low, -_LARGEST), min(high, _LARGEST)
+    if lo >= hi:
+        inside = F.lit(1)
+    else:
+        if log and math.copysign(math.log1p(abs(lo)), lo) < math.copysign(math.log1p(abs(hi)), hi):
+            def level(x):
+                return F.signum(x) * F.log1p(F.abs(x))
+        elif math.isinf(hi - lo):
+            def level(x):
+                return x / 2
+        else:
+            def level(x):
+                return x
+        start = level(F.lit(lo))
+        share = (level(v) - start) / (level(F.lit(hi)) - start)
+        inside = F.least(F.lit(BINS - 2), F.greatest(F.lit(1), F.floor(share * (BINS - 2)) + 1))
+    return (F.when(v == F.lit(float("-inf")), 0).when(v == F.lit(float("inf")), BINS - 1)
+            .otherwise(inside).cast("int"))
+
+
+def order_statistics(df: DataFrame, ranks: dict[str, list[int]], bounds: dict[str, tuple[float, float]]) -> dict:
+    """{(column, rank): value}: the values at 0-based ranks of the columns'
+    sorted non-missing values.
+
+    Every rank is known to lie in an interval of values, at first the whole
+    column.  A round counts each interval's values in ordered bins (partial
+    aggregates; only the bins' counts, least and greatest values reach the
+    driver) and keeps the bin that holds the rank, so nothing is sorted or
+    shuffled; an interval of one value is the answer.  Rounds cut evenly and
+    by logarithm in turn."""
+    todo = {(c, *bounds[c], 0): sorted(set(r)) for c, r in ranks.items() if r}
+    out, log = {}, False
+    while todo:
+        for key in [k for k in todo if k[1] == k[2]]:
+            out.update({(key[0], r): key[1] for r in todo.pop(key)})
+        if not todo:
+            break
+        keys = list(todo)
+        hits = []
+        for i, (c, low, high, _) in enumerate(keys):
+            v = T.column(c).cast("double")
+            hits.append(F.when(v.between(low, high) & ~F.isnan(v), F.struct(
+                F.lit(i).alias("i"), _bin(v, low, high, log).alias("bin"), v.alias("v"))))
+        cells = df.select(F.inline(F.filter(F.array(*hits), lambda x: x.isNotNull())))
+        found: dict[int, list] = {}
+        for r in cells.groupBy("i", "bin").agg(F.count(F.lit(1)), F.min("v"), F.max("v")).collect():
+            found.setdefault(r[0], []).append(tuple(r)[1:])
+        narrowed: dict = {}
+        for i, key in enumerate(keys):
+            before, wanted = key[3], list(todo[key])
+            for _, n, low, high in sorted(found[i]):
+                here = [r for r in wanted if r < before + n]
+                if here:
+                    narrowed.setdefault((key[0], low, high, before), []).extend(here)
+                    wanted = wanted[len(here):]
+                before += n
+        todo, log = narrowed, not log
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / ``percentile``) of
-    one or more numeric columns, without gathering a column in one task:
-    (column_name, q, value).
-
-    The columns are unpivoted to (column_name, value) and counted per
-    distinct value; ``windows.value_positions`` places every distinct value
-    in its column's sorted order (range slices, checkpointed); the values at
-    the two positions around ``q * (n - 1)`` are picked by a filter and
-    interpolated.  NULL and NaN are skipped, as pandas does."""
-    from ledgerline.operators.windows import value_positions
+    one or more numeric columns, without gathering, sorting or shuffling a
+    column: (column_name, q, value).  NULL and NaN are skipped, as pandas
+    does; a column without values has no rows.  Reads ``df`` once for the
+    range and a few times to narrow it."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                               T.column(c).cast("double").alias("v")) for c in cols])
-    long = df.select(F.inline(cells)).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    vals = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-    pos = value_positions(vals, ["column_name"], "v", "n", partitions=partitions)
-    # one row per column (bounded by the column list): its row count
-    counts = pos.groupBy("column_name").agg(F.max("end").alias("_total"))
-    pos = pos.join(F.broadcast(counts), "column_name")
-
-    def at(p):
-        return F.max(F.when((F.col("start") <= p) & (p < F.col("end")), F.col("v")))
-
-    parts = []
-    for i, q in enumerate(qs):
-        p = (F.col("_total") - 1) * F.lit(q)
-        lo, hi = F.floor(p), F.ceil(p)
-        parts.append(F.struct(F.lit(q).alias("q"),
-                              (at(lo) + (at(hi) - at(lo)) * F.max(p - lo)).alias("value"))
-                     .alias(f"q{i}"))
-    return (pos.groupBy("column_name").agg(*parts)
-            .select("column_name", F.inline(F.array(*[F.col(f"q{i}") for i in range(len(qs))]))))
+    one = []
+    for i, c in enumerate(cols):
+        v = T.column(c).cast("double")
+        v = F.when(~F.isnan(v), v)
+        one += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"low{i}"), F.max(v).alias(f"high{i}")]
+    got = df.agg(*one).first()
+    count = {c: got[f"n{i}"] for i, c in enumerate(cols) if got[f"n{i}"]}
+    bounds = {c: (got[f"low{i}"], got[f"high{i}"]) for i, c in enumerate(cols)}
+    place = {(c, q): (n - 1) * q for c, n in count.items() for q in qs}
+    ranks = {c: [r for q in qs for r in (math.floor(place[c, q]), math.ceil(place[c, q]))] for c in count}
+    values = order_statistics(df, ranks, bounds)
+    rows = []
+    for (c, q), p in place.items():
+        low, high = values[c, math.floor(p)], values[c, math.ceil(p)]
+        rows.append((c, float(q), low if low == high else low + (high - low) * (p - math.floor(p))))
+    return df.sparkSession.createDataFrame(rows, "column_name string, q double, value double")
 
 
 def describe(df: DataFrame, columns: list[str] | None = None,

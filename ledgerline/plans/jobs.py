@@ -17,7 +17,7 @@ from ledgerline.functions import rules
 from ledgerline.operators import aggregate as agg
 from ledgerline.operators import clean, dedup
 from ledgerline.operators import quality as Q
-from ledgerline.session import scratch_path
+from ledgerline.session import materialise
 from ledgerline.sources import sinks
 
 DEFAULT_THRESHOLD = 5000
@@ -30,13 +30,6 @@ def _pandas_sum(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
             .agg(F.coalesce(F.sum(value), F.lit(0)).alias(name)))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # E01 -------------------------------------------------------------------------
 def clean_sales_data(df: DataFrame, region: str = "West", min_quantity: int = 1) -> DataFrame:
     """filter (region and quantity > n) -> drop missing quantity -> drop

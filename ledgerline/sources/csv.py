@@ -158,7 +158,7 @@ def load_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
     ok = existing.select(
         "file_path", status_exist.alias("error"),
         F.coalesce(F.col("row_count"), F.lit(0)).alias("row_count"),
-        F.split(F.col("header"), ",").alias("columns"), "size_bytes")
+        header_fields("header").alias("columns"), "size_bytes")
     nf = missing.select("file_path", msg(AUDIT_NOT_FOUND).alias("error"),
                         F.lit(None).cast("bigint").alias("row_count"),
                         F.lit(None).cast("array<string>").alias("columns"),
@@ -170,6 +170,16 @@ def load_audit(spark: SparkSession, paths: list[str]) -> DataFrame:
                       "size_bytes")
 
 
+def header_fields(line: Column | str) -> Column:
+    """Fields of one CSV header line: a quoted field may hold commas and
+    doubled quotes."""
+    line = F.col(line) if isinstance(line, str) else line
+    fields = F.regexp_extract_all(F.concat(line, F.lit(",")), F.lit(r'("(?:[^"]|"")*"[^,]*|[^,]*),'), F.lit(1))
+    quoted = r'^"((?:[^"]|"")*)"'
+    return F.transform(fields, lambda x: F.when(
+        x.rlike(quoted), F.replace(F.regexp_replace(x, quoted, "$1"), F.lit('""'), F.lit('"'))).otherwise(x))
+
+
 def _qualify(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -177,18 +187,39 @@ def _qualify(spark: SparkSession, path: str) -> str:
     return hp.getFileSystem(conf).makeQualified(hp).toString()
 
 
-def with_row_ordinal(df: DataFrame, name: str = "row_number") -> DataFrame:
-    """1-based position of each row in file order (the reference's data-row
-    number), without a single-partition window: per-partition counts give
-    offsets (one row per partition, broadcast), added to the position inside
-    the partition.  A re-read yields the same ids, since file splits are
-    fixed, so a lost task recomputes the same numbers."""
+def split_index(df: DataFrame) -> DataFrame:
+    """The order index of a frame read from files: per input split (file
+    path, block start) its rows, the rows of all earlier splits in the order
+    (path, block) and its first row's task position.  One row per split."""
     from pyspark.sql import Window
-    ids = df.withColumn("_mid", F.monotonically_increasing_id())
-    part = F.shiftright(F.col("_mid"), 33)
-    counts = ids.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
-    offs = counts.withColumn("_o", F.coalesce(F.sum("_c").over(
-        Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return (ids.join(F.broadcast(offs.select("_p", "_o")), part == F.col("_p"))
-            .withColumn(name, F.col("_o") + F.col("_mid") - F.shiftleft(F.col("_p"), 33) + 1)
-            .drop("_mid", "_p", "_o"))
+    rows = df.select(F.col("_metadata.file_path").alias("_path"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_mid"))
+    per = rows.groupBy("_path", "_block").agg(F.count(F.lit(1)).alias("_rows"), F.min("_mid").alias("_first"))
+    # rows before a file from per-file totals, then before a block inside its file
+    in_file = Window.partitionBy("_path").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = per.groupBy("_path").agg(F.sum("_rows").alias("_rows"))
+    earlier = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(F.col("_path").alias("_file"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
+    return (per.withColumn("_inside", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
+            .join(files, F.col("_path") == F.col("_file"))
+            .select("_path", "_block", (F.col("_base") + F.col("_inside") - F.col("_first")).alias("_shift")))
+
+
+def with_row_ordinal(df: DataFrame, name: str = "row_number") -> DataFrame:
+    """1-based position of each row of a frame read from files, over all of
+    its files in path order (the reference's data-row number), without moving
+    the rows through one task.
+
+    Tasks read splits in no particular order (Spark packs large files first),
+    so a row is placed by its split: prefix sums over the order index of
+    (file path, block start) and the position inside the split.  The frame
+    must come from a file reader, by selections and filters only; filtered
+    rows are not counted.  Splits are fixed for a session, so a lost task
+    recomputes the same numbers."""
+    rows = df.select("*", F.col("_metadata.file_path").alias("_path"),
+                     F.col("_metadata.file_block_start").alias("_block"),
+                     F.monotonically_increasing_id().alias("_mid"))
+    return (rows.join(split_index(df), ["_path", "_block"])
+            .withColumn(name, F.col("_mid") + F.col("_shift") + 1)
+            .drop("_path", "_block", "_mid", "_shift"))

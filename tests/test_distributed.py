@@ -36,13 +36,37 @@ def test_rank_within_matches_window(spark, parts, dense):
 @pytest.mark.parametrize("parts", [1, 5])
 def test_exact_quantiles(spark, parts):
     vals = [r[2] for r in skewed_rows() if r[2] is not None]
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    got = {r.q: r.value for r in inspect.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0],
-                                                         partitions=parts).collect()}
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(parts)
+    got = {r.q: r.value for r in inspect.exact_quantiles(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()}
     for q, v in got.items():
         assert v == pytest.approx(float(np.percentile(vals, q * 100)))
 
 
+@pytest.mark.parametrize("bins", [4, 512])
+def test_quantiles_of_extreme_values(spark, monkeypatch, bins):
+    """Heavy tails, tiny and huge magnitudes, infinities, ties, NaN, NULL."""
+    monkeypatch.setattr(inspect, "BINS", bins)
+    rnd = random.Random(4)
+    cols = {"tail": [2.0 ** rnd.randint(-300, 300) * rnd.choice([-1, 1]) for _ in range(200)],
+            "tiny": [rnd.randint(-9, 9) * 5e-324 for _ in range(200)],
+            "wide": [rnd.choice([-1.7e308, 1.7e308, 0.0, 1.0, 1.0 + 2.0 ** -52]) for _ in range(200)],
+            "inf": [rnd.choice([float("inf"), float("-inf"), 3.0, 4.0]) for _ in range(200)],
+            "one": [7.5] * 200,
+            "gaps": [rnd.choice([None, float("nan"), float(rnd.randint(0, 50))]) for _ in range(200)],
+            "none": [None] * 200}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    qs = [0.0, 0.1, 1 / 3, 0.5, 0.99, 1.0]
+    got = {(r.column_name, r.q): r.value for r in inspect.exact_quantiles(df, list(cols), qs).collect()}
+    assert not any(c == "none" for c, _ in got)
+    for c in cols:
+        vals = sorted(v for v in cols[c] if v is not None and v == v)
+        for q in qs if vals else []:
+            p = (len(vals) - 1) * q
+            low, high = vals[int(np.floor(p))], vals[int(np.ceil(p))]
+            want = low if low == high else low + (high - low) * (p - np.floor(p))
+            assert got[c, q] == want or (want != want and got[c, q] != got[c, q])
+
+
 def test_duplicate_rows_with_hot_value(spark):
     rows = [(i, "same" if i % 3 else f"u{i}", None) for i in range(300)]
     df = spark.createDataFrame(rows, "id int, a string, b string")

@@ -109,3 +109,37 @@ def test_load_audit_header_and_rows_across_splits(spark, tmpdir_fresh):
     finally:
         spark.conf.set(key, old)
     assert (r.success, r.row_count, r.columns) == (True, 2000, ["n", "pad"])
+
+
+def test_row_ordinals_over_a_folder_of_files(spark, tmpdir_fresh):
+    """Files are numbered in path order however tasks pack their splits."""
+    import os
+    from ledgerline.sources import csv as C
+    from tests.conftest import write
+    want, n = [], 0
+    for part, rows in (("part0", 3), ("part1", 900), ("part2", 40), ("part3", 0), ("part4", 1)):
+        lines = [str(n + i) for i in range(1, rows + 1)]
+        n += rows
+        want += lines
+        write(os.path.join(tmpdir_fresh, f"{part}.csv"), "\nn,pad\n" + "".join(f"{x},{'z' * 30}\n\n" for x in lines))
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    try:
+        for size in ("2k", "1m"):
+            spark.conf.set(key, size)
+            raw = C.read_csv_raw(spark, tmpdir_fresh)
+            got = C.with_row_ordinal(raw, "at").select("n", "at").collect()
+            assert [r.n for r in sorted(got, key=lambda r: r.at)] == want
+            assert sorted(r.at for r in got) == list(range(1, n + 1))
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_quoted_header_in_load_audit(spark, tmpdir_fresh):
+    import os
+    from ledgerline.sources import csv as C
+    from tests.conftest import write
+    for name, header, want in (("a", '"a,b",c', ["a,b", "c"]), ("b", 'x,"say ""hi""",', ["x", 'say "hi"', ""]),
+                               ("c", '"",d e,"f"', ["", "d e", "f"]), ("d", "plain", ["plain"])):
+        p = write(os.path.join(tmpdir_fresh, f"{name}.csv"), f"{header}\n1,2,3\n")
+        assert C.load_audit(spark, [p]).first().columns == want
