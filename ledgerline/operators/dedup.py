@@ -3,22 +3,21 @@
 Exact, and cheap on wide rows (long texts):
 
 1. every row gets a 128-bit fingerprint (two seeded xxhash64); only the
-   fingerprints are shuffled to find the ones that occur more than once;
-2. only rows with such a fingerprint (candidates) are compared on their real
-   columns (NULL equals NULL), so a hash collision can never merge two
-   different rows;
-3. rows with a unique fingerprint are unique rows and never move.
+   fingerprints are shuffled, counted where they are read first, to find the
+   ones that occur more than once;
+2. the repeated fingerprints set bits of one bounded Bloom filter, which every
+   task tests on its own rows: a row that misses it is unique and never moves;
+3. the rows that pass are compared on their real columns (NULL equals NULL),
+   so neither a hash collision nor a false hit of the filter changes a result.
 
 That pays off when rows are wide (texts): pass ``fingerprints=True``.  For
 narrow rows the plain exact plan (group by the columns themselves) moves
 about as many bytes with one pass less, and is the default.
 
-The per-fingerprint counts and the first row per candidate value are
-partial aggregates, so a value that fills a third of the table is collapsed
-where it is read.  The candidate semi join is broadcast by AQE when the
-candidates are measured small; the matching of rows to their first
-occurrence is a null-safe equi join that AQE splits when one value is hot.
-No window is partitioned by the row value.
+No join is on a row's value, so a value that fills a third of the table never
+meets in one task: counts and first rows are partial aggregates, the filter
+is broadcast, and a duplicate is a row that is not the first of its value, an
+anti join on the row's own order key.
 """
 
 from __future__ import annotations
@@ -36,33 +35,54 @@ def fingerprint(columns: list[str]) -> list[Column]:
             for i, s in enumerate(_SEEDS)]
 
 
+# the filter's bits, as a power of two: at most 2 ** (FILTER_BITS - 6) rows of
+# 64 bits each are broadcast, whatever the input
+FILTER_BITS = 23
+
+
+def repeated_keys_filter(keys: DataFrame) -> DataFrame:
+    """The Bloom filter (word, bits) of the rows of ``keys``."""
+    at = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1 << FILTER_BITS))
+    return (keys.select(F.shiftright(at, 6).alias("_word"), at.bitwiseAND(63).cast("int").alias("_bit"))
+            .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")))
+
+
+def maybe_repeated(rows: DataFrame, keys: DataFrame, hit: bool = True) -> DataFrame:
+    """Rows whose values of the columns of ``keys`` hit (or miss) the filter
+    of ``keys``; all rows whose key is in ``keys`` hit it.  Rows stay where
+    they are: only the bounded filter is sent out."""
+    at = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1 << FILTER_BITS))
+    tested = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)) \
+        .join(F.broadcast(repeated_keys_filter(keys)), "_word", "left")
+    found = F.coalesce(F.expr("(shiftright(_bits, CAST(_at & 63 AS INT)) & 1) = 1"), F.lit(False))
+    return tested.where(found if hit else ~found).drop("_word", "_at", "_bits")
+
+
+def _repeated(h: DataFrame) -> DataFrame:
+    """Fingerprints that occur more than once."""
+    return (h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("_c"))
+            .where(F.col("_c") > 1).select("_h0", "_h1"))
+
+
 def _candidates(df: DataFrame, columns: list[str], extra: list[str] | None = None) -> DataFrame:
-    """Rows (columns + extra) whose fingerprint occurs more than once."""
+    """Rows (columns + extra) whose fingerprint may occur more than once:
+    all that do, and few others."""
     h = df.select(*[T.column(c) for c in (extra or []) + columns], *fingerprint(columns))
-    repeated = (h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("_c"))
-                .where(F.col("_c") > 1).select("_h0", "_h1"))
-    return h.join(repeated, ["_h0", "_h1"], "left_semi")
+    return maybe_repeated(h, _repeated(h))
 
 
 def duplicate_rows(df: DataFrame, columns: list[str], order_col: str,
                    fingerprints: bool = False) -> DataFrame:
     """Rows equal (NULL equals NULL) on ``columns`` to a row with a smaller
-    ``order_col``; the first occurrence is not listed."""
+    ``order_col``; the first occurrence is not listed.  Rows that share an
+    ``order_col`` are told apart by their fingerprints."""
     cols = [T.column(c) for c in columns]
-    if not fingerprints:
-        keys = [f"_k{i}" for i in range(len(columns))]
-        first = (df.groupBy(*cols).agg(F.min(T.column(order_col)).alias("_first"))
-                 .toDF(*keys, "_first"))
-        cond = [df[f"`{c}`"].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
-        return (df.join(first, cond).where(T.column(order_col) > F.col("_first"))
-                .select(T.column(order_col), *cols))
-    cand = _candidates(df, columns, [order_col])
-    keys = [f"_k{i}" for i in range(len(columns))]
-    first = (cand.groupBy("_h0", "_h1", *cols).agg(F.min(T.column(order_col)).alias("_first"))
-             .toDF("_f0", "_f1", *keys, "_first"))
-    cond = [cand["_h0"] == first["_f0"], cand["_h1"] == first["_f1"]] + \
-        [cand[f"`{c}`"].eqNullSafe(first[k]) for c, k in zip(columns, keys)]
-    return (cand.join(first, cond).where(T.column(order_col) > F.col("_first"))
+    rows = _candidates(df, columns, [order_col]) if fingerprints else \
+        df.select(T.column(order_col), *cols, *fingerprint(columns))
+    first = (rows.groupBy("_h0", "_h1", *cols).agg(F.min(T.column(order_col)).alias("_first"))
+             .select(F.col("_h0").alias("_f0"), F.col("_h1").alias("_f1"), "_first"))
+    cond = [T.column(order_col) == F.col("_first"), F.col("_h0") == F.col("_f0"), F.col("_h1") == F.col("_f1")]
+    return (rows.where(T.column(order_col).isNotNull()).join(first, cond, "left_anti")
             .select(T.column(order_col), *cols))
 
 
@@ -76,18 +96,14 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None,
                        F.count(F.lit(1)).alias("distinct_rows"),
                        F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
                        .alias("duplicate_rows"))
-    per_fp = df.select(*fingerprint(cols)).groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("c"))
-    fp = per_fp.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("total_rows"),
-                    F.count_if(F.col("c") == 1).alias("single"))
-    cand_distinct = _candidates(df, cols).groupBy(
-        "_h0", "_h1", *[T.column(c) for c in cols]).agg(F.lit(1).alias("_x")) \
-        .agg(F.count(F.lit(1)).alias("cand_distinct"))
+    total = df.agg(F.count(F.lit(1)).alias("total_rows"))
+    per = _candidates(df, cols).groupBy(
+        "_h0", "_h1", *[T.column(c) for c in cols]).agg(F.count(F.lit(1)).alias("c"))
+    more = per.agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
     from ledgerline.operators.reconcile import one_row
-    out = one_row({"total_rows": fp.select("total_rows"), "single": fp.select("single"),
-                   "cand_distinct": cand_distinct})
-    distinct = F.col("single") + F.col("cand_distinct")
-    return out.select("total_rows", distinct.alias("distinct_rows"),
-                      (F.col("total_rows") - distinct).alias("duplicate_rows"))
+    out = one_row({"total_rows": total, "duplicate_rows": more})
+    return out.select("total_rows", (F.col("total_rows") - F.col("duplicate_rows")).alias("distinct_rows"),
+                      "duplicate_rows")
 
 
 def drop_duplicates(df: DataFrame, columns: list[str] | None = None,
@@ -100,11 +116,9 @@ def drop_duplicates(df: DataFrame, columns: list[str] | None = None,
     if not fingerprints:
         return df.dropDuplicates()
     cols = df.columns
-    h = df.select(*cols, *fingerprint(cols))
-    repeated_fp = (h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("_c"))
-                   .where(F.col("_c") > 1).select("_h0", "_h1"))
-    # anti / semi joins against the repeated fingerprints only: when those
-    # are few, AQE broadcasts them and unique rows are never shuffled
-    unique = h.join(repeated_fp, ["_h0", "_h1"], "left_anti").select(*cols)
-    repeated = h.join(repeated_fp, ["_h0", "_h1"], "left_semi").select(*cols).dropDuplicates()
-    return unique.unionByName(repeated)
+    h = df.select(*[T.column(c) for c in cols], *fingerprint(cols))
+    again = _repeated(h)
+    # rows that miss the filter are unique and never move
+    unique = maybe_repeated(h, again, hit=False).select(*[T.column(c) for c in cols])
+    several = maybe_repeated(h, again).select(*[T.column(c) for c in cols]).dropDuplicates()
+    return unique.unionByName(several)

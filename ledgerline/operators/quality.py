@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import rules
 from ledgerline.functions import text as T
+from ledgerline.session import materialise, scratch_path
 
 # --- fixed values -----------------------------------------------------------
 AMOUNT_WORDS = ["amount", "price", "cost", "total"]
@@ -135,7 +136,10 @@ def column_stats(vc: DataFrame) -> DataFrame:
     """One row per column from the per-class rows: missing / present
     counts, distinct present values, length range, and the dominant class
     (most values; a tie goes to the class seen first, then the name)."""
-    t = per_type(vc)
+    return _column_stats(per_type(vc))
+
+
+def _column_stats(t: DataFrame) -> DataFrame:
     present = F.col("data_type").isNotNull()
     key = F.when(present, F.struct(F.col("value_count"),
                                    F.coalesce(-F.col("first_row"), F.lit(0)),
@@ -160,7 +164,11 @@ def column_profile(vc: DataFrame) -> DataFrame:
     confidence, distinct present values, min / max text length.  Every row
     has one cell per column, so a column's missing + present count is the
     row count; no join with a row total is needed."""
-    out = column_stats(vc).withColumn("_rows", F.col("missing_count") + F.col("present_count"))
+    return _column_profile(column_stats(vc))
+
+
+def _column_profile(stats: DataFrame) -> DataFrame:
+    out = stats.withColumn("_rows", F.col("missing_count") + F.col("present_count"))
     missing_pct = _pct(F.col("missing_count"), F.col("_rows"))
     return out.select(
         "pos", F.col("column").alias("column_name"), "missing_count",
@@ -185,12 +193,12 @@ def _exact_distinct_by_fingerprint(typed: DataFrame) -> DataFrame:
     are counted from fingerprints alone; only cells whose fingerprint repeats
     in their column are regrouped by their real value, which adds the
     values a fingerprint collision would have merged."""
-    from ledgerline.operators.dedup import fingerprint
+    from ledgerline.operators.dedup import fingerprint, maybe_repeated
     fp = typed.where(F.col("value").isNotNull()).select("pos", "value", *fingerprint(["value"]))
     per_fp = fp.groupBy("pos", "_h0", "_h1").agg(F.count(F.lit(1)).alias("c"))
     distinct_fp = per_fp.groupBy("pos").agg(F.count(F.lit(1)).alias("d"))
     repeated = per_fp.where(F.col("c") > 1).select("pos", "_h0", "_h1")
-    extra = (fp.join(repeated, ["pos", "_h0", "_h1"], "left_semi")
+    extra = (maybe_repeated(fp, repeated)
              .groupBy("pos", "_h0", "_h1", "value").agg(F.lit(1).alias("_x"))
              .groupBy("pos", "_h0", "_h1").agg((F.count(F.lit(1)) - 1).alias("more"))
              .groupBy("pos").agg(F.sum("more").alias("more")))
@@ -249,15 +257,81 @@ def profile_approx(df: DataFrame, columns: list[str], order_col: str | None = No
         (F.try_divide(F.col("_b.c"), F.col("present_count")) * 100).alias("type_pct_raw"))
 
 
+# Numbers with at most so many digits before and behind the point are summed
+# as decimals; the product with a count then still fits 38 digits.
+WHOLE_DIGITS, FRACTION_DIGITS, COUNT_DIGITS = 18, 6, 13
+_PLAIN_NUMBER = rf"^[+-]?[0-9]{{0,{WHOLE_DIGITS}}}(\.[0-9]{{0,{FRACTION_DIGITS}}})?$"
+
+
+def _exact_parts(value: Column, num: Column) -> tuple[Column, Column, Column]:
+    """A number as (decimal, exponent, mantissa): a plain number is a
+    decimal; any other finite one is mantissa * 2 ** exponent with an integer
+    mantissa, exactly, as every double is."""
+    plain = F.regexp_replace(value, "_", "")
+    dec = F.when(plain.rlike(_PLAIN_NUMBER),
+                 plain.try_cast(f"decimal({WHOLE_DIGITS + FRACTION_DIGITS},{FRACTION_DIGITS})"))
+    # log2 may be off by one, which two spare bits take up; tiny numbers are
+    # scaled in two steps, since 2 ** -exponent alone would overflow
+    top = F.greatest(F.floor(F.log2(F.abs(num))).cast("int"), F.lit(-1022))
+    exponent = top - 54
+    half = F.floor(exponent / 2).cast("int")
+    mantissa = num * F.pow(F.lit(2.0), -half.cast("double")) * F.pow(F.lit(2.0), (half - exponent).cast("double"))
+    wide = dec.isNull() & num.isNotNull() & (F.abs(num) < float("inf")) & (num != 0)
+    return dec, F.when(wide, exponent), F.when(wide, mantissa.cast("decimal(20,0)"))
+
+
+def _number_terms(value: Column, num: Column, n: Column) -> dict[str, Column]:
+    """What the exact weighted sum of numbers adds up per exponent ``_e``
+    (NULL: the plain numbers): aggregates by name."""
+    dec, _, mantissa = _exact_parts(value, num)
+    times = n.cast(f"decimal({COUNT_DIGITS},0)")
+    odd = F.when(F.isnan(num) | (F.abs(num) == float("inf")), num)
+    return {"count": F.sum(F.when(num.isNotNull(), n)), "_d": F.sum(dec * times),
+            "_m": F.sum((mantissa * times).cast("decimal(38,0)")), "_odd": F.sum(odd),
+            "mn": F.min(num), "mx": F.max(num)}
+
+
+def _number_totals(per: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., count, s, mn, mx) from the terms per exponent."""
+    half = F.floor(F.col("_e") / 2)
+    scaled = F.col("_m").cast("double") * F.pow(F.lit(2.0), half.cast("double")) \
+        * F.pow(F.lit(2.0), (F.col("_e") - half).cast("double"))
+    per = per.groupBy(*by, "_e").agg(
+        F.sum("count").alias("count"), F.sum("_d").alias("_d"), F.sum("_m").alias("_m"),
+        F.sum("_odd").alias("_odd"), F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+    wide = F.transform(F.array_sort(F.collect_list(F.when(F.col("_e").isNotNull(), F.struct(
+        F.col("_e").alias("e"), scaled.alias("x"))))), lambda p: p["x"])
+    total = F.aggregate(F.col("_wide"), F.coalesce(F.col("_d").cast("double"), F.lit(0.0)), lambda a, x: a + x)
+    return (per.groupBy(*by).agg(
+        F.sum("count").alias("count"), F.sum("_d").alias("_d"), wide.alias("_wide"), F.sum("_odd").alias("_odd"),
+        F.min("mn").alias("mn"), F.max("mx").alias("mx"))
+        .select(*by, "count", F.coalesce(F.col("_odd"), total).alias("s"), "mn", "mx"))
+
+
+def exact_sums(nums: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., count, s, mn, mx): the sum of ``num`` (the parsed ``value``)
+    times ``n``.  Plain numbers add up as decimals and all others per
+    exponent as integers, so no addition rounds and the result does not depend
+    on the order of rows or their partitioning; the exponents' sums, at most
+    one per exponent, are added at the end in their order.  An infinity or NaN
+    among the numbers gives the double sum of those."""
+    _, exponent, _ = _exact_parts(F.col("value"), F.col("num"))
+    terms = _number_terms(F.col("value"), F.col("num"), F.col("n"))
+    per = nums.withColumn("_e", exponent).groupBy(*by, "_e").agg(*[x.alias(k) for k, x in terms.items()])
+    return _number_totals(per, by)
+
+
 def numeric_stats(vc: DataFrame) -> DataFrame:
     """count / sum / average / min / max / range (2 dp) of the values that
-    are integer or float, for columns whose dominant class is numeric."""
+    are integer or float, for columns whose dominant class is numeric; sums
+    are exact before they are rounded."""
     nums = classify(vc).where(F.col("data_type").isin(NUMERIC_TYPES))
-    stats = (nums.groupBy("pos", "column")
-             .agg(F.sum("n").alias("count"), F.sum(F.col("num") * F.col("n")).alias("s"),
-                  F.min("num").alias("mn"), F.max("num").alias("mx")))
-    dom = dominant_types(vc).where(F.col("data_type").isin(NUMERIC_TYPES))
-    return (stats.join(dom.select("pos", "column"), ["pos", "column"])
+    return _numeric_stats(exact_sums(nums, ["pos", "column"]), dominant_types(vc))
+
+
+def _numeric_stats(sums: DataFrame, dominant: DataFrame) -> DataFrame:
+    dom = dominant.where(F.col("data_type").isin(NUMERIC_TYPES))
+    return (sums.join(dom.select("pos", "column"), ["pos", "column"])
             .where(F.col("count") > 0)
             .select("pos", F.col("column").alias("column_name"), "count",
                     F.round("s", 2).alias("sum"),
@@ -306,7 +380,10 @@ def rule_counts(vc: DataFrame, columns: list[str]) -> DataFrame:
     tests = rule_tests(columns)
     if not tests:
         return vc.sparkSession.createDataFrame([], "rule_key string, invalid_count bigint")
-    s = _cell_sums(vc, columns)
+    return _rule_counts(_cell_sums(vc, columns), tests)
+
+
+def _rule_counts(s: DataFrame, tests: list) -> DataFrame:
     entries = F.array(*[F.struct(F.lit(k).alias("rule_key"),
                                  F.col(f"r{i}").cast("bigint").alias("invalid_count"))
                         for i, (_, k, _) in enumerate(tests)])
@@ -337,12 +414,12 @@ def row_metrics(df: DataFrame, columns: list[str], fingerprints: bool = False) -
     base = df.select(row_key(columns).alias("_key"),
                                     _complete(columns).alias("_ok"))
     if fingerprints:
-        from ledgerline.operators.dedup import fingerprint
+        from ledgerline.operators.dedup import fingerprint, maybe_repeated
         h = base.select("_key", "_ok", *fingerprint(["_key"]))
         per_fp = h.groupBy("_h0", "_h1").agg(F.count(F.lit(1)).alias("c"),
                                              F.count_if("_ok").alias("k"))
         rep = per_fp.where(F.col("c") > 1).select("_h0", "_h1")
-        dup = (h.join(rep, ["_h0", "_h1"], "left_semi").groupBy("_key")
+        dup = (maybe_repeated(h, rep).groupBy("_key")
                .agg(F.count(F.lit(1)).alias("c"))
                .agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).cast("bigint")
                     .alias("duplicate_rows")))
@@ -374,12 +451,14 @@ def summary(df: DataFrame, columns: list[str], vc: DataFrame | None = None,
     cells, duplicate rows, invalid values, quality score and rating.  Two
     aggregate chains: one over row keys, one over value counts."""
     vc = vc if vc is not None else value_counts(df, columns)
-    tests = rule_tests(columns)
-    cells = _cell_sums(vc, columns)
-    invalid = reduce(lambda a, b: a + b, [F.col(f"r{i}") for i in range(len(tests))],
+    return _summary(row_metrics(df, columns, fingerprints), _cell_sums(vc, columns), columns)
+
+
+def _summary(rows: DataFrame, cells: DataFrame, columns: list[str]) -> DataFrame:
+    invalid = reduce(lambda a, b: a + b, [F.col(f"r{i}") for i in range(len(rule_tests(columns)))],
                      F.lit(0).cast("bigint"))
     cells = cells.select("empty_cells", invalid.cast("bigint").alias("invalid_values"))
-    s = _side_by_side(row_metrics(df, columns, fingerprints), cells) \
+    s = _side_by_side(rows, cells) \
         .withColumn("total_columns", F.lit(len(columns)).cast("bigint"))
     return s.select("total_rows", "total_columns", "complete_rows",
                     _pct(F.col("complete_rows"), F.col("total_rows"))
@@ -487,19 +566,57 @@ def _sorted_entries(df: DataFrame, key: str, value: Column, order: str = "pos")
                        lambda e: F.struct(e["k"].alias("key"), e["v"].alias("value")))
 
 
+def class_table(vc: DataFrame, columns: list[str]) -> DataFrame:
+    """Everything that the report says about columns, in one aggregate of
+    the value counts: one row per column, value class and exponent of its
+    inexact numbers (few rows, whatever the data), with the class's counts and
+    lengths, the terms of its exact sum and the rule counts."""
+    v, n, present = F.col("value"), F.col("n"), F.col("value").isNotNull()
+    cls = vc.select("*", F.when(present, T.guess_type(v)).alias("data_type"), F.length(v).cast("bigint").alias("len"))
+    num = F.when(F.col("data_type").isin(NUMERIC_TYPES), T.to_number(v))
+    cls = cls.withColumn("num", num)
+    _, exponent, _ = _exact_parts(v, F.col("num"))
+    rules_ = [F.sum(F.when(present & (F.col("column") == c) & F.coalesce(t, F.lit(False)), n).otherwise(0)).alias(f"r{i}")
+              for i, (c, _, t) in enumerate(rule_tests(columns))]
+    terms = [x.alias(k) for k, x in _number_terms(v, F.col("num"), n).items()]
+    return (cls.withColumn("_e", exponent).groupBy("pos", "column", "data_type", "_e").agg(
+        F.sum("n").alias("value_count"), F.min("first_row").alias("first_row"),
+        F.count("value").alias("distinct_values"), F.min("len").alias("min_len"), F.max("len").alias("max_len"),
+        *terms, *rules_))
+
+
 def quality_report(df: DataFrame, columns: list[str], order_col: str | None = None,
                    file_name: str | None = None, file_path: str | None = None,
                    file_size: int | None = None, analysis_date: str | None = None,
-                   fingerprints: bool = False) -> DataFrame:
+                   fingerprints: bool = False, duplicates_path: str | None = None) -> DataFrame:
     """The whole report as one row of nested structs: metadata, summary,
-    column_analysis (map column -> stats), issues, recommendations.  Every
-    part is built from the per-column aggregates above; the assembly joins
-    one-row frames on a constant key."""
-    vc = value_counts(df, columns, order_col)
-    prof = column_profile(vc)
-    nums = numeric_stats(vc)
-    rk = rule_counts(vc, columns)
-    summ = summary(df, columns, vc, fingerprints)
+    column_analysis (map column -> stats), issues, recommendations.
+
+    The data is read for three written tables: the class table and the row
+    metrics, which are small and from which every part of the report is then
+    made without an exchange, and the duplicate rows, which may be many: they
+    stay a Parquet table of their own (``order_col``), under
+    ``duplicates_path`` or the scratch folder, and the report holds their count
+    and the table's path (``issues.duplicates.rows_table``)."""
+    spark = df.sparkSession
+    t = materialise(class_table(value_counts(df, columns, order_col), columns), "report_classes").coalesce(1)
+    rows = materialise(row_metrics(df, columns, fingerprints), "report_rows").coalesce(1)
+    if order_col:
+        duplicates_path = duplicates_path or scratch_path(spark, "report_duplicates")
+        duplicate_rows(df, columns, order_col, fingerprints).write.mode("overwrite").parquet(duplicates_path)
+    per = t.groupBy("pos", "column", "data_type").agg(
+        F.sum("value_count").alias("value_count"), F.min("first_row").alias("first_row"),
+        F.sum("distinct_values").alias("distinct_values"), F.min("min_len").alias("min_len"),
+        F.max("max_len").alias("max_len"))
+    tests = rule_tests(columns)
+    sums = t.agg(F.sum(F.when(F.col("data_type").isNull(), F.col("value_count")).otherwise(0)).alias("empty_cells"),
+                 *[F.sum(f"r{i}").alias(f"r{i}") for i in range(len(tests))])
+    stats = _column_stats(per)
+    prof = _column_profile(stats)
+    nums = _numeric_stats(_number_totals(t.where(F.col("data_type").isin(NUMERIC_TYPES)), ["pos", "column"]),
+                          stats.select("pos", "column", "data_type"))
+    rk = _rule_counts(sums, tests)
+    summ = _summary(rows, sums, columns)
     iss = issues(prof, rk)
     recs = recommendations(prof, summ)
 
@@ -512,16 +629,11 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
                 .alias("value_length"), "numeric_stats")))
     col_map = cols.agg(F.map_from_entries(_sorted_entries(cols, "column_name", F.col("stats")))
                        .alias("column_analysis"))
-    inv = rk.withColumn("pos", F.lit(0)).agg(F.map_from_entries(
-        _sorted_entries(rk.withColumn("pos", F.col("rule_key")), "rule_key",
-                        F.col("invalid_count"), "pos")).alias("invalid_values"))
+    inv = rk.withColumn("pos", F.col("rule_key"))
+    inv = inv.agg(F.map_from_entries(_sorted_entries(inv, "rule_key", F.col("invalid_count"))).alias("invalid_values"))
     cwi = iss.agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "pos", F.col("column_name").alias("column"), "missing_percentage", "severity"))),
         lambda e: e.dropFields("pos")).alias("columns_with_issues"))
-    dup_rows = (duplicate_rows(df, columns, order_col, fingerprints)
-                .agg(F.sort_array(F.collect_list(order_col)).alias("rows"))
-                if order_col else df.sparkSession.range(1).select(
-                    F.array().cast("array<bigint>").alias("rows")))
     rec = recs.agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "recommendation"))),
                                lambda e: e["recommendation"]).alias("recommendations"))
     meta = summ.select(F.struct(
@@ -534,12 +646,52 @@ def quality_report(df: DataFrame, columns: list[str], order_col: str | None = No
         F.struct("total_rows", "total_columns", "complete_rows", "completeness_percentage",
                  "quality_score", "quality_rating").alias("summary"),
         "duplicate_rows", "total_rows")
-    out = _side_by_side(meta, col_map, inv, cwi, dup_rows, rec)
+    out = _side_by_side(*[x.coalesce(1) for x in (meta, col_map, inv, cwi, rec)])
     dpct = _pct(F.col("duplicate_rows"), F.col("total_rows"))
     return out.select(
         "metadata", "summary", "column_analysis",
         F.struct(F.struct(F.col("duplicate_rows").alias("count"), dpct.alias("percentage"),
-                          F.coalesce(F.col("rows"), F.array().cast("array<bigint>"))
-                          .alias("rows")).alias("duplicates"),
+                          F.lit(duplicates_path).cast("string").alias("rows_table")).alias("duplicates"),
                  "invalid_values", "columns_with_issues").alias("issues"),
         "recommendations")
+
+
+def reported_duplicates(report: DataFrame) -> DataFrame | None:
+    """The table of duplicate rows that a report links to."""
+    path = report.select("issues.duplicates.rows_table").first()[0]
+    return report.sparkSession.read.parquet(path) if path else None
+
+
+def report_lines(report: DataFrame) -> DataFrame:
+    """The report in long form, but for its time and paths: (section, item,
+    field, number, text)."""
+    def line(section, item, field, number=None, text=None):
+        return F.struct(F.lit(section).alias("section"), item.cast("string").alias("item"), F.lit(field).alias("field"),
+                        (F.lit(None) if number is None else number).cast("double").alias("number"),
+                        (F.lit(None) if text is None else text).cast("string").alias("text"))
+
+    none = F.lit(None).cast("string")
+    s, dup = F.col("summary"), F.col("issues.duplicates")
+    fixed = [line("metadata", none, "file_name", text=F.col("metadata.file_name")),
+             *[line("summary", none, k, number=s[k]) for k in (
+                 "total_rows", "total_columns", "complete_rows", "completeness_percentage", "quality_score")],
+             line("summary", none, "quality_rating", text=s["quality_rating"]),
+             *[line("duplicates", none, k, number=dup[k]) for k in ("count", "percentage")]]
+
+    def of_column(e):
+        v = e["value"]
+        x = v["numeric_stats"]
+        numbers = {k: v[k] for k in ("missing_count", "missing_percentage", "type_confidence", "unique_values")}
+        numbers |= {f"{k}_length": v["value_length"][k] for k in ("min", "max")}
+        numbers |= {f"numeric_{k}": x[k] for k in ("count", "sum", "average", "min", "max", "range")}
+        return F.array(*[line("column", e["key"], k, number=c) for k, c in numbers.items()],
+                       *[line("column", e["key"], k, text=v[k]) for k in ("completeness_severity", "data_type")])
+
+    parts = F.concat(
+        F.array(*fixed), F.flatten(F.transform(F.map_entries("column_analysis"), of_column)),
+        F.transform(F.map_entries("issues.invalid_values"),
+                    lambda e: line("invalid", e["key"], "count", number=e["value"])),
+        F.transform("issues.columns_with_issues", lambda e: line(
+            "issue", e["column"], "missing_percentage", number=e["missing_percentage"], text=e["severity"])),
+        F.transform("recommendations", lambda r, i: line("recommendation", i + 1, "text", text=r)))
+    return report.select(F.inline(parts)).where(F.col("number").isNotNull() | F.col("text").isNotNull())

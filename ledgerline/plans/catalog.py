@@ -18,6 +18,7 @@ from ledgerline.operators import joins, reconcile, windows
 from ledgerline.plans.oracle import (DOCS_LABELS, S_CUSTOMERS, S_ITEMS, S_ORDERS, SALES,
                                      round2, with_)
 from ledgerline.sources import bindings as b
+from ledgerline.sources import raw_views as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
@@ -282,6 +283,25 @@ def q_anti_customers(spark, d):
     return joins.customers_without_order(b.customers(spark, d), b.orders(spark, d))
 
 
+@register("anti_orders_faulted", with_(R.FAULT_ORDERS_CTE, S_CUSTOMERS) + """SELECT o.order_id,
+  o.customer_id, o.order_date FROM fault_orders o LEFT JOIN s_customers c
+  ON o.customer_id = c.customer_id WHERE c.customer_id IS NULL""")
+def q_anti_orders_faulted(spark, d):
+    return joins.orders_without_customer(R.fault_orders(spark, d), b.customers(spark, d))
+
+
+RECENT_FROM = "1998-01-01"
+
+
+@register("anti_customers_recent", with_(S_ORDERS, S_CUSTOMERS) + f"""SELECT c.customer_id,
+  c.customer_name, c.region FROM s_customers c WHERE NOT EXISTS (SELECT 1 FROM s_orders o
+  WHERE o.customer_id = c.customer_id AND o.order_date >= DATE '{RECENT_FROM}')""")
+def q_anti_customers_recent(spark, d):
+    """Customers without an order since a day."""
+    recent = b.orders(spark, d).where(F.col("order_date") >= F.lit(RECENT_FROM).cast("date"))
+    return joins.customers_without_order(b.customers(spark, d), recent)
+
+
 @register("anti_orders_items", with_(S_ORDERS, S_ITEMS) + """SELECT o.order_id, o.customer_id,
   o.order_date FROM s_orders o WHERE NOT EXISTS
   (SELECT 1 FROM s_items oi WHERE oi.order_id = o.order_id)""")
@@ -396,6 +416,26 @@ def q_chk_fk(spark, d):
     return reconcile.orphans(b.order_items(spark, d), b.orders(spark, d), "order_id")
 
 
+_FAULTED = with_(R.FAULT_ORDERS_CTE, S_ITEMS)
+
+
+@register("chk_unique_faulted", _FAULTED + """SELECT order_id, COUNT(*) AS occurrence_count
+  FROM fault_orders GROUP BY order_id HAVING COUNT(*) > 1""")
+def q_chk_unique_faulted(spark, d):
+    return reconcile.duplicate_keys(R.fault_orders(spark, d), "order_id")
+
+
+@register("chk_not_null_faulted", _FAULTED + "SELECT * FROM fault_orders WHERE order_id IS NULL")
+def q_chk_not_null_faulted(spark, d):
+    return reconcile.null_keys(R.fault_orders(spark, d), "order_id")
+
+
+@register("chk_fk_faulted", _FAULTED + """SELECT oi.* FROM s_items oi WHERE oi.order_id IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM fault_orders o WHERE o.order_id = oi.order_id)""")
+def q_chk_fk_faulted(spark, d):
+    return reconcile.orphans(b.order_items(spark, d), R.fault_orders(spark, d), "order_id")
+
+
 @register("rec_allclose", with_(S_ORDERS, S_CUSTOMERS, S_ITEMS) + f""", a AS (
   SELECT order_id, SUM(quantity * price) / 100.0 AS x FROM s_items GROUP BY order_id),
  bb AS (SELECT o.order_id, SUM(oi.quantity * oi.price) / 100.0 AS y FROM {JOIN3}
@@ -535,7 +575,7 @@ def q_ts_daily_full(spark, d):
   CASE WHEN {REV} > {LINE_HIGH_ABOVE} THEN 'HIGH_VALUE' WHEN {REV} >= {LINE_MEDIUM_FROM}
   THEN 'MEDIUM_VALUE' ELSE 'LOW_VALUE' END AS category FROM sales""")
 def q_rule_value_class(spark, d):
-    s = agg.with_revenue(b.sales(spark, d))
+    s = agg.with_revenue(b.valued_lines(spark, d))
     return s.select("order_id", "quantity", "price", "revenue",
                     rules.value_class("revenue", LINE_HIGH_ABOVE, LINE_MEDIUM_FROM)
                     .alias("category"))
@@ -545,7 +585,7 @@ def q_rule_value_class(spark, d):
   CASE WHEN {REV} > {LINE_HIGH_ABOVE} THEN 'HIGH' WHEN {REV} >= {LINE_MEDIUM_FROM}
   THEN 'MEDIUM' ELSE 'LOW' END AS category FROM sales""")
 def q_rule_short_class(spark, d):
-    s = agg.with_revenue(b.sales(spark, d))
+    s = agg.with_revenue(b.valued_lines(spark, d))
     return s.select("order_id", "revenue",
                     rules.value_class("revenue", LINE_HIGH_ABOVE, LINE_MEDIUM_FROM,
                                       rules.SHORT_LABELS).alias("category"))

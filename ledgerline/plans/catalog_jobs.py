@@ -9,6 +9,7 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import jobs
 from ledgerline.plans.catalog import (LINE_HIGH_ABOVE, LINE_MEDIUM_FROM, REGION_FILTER,
                                       REGION_LOW_BELOW)
+from ledgerline.plans.catalog_quality import REPORT_SQL
 from ledgerline.plans.oracle import S_CUSTOMERS, S_ITEMS, S_ORDERS, SALES, with_
 from ledgerline.session import scratch_path
 from ledgerline.sources import bindings as b
@@ -106,17 +107,36 @@ def q_job_clean_aggregate_region(spark, d):
   WHEN {REV} >= {LINE_MEDIUM_FROM} THEN 'MEDIUM_VALUE' ELSE 'LOW_VALUE' END AS category
   FROM s_items""")
 def q_job_rules_arrays(spark, d):
-    """Parallel price / quantity arrays per order, then the array rules.
-    The arrays are gathered per (order, input split): no array is larger
-    than one input split, however many lines one order has."""
-    items = b.order_items(spark, d)
-    arrays = (items.groupBy("order_id", F.spark_partition_id().alias("_split"))
-              .agg(F.collect_list(F.struct("price", "quantity")).alias("pq"))
-              .select("order_id", F.transform("pq", lambda x: x["price"]).alias("prices"),
-                      F.transform("pq", lambda x: x["quantity"]).alias("quantities")))
+    """The array rules over lines: no table holds arrays of prices, so each
+    line gives arrays of one element, and no line moves to make them."""
+    arrays = b.order_items(spark, d).select(
+        "order_id", F.array("price").alias("prices"), F.array("quantity").alias("quantities"))
     return jobs.vectorized_rules(arrays, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM, keep=["order_id"])
 
 
+ARRAY_HIGH_ABOVE, ARRAY_MEDIUM_FROM = 6000, 1000
+
+
+@register("job_rules_array_table", f"""WITH a AS (SELECT vec_id,
+  list_transform(embedding, lambda x: CAST(floor(abs(CAST(x AS DOUBLE)) * 10000) AS BIGINT)) AS prices,
+  list_transform(embedding, lambda x, i: CAST((i - 1) % 7 + 1 AS BIGINT)) AS quantities FROM embeddings),
+ r AS (SELECT vec_id, list_transform(prices, lambda p, i: p * quantities[i]) AS revenue FROM a),
+ c AS (SELECT *, list_transform(revenue, lambda r: CASE WHEN r > {ARRAY_HIGH_ABOVE} THEN 'HIGH_VALUE'
+  WHEN r >= {ARRAY_MEDIUM_FROM} THEN 'MEDIUM_VALUE' ELSE 'LOW_VALUE' END) AS category FROM r)
+SELECT vec_id, array_to_string(revenue, ';') AS revenue, array_to_string(category, ';') AS category,
+  CAST(len(revenue) AS INTEGER) AS items, CAST(list_sum(revenue) AS BIGINT) AS total_revenue,
+  CAST(len(list_filter(category, lambda c: c = 'HIGH_VALUE')) AS INTEGER) AS high_items FROM c""")
+def q_job_rules_array_table(spark, d):
+    """The array kernels over a table's arrays, written as CSV and read back."""
+    e = read_table(spark, d, "embeddings").select(
+        "vec_id", F.transform("embedding", lambda x: F.floor(F.abs(x.cast("double")) * 10000)).alias("prices"),
+        F.transform("embedding", lambda x, i: (i % 7 + 1).cast("bigint")).alias("quantities"))
+    out = jobs.array_rules(e, "prices", "quantities", ARRAY_HIGH_ABOVE, ARRAY_MEDIUM_FROM).drop("prices", "quantities")
+    path = jobs.array_rules_csv(out, scratch_path(spark, "array_rules"))
+    return spark.read.schema("vec_id bigint, revenue string, category string, items int, total_revenue bigint, "
+                             "high_items int").option("header", True).csv(path)
+
+
 @register("job_rules_transactions", S + f"""SELECT order_id AS transaction_id, {REV} AS revenue,
   CASE WHEN {REV} > {LINE_HIGH_ABOVE} THEN 'HIGH' WHEN {REV} >= {LINE_MEDIUM_FROM}
   THEN 'MEDIUM' ELSE 'LOW' END AS category FROM sales""")
@@ -135,13 +155,14 @@ def q_job_rules_distribution(spark, d):
         jobs.business_rules_engine(t, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM))
 
 
-@register("dq_report", None)
+def _txn_report(spark, d):
+    return Q.quality_report(R.txn_raw(spark, d), R.TXN_COLUMNS, "row_id", "txn_raw", f"{d}/orders.parquet")
+
+
+@register("dq_report", REPORT_SQL)
 def q_dq_report(spark, d):
-    """The nested report of the transaction view as one JSON row
-    (rows-only: it carries the analysis time)."""
-    rep = Q.quality_report(R.txn_raw(spark, d), R.TXN_COLUMNS, "row_id", "txn_raw",
-                           f"{d}/orders.parquet")
-    return rep.select(F.to_json(F.struct(*rep.columns)).alias("report_json"))
+    """The nested report of the transaction view in long form."""
+    return Q.report_lines(_txn_report(spark, d))
 
 
 # ---------------------------------------------------------- sources, sinks --
@@ -167,17 +188,36 @@ def q_src_csv_raw(spark, d):
     return C.read_csv_raw(spark, _sales_csv(spark, d))
 
 
-@register("src_load_audit", None)
-def q_src_load_audit(spark, d):
-    """Load status of every part file of the sales CSV export plus one
-    path that does not exist (rows-only: part-file names vary)."""
-    path = _sales_csv(spark, d)
+def _audit(spark, d):
+    """(path, audit) of the sales CSV export, whose header has a quoted name
+    with a comma, an empty file, and a path that does not exist."""
+    path = sinks.write_csv(b.sales(spark, d).withColumnRenamed("price", "price, in cents"),
+                           scratch_path(spark, "sales_csv"))
     jvm = spark.sparkContext._jvm
     hp = jvm.org.apache.hadoop.fs.Path(path)
     fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     parts = [st.getPath().toString() for st in fs.listStatus(hp)
              if st.getPath().getName().endswith(".csv")]
-    return C.load_audit(spark, parts + [f"{path}/missing_file.csv"])
+    fs.create(jvm.org.apache.hadoop.fs.Path(f"{path}/zero_bytes.csv")).close()
+    return path, C.load_audit(spark, parts + [f"{path}/zero_bytes.csv", f"{path}/missing_file.csv"])
+
+
+@register("src_load_audit", S + """SELECT 'part' AS file, true AS success, CAST(NULL AS VARCHAR) AS error,
+  CAST(COUNT(*) AS BIGINT) AS row_count,
+  'order_id|order_date|customer_id|region|product|quantity|price, in cents' AS columns FROM sales
+  UNION ALL SELECT 'zero_bytes.csv', false, 'File is empty: zero_bytes.csv', NULL, NULL
+  UNION ALL SELECT 'missing_file.csv', false, 'File not found: missing_file.csv', NULL, NULL""")
+def q_src_load_audit(spark, d):
+    """Load status of the part files of the sales CSV export (summed up,
+    since their names and number vary) and of two paths that do not load."""
+    path, audit = _audit(spark, d)
+    name = F.element_at(F.split("file_path", "/"), -1)
+    file = F.when(name.startswith("part-"), F.lit("part")).otherwise(name)
+    error = F.regexp_replace("error", "(: ).*/", "$1")
+    return (audit.groupBy(file.alias("file"), "success", error.alias("error"),
+                          F.array_join("columns", "|").alias("columns"))
+            .agg(F.sum("row_count").alias("row_count"))
+            .select("file", "success", "error", "row_count", "columns"))
 
 
 @register("src_load_audit_totals", S + """SELECT CAST(COUNT(*) AS BIGINT) AS rows_loaded,
@@ -185,7 +225,7 @@ def q_src_load_audit(spark, d):
 def q_src_load_audit_totals(spark, d):
     """The audit of the sales CSV export summed up: rows over the files that
     loaded (= sales rows) and the files not found (the one missing path)."""
-    a = q_src_load_audit(spark, d)
+    _, a = _audit(spark, d)
     return a.agg(F.coalesce(F.sum(F.when(F.col("success"), F.col("row_count"))), F.lit(0))
                  .cast("bigint").alias("rows_loaded"),
                  F.count_if(F.col("error").startswith("File not found")).alias("files_not_found"))
@@ -222,13 +262,11 @@ def q_sink_csv_empty(spark, d):
     return sinks.read_back_csv(empty, path)
 
 
-@register("sink_json_report", None)
+@register("sink_json_report", REPORT_SQL)
 def q_sink_json_report(spark, d):
-    """The transaction quality report written as indented JSON and read
-    back as text lines (rows-only)."""
-    rep = Q.quality_report(R.txn_raw(spark, d), R.TXN_COLUMNS, "row_id", "txn_raw",
-                           f"{d}/orders.parquet")
+    """The transaction quality report written as indented JSON, read back
+    and put in long form."""
+    rep = _txn_report(spark, d)
     path = sinks.report_path(scratch_path(spark, "reports"), "txn_raw")
     sinks.write_json_report(rep, path)
-    return spark.read.text(path)
-
+    return Q.report_lines(sinks.read_json_report(rep, path))

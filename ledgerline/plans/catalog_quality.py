@@ -63,6 +63,14 @@ def q_dq_columns(spark, d):
     return Q.column_profile(_vc(spark, d)).select(*PROFILE_COLS)
 
 
+_NUMERIC_SQL = f"""SELECT nstat.col AS column_name, cnt AS "count", {round2('s')} AS "sum",
+  {round2('s / cnt')} AS average, {round2('mn')} AS "min", {round2('mx')} AS "max",
+  {round2('mx - mn')} AS "range"
+FROM (SELECT pos, col, CAST(SUM(n) AS BIGINT) AS cnt, SUM(num * n) AS s, MIN(num) AS mn, MAX(num) AS mx
+  FROM cls WHERE data_type IN ('integer', 'float') GROUP BY pos, col) nstat JOIN dom ON nstat.pos = dom.pos
+WHERE dom.data_type IN ('integer', 'float') AND cnt > 0"""
+
+
 @register("dq_numeric", TXN_P.rstrip("\n") + f""", nstat AS (SELECT pos, col,
   CAST(SUM(n) AS BIGINT) AS cnt, SUM(num * n) AS s, MIN(num) AS mn, MAX(num) AS mx
   FROM cls WHERE data_type IN ('integer', 'float') GROUP BY pos, col)
@@ -82,7 +90,9 @@ def q_dq_rules(spark, d):
 
 @register("dq_summary", TXN_PRS + "SELECT * FROM summ")
 def q_dq_summary(spark, d):
-    return Q.summary(_txn(spark, d), TXN, _vc(spark, d))
+    """The sums need no distinct values, so they come from the cells."""
+    txn = _txn(spark, d)
+    return Q.summary(txn, TXN, Q.cells(txn, TXN, "row_id"))
 
 
 @register("dq_issues", TXN_PR + """SELECT column_name, missing_percentage,
@@ -93,7 +103,7 @@ def q_dq_issues(spark, d):
     return Q.issues(Q.column_profile(vc), Q.rule_counts(vc, TXN)).drop("pos")
 
 
-_RECOMMEND_SQL = """, rec AS (
+_RECOMMEND_CTE = """, rec AS (
   SELECT 1 AS seq, 0 AS sub, 'Consider data imputation for columns with >20% missing values: '
     || array_to_string(list_slice(list(column_name ORDER BY pos), 1, 5), ', ')
     || CASE WHEN COUNT(*) > 5 THEN '...' ELSE '' END AS recommendation
@@ -105,8 +115,9 @@ _RECOMMEND_SQL = """, rec AS (
     || ''' has mixed data types. Consider standardizing to ' || data_type
     FROM prof2 WHERE data_type <> 'unknown' AND type_pct_raw < 90
   UNION ALL SELECT 4, 0, 'Overall data quality needs improvement. Focus on reducing missing '
-    || 'values and fixing invalid entries.' FROM summ WHERE quality_score < 70)
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY seq, sub) AS BIGINT) AS seq, recommendation FROM rec"""
+    || 'values and fixing invalid entries.' FROM summ WHERE quality_score < 70)"""
+_RECOMMEND_ROWS = "SELECT CAST(ROW_NUMBER() OVER (ORDER BY seq, sub) AS BIGINT) AS seq, recommendation FROM rec"
+_RECOMMEND_SQL = f"{_RECOMMEND_CTE}\n{_RECOMMEND_ROWS}"
 
 
 @register("dq_recommend", TXN_PRS.rstrip("\n") + _RECOMMEND_SQL)
@@ -115,6 +126,29 @@ def q_dq_recommend(spark, d):
     return Q.recommendations(Q.column_profile(vc), Q.summary(txn, TXN, vc))
 
 
+def _report_sql():
+    """The report in long form, from the same parts."""
+    parts = ["SELECT 'metadata' AS section, CAST(NULL AS VARCHAR) AS item, 'file_name' AS field, "
+             "CAST(NULL AS DOUBLE) AS number, 'txn_raw' AS text"]
+    parts += [f"SELECT 'summary', NULL, '{k}', CAST({k} AS DOUBLE), NULL FROM summ" for k in (
+        "total_rows", "total_columns", "complete_rows", "completeness_percentage", "quality_score")]
+    parts += ["SELECT 'summary', NULL, 'quality_rating', NULL, quality_rating FROM summ",
+              "SELECT 'duplicates', NULL, 'count', CAST(duplicate_rows AS DOUBLE), NULL FROM summ",
+              f"SELECT 'duplicates', NULL, 'percentage', coalesce({round2('duplicate_rows / NULLIF(total_rows, 0) * 100')}, 0.0), "
+              "NULL FROM summ"]
+    parts += [f"SELECT 'column', column_name, '{k}', CAST({k} AS DOUBLE), NULL FROM prof2" for k in (
+        "missing_count", "missing_percentage", "type_confidence", "unique_values", "min_length", "max_length")]
+    parts += [f"SELECT 'column', column_name, '{k}', NULL, {k} FROM prof2" for k in ("completeness_severity", "data_type")]
+    parts += [f"SELECT 'column', column_name, 'numeric_{k}', CAST(\"{k}\" AS DOUBLE), NULL FROM nums" for k in (
+        "count", "sum", "average", "min", "max", "range")]
+    parts += ["SELECT 'invalid', rule_key, 'count', CAST(invalid_count AS DOUBLE), NULL FROM rules",
+              "SELECT 'issue', column_name, 'missing_percentage', missing_percentage, completeness_severity FROM prof2 "
+              "WHERE missing_percentage > 20 OR column_name IN (SELECT rule_key FROM rules)",
+              "SELECT 'recommendation', CAST(seq AS VARCHAR), 'text', NULL, recommendation FROM recs"]
+    return (TXN_PRS.rstrip("\n") + ", nums AS (" + _NUMERIC_SQL + ")" + _RECOMMEND_CTE
+            + ", recs AS (" + _RECOMMEND_ROWS + ") " + " UNION ALL ".join(parts))
+
+
 def _small_sql():
     parts = [f"SELECT 'row_count' AS section, 'rows' AS item, COUNT(*) AS value FROM {TC}"]
     for c in TXN:
@@ -374,3 +408,27 @@ def q_dq_issues_docs(spark, d):
 def q_dq_recommend_docs(spark, d):
     docs = R.docs_raw(spark, d)
     return Q.recommendations(_docs_profile(docs), _docs_summary(docs))
+
+
+# A view of poor quality: every kind of issue and recommendation occurs.
+POOR = R.POOR_COLUMNS
+POOR_PRS = (with_(R.POOR_CTE).rstrip("\n") + O.profile_ctes("poor_raw", POOR) + O.rules_cte(POOR)
+            + O.summary_ctes("poor_raw", POOR) + "\n")
+
+
+@register("dq_issues_poor", POOR_PRS + """SELECT column_name, missing_percentage,
+  completeness_severity AS severity FROM prof2
+  WHERE missing_percentage > 20 OR column_name IN (SELECT rule_key FROM rules)""")
+def q_dq_issues_poor(spark, d):
+    vc = Q.value_counts(R.poor_raw(spark, d), POOR, "row_id")
+    return Q.issues(Q.column_profile(vc), Q.rule_counts(vc, POOR)).drop("pos")
+
+
+@register("dq_recommend_poor", POOR_PRS.rstrip("\n") + _RECOMMEND_SQL)
+def q_dq_recommend_poor(spark, d):
+    poor = R.poor_raw(spark, d)
+    vc = Q.value_counts(poor, POOR, "row_id")
+    return Q.recommendations(Q.column_profile(vc), Q.summary(poor, POOR, vc))
+
+
+REPORT_SQL = _report_sql()

@@ -103,6 +103,35 @@ def vectorized_rules(df: DataFrame, high: float = rules.VALUE_HIGH_ABOVE,
             .withColumn("category", rules.value_class("revenue", high, medium)))
 
 
+def array_rules(df: DataFrame, prices: str = "prices", quantities: str = "quantities",
+                high: float = rules.VALUE_HIGH_ABOVE, medium: float = rules.VALUE_MEDIUM_FROM) -> DataFrame:
+    """The array rules as kernels: every row of ``df`` with arrays revenue
+    and category, their length, the revenue's sum and how many are of the
+    highest class.  Nothing is exploded, so no row moves.  A missing element
+    gives a missing revenue of the lowest class; arrays of different lengths
+    raise."""
+    same = F.size(prices) == F.size(quantities)
+    revenue = F.when(same | F.col(prices).isNull() | F.col(quantities).isNull(),
+                     F.zip_with(prices, quantities, lambda p, q: p * q)) \
+        .otherwise(F.raise_error(F.lit("arrays of different lengths")))
+    out = df.withColumn("revenue", revenue)
+    out = out.withColumn("category", F.transform("revenue", lambda r: rules.value_class(r, high, medium)))
+    zero = F.lit(0).cast(out.schema["revenue"].dataType.elementType)
+    return (out.withColumn("items", F.coalesce(F.array_size("revenue"), F.lit(0)))
+            .withColumn("total_revenue", F.aggregate(F.col("revenue"), zero, lambda a, x: a + F.coalesce(x, zero)))
+            .withColumn("high_items", F.coalesce(F.size(F.filter(
+                "category", lambda c: c == rules.VALUE_LABELS[0])), F.lit(0))))
+
+
+def array_rules_csv(classified: DataFrame, path: str, sep: str = ";") -> str:
+    """Header CSV of ``array_rules``: arrays as text, elements joined."""
+    def text(c):
+        kind = classified.schema[c].dataType
+        return F.array_join(F.col(c).cast("array<string>"), sep, "") if kind.typeName() == "array" else F.col(c)
+
+    return sinks.write_csv(classified.select(*[text(c).alias(c) for c in classified.columns]), path)
+
+
 # E06 -------------------------------------------------------------------------
 def category_distribution(classified: DataFrame, col: str = "category") -> DataFrame:
     """Rows per class, most frequent first (``value_counts``) with the
@@ -139,10 +168,12 @@ def analyze_csv(spark, path: str, report_dir: str | None = None) -> DataFrame:
     raw = C.read_csv_raw(spark, path)
     cols = [c for c in raw.columns if c != "malformed"]
     ordered = C.with_row_ordinal(raw, "_row")
-    rep = Q.quality_report(ordered, cols, "_row", posixpath.basename(path), path,
-                           audit.size_bytes)
+    name = posixpath.basename(path)
+    target = sinks.report_path(report_dir, name) if report_dir else None
+    rep = Q.quality_report(ordered, cols, "_row", name, path, audit.size_bytes,
+                           duplicates_path=target and target.removesuffix(".json") + "_duplicate_rows")
     if report_dir:
-        sinks.write_json_report(rep, sinks.report_path(report_dir, posixpath.basename(path)))
+        sinks.write_json_report(rep, target)
     return rep
 
 

@@ -123,6 +123,21 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "_revenue", "_lines", "_valued", "_quantity"))
 
 
+def valid_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the orders whose customer, nation and region exist."""
+    c = customers(spark, sf_dir).select("customer_id")
+    return orders(spark, sf_dir).select("order_id", "customer_id") \
+        .join(c, "customer_id", "left_semi").select("order_id")
+
+
+def valued_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(order_id, quantity, price) of every row of ``sales``: of the orders
+    and customers only their existence matters, so lines meet the valid
+    orders' keys in a semi join, then the parts."""
+    return order_items(spark, sf_dir).select("order_id", "quantity", "price") \
+        .join(valid_orders(spark, sf_dir), "order_id", "left_semi")
+
+
 def product_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part with lines in ``sales``: (product, _revenue, _lines,
     _valued, _quantity).

@@ -51,6 +51,23 @@ USER_EXPRS = {
              f"WHEN {_U} % 23 = 0 THEN 'user' || CAST({_U} AS STRING) || 'example.com' "
              f"ELSE ' User' || CAST({_U} AS STRING) || '@Example.COM ' END",
 }
+# --- fixed values: poor transaction rows from `orders` ----------------------
+POOR_COLUMNS = ["customer_id", "amount", "amount_negative", "status"]
+POOR_EXPRS = {
+    "row_id": _K,
+    "customer_id": f"CASE WHEN {_K} % 4 = 0 THEN NULL ELSE 'C-' || CAST(o_custkey % 7 AS STRING) END",
+    "amount": f"CASE WHEN {_K} % 3 = 0 THEN '' WHEN {_K} % 5 = 0 THEN '-5' WHEN {_K} % 7 = 0 THEN 'abc' "
+              f"ELSE '10.5' END",
+    "amount_negative": f"CASE WHEN {_K} % 2 = 0 THEN '1' ELSE 'one' END",
+    "status": "o_orderstatus",
+}
+
+# --- fixed values: orders whose keys have faults, from `orders` --------------
+FAULT_ORDER_EXPRS = {
+    "order_id": f"CASE WHEN {_K} % 101 = 0 THEN NULL WHEN {_K} % 8 = 0 THEN {_K} + 1 ELSE {_K} END",
+    "customer_id": f"CASE WHEN {_K} % 61 = 0 THEN -o_custkey WHEN {_K} % 67 = 0 THEN NULL ELSE o_custkey END",
+    "order_date": "CAST(o_orderdate AS DATE)",
+}
 # ---------------------------------------------------------------------------
 
 
@@ -64,6 +81,18 @@ def txn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "orders").selectExpr(*_select(TXN_EXPRS))
 
 
+def poor_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transaction text rows of poor quality: many missing, mixed and
+    repeated values, and a column that is named like another one's rule."""
+    return read_table(spark, sf_dir, "orders").selectExpr(*_select(POOR_EXPRS))
+
+
+def fault_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` with missing and repeated order keys and with customers
+    that are missing or do not exist."""
+    return read_table(spark, sf_dir, "orders").selectExpr(*_select(FAULT_ORDER_EXPRS))
+
+
 def users_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, name, age, email) as text, one row per customer; NULL stands for
     an absent field."""
@@ -90,6 +119,8 @@ def oracle_cte(name: str, table: str, exprs: dict[str, str]) -> str:
 
 
 TXN_CTE = oracle_cte("txn_raw", "orders", TXN_EXPRS)
+POOR_CTE = oracle_cte("poor_raw", "orders", POOR_EXPRS)
+FAULT_ORDERS_CTE = oracle_cte("fault_orders", "orders", FAULT_ORDER_EXPRS)
 USERS_CTE = oracle_cte("users_raw", "customer", USER_EXPRS)
 DOCS_CTE = """docs_raw AS (SELECT d.doc_id AS row_id, d.text, d.lang, d.source,
   CAST(d.n_chars AS VARCHAR) AS n_chars, CAST(l.quality AS VARCHAR) AS quality,

@@ -32,14 +32,20 @@ def report_path(folder: str, file_name: str, now: dt.datetime | None = None) ->
 def write_json_report(report: DataFrame, path: str) -> str | None:
     """Indented JSON of a one-row report (UTF-8 text kept as is).  A report
     whose ``status`` is 'error', or an empty one, is not written (returns
-    None)."""
+    None).  The report is computed once: its text is one small row, which the
+    driver hands on to the writer."""
     cols = report.columns
     keep = report
     if "status" in cols:
         keep = keep.where(F.coalesce(F.col("status") != "error", F.lit(True)))
-    js = keep.select(F.to_json(F.struct(*[F.col(c) for c in cols if c != "status"]),
-                               {"pretty": "true"}).alias("value"))
-    if js.isEmpty():
+    row = keep.select(F.to_json(F.struct(*[F.col(c) for c in cols if c != "status"]),
+                                {"pretty": "true"}).alias("value")).first()
+    if row is None:
         return None
-    js.coalesce(1).write.mode("overwrite").text(path)
+    report.sparkSession.createDataFrame([row], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
+
+
+def read_json_report(report: DataFrame, path: str) -> DataFrame:
+    """A written report, read back with the columns of ``report``."""
+    return report.sparkSession.read.schema(report.schema).option("multiLine", True).json(path)

@@ -76,6 +76,43 @@ def test_duplicate_rows_with_hot_value(spark):
         assert got == [i for i in range(300) if i % 3 and i != first]
 
 
+@pytest.mark.parametrize("bits", [6, 10, 23])
+def test_duplicates_with_a_full_or_sparse_filter(spark, monkeypatch, bits):
+    """False hits of the filter change nothing; equal order keys neither."""
+    monkeypatch.setattr(dedup, "FILTER_BITS", bits)
+    rnd = random.Random(bits)
+    rows = [(rnd.randint(0, 400), rnd.choice(["hot", None, f"v{rnd.randint(0, 300)}"]), rnd.choice(["x", None]))
+            for _ in range(900)]
+    df = spark.createDataFrame(rows, "id int, a string, b string").repartition(5)
+    first = {}
+    for i, a, b in rows:
+        first[a, b] = min(i, first.get((a, b), i))
+    want = sorted((r for r in rows if r[0] > first[r[1:]]), key=str)
+    for fp in (False, True):
+        assert sorted(map(tuple, dedup.duplicate_rows(df, ["a", "b"], "id", fp).collect()), key=str) == want
+        c = dedup.duplicate_count(df, ["a", "b"], fp).first()
+        assert (c.total_rows, c.distinct_rows, c.duplicate_rows) == (900, len(first), 900 - len(first))
+        got = dedup.drop_duplicates(df.select("a", "b"), fingerprints=fp).collect()
+        assert sorted(map(tuple, got), key=str) == sorted(first, key=str)
+
+
+def test_no_task_meets_a_hot_duplicate(spark):
+    """Without broadcasts of measured size, no exchange is keyed by the
+    repeated value but the aggregates'."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(20_000).selectExpr("id", "IF(id % 3 = 0, 'hot', CAST(id AS STRING)) AS a")
+        dup = dedup.duplicate_rows(df, ["a"], "id", True)
+        sizes = [r["count"] for r in dup.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 6666 and len(sizes) > 4 and max(sizes) < 2 * 6666 / len(sizes)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_results_do_not_depend_on_partitioning(spark):
     from ledgerline.operators import aggregate as agg
     from tests.fixtures import SALES_SCHEMA, sales_rows
@@ -177,3 +214,65 @@ def test_rank_within_keeps_null_groups(spark):
         got = windows.rank_within(df, ["g"], "v", out="r", partitions=parts)
         assert sorted((r.id, r.r) for r in got.collect()) == \
             sorted((r.id, r.r) for r in exp.collect())
+
+
+def test_exact_sums_do_not_depend_on_order(spark):
+    """Plain numbers beyond 2 ** 53 cents, and doubles of every magnitude."""
+    from fractions import Fraction
+    from ledgerline.operators import quality as Q
+    rnd = random.Random(6)
+    plain = [f"{rnd.randint(-10 ** 15, 10 ** 15)}.{rnd.randint(0, 99):02d}" for _ in range(150)]
+    plain += ["12345678901234567.25"] * 7 + ["1_000.5", "0", "-0", ".5", "7."]
+    wide = ["1e300", "-1e300", "5e-324", "2.5E-310", "0.1234567891", "1e15", "-3.3333333333", "1e-5"]
+    got = set()
+    for parts in (1, 4, 13):
+        df = spark.createDataFrame(list(enumerate(plain + wide)), "r bigint, amount string").repartition(parts)
+        for vc in (Q.value_counts(df, ["amount"], "r"), Q.cells(df, ["amount"], "r")):
+            nums = Q.classify(vc).where(F.col("data_type").isin(Q.NUMERIC_TYPES))
+            r = Q.exact_sums(nums, ["pos"]).first()
+            got.add((r["count"], r.s, r.mn, r.mx))
+    exact = sum(Fraction(v.replace("_", "").rstrip(".")) for v in plain) + sum(Fraction(float(v)) for v in wide)
+    assert got == {(len(plain) + len(wide), float(exact), -1e300, 1e300)}
+
+
+def test_report_links_its_duplicate_rows(spark, tmpdir_fresh):
+    from ledgerline.operators import quality as Q
+    from ledgerline.sources import sinks
+    rows = [(i, "a" if i % 3 else f"b{i}", "1.5" if i % 4 else None) for i in range(600)]
+    df = spark.createDataFrame(rows, "r bigint, name string, amount string").repartition(4)
+    rep = Q.quality_report(df, ["name", "amount"], "r", "f.csv")
+    seen, want = set(), []
+    for i, a, b in rows:
+        want += [i] if (a, b) in seen else []
+        seen.add((a, b))
+    r = rep.first()
+    assert r.issues.duplicates["count"] == len(want) > 300
+    assert sorted(x.r for x in Q.reported_duplicates(rep).collect()) == want
+    vc = Q.value_counts(df, ["name", "amount"], "r")
+    s = Q.summary(df, ["name", "amount"], vc).first()
+    assert (r.summary.quality_score, r.summary.complete_rows) == (s.quality_score, s.complete_rows)
+    assert r.column_analysis["amount"].numeric_stats["sum"] == Q.numeric_stats(vc).first()["sum"] == 675.0
+    path = sinks.write_json_report(rep, f"{tmpdir_fresh}/report.json")
+    back = sinks.read_json_report(rep, path)
+    a, b = (sorted(map(tuple, Q.report_lines(x).collect()), key=str) for x in (rep, back))
+    assert a == b and len(a) > 25
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 10
+
+
+def test_array_kernels(spark, tmpdir_fresh):
+    from ledgerline.plans import jobs
+    rows = [(1, [100, 2000, None], [3, 6, 1]), (2, [], []), (3, None, None), (4, [5000], [2])]
+    df = spark.createDataFrame(rows, "id int, prices array<bigint>, quantities array<bigint>")
+    out = jobs.array_rules(df)
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: r for r in out.collect()}
+    assert got[1].revenue == [300, 12000, None] and got[1].total_revenue == 12300
+    assert got[1].category == ["LOW_VALUE", "HIGH_VALUE", "LOW_VALUE"] and got[1].high_items == 1
+    assert (got[2].items, got[2].total_revenue, got[3].items, got[3].revenue) == (0, 0, 0, None)
+    assert got[4].category == ["MEDIUM_VALUE"]
+    path = jobs.array_rules_csv(out.select("id", "revenue", "category"), f"{tmpdir_fresh}/arrays")
+    back = {r.id: r.revenue for r in spark.read.option("header", True).schema("id int, revenue string, category string").csv(path).collect()}
+    assert back[1] == "300;12000;" and back[4] == "10000"
+    with pytest.raises(Exception, match="different lengths"):
+        jobs.array_rules(spark.createDataFrame([([1], [1, 2])], "prices array<int>, quantities array<int>")).collect()
