@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -14,7 +15,7 @@ from ledgerline.session import scratch_path
 
 # Arrow batches handed to Python are bounded in bytes, not only in rows: a
 # batch of very long texts stays small.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +24,32 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow`` with byte-bounded input batches."""
+    """``mapInArrow`` with byte-bounded input batches; a task gives its
+    memory back when it ends, since its worker goes on to other operators."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            give_back_memory()
+
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(task, schema)
+
+
+def give_back_memory() -> None:
+    """Return freed memory of Arrow's pool and of the C heap to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not the GNU C library
+        pass
+
+
+def free_finished_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect its garbage, upon which Spark deletes the
+    shuffle files of plans that nobody holds any more.  Spark does so by itself
+    now and then; a job with several large shuffles need not wait for it."""
+    spark.sparkContext._jvm.System.gc()
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

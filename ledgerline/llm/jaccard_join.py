@@ -18,7 +18,7 @@ sets near a boundary must also be copied into the neighbouring region.
     Members within eps of their pivot are linked to it; one that no unlinked
     member can reach within eps is settled and leaves.  This recurs until the
     regions are small; a region that pivots do not divide is joined in pairs
-    of bounded blocks.
+    of bounded blocks of sets of like size.
 4.  A small cluster is joined in one task, with exact distances to what the
     inverted lists of its rare shingles hold.
 
@@ -37,12 +37,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batch_of, map_arrow, saved, texts_of
+from ledgerline.llm.common import batch_of, free_finished_shuffles, map_arrow, saved, texts_of
 from ledgerline.llm.components import components
 
 CACHE_WORDS = 150_000
 PIVOT_BLOCK = 1_000_000            # pivots of a task's input that are linked at a time
-LOCAL_SHINGLES = 4_000_000         # shingles of a region that one task joins
+LOCAL_SHINGLES = 2_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
 TINY = 1e-9
@@ -240,8 +240,8 @@ def link_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
     lens = np.array([len(s) for s in sets], dtype=np.int64)
     at = np.concatenate([[0], np.cumsum(lens)])
     _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.empty(len(count), dtype=np.int64)
-    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    rank = np.empty(len(count), dtype=np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.int32)
     flat = rank[flat]
     first = []
     for i in range(m):
@@ -350,15 +350,27 @@ def _divide(regions: DataFrame, percent: int, level: int) -> DataFrame:
                      "region string, node long, shingles binary, d double, linked boolean, hub long")
 
 
-def _in_block_pairs(regions: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Regions that pivots do not divide, as pairs of blocks of at most about
-    half a task's members each, so that every two members meet."""
-    n = F.ceil(2 * F.col("load") / LOCAL_SHINGLES).cast("int")
-    rows = regions.join(sizes.select("region", n.alias("blocks")), "region") \
-        .withColumn("own", F.pmod(F.xxhash64("node", F.lit(99)), F.col("blocks")).cast("int")) \
-        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    return rows.select(F.concat_ws(":", "region", low, high).alias("region"), "node", "shingles")
+def _in_block_pairs(regions: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+    """Regions that pivots do not divide, as pairs of blocks of about half a
+    task's members each.  Blocks follow the sets' sizes, and linked sets have
+    sizes within the threshold's ratio, so only blocks whose size ranges can
+    link meet: a member is copied for its few neighbours, not for all."""
+    n = F.expr("octet_length(shingles) div 8")
+    rows = regions.join(whole, "region", "left_semi").withColumn("n", n) \
+        .withColumn("part", F.pmod(F.xxhash64("node", F.lit(99)), F.lit(1024)))
+    before = Window.partitionBy("region").orderBy("n", "part").rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.groupBy("region", "n", "part").agg(F.sum("n").alias("load")) \
+        .withColumn("block", F.floor(F.coalesce(F.sum("load").over(before), F.lit(0)) / (LOCAL_SHINGLES / 2)))
+    cells = saved(cells.select("region", "n", "part", "block"), "block-cells")
+    spans = cells.groupBy("region", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    low = spans.select("region", F.col("block").alias("low"), F.col("most").alias("upto"))
+    high = spans.select("region", F.col("block").alias("high"), F.col("least").alias("from"))
+    pairs = low.join(high, "region").filter("low <= high").filter(100 * F.col("upto") >= percent * F.col("from")) \
+        .withColumn("pair", F.concat_ws(":", "region", "low", "high")) \
+        .select("region", "pair", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
+    meets = pairs.groupBy("region", "block").agg(F.collect_list("pair").alias("pairs"))
+    return rows.join(cells, ["region", "n", "part"]).join(meets, ["region", "block"]) \
+        .select(F.explode("pairs").alias("region"), "node", "shingles")
 
 
 def verified_links(members: DataFrame, percent: int) -> DataFrame:
@@ -386,11 +398,10 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         # a region that a round leaves almost whole is joined in pairs of blocks
         parent = F.regexp_extract("region", "^(.*)/[^/]*$", 1)
         after = stay.groupBy("region").agg(F.count(F.lit(1)).alias("size")).withColumn("parent", parent) \
-            .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before"), "load"), "parent")
-        stuck = saved(after.filter(F.col("size") > 0.7 * F.col("before")).groupBy("parent")
-                      .agg(F.first("load").alias("load")), "stuck")
-        whole = stuck.select(F.col("parent").alias("region"), "load")
-        links.append(_local_links(_in_block_pairs(rest.join(whole.select("region"), "region", "left_semi"), whole), percent))
+            .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before")), "parent")
+        stuck = saved(after.filter(F.col("size") > 0.7 * F.col("before")).select("parent").distinct(), "stuck")
+        whole = stuck.select(F.col("parent").alias("region"))
+        links.append(_local_links(_in_block_pairs(rest, whole, percent), percent))
         kept = stay.withColumn("parent", parent).join(stuck.select("parent"), "parent", "left_anti").select("region", "node", "parent")
         regions = saved(rest.withColumnRenamed("region", "parent").join(kept, ["parent", "node"])
                         .select("region", "node", "shingles"), f"regions-kept-{level}")
@@ -415,6 +426,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")
     clusters = saved(components(shared_pivots(docs, size, percent)), "clusters")
+    free_finished_shuffles(docs.sparkSession)               # those of the pivots
     members = clusters.withColumnRenamed("node", "d1").join(classes, "d1") \
         .select(F.col("rep").alias("node"), "component")
     sets = member_sets(docs, saved(members, "cluster-members"), size)

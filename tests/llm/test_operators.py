@@ -88,6 +88,23 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, size, percent, loca
     assert {i: r.component_id for i, r in got.items()} == linked_components(sets, percent)
 
 
+def test_jaccard_blocks_bring_every_possible_link_together(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LOCAL_SHINGLES", 600)
+    rng = np.random.default_rng(12)
+    sizes = [int(x) for x in np.concatenate([rng.integers(1, 400, 120), np.full(80, 50)])]
+    rows = [("r", i, np.arange(n, dtype="<u8").tobytes()) for i, n in enumerate(sizes)]
+    regions = spark.createDataFrame(rows, "region string, node long, shingles binary")
+    got = jaccard_join._in_block_pairs(regions, regions.select("region").distinct(), 80).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r.region, set()).add(r.node)
+    for a, b in itertools.combinations(range(len(sizes)), 2):
+        if 100 * min(sizes[a], sizes[b]) >= 80 * max(sizes[a], sizes[b]):
+            assert any(a in h and b in h for h in held.values())
+    blocks = sum(sizes) / 300
+    assert len(got) < 0.6 * blocks * len(sizes) and len(set(r.node for r in got)) == len(sizes)
+
+
 def test_jaccard_join_edges(spark):
     rows = [(5, "a b c d e f"), (5, "p q r s t u"), (7, "p q r s t u"), (9, "a b c d e f"), (None, "a b c d e f")]
     got = sorted((r.doc_id or -1, r.component_id) for r in
