@@ -41,13 +41,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batch_of, map_arrow, saved, shuffle_partitions, texts_of
+from ledgerline.llm.common import (batch_of, free_finished_shuffles, map_arrow, saved, shuffle_partitions,
+                                   texts_of)
 
 HEAD_WORDS = 65_000
 MAX_DISCOUNTED = 5
-BLOCK_TOKENS, BLOCK_DOCS = 2_000_000, 60_000
-CACHE_WORDS = 500_000
-LEAST_BUCKETS = 12
+BLOCK_TOKENS, BLOCK_DOCS = 1_200_000, 60_000
+CACHE_WORDS = 250_000
+LEAST_BUCKETS = 24
 MERGE_PAIRS = 500_000
 END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))        # no word holds white space
 START = np.uint64(xxhash.xxh3_64_intdigest(b"\n\n"))
@@ -57,8 +58,11 @@ COUNTS, SUMS, ASK_WORDS, ASK_PAIRS, LOCAL = range(5)
 # --- packing --------------------------------------------------------------------
 
 def _pack(*arrays: np.ndarray) -> bytes:
+    """Arrays compressed byte by byte: first the lowest bytes of all values,
+    and so on, so that the empty upper bytes cost nothing."""
     head = struct.pack(f"<B{len(arrays)}Q", len(arrays), *(a.nbytes for a in arrays))
-    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(a.tobytes() for a in arrays))
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(planes))
 
 
 def _unpack(blob: bytes, *dtypes: str) -> list[np.ndarray]:
@@ -66,7 +70,9 @@ def _unpack(blob: bytes, *dtypes: str) -> list[np.ndarray]:
     sizes = struct.unpack_from(f"<{raw[0]}Q", raw, 1)
     out, at = [], 1 + 8 * raw[0]
     for size, t in zip(sizes, dtypes):
-        out.append(np.frombuffer(raw, t, size // np.dtype(t).itemsize, at))
+        width = np.dtype(t).itemsize
+        planes = np.frombuffer(raw, np.uint8, size, at).reshape(width, size // width)
+        out.append(np.ascontiguousarray(planes.T).view(t).reshape(size // width))
         at += size
     return out
 
@@ -107,21 +113,33 @@ def _parts(at: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, list[np.n
         yield int(k), [a[own] for a in arrays]
 
 
-def _pack_pairs(h: np.ndarray, w: np.ndarray, c: np.ndarray, of_word: np.ndarray | None = None) -> bytes:
+def _squeeze(m: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes as head ids, and the hashes of those not in the head."""
+    ids = np.minimum(m.ids(hashes), len(m.head))
+    return ids.astype("<u4"), hashes[ids == len(m.head)]
+
+
+def _restore(m: Model, ids: np.ndarray, rare: np.ndarray) -> np.ndarray:
+    out = np.append(m.head, np.uint64(0))[ids]
+    out[ids == len(m.head)] = rare
+    return out
+
+
+def _pack_pairs(m: Model, h: np.ndarray, w: np.ndarray, c: np.ndarray, of_word: np.ndarray | None = None) -> bytes:
     """Pairs sorted by history, with counts; each word's hash (and value
     ``of_word``) is kept once."""
     own_h, h_at = np.unique(h, return_inverse=True)
     own_w, place, w_at = np.unique(w, return_index=True, return_inverse=True)
     order = np.argsort(h_at << 32 | w_at)
     more = [] if of_word is None else [of_word[place].astype("<i8")]
-    return _pack(_deltas(own_h), np.bincount(h_at).astype("<u4"), _deltas(own_w), w_at[order].astype("<u4"),
+    return _pack(*_squeeze(m, own_h), np.bincount(h_at).astype("<u4"), *_squeeze(m, own_w), w_at[order].astype("<u4"),
                  c[order].astype("<i8"), *more)
 
 
-def _unpack_pairs(blob: bytes) -> list[np.ndarray]:
+def _unpack_pairs(m: Model, blob: bytes) -> list[np.ndarray]:
     """History, word and count of each pair, and the word's value if kept."""
-    h, times, w, at, c, *more = _unpack(blob, "<u8", "<u4", "<u8", "<u4", "<i8", "<i8")
-    return [np.repeat(_keys(h), times), _keys(w)[at], c, *(x[at] for x in more)]
+    h, rare_h, times, w, rare_w, at, c, *more = _unpack(blob, "<u4", "<u8", "<u4", "<u4", "<u8", "<u4", "<i8", "<i8")
+    return [np.repeat(_restore(m, h, rare_h), times), _restore(m, w, rare_w)[at], c, *(x[at] for x in more)]
 
 
 # --- blocks of documents ----------------------------------------------------------
@@ -373,7 +391,7 @@ def _pair_counts(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
             w = table[at]
             to = bucket_of(np.where((m.ids(table) == m.tail)[at], w, pair_key(h, w)), m.buckets)
             for k, x in _parts(to, h, w, n):
-                yield batch_of(_ROWS_ARROW, bucket=[k], kind=[SUMS], block=[0], payload=[_pack_pairs(*x)])
+                yield batch_of(_ROWS_ARROW, bucket=[k], kind=[SUMS], block=[0], payload=[_pack_pairs(m, *x)])
 
     schema = pa.schema([*_ROWS_ARROW, ("n_r", pa.list_(pa.int64()))])
 
@@ -388,7 +406,7 @@ def _pair_counts(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
             if rare.any():
                 n[rare] = counts[np.searchsorted(keys, w[rare])]
             for k, x in _parts(m.pair_buckets(h_ids, h, pair_key(h, w)), h, w, c, n):
-                yield batch_of(schema, bucket=[k], kind=[COUNTS], block=[bucket], payload=[_pack_pairs(*x)], n_r=[None])
+                yield batch_of(schema, bucket=[k], kind=[COUNTS], block=[bucket], payload=[_pack_pairs(m, *x)], n_r=[None])
             common = h_ids != m.tail
             own, at = np.unique(h_ids[common], return_inverse=True)
             c_own, grade = c[common], np.minimum(c[common], MAX_DISCOUNTED + 1)
@@ -408,7 +426,7 @@ def _pair_counts(docs: DataFrame, words: DataFrame, model: Model) -> DataFrame:
                     d, counts = _unpack(p, "<u8", "<i8")
                     keys = _keys(d)
                     continue
-                held.append(_unpack_pairs(p))
+                held.append(_unpack_pairs(m, p))
                 if sum(len(x[0]) for x in held[1:]) >= len(held[0][0]) + MERGE_PAIRS:
                     held = [_add_pairs(held)]
         if held:
@@ -461,6 +479,7 @@ def train(docs: DataFrame, train_rows, head_words: int = HEAD_WORDS) -> tuple[Mo
         n_r[r.r] = r.n
     model.d2 = discounts(n_r)
     _set_backoff(model, pairs)
+    free_finished_shuffles(docs.sparkSession)               # those of the counts
     return model, pairs
 
 
@@ -541,8 +560,9 @@ def score(docs: DataFrame, train_rows, model: Model, pairs: DataFrame) -> DataFr
             for k, x, n_x, d in _split(m.pair_buckets(ids[h_at], hashes[h_at], key), times, doc):
                 first = np.flatnonzero(np.diff(h_at[x], prepend=-1))
                 own_w, at = np.unique(w_at[x], return_inverse=True)
-                out.append((k, ASK_PAIRS, _pack(hashes[h_at[x[first]]], np.diff(np.append(first, len(x))).astype("<u4"),
-                                                hashes[own_w], at.astype("<u4"), n_x.astype("<u4"), d)))
+                out.append((k, ASK_PAIRS, _pack(*_squeeze(m, hashes[h_at[x[first]]]),
+                                                np.diff(np.append(first, len(x))).astype("<u4"),
+                                                *_squeeze(m, hashes[own_w]), at.astype("<u4"), n_x.astype("<u4"), d)))
             # what the head answers by itself: its words, and its weights as
             # histories; a rare word brings its weight along
             common = ~rare
@@ -574,12 +594,14 @@ def score(docs: DataFrame, train_rows, model: Model, pairs: DataFrame) -> DataFr
                 if k != bucket:
                     bucket, parts, table = k, [], None
                 if kind == COUNTS:
-                    parts.append(_unpack_pairs(p))
+                    parts.append(_unpack_pairs(m, p))
                     continue
                 if table is None:
                     table, parts = _Table(m, parts), []
                 if kind == ASK_PAIRS:
-                    h, n_h, w, at, times, doc = _unpack(p, "<u8", "<u4", "<u8", "<u4", "<u4", "<u2")
+                    h, rare_h, n_h, w, rare_w, at, times, doc = _unpack(
+                        p, "<u4", "<u8", "<u4", "<u4", "<u8", "<u4", "<u4", "<u2")
+                    h, w = _restore(m, h, rare_h), _restore(m, w, rare_w)
                     at, found = _find(table.pairs, pair_key(np.repeat(h, n_h), w[at]))
                     doc = doc[np.repeat(found, times)]
                     value = np.bincount(doc, np.repeat(table.gain[at[found]], times[found]))
