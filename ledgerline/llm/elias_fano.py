@@ -13,6 +13,10 @@ import struct
 import numpy as np
 
 SAMPLE = 64
+# by byte: its number of ones, and the place of its k-th one
+ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.int64)
+PLACE = np.argsort(1 - np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little"),
+                   axis=1, kind="stable")
 HEAD = struct.Struct("<QQBxxxxxxxQQQ")     # n, u, low bits, bytes of low / high / samples
 
 
@@ -20,8 +24,8 @@ class EliasFano:
     def __init__(self, n: int, u: int, low_bits: int, low: bytes, high: bytes, samples: bytes):
         self.n, self.u, self.low_bits = n, u, low_bits
         self._raw = (low, high, samples)
-        self._low = np.unpackbits(np.frombuffer(low, np.uint8), bitorder="little") \
-            if low_bits else None
+        # padded so that a value's low bits can be read as one word and a byte
+        self._low = np.frombuffer(low + bytes(9), np.uint8)
         self._high = np.frombuffer(high, np.uint8)
         self._samples = np.frombuffer(samples, "<u8")
 
@@ -60,30 +64,40 @@ class EliasFano:
 
     def select(self, i: int) -> int:
         """Value i, from the nearest sample onwards."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        start = int(self._samples[i // SAMPLE])
-        left, byte = i % SAMPLE, start // 8
-        bits = np.unpackbits(self._high[byte:byte + 1], bitorder="little")
-        bits[:start % 8] = 0
-        while (got := int(bits.sum())) <= left:
-            left -= got
-            byte += 1
-            bits = np.unpackbits(self._high[byte:byte + 1], bitorder="little")
-        return self._value(i, byte * 8 + int(np.flatnonzero(bits)[left]))
+        return int(self.select_many(np.array([i]))[0])
 
-    def _value(self, i: int, one: int) -> int:
-        low = 0
-        if self.low_bits:
-            b = self._low[i * self.low_bits:(i + 1) * self.low_bits]
-            low = int((b.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum())
-        return ((one - i) << self.low_bits) | low
+    def select_many(self, index: np.ndarray) -> np.ndarray:
+        """The values at ``index``: each starts at its nearest sample and
+        skips whole bytes by their number of ones; all go side by side."""
+        i = np.asarray(index, dtype=np.int64)
+        if len(i) and not (0 <= i.min() and i.max() < self.n):
+            raise IndexError("no such value")
+        start = self._samples[i // SAMPLE].astype(np.int64)
+        byte, left = start // 8, i % SAMPLE
+        bits = self._high[byte] & (0xFF << (start % 8)).astype(np.uint8)
+        todo = np.flatnonzero(left >= ONES[bits])
+        while len(todo):
+            left[todo] -= ONES[bits[todo]]
+            byte[todo] += 1
+            bits[todo] = self._high[byte[todo]]
+            todo = todo[left[todo] >= ONES[bits[todo]]]
+        one = byte * 8 + PLACE[bits, left]
+        return ((one - i) << self.low_bits) | self._lows(i)
+
+    def _lows(self, i: np.ndarray) -> np.ndarray:
+        if not self.low_bits:
+            return np.zeros(len(i), dtype=np.int64)
+        at = i * self.low_bits
+        word = self._low[(at // 8)[:, None] + np.arange(8)].astype(np.uint64)
+        v = (word << (np.arange(8, dtype=np.uint64) * np.uint64(8))).sum(axis=1, dtype=np.uint64)
+        shift = (at % 8).astype(np.uint64)
+        v >>= shift
+        over = shift > 0
+        v[over] |= self._low[at[over] // 8 + 8].astype(np.uint64) << (np.uint64(64) - shift[over])
+        return (v & np.uint64((1 << self.low_bits) - 1)).astype(np.int64)
 
     def all(self) -> np.ndarray:
         """Every value, in one pass."""
         ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[:self.n]
-        v = (ones.astype(np.uint64) - np.arange(self.n, dtype=np.uint64)) << np.uint64(self.low_bits)
-        if self.low_bits and self.n:
-            b = self._low[:self.n * self.low_bits].reshape(self.n, self.low_bits).astype(np.uint64)
-            v |= (b << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-        return v.astype(np.int64)
+        n = np.arange(self.n, dtype=np.int64)
+        return ((ones - n) << self.low_bits) | self._lows(n)

@@ -25,9 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.chunked_tokenizer import ChunkEncoder, read_spec
+from ledgerline.llm.chunked_tokenizer import read_spec
 from ledgerline.llm.common import batch_of, map_arrow, publish, saved, shuffle_partitions, texts_of
 from ledgerline.llm.elias_fano import EliasFano
+from ledgerline.llm.word_encoder import encoder_for
 from ledgerline.session import scratch_path
 
 MAGIC = b"LTOK1\0"
@@ -36,6 +37,7 @@ HEAD = struct.Struct("<6sBxqqQQ")
 # file of its own.
 FILE_TOKENS = 4_000_000
 RANGE_BUCKETS_PER_PARTITION = 2
+READ_DOCS = 4096                  # slices looked up together
 
 
 def pack_file(bucket: int, seq: int, doc_ids: list, ids: list[bytes], dtype) -> list[bytes]:
@@ -70,7 +72,14 @@ class TokenFile:
         return len(self.doc_ids)
 
     def ids(self, i: int) -> np.ndarray:
-        return self._ids[self.bounds.select(i):self.bounds.select(i + 1)]
+        a, b = self.bounds.select_many(np.array([i, i + 1]))
+        return self._ids[a:b]
+
+    def slices(self, index: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Offsets in the file and ids of the documents at ``index``."""
+        i = np.asarray(index, dtype=np.int64)
+        start, stop = self.bounds.select_many(i), self.bounds.select_many(i + 1)
+        return start, [self._ids[a:b] for a, b in zip(start.tolist(), stop.tolist())]
 
 
 def tokenised(docs: DataFrame, spec: str, end_id: int, bounds: list[float]) -> DataFrame:
@@ -83,7 +92,7 @@ def tokenised(docs: DataFrame, spec: str, end_id: int, bounds: list[float]) -> D
     cuts = np.array(bounds, dtype=np.float64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = ChunkEncoder(shipped.value)
+        enc = encoder_for(shipped.value)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for b in batches:
             d = b.column("doc_id")
@@ -110,7 +119,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int, folder:
     spark = docs.sparkSession
     spec = read_spec(tokenizer_path)
     folder = folder or scratch_path(spark, "tokens")
-    dtype = ChunkEncoder(spec).dtype
+    dtype = encoder_for(spec).dtype
     parts = shuffle_partitions(spark)
     k = parts * RANGE_BUCKETS_PER_PARTITION
     bounds = docs.select(F.col("doc_id").cast("double").alias("d")) \
@@ -161,11 +170,14 @@ def read_token_files(spark, folder: str, manifest: DataFrame) -> DataFrame:
         for b in batches:
             for content in b.column("content"):
                 f = TokenFile(content.as_buffer().to_pybytes())
-                at = f.bounds.all()
-                crc = [zlib.crc32(f._ids[s:e].astype("<u4").tobytes()) for s, e in zip(at[:-1], at[1:])]
-                n = len(f)
-                yield batch_of(schema, bucket=[f.bucket] * n, seq=[f.seq] * n, doc_id=f.doc_ids,
-                               at=at[:-1], n_tokens=np.diff(at), ids_crc32=crc)
+                for first in range(0, len(f), READ_DOCS):
+                    index = np.arange(first, min(first + READ_DOCS, len(f)))
+                    at, ids = f.slices(index)
+                    n = len(index)
+                    yield batch_of(schema, bucket=[f.bucket] * n, seq=[f.seq] * n,
+                                   doc_id=f.doc_ids[first:first + n], at=at,
+                                   n_tokens=[len(x) for x in ids],
+                                   ids_crc32=[zlib.crc32(x.astype("<u4").tobytes()) for x in ids])
 
     out = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if manifest.isEmpty():
