@@ -24,6 +24,11 @@ def measures(df: DataFrame) -> tuple[Column, Column, Column]:
 
 def with_revenue(df: DataFrame, name: str = "revenue", quantity: str = "quantity",
                  price: str = "price") -> DataFrame:
+    """Adds the row revenue.  Fractional columns (typed CSV files) keep their
+    fractions; the others multiply as BIGINT."""
+    kinds = dict(df.dtypes)
+    if any(kinds[c] in ("float", "double") or kinds[c].startswith("decimal") for c in (quantity, price)):
+        return df.withColumn(name, F.col(quantity) * F.col(price))
     return df.withColumn(name, revenue(quantity, price))
 
 

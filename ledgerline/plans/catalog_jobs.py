@@ -9,11 +9,12 @@ from ledgerline.operators import quality as Q
 from ledgerline.plans import jobs
 from ledgerline.plans.catalog import (LINE_HIGH_ABOVE, LINE_MEDIUM_FROM, REGION_FILTER,
                                       REGION_LOW_BELOW)
-from ledgerline.plans.catalog_quality import REPORT_SQL
+from ledgerline.plans.catalog_quality import CLEAN_USERS_SQL, REPORT_SQL
 from ledgerline.plans.oracle import S_CUSTOMERS, S_ITEMS, S_ORDERS, SALES, with_
 from ledgerline.session import scratch_path
 from ledgerline.sources import bindings as b
 from ledgerline.sources import csv as C
+from ledgerline.sources import publish
 from ledgerline.sources import raw_views as R
 from ledgerline.sources import sinks
 from ledgerline.sources.tables import read_table
@@ -155,6 +156,74 @@ def q_job_rules_distribution(spark, d):
         jobs.business_rules_engine(t, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM))
 
 
+# ------------------------------------------------------- jobs, file to file --
+# Each query writes an ordered CSV export of a whole table, runs the job on the
+# files, and reads the published outputs back with the position of every row.
+
+def _export(df, name):
+    return sinks.write_csv(df, scratch_path(df.sparkSession, name))
+
+
+def _published(spark, folder, output, schema):
+    rows = spark.read.schema(schema).option("header", True).csv(publish.published(spark, folder)[output])
+    return C.with_row_ordinal(rows, "row_number")
+
+
+_FILE_COLUMNS = ["order_id", "region", "product", "quantity", "price"]
+_FILE_SCHEMA = "order_id BIGINT, region STRING, product STRING, quantity BIGINT, price BIGINT"
+
+
+@register("job_clean_users_file", with_(R.USERS_CTE) + f"""SELECT
+  row_number() OVER (ORDER BY CAST(id AS BIGINT)) AS row_number, * FROM ({CLEAN_USERS_SQL})""")
+def q_job_clean_users_file(spark, d):
+    """The users file cleaned into a file that keeps the order of its rows."""
+    src = _export(R.users_raw(spark, d).orderBy(F.col("id").cast("bigint")), "users_csv")
+    out = scratch_path(spark, "clean_users_out")
+    jobs.run_clean_users(spark, src, out)
+    return _published(spark, out, "clean_users", "id STRING, name STRING, age STRING, email STRING")
+
+
+@register("job_clean_sales_file", S + f"""SELECT
+  row_number() OVER (ORDER BY order_id, region, product, quantity, price) AS row_number, * FROM (
+  SELECT DISTINCT order_id, region, product, quantity, price FROM sales
+  WHERE region = '{REGION_FILTER}' AND quantity > 1)""")
+def q_job_clean_sales_file(spark, d):
+    """The sales file filtered and without repeated rows, in its own order."""
+    src = _export(b.sales(spark, d).select(*_FILE_COLUMNS).orderBy(*_FILE_COLUMNS), "sales_file")
+    out = scratch_path(spark, "clean_sales_out")
+    jobs.run_clean_sales(spark, src, out, REGION_FILTER, 1, _FILE_SCHEMA)
+    return _published(spark, out, "clean_sales", _FILE_SCHEMA)
+
+
+@register("job_sales_analytics_files", S + f""", p AS (SELECT product AS key,
+  CAST(SUM({REV}) AS BIGINT) AS total_revenue FROM sales GROUP BY product)
+SELECT 'revenue_per_product' AS output, * FROM p
+UNION ALL SELECT 'revenue_per_region', region, CAST(SUM({REV}) AS BIGINT) FROM sales GROUP BY region
+UNION ALL SELECT 'top_products', * FROM (SELECT * FROM p ORDER BY total_revenue DESC, key LIMIT 2)""")
+def q_job_sales_analytics_files(spark, d):
+    """The three files of the sales analytics job, one under another."""
+    src = _export(b.sales(spark, d).select(*_FILE_COLUMNS), "sales_file")
+    out = scratch_path(spark, "sales_analytics_out")
+    jobs.run_sales_analytics(spark, src, out, 2, _FILE_SCHEMA)
+    parts = [spark.read.schema("key STRING, total_revenue BIGINT").option("header", True).csv(path)
+             .select(F.lit(name).alias("output"), "key", "total_revenue")
+             for name, path in publish.published(spark, out).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("job_rules_file", S + f"""SELECT row_number() OVER (ORDER BY order_id, price, quantity) AS row_number,
+  order_id AS transaction_id, {REV} AS revenue, CASE WHEN {REV} > {LINE_HIGH_ABOVE} THEN 'HIGH'
+  WHEN {REV} >= {LINE_MEDIUM_FROM} THEN 'MEDIUM' ELSE 'LOW' END AS category FROM sales""")
+def q_job_rules_file(spark, d):
+    """The rule engine from file to file, in the order of the input."""
+    t = b.sales(spark, d).select(F.col("order_id").alias("transaction_id"), "price", "quantity")
+    src = _export(t.orderBy("transaction_id", "price", "quantity"), "transactions_csv")
+    out = scratch_path(spark, "business_rules_out")
+    jobs.run_business_rules(spark, src, out, LINE_HIGH_ABOVE, LINE_MEDIUM_FROM,
+                            "transaction_id BIGINT, price BIGINT, quantity BIGINT")
+    return _published(spark, out, "classified_transactions", "transaction_id BIGINT, revenue BIGINT, category STRING")
+
+
 def _txn_report(spark, d):
     return Q.quality_report(R.txn_raw(spark, d), R.TXN_COLUMNS, "row_id", "txn_raw", f"{d}/orders.parquet")
 

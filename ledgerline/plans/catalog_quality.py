@@ -289,10 +289,13 @@ _AGE_I = (f"CASE WHEN {O.is_int(O.strip('age'))} THEN "
           f"TRY_CAST(replace({O.strip('age')}, '_', '') AS DECIMAL(38,0)) END")
 
 
-@register("clean_users", with_(R.USERS_CTE) + f"""SELECT id, name,
+CLEAN_USERS_SQL = f"""SELECT id, name,
   CASE WHEN ({_AGE_I}) > 0 THEN CAST(({_AGE_I}) AS VARCHAR) ELSE 'UNKNOWN' END AS age,
   CASE WHEN coalesce(email <> '', false) THEN {O.strip('lower(email)')} ELSE email END AS email
-  FROM users_raw WHERE {O.strip('name')} <> ''""")
+  FROM users_raw WHERE {O.strip('name')} <> ''"""
+
+
+@register("clean_users", with_(R.USERS_CTE) + CLEAN_USERS_SQL)
 def q_clean_users(spark, d):
     return clean.clean_users(R.users_raw(spark, d))
 

@@ -1,9 +1,9 @@
 """End-to-end jobs of the reference, as Spark plans.
 
 Each job returns its result frames; ``write_*`` variants also write them.
-A frame that feeds several outputs is materialised once as a Parquet table
-in the shared checkpoint folder (cuts the lineage, survives lost
-executors) before the writes, instead of being recomputed per output.
+A frame that feeds several outputs is written once as a Parquet table in the
+shared checkpoint folder (cuts the lineage, survives lost executors) before
+the outputs, instead of being recomputed per output.
 """
 
 from __future__ import annotations
@@ -17,8 +17,11 @@ from ledgerline.functions import rules
 from ledgerline.operators import aggregate as agg
 from ledgerline.operators import clean, dedup
 from ledgerline.operators import quality as Q
-from ledgerline.session import materialise
+from ledgerline.operators.inspect import observed
+from ledgerline.session import scratch_table
+from ledgerline.sources import csv as C
 from ledgerline.sources import sinks
+from ledgerline.sources.publish import publish
 
 DEFAULT_THRESHOLD = 5000
 
@@ -157,7 +160,6 @@ def analyze_csv(spark, path: str, report_dir: str | None = None) -> DataFrame:
     """Quality report of one CSV file (all columns as text).  The error form
     (status, error_message, file_path, analysis_date) is returned when the
     file cannot be read; only a successful report is written."""
-    from ledgerline.sources import csv as C
     audit = C.load_audit(spark, [path]).first()
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     if audit is None or (not audit.success and audit.error != C.AUDIT_NO_ROWS):
@@ -177,31 +179,100 @@ def analyze_csv(spark, path: str, report_dir: str | None = None) -> DataFrame:
     return rep
 
 
-def write_outputs(frames: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Write each frame as a header CSV folder under ``folder``."""
-    return {name: sinks.write_csv(f, posixpath.join(folder, name)) for name, f in frames.items()}
-
-
-def run_clean_and_aggregate(spark, in_path: str, out_dir: str,
-                            schema: str = "order_id INT, region STRING, product STRING, "
-                                          "quantity DOUBLE, price DOUBLE") -> dict:
+# file to file ----------------------------------------------------------------
+# Each runner reads CSV, writes its shared frame once to a scratch table (deleted
+# at the end) and publishes all of its outputs together (``sources.publish``): a
+# run that fails leaves the outputs of the run before it.  Rows in and out of a
+# step are observed on the one write of the shared frame.
+
+SALES_FILE = "order_id INT, region STRING, product STRING, quantity DOUBLE, price DOUBLE"
+RULES_FILE = "transaction_id STRING, price BIGINT, quantity BIGINT"
+ROW = "_row"
+
+
+def _typed(spark, path: str, schema: str) -> DataFrame:
+    return C.read_csv_typed(spark, path, schema).drop("malformed", "bad_cells")
+
+
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """Rows by their ordinal, over part files in the order of their names:
+    a range shuffle, never one task."""
+    return df.orderBy(ROW).drop(ROW)
+
+
+def run_clean_users(spark, in_path: str, out_dir: str) -> dict:
+    """V07 end to end: the users CSV (every column as text) with its kept rows
+    cleaned, in the order of the input and with its columns.  Returns
+    {"paths", "steps": {"loaded", "kept"}}."""
+    raw, o_in = observed(C.with_row_ordinal(C.read_csv_raw(spark, in_path).drop("malformed"), ROW), "loaded")
+    kept, o_out = observed(clean.clean_users(raw), "kept")
+    with scratch_table(kept, "clean_users") as rows:
+        paths = publish(spark, out_dir, {"clean_users": _in_file_order(rows)})
+    return {"paths": paths, "steps": {"loaded": o_in.get["rows"], "kept": o_out.get["rows"]}}
+
+
+def run_clean_sales(spark, in_path: str, out_dir: str, region: str = "West", min_quantity: int = 1,
+                    schema: str = SALES_FILE) -> dict:
+    """E01 end to end: filter, drop missing quantity, drop duplicates; the
+    first of equal rows stays, in the order of the input.  Returns {"paths",
+    "steps": {"loaded", "filtered", "distinct"}}."""
+    rows, o_in = observed(C.with_row_ordinal(_typed(spark, in_path, schema), ROW), "loaded")
+    kept = rows.where((F.col("region") == region) & (F.col("quantity") > min_quantity))
+    kept, o_kept = observed(kept.na.drop(subset=["quantity"]), "filtered")
+    cols = [c for c in rows.columns if c != ROW]
+    first, o_first = observed(kept.groupBy(*cols).agg(F.min(ROW).alias(ROW)), "distinct")
+    with scratch_table(first, "clean_sales") as out:
+        paths = publish(spark, out_dir, {"clean_sales": _in_file_order(out)})
+    steps = {n: o.get["rows"] for n, o in (("loaded", o_in), ("filtered", o_kept), ("distinct", o_first))}
+    return {"paths": paths, "steps": steps}
+
+
+def run_sales_analytics(spark, in_path: str, out_dir: str, top_n: int = 2, schema: str = SALES_FILE) -> dict:
+    """E02 end to end: revenue per product, per region and the top products.
+    One aggregate by (product, region) is written, and every output and the
+    totals come from it.  Returns {"paths", "totals": {total_revenue,
+    average_order_value}}."""
+    s = agg.with_revenue(_typed(spark, in_path, schema))
+    cells = s.groupBy("product", "region").agg(F.sum("revenue").alias("revenue"), F.count("revenue").alias("priced"))
+    with scratch_table(cells, "sales_analytics") as c:
+        product = _pandas_sum(c, "product", "revenue", "total_revenue").orderBy(F.desc("total_revenue"), "product")
+        per_region = _pandas_sum(c, "region", "revenue", "total_revenue").orderBy(F.desc("total_revenue"), "region")
+        paths = publish(spark, out_dir, {"revenue_per_product": product, "revenue_per_region": per_region,
+                                         "top_products": product.limit(top_n)})
+        totals = c.agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("total_revenue"),
+                       F.try_divide(F.sum("revenue"), F.sum("priced")).alias("average_order_value")).first()
+    return {"paths": paths, "totals": totals.asDict()}
+
+
+def run_business_rules(spark, in_path: str, out_dir: str, high: float = rules.VALUE_HIGH_ABOVE,
+                       medium: float = rules.VALUE_MEDIUM_FROM, schema: str = RULES_FILE) -> dict:
+    """E06 end to end: revenue and class per transaction, in the order of the
+    input, and rows and revenue per class.  Returns {"paths", "steps"}."""
+    rows, o_in = observed(C.with_row_ordinal(_typed(spark, in_path, schema), ROW), "loaded")
+    out = agg.with_revenue(rows).select(
+        ROW, "transaction_id", "revenue",
+        rules.value_class("revenue", high, medium, rules.SHORT_LABELS).alias("category"))
+    with scratch_table(out, "business_rules") as t:
+        paths = publish(spark, out_dir, {"classified_transactions": _in_file_order(t),
+                                         "category_summary": category_distribution(t)})
+    return {"paths": paths, "steps": {"loaded": o_in.get["rows"]}}
+
+
+def run_clean_and_aggregate(spark, in_path: str, out_dir: str, schema: str = SALES_FILE) -> dict:
     """E04 end to end: typed CSV in, three CSV outputs.  The clean frame is
-    written once to the checkpoint folder and the two aggregates read it, so
-    dedup and cleaning run once however many outputs use them.  Rows in and
-    out of each step are observed on that one write (no extra jobs).
+    written once and the two aggregates read it, so dedup and cleaning run
+    once however many outputs use them.  Rows in and out of each step are
+    observed on that one write (no extra jobs).
     Returns {"paths": {output: folder}, "steps": {step: rows}}."""
-    from ledgerline.operators.inspect import observed
-    from ledgerline.sources import csv as C
-    df = C.read_csv_typed(spark, in_path, schema).drop("malformed", "bad_cells")
-    df, o_in = observed(df, "loaded")
+    df, o_in = observed(_typed(spark, in_path, schema), "loaded")
     dd, o_dd = observed(dedup.drop_duplicates(df), "drop_duplicates")
     kept, o_na = observed(dd.na.drop(subset=["quantity"]), "dropna_quantity")
     clean_df = agg.with_revenue(clean.to_numeric(kept, "quantity", "price"))
-    shared = materialise(clean_df, "clean_sales")
-    steps = {n: o.get["rows"] for n, o in (("loaded", o_in), ("drop_duplicates", o_dd),
-                                           ("dropna_quantity", o_na))}
-    out = {"clean": shared, **clean_and_aggregate_from_clean(shared)}
-    return {"paths": write_outputs(out, out_dir), "steps": steps}
+    with scratch_table(clean_df, "clean_sales") as shared:
+        steps = {n: o.get["rows"] for n, o in (("loaded", o_in), ("drop_duplicates", o_dd),
+                                               ("dropna_quantity", o_na))}
+        paths = publish(spark, out_dir, {"clean": shared, **clean_and_aggregate_from_clean(shared)})
+    return {"paths": paths, "steps": steps}
 
 
 def clean_and_aggregate_from_clean(c: DataFrame) -> dict[str, DataFrame]:
@@ -213,15 +284,11 @@ def clean_and_aggregate_from_clean(c: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_regional(spark, in_path: str, out_dir: str, threshold: float = DEFAULT_THRESHOLD,
-                 schema: str = "order_id INT, region STRING, product STRING, "
-                               "quantity DOUBLE, price DOUBLE") -> dict[str, str]:
-    """E03 end to end: the small regional summary is materialised once, then
-    written whole and as the low-performer split (a header-only file when
+                 schema: str = SALES_FILE) -> dict[str, str]:
+    """E03 end to end: the small regional summary is written once, then
+    published whole and as the low-performer split (a header-only file when
     no region is below the threshold)."""
-    from ledgerline.sources import csv as C
-    df = C.read_csv_typed(spark, in_path, schema).drop("malformed", "bad_cells")
-    summ = materialise(regional_sales(df, threshold)["summary"], "regional_summary")
-    summ = summ.orderBy(F.desc("Total_Revenue"), "Region")
-    low = summ.where(F.col("Total_Revenue") < F.lit(threshold))
-    return write_outputs({"regional_revenue_summary": summ, "low_performing_regions": low},
-                         out_dir)
+    with scratch_table(regional_sales(_typed(spark, in_path, schema), threshold)["summary"], "regional") as t:
+        summ = t.orderBy(F.desc("Total_Revenue"), "Region")
+        low = summ.where(F.col("Total_Revenue") < F.lit(threshold))
+        return publish(spark, out_dir, {"regional_revenue_summary": summ, "low_performing_regions": low})

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -95,3 +97,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextlib.contextmanager
+def scratch_table(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``materialise`` for the length of a block: the table is deleted at its
+    end, so what is built on it must be written inside the block."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    try:
+        df.write.mode("overwrite").parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hp, True)

@@ -14,8 +14,10 @@ REPORT_NAME = "quality_report_{file}_{stamp}.json"
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Header + rows, column order kept.  The target is a folder of part
     files written in parallel; an empty frame still writes a header-only
-    part file, so a downstream reader sees the columns."""
-    df.write.mode(mode).option("header", True).csv(path)
+    part file, so a downstream reader sees the columns.  Blanks around a
+    value are kept (the writer would trim them)."""
+    (df.write.mode(mode).option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
