@@ -1,5 +1,4 @@
-"""Jobs on the reference's sample CSVs (FIXTURES.md §2), each written with
-its leading blank line."""
+"""Jobs on small CSV files, each written with a leading blank line."""
 
 import os
 
@@ -12,40 +11,38 @@ from ledgerline.plans import jobs
 from ledgerline.sources import csv as C
 from ledgerline.sources import sinks
 from tests.conftest import write
-from tests.fixtures import (RAW_USERS_CSV, REGIONAL_CSV, RULES_CSV, SALES_CSV_SCHEMA,
-                            SALES_DATA_CSV, SALES_RAW_CSV, TRANSACTIONS_CSV)
+from tests.fixtures import LIMITS_CSV, PAYMENTS_CSV, PEOPLE_CSV, SHOP_CSV, SHOP_SCHEMA
 
 
-def typed(spark, d, name, text, schema=SALES_CSV_SCHEMA):
+def typed(spark, d, name, text, schema=SHOP_SCHEMA):
     return C.read_csv_typed(spark, write(os.path.join(d, name), text), schema) \
         .drop("malformed", "bad_cells")
 
 
 def test_clean_sales_data(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "sales_data.csv", SALES_DATA_CSV)
-    assert df.count() == 5 and df.where(F.col("quantity").isNull()).count() == 1
-    out = jobs.clean_sales_data(df, "West", 1)
-    assert sorted(r.order_id for r in out.collect()) == [1002, 1005]
+    df = typed(spark, tmpdir_fresh, "shop.csv", SHOP_CSV)
+    assert df.count() == 7 and df.where(F.col("quantity").isNull()).count() == 1
+    out = jobs.clean_sales_data(df, "Hills", 1)
+    assert sorted(r.order_id for r in out.collect()) == [35, 36]
+    assert [r.order_id for r in jobs.clean_sales_data(df, "Plain", 0).collect()] == [34]   # once
 
 
 def test_sales_analytics(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "sales_data.csv", SALES_DATA_CSV)
-    res = jobs.sales_analytics(df)
+    res = jobs.sales_analytics(typed(spark, tmpdir_fresh, "shop.csv", SHOP_CSV))
     assert {r.product: r.total_revenue for r in res["product"].collect()} == \
-        {"Monitor": 24000, "Keyboard": 4500, "Mouse": 2500}
+        {"Barrow": 35600, "Rake": 9500, "Twine": 1500}
     assert {r.region: r.total_revenue for r in res["region"].collect()} == \
-        {"West": 26500, "East": 3000, "South": 1500}
-    assert [r.product for r in res["top"].collect()] == ["Monitor", "Keyboard"]
+        {"Hills": 21200, "Plain": 17800, "Coast": 7600}
+    assert [r.product for r in res["top"].collect()] == ["Barrow", "Rake"]
 
 
 def test_regional_sales(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "regional_sales.csv", REGIONAL_CSV)
-    res = jobs.regional_sales(df, 5000)
+    res = jobs.regional_sales(typed(spark, tmpdir_fresh, "shop.csv", SHOP_CSV), 8900)
     assert [tuple(r) for r in res["summary"].collect()] == [
-        ("North", 15000.0, 3.0), ("East", 6500.0, 7.0), ("West", 2500.0, 3.0), ("South", 500.0, 1.0)]
-    assert [r.Region for r in res["low"].collect()] == ["West", "South"]
+        ("Hills", 21200.0, 9.0), ("Plain", 8900.0, 1.0), ("Coast", 7600.0, 4.0)]
+    assert [r.Region for r in res["low"].collect()] == ["Coast"]       # at the limit is not below
     out = sinks.write_csv(res["low"], os.path.join(tmpdir_fresh, "low"))
-    assert sinks.read_back_csv(res["low"], out).count() == 2
+    assert sinks.read_back_csv(res["low"], out).count() == 1
     none = res["summary"].where("Total_Revenue < 0")
     out = sinks.write_csv(none, os.path.join(tmpdir_fresh, "none"))
     back = spark.read.option("header", True).csv(out)
@@ -53,39 +50,37 @@ def test_regional_sales(spark, tmpdir_fresh):
 
 
 def test_clean_and_aggregate(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "sales_raw.csv", SALES_RAW_CSV)
-    assert df.count() == 6
-    res = jobs.clean_and_aggregate(df)
-    assert res["clean"].count() == 4
-    assert [tuple(r) for r in res["product"].collect()] == [("Monitor", 36000.0), ("Keyboard", 4500.0)]
-    assert [tuple(r) for r in res["region"].collect()] == [
-        ("West", 24000.0), ("East", 15000.0), ("South", 1500.0)]
+    res = jobs.clean_and_aggregate(typed(spark, tmpdir_fresh, "shop.csv", SHOP_CSV))
+    assert res["clean"].count() == 5
+    assert [tuple(r) for r in res["product"].collect()] == [("Barrow", 26700.0), ("Rake", 9500.0), ("Twine", 1500.0)]
+    assert [tuple(r) for r in res["region"].collect()] == [("Hills", 21200.0), ("Plain", 8900.0), ("Coast", 7600.0)]
 
 
 def test_business_rules(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "transactions.csv", RULES_CSV,
-               "transaction_id string, price bigint, quantity bigint")
-    out = jobs.business_rules_engine(df)
-    assert [(r.revenue, r.category) for r in out.orderBy("transaction_id").collect()] == [
-        (3000, "MEDIUM"), (5000, "MEDIUM"), (12000, "HIGH"), (7500, "MEDIUM"), (36000, "HIGH")]
+    df = typed(spark, tmpdir_fresh, "limits.csv", LIMITS_CSV, jobs.RULES_FILE)
+    out = jobs.business_rules_engine(df, high=10_000, medium=2_000)
+    assert {r.transaction_id: (r.revenue, r.category) for r in out.collect()} == {
+        "at-medium": (2000, "MEDIUM"), "below-medium": (1999, "LOW"), "at-high": (10000, "MEDIUM"),
+        "above-high": (10001, "HIGH")}
 
 
 def test_vectorized_rules(spark):
-    arr = spark.createDataFrame([([1500, 500, 12000, 1500, 12000], [2, 5, 1, 1, 2])],
+    arr = spark.createDataFrame([([40, 701, 350, 9], [5, 1, 2, 11])],
                                 "prices array<bigint>, quantities array<bigint>")
-    out = jobs.vectorized_rules(arr).collect()
-    assert [r.revenue for r in out] == [3000, 2500, 12000, 1500, 24000]
-    assert [r.category for r in out] == ["MEDIUM_VALUE", "MEDIUM_VALUE", "HIGH_VALUE",
-                                         "LOW_VALUE", "HIGH_VALUE"]
+    out = jobs.vectorized_rules(arr, high=700, medium=200).collect()
+    assert [r.revenue for r in out] == [200, 701, 700, 99]
+    assert [r.category for r in out] == ["MEDIUM_VALUE", "HIGH_VALUE", "MEDIUM_VALUE", "LOW_VALUE"]
     bad = spark.createDataFrame([([1, 2], [1])], "prices array<bigint>, quantities array<bigint>")
     with pytest.raises(Exception):
         jobs.vectorized_rules(bad).collect()
 
 
 def test_clean_users(spark, tmpdir_fresh):
-    raw = C.read_csv_raw(spark, write(os.path.join(tmpdir_fresh, "raw_users.csv"), RAW_USERS_CSV))
+    raw = C.read_csv_raw(spark, write(os.path.join(tmpdir_fresh, "people.csv"), PEOPLE_CSV))
     out = clean.clean_users(raw.drop("malformed"))
-    assert [(r.id, r.age) for r in out.collect()] == [("1", "28"), ("2", "UNKNOWN"), ("4", "UNKNOWN")]
+    assert [tuple(r) for r in out.collect()] == [
+        ("a", "Noor", "41", "noor@garden.example"), ("c", "Ola", "UNKNOWN", None),
+        ("d", "Pim", "UNKNOWN", "pim@garden.example")]
     edge = spark.createDataFrame([("5", "  ", "7", "A@B.C"), ("6", "Eve", " +007 ", " X@Y.Z "),
                                   ("7", "Ann", "28.0", ""), ("8", "Al", "1_0", None)],
                                  "id string, name string, age string, email string")
@@ -133,35 +128,34 @@ def test_short_and_long_rows(spark, tmpdir_fresh):
     assert rows[1].c is None
 
 
-def test_quality_report_transactions(spark, tmpdir_fresh):
-    path = write(f"{tmpdir_fresh}/transactions.csv", TRANSACTIONS_CSV)
+def test_quality_report_payments(spark, tmpdir_fresh):
+    path = write(f"{tmpdir_fresh}/payments.csv", PAYMENTS_CSV)
     raw = C.with_row_ordinal(C.read_csv_raw(spark, path).drop("malformed"), "_row")
     cols = ["transaction_id", "customer_id", "amount", "currency", "status"]
     vc = Q.value_counts(raw, cols, "_row")
     s = Q.summary(raw, cols, vc).first()
-    assert (s.total_rows, s.total_columns, s.complete_rows, s.completeness_percentage) == (5, 5, 2, 40.0)
-    assert (s.empty_cells, s.duplicate_rows, s.invalid_values) == (3, 0, 1)
-    assert s.quality_score == 93.84 and s.quality_rating == "Excellent 🏆"
+    assert (s.total_rows, s.total_columns, s.complete_rows, s.completeness_percentage) == (5, 5, 4, 80.0)
+    assert (s.empty_cells, s.duplicate_rows) == (2, 1)
     prof = {r.column_name: r for r in Q.column_profile(vc).collect()}
     a = prof["amount"]
     assert (a.data_type, a.type_confidence, a.missing_percentage, a.completeness_severity) == \
         ("integer", 100.0, 20.0, "medium")
     num = Q.numeric_stats(vc).first()
     assert (num.column_name, num["count"], num["sum"], num.average, num["min"], num["max"],
-            num["range"]) == ("amount", 4, 950.0, 237.5, -50.0, 450.0, 500.0)
-    assert [tuple(r) for r in Q.rule_counts(vc, cols).collect()] == [("amount_negative", 1)]
-    assert Q.recommendations(Q.column_profile(vc), Q.summary(raw, cols, vc)).count() == 0
+            num["range"]) == ("amount", 4, 35.0, 8.75, -20.0, 75.0, 95.0)
+    invalid = {r.rule: r[1] for r in Q.rule_counts(vc, cols).toDF("rule", "n").collect()}
+    assert invalid["amount_negative"] == 2 and s.invalid_values == sum(invalid.values())
+    assert [r.recommendation for r in Q.recommendations(Q.column_profile(vc), Q.summary(raw, cols, vc)).collect()] \
+        == ["Remove 1 duplicate rows (20.0% of total) to improve data quality"]
     small = {(r.section, r.item): r.value for r in Q.small_report(raw, cols).collect()}
-    assert small == {("row_count", "rows"): 5, ("missing_values", "customer_id"): 1,
-                     ("missing_values", "amount"): 1, ("missing_values", "currency"): 1,
-                     ("invalid_values", "amount"): 1}
+    assert small[("row_count", "rows")] == 5 and small[("missing_values", "customer_id")] == 1
     rep = jobs.analyze_csv(spark, path, tmpdir_fresh)
     r = rep.first()
-    assert r.summary.quality_score == 93.84 and r.issues.duplicates["count"] == 0
+    assert r.summary.quality_score == s.quality_score and r.issues.duplicates["count"] == 1
     import json
     js = json.loads(rep.select(F.to_json("column_analysis")).first()[0])
     assert list(js) == cols                        # column order kept in the report
-    assert any(f.startswith("quality_report_transactions.csv_") for f in os.listdir(tmpdir_fresh))
+    assert any(f.startswith("quality_report_payments.csv_") for f in os.listdir(tmpdir_fresh))
 
 
 def test_quality_duplicates_and_recommendations(spark):
@@ -230,14 +224,12 @@ def test_analyze_csv_at_table_scale_matches_table_path(spark, tmpdir_fresh):
 
 
 def test_sales_analytics_totals_and_rule_distribution(spark, tmpdir_fresh):
-    df = typed(spark, tmpdir_fresh, "sales_data.csv", SALES_DATA_CSV)
-    t = jobs.sales_analytics(df)["totals"].first()
-    assert (t.total_revenue, t.average_order_value) == (31000.0, 7750.0)
-    rules_df = typed(spark, tmpdir_fresh, "transactions.csv", RULES_CSV,
-                     "transaction_id string, price bigint, quantity bigint")
+    t = jobs.sales_analytics(typed(spark, tmpdir_fresh, "shop.csv", SHOP_CSV))["totals"].first()
+    assert (t.total_revenue, t.average_order_value) == (46600.0, 46600.0 / 6)
+    limits = typed(spark, tmpdir_fresh, "limits.csv", LIMITS_CSV, jobs.RULES_FILE)
     dist = [tuple(r) for r in jobs.category_distribution(
-        jobs.business_rules_engine(rules_df)).collect()]
-    assert dist == [("MEDIUM", 3, 15500), ("HIGH", 2, 48000)]
+        jobs.business_rules_engine(limits, 10_000, 2_000)).collect()]
+    assert dist == [("MEDIUM", 2, 12000), ("HIGH", 1, 10001), ("LOW", 1, 1999)]
 
 
 def test_load_audit_unreadable_and_unrequested_files(spark, tmpdir_fresh):
@@ -266,14 +258,15 @@ def test_pandas_group_semantics_missing_key(spark, tmpdir_fresh):
 def test_json_report_file_round_trip(spark, tmpdir_fresh):
     import glob
     import json
-    path = write(f"{tmpdir_fresh}/transactions.csv", TRANSACTIONS_CSV)
+    path = write(f"{tmpdir_fresh}/payments.csv", PAYMENTS_CSV)
     jobs.analyze_csv(spark, path, tmpdir_fresh)
-    parts = glob.glob(f"{tmpdir_fresh}/quality_report_transactions.csv_*.json/part-*")
+    parts = glob.glob(f"{tmpdir_fresh}/quality_report_payments.csv_*.json/part-*")
     assert len(parts) == 1
     text = open(parts[0], encoding="utf-8").read()
     rep = json.loads(text)
     assert list(rep) == ["metadata", "summary", "column_analysis", "issues", "recommendations"]
-    assert rep["summary"]["quality_rating"] == "Excellent 🏆" and "🏆" in text   # UTF-8 kept
-    assert rep["column_analysis"]["amount"]["numeric_stats"]["sum"] == 950.0
-    assert rep["issues"]["invalid_values"] == {"amount_negative": 1}
-    assert rep["metadata"]["file_name"] == "transactions.csv"
+    rating = rep["summary"]["quality_rating"]
+    assert not rating.isascii() and rating in text                        # UTF-8 kept
+    assert rep["column_analysis"]["amount"]["numeric_stats"]["sum"] == 35.0
+    assert rep["issues"]["invalid_values"]["amount_negative"] == 2
+    assert rep["metadata"]["file_name"] == "payments.csv"

@@ -115,8 +115,8 @@ def test_no_task_meets_a_hot_duplicate(spark):
 
 def test_results_do_not_depend_on_partitioning(spark):
     from ledgerline.operators import aggregate as agg
-    from tests.fixtures import SALES_SCHEMA, sales_rows
-    base = spark.createDataFrame(sales_rows(14), SALES_SCHEMA)
+    from tests.fixtures import SALES, SALES_SCHEMA
+    base = spark.createDataFrame(SALES, SALES_SCHEMA)
     ref = sorted(map(tuple, agg.by_region(base).collect()))
     for n in (1, 4, 13):
         shuffled = base.repartition(n).orderBy(F.rand(n))

@@ -10,7 +10,7 @@ from ledgerline.plans import jobs
 from ledgerline.sources import inline, schemas
 from ledgerline.streaming import folders
 from tests.conftest import write
-from tests.fixtures import REGIONAL_CSV, SALES_RAW_CSV
+from tests.fixtures import SHOP_CSV
 
 
 def test_values_and_schema(spark):
@@ -28,17 +28,17 @@ def test_random_sales_ranges_and_seed(spark):
 
 
 def test_run_clean_and_aggregate_writes_three_outputs(spark, tmpdir_fresh):
-    src = write(os.path.join(tmpdir_fresh, "sales_raw.csv"), SALES_RAW_CSV)
+    src = write(os.path.join(tmpdir_fresh, "sales_raw.csv"), SHOP_CSV)
     res = jobs.run_clean_and_aggregate(spark, src, os.path.join(tmpdir_fresh, "out"))
-    assert res["steps"] == {"loaded": 6, "drop_duplicates": 5, "dropna_quantity": 4}
+    assert res["steps"] == {"loaded": 7, "drop_duplicates": 6, "dropna_quantity": 5}
     back = {k: spark.read.option("header", True).csv(v) for k, v in res["paths"].items()}
-    assert back["clean"].count() == 4
+    assert back["clean"].count() == 5
     assert {r.product: float(r.total_revenue) for r in back["product"].collect()} == \
-        {"Monitor": 36000.0, "Keyboard": 4500.0}
+        {"Barrow": 26700.0, "Rake": 9500.0, "Twine": 1500.0}
 
 
 def test_run_regional_empty_split_has_header(spark, tmpdir_fresh):
-    src = write(os.path.join(tmpdir_fresh, "regional.csv"), REGIONAL_CSV)
+    src = write(os.path.join(tmpdir_fresh, "regional.csv"), SHOP_CSV)
     out = jobs.run_regional(spark, src, os.path.join(tmpdir_fresh, "out"), threshold=100)
     low = spark.read.option("header", True).csv(out["low_performing_regions"])
     assert low.count() == 0 and low.columns == ["Region", "Total_Revenue", "Total_Quantity"]

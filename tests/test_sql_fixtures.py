@@ -1,61 +1,81 @@
-"""SQL-script operators on the reference's inline rows (FIXTURES.md §1)."""
+"""SQL-script operators on small rows, held against plain Python."""
+
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import aggregate as agg, joins, reconcile, windows
-from tests.fixtures import CUSTOMERS, ITEMS, ORDERS, SALES_SCHEMA, sales_rows
+from tests.fixtures import CUSTOMERS, ITEMS, ORDERS, SALES, SALES_SCHEMA
 
 
 @pytest.fixture()
 def sales(spark):
-    def make(n):
-        return spark.createDataFrame(sales_rows(n), SALES_SCHEMA)
-    return make
+    return spark.createDataFrame(SALES, SALES_SCHEMA)
+
+
+def sums(*key):
+    """Revenue, rows and quantity of the sample sales by column positions."""
+    out = defaultdict(lambda: [0, 0, 0])
+    for r in SALES:
+        cell = out[tuple(r[i] for i in key)]
+        cell[0] += r[5] * r[6]
+        cell[1] += 1
+        cell[2] += r[5]
+    return out
 
 
-@pytest.mark.parametrize("n,total,avg", [(8, 62500, 7812.5), (10, 66000, 6600.0),
-                                         (14, 85000, 85000 / 14)])
-def test_total_and_average(sales, n, total, avg):
-    t = agg.total(sales(n)).first()
-    assert (t.total_revenue, t.total_orders) == (total, n)
-    a = agg.average(sales(n)).first()
-    assert a.avg_order_value == pytest.approx(avg) and a.avg_order_value_manual == pytest.approx(avg)
+def test_total_and_average(sales):
+    everything = sums()[()]
+    t = agg.total(sales).first()
+    assert (t.total_revenue, t.total_orders) == (everything[0], len(SALES))
+    a = agg.average(sales).first()
+    assert a.avg_order_value == pytest.approx(everything[0] / len(SALES))
+    assert a.avg_order_value_manual == pytest.approx(everything[0] / len(SALES))
 
 
 def test_region_and_product(sales):
-    r = [tuple(x) for x in agg.by_region(sales(8)).collect()]
-    assert r == [("West", 26500, 2), ("East", 16500, 3), ("South", 13500, 2), ("North", 6000, 1)]
-    r = [tuple(x) for x in agg.by_region(sales(14)).collect()]
-    assert r == [("East", 32500, 6), ("West", 31500, 4), ("South", 15000, 3), ("North", 6000, 1)]
-    p = [tuple(x) for x in agg.by_product(sales(10)).collect()]
-    assert p == [("Monitor", 48000, 4, 3), ("Keyboard", 13500, 9, 4), ("Mouse", 4500, 9, 3)]
+    by_region = sorted(((k[0], v[0], v[1]) for k, v in sums(3).items()), key=lambda r: -r[1])
+    assert [tuple(x) for x in agg.by_region(sales).collect()] == by_region
+    by_product = sorted(((k[0], v[0], v[2], v[1]) for k, v in sums(4).items()), key=lambda r: -r[1])
+    assert [tuple(x) for x in agg.by_product(sales).collect()] == by_product
 
 
 def test_filtered_and_loss(sales):
-    assert agg.filtered_region(sales(8), "East").first().total_revenue == 16500
-    g = reconcile.group_loss(sales(8), "region").first()
-    assert (g.total_rows, g.aggregated_rows, g.rows_match) == (8, 8, True)
-    assert reconcile.duplicate_keys(sales(8), "order_id").count() == 0
+    assert agg.filtered_region(sales, "Hills").first().total_revenue == sums(3)[("Hills",)][0]
+    g = reconcile.group_loss(sales, "region").first()
+    assert (g.total_rows, g.aggregated_rows, g.rows_match) == (len(SALES), len(SALES), True)
+    assert reconcile.duplicate_keys(sales, "order_id").count() == 0
+    assert [r.order_date.day for r in reconcile.duplicate_keys(sales, "order_date").orderBy("order_date").collect()] \
+        == [6, 17]
 
 
 def test_top_customer_and_segments(sales):
-    rows = [tuple(x) for x in windows.top_customer_per_region(sales(14)).collect()]
-    assert rows == [("East", "C001", 20500, 5, "HIGH_VALUE"), ("North", "C004", 6000, 1, "LOW_VALUE"),
-                    ("South", "C003", 15000, 3, "MEDIUM_VALUE"), ("West", "C002", 31500, 4, "HIGH_VALUE")]
+    spent = sums(3, 2)
+    best = {}
+    for (region, customer), v in sorted(spent.items()):
+        if region not in best or v[0] > spent[region, best[region]][0]:
+            best[region] = customer
+    got = {r[0]: tuple(r)[1:4] for r in windows.top_customer_per_region(sales).collect()}
+    assert got == {r: (c, spent[r, c][0], spent[r, c][1]) for r, c in best.items()}
 
 
 def test_rolling_and_pct(sales):
-    roll = [round(x.rolling_7day_avg, 2) for x in windows.rolling7(sales(14)).collect()]
-    assert roll == [3000.0, 2750.0, 5833.33, 4750.0, 8600.0, 7416.67, 7214.29, 8500.0,
-                    8571.43, 6928.57, 8428.57, 5642.86, 5571.43, 4928.57]
-    pct = [x.percent_change for x in windows.trend_na(sales(14)).collect()]
-    assert pct == [None, -16.67, 380.0, -87.5, 1500.0, -93.75, 300.0, 100.0, -75.0, -83.33,
-                   2300.0, -62.5, -77.78, 50.0]
-    trend = [x.trend for x in windows.trend_na(sales(3)).collect()]
-    assert trend == ["N/A", "↓ DECLINE", "↑ GROWTH"]
-    assert [x.trend for x in windows.trend_stable(sales(3)).collect()] == ["STABLE", "DECLINE", "GROWTH"]
-    assert windows.pct_change(sales(14)).count() == 13
+    daily = sorted((d[0], v[0]) for d, v in sums(1).items())
+    roll = [round(x.rolling_7day_avg, 2) for x in windows.rolling7(sales).collect()]
+    want = [[v for _, v in daily[max(0, i - 6):i + 1]] for i in range(len(daily))]
+    assert roll == [pytest.approx(sum(w) / len(w), abs=0.006) for w in want]
+    rows = windows.trend_na(sales).collect()
+    for i, row in enumerate(rows):
+        before, now = (daily[i - 1][1] if i else None), daily[i][1]
+        if not before:                       # the first day, or the day after the free sample
+            assert row.percent_change is None
+        else:
+            assert row.percent_change == pytest.approx(100 * (now - before) / before, abs=0.006)
+    assert len(rows) == len(daily) and rows[0].trend == "N/A"
+    assert windows.trend_stable(sales).collect()[0].trend == "STABLE"
+    grown = [i for i in range(1, len(daily)) if daily[i][1] > daily[i - 1][1]]
+    assert [i for i, r in enumerate(rows) if "GROWTH" in r.trend] == grown
 
 
 def test_zero_previous_day_and_ties(spark):
@@ -77,12 +97,13 @@ def test_zero_previous_day_and_ties(spark):
 
 
 def test_rank_region_and_top2(sales):
-    r = [(x.region, x.customer_id, x.rank_in_region) for x in windows.rank_in_region(sales(10)).collect()]
-    assert r == [("East", "C001", 1), ("North", "C004", 1), ("South", "C003", 1), ("West", "C002", 1)]
-    t = windows.top2_customers_per_region(sales(14)).collect()
-    assert [(x.region, x.customer_id) for x in t] == [("East", "C001"), ("East", "C005"),
-                                                        ("North", "C004"), ("South", "C003"),
-                                                        ("West", "C002")]
+    spent = sums(3, 2)
+    rank = {(r, c): 1 + sum(x[0] > v[0] for (q, _), x in spent.items() if q == r)
+            for (r, c), v in spent.items()}
+    got = {(x.region, x.customer_id): x.rank_in_region for x in windows.rank_in_region(sales).collect()}
+    assert got == rank
+    top = [(x.region, x.customer_id) for x in windows.top2_customers_per_region(sales).collect()]
+    assert sorted(top) == sorted(k for k, n in rank.items() if n <= 2)
 
 
 def test_join_goldens(spark):
