@@ -86,8 +86,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder."""
-    base = checkpoint_dir(spark).rstrip("/")
+    """A fresh path under the shared checkpoint folder, with its file system
+    named: a plain path means the cluster's default one, also to code in a
+    task that opens files by itself."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    base = fs.makeQualified(folder).toString().rstrip("/")
     token = os.urandom(6).hex()
     return f"{base}/ledgerline/{name}-{token}"
 
