@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import map_arrow
+from ledgerline.llm.common import map_arrow, saved
 from ledgerline.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -123,13 +123,14 @@ def _search_shard(phrases: Phrases, docs: list[np.ndarray], old: list) -> tuple[
     return spans, [sorted(found.get(i, ())) for i in range(len(docs))]
 
 
-def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
+def _blocks(benchmark: DataFrame, item_id: str, text: str) -> tuple[int, Iterator[list[tuple]]]:
+    """How many blocks the benchmark has, and their (id, text) rows one block
+    after another."""
     rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).filter(F.col("t").isNotNull())
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-size // BLOCK_BYTES))
     block = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    for k in range(n):
-        yield [tuple(r) for r in (rows if n == 1 else rows.filter(block == k)).collect()]
+    return n, ([tuple(r) for r in (rows if n == 1 else rows.filter(block == k)).collect()] for k in range(n))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "text",
@@ -145,18 +146,21 @@ def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "t
     item row without an id marks words but is not reported.
     """
     spark = docs.sparkSession
-    blocks = list(_blocks(benchmark, item_id, item_text))
+    n_blocks, blocks = _blocks(benchmark, item_id, item_text)
     base = docs.select(*carry, F.col(text).alias("_doc_text"))
     out = base.withColumns({
         "n_words": F.lit(0).cast("long"),
         "hit_spans": F.lit(None).cast("array<struct<start:long,end:long>>"),
         "hit_items": F.lit(None).cast("array<string>")})
     for k, items in enumerate(blocks):
-        last = k == len(blocks) - 1
+        last = k == n_blocks - 1
         shipped = spark.sparkContext.broadcast(Phrases(items, window))
         keep = out.columns[:-3 - last]
         schema = T.StructType([out.schema[c] for c in keep] + list(out.schema[-3:]))
         out = map_arrow(out, _pass(shipped, keep, shard_words), schema)
+        if not last:            # this block's marks are kept, its phrases let go
+            out = saved(out, "marks")
+            shipped.unpersist()
     return out
 
 

@@ -146,7 +146,8 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
     Tokens are white-space-separated words; NULL texts have none.  NULL
     languages and sources are values of their own; rows that share a doc_id
     are in or out of a partial epoch together; a leaf without tokens gives
-    nothing; empty input gives no rows.  Grants are rounded down at each node.
+    nothing; empty input gives no rows; a column ``mix_epoch`` of the input is
+    replaced.  Grants are rounded down at each node.
     """
     leaves = plan(docs, mix)
     names = {n: f"_mix_{n}" for n in LEVELS}
@@ -159,7 +160,7 @@ def mixed(docs: DataFrame, mix: Mix) -> DataFrame:
                           F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     times = F.col("_mix_epochs") + F.coalesce((h <= F.col("_mix_cutoff")).cast("long"), F.lit(0))
     return keyed.join(small, list(names.values())).withColumn("_mix_times", times).filter("_mix_times > 0") \
-        .select(*[F.col(f"`{c}`") for c in docs.columns],
+        .select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "mix_epoch"],
                 F.explode(F.sequence(F.lit(0).cast("long"), F.col("_mix_times") - 1)).alias("mix_epoch"))
 
 

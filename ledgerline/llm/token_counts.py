@@ -67,7 +67,7 @@ def missing_texts(docs: DataFrame, cache: DataFrame | None, tokenizer_digest: st
         return texts.repartition("content_digest")
     known = cache.filter(F.col("tokenizer_digest") == tokenizer_digest) \
         .select("content_digest").distinct()
-    return texts.join(known.hint("shuffle_hash"), "content_digest", "left_anti") \
+    return texts.join(known, "content_digest", "left_anti") \
         .repartition("content_digest")
 
 

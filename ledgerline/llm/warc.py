@@ -185,7 +185,7 @@ def with_revisits(pages: DataFrame, min_payload_bytes: int = 0) -> DataFrame:
     groups = rows.filter(F.octet_length("html") >= min_payload_bytes).groupBy("digest") \
         .agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")) \
         .filter("n > 1 AND refers_to IS NOT NULL").select("digest", "refers_to")
-    return rows.join(groups.hint("shuffle_hash"), "digest", "left") \
+    return rows.join(groups, "digest", "left") \
         .withColumn("revisit", F.col("refers_to").isNotNull()
                     & ~F.col("page_id").eqNullSafe(F.col("refers_to")))
 

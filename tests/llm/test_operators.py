@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     components,
@@ -258,15 +259,16 @@ def test_toxicity_edges(spark):
     assert crf.score(docs, flat).filter("toxicity >= 0.5").count() == 0
 
 
-@pytest.mark.parametrize("block", [16_384, 37])
-def test_top_k_equals_brute_force(spark, block):
+@pytest.mark.parametrize("block,query_block", [(16_384, 2_048), (37, 2_048), (7, 4)])
+def test_top_k_equals_brute_force(spark, block, query_block):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(150, 6))
     x[3] = x[7] = x[11]                                     # ties
     x[20] = 0
     rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
     rows += [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (None, [1.0] * 6)]
-    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=10, every=10, block_vectors=block)
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=10, every=10, block_vectors=block,
+                     query_block=query_block)
     m = np.floor(1024 * x).astype(np.int64)
     want = []
     for q in range(0, 150, 10):
@@ -281,6 +283,23 @@ def test_top_k_edges(spark):
     got = [tuple(r) for r in topk.top_k(few).collect()]
     assert got == [(0, 1, 1, 1024 * 3072 - 2048 * 1024)]
     assert topk.top_k(few.limit(0)).count() == 0
+    rows = [(0, [1.0, 2.0, 4.0], "a"), (1, [1.0], "b"), (1, [1.0], "c"), (2, [], "d"), (3, [0.0, 3.0], "e")]
+    odd = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank string")
+    got = [tuple(r) for r in topk.top_k(odd.withColumn("score", F.lit(7))).collect()]
+    one = 1024 * 1024
+    assert got == [(0, 1, 3, 6 * one), (0, 2, 1, one), (0, 3, 1, one), (0, 4, 2, 0)]
+
+
+def test_top_k_wide_products(spark):
+    """Products past 64 bits that cancel are exact; a score past them raises."""
+    big = 3.0e9
+    rows = [(0, [big, big, 1.0]), (1, [big, -big, 2.0]), (2, [-big, big, 5.0]), (3, [0.0, 0.0, 3.0])]
+    cancel = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(cancel).collect()]
+    assert got == [(0, 1, 2, 5 << 20), (0, 2, 3, 3 << 20), (0, 3, 1, 2 << 20)]
+    for wide in ([(0, [big]), (1, [big])], [(0, [1.0e17]), (1, [1.0])]):
+        with pytest.raises(Exception):
+            topk.top_k(spark.createDataFrame(wide, "vec_id long, embedding array<double>")).collect()
 
 
 MIX = mixing.Mix(weights={"domain": {"web": 30}, "lang": {"en": 50}}, domains={"0": "web"})
@@ -297,6 +316,8 @@ def test_mixing_budget_and_epochs(spark):
     assert 0.7 * total < taken <= 0.8 * total
     assert max(Counter(r.doc_id for r in got).values()) <= MIX.max_epochs
     assert got and set(got[0].asDict()) == {"doc_id", "text", "lang", "source", "domain", "mix_epoch"}
+    clash = mixing.mixed(docs.withColumn("mix_epoch", F.lit("mine")), MIX)
+    assert clash.columns == ["doc_id", "text", "lang", "source", "domain", "mix_epoch"] and clash.count() == len(got)
     again = mixing.mixed(docs.repartition(7), MIX).collect()
     assert sorted((r.doc_id, r.mix_epoch) for r in got) == sorted((r.doc_id, r.mix_epoch) for r in again)
 
