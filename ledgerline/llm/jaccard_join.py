@@ -19,8 +19,10 @@ sets near a boundary must also be copied into the neighbouring region.
     member can reach within eps is settled and leaves.  This recurs until the
     regions are small; a region that pivots do not divide is joined in pairs
     of bounded blocks of sets of like size.
-4.  A small cluster is joined in one task, with exact distances to what the
-    inverted lists of its rare shingles hold.
+4.  A cluster that fits one task is cut in the same way there, by pivot sets,
+    windows and settled members, down to regions whose members are all pivots.
+    Only a region that neither its pivots nor settled members shrink is joined
+    by exact distances to what the inverted lists of its rare shingles hold.
 
 Equal sets are one class from the start.  The result is exact up to
 collisions of 64-bit shingle hashes.
@@ -44,6 +46,7 @@ CACHE_WORDS = 150_000
 PIVOT_BLOCK = 1_000_000            # pivots of a task's input that are linked at a time
 LOCAL_SHINGLES = 2_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
+SHRUNK = 0.7                       # a round must leave at most this share of a region in one place
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
 TINY = 1e-9
 
@@ -230,13 +233,15 @@ def member_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
 # --- joins of regions ---------------------------------------------------------
 
-def link_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
+def link_region(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
     """Component (smallest place) of each set under links, exactly: in the
     order rare before frequent, linked sets share one of their first
     n - ceil(threshold * n) + 1 shingles, so the inverted lists of those hold
-    all partners; the distances to them are exact."""
+    all partners; the distances to them are exact.  ``known``: components that
+    links found earlier make; a pair within one needs no distance, so the
+    members of the largest look for nothing and are only found."""
     m = len(sets)
-    label = np.arange(m)
+    label = np.arange(m) if known is None else known.copy()
     lens = np.array([len(s) for s in sets], dtype=np.int64)
     at = np.concatenate([[0], np.cumsum(lens)])
     _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -252,19 +257,25 @@ def link_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
     order = np.argsort(shingle, kind="stable")
     owner, ends = owner[order], np.cumsum(np.bincount(shingle, minlength=len(count)))
     starts = np.concatenate([[0], ends[:-1]])
-    mark = np.zeros(len(count), dtype=np.int32)
-    for i in range(m):
+    mark = np.zeros(len(count), dtype=bool)
+    asks = label != np.bincount(label).argmax()
+    for i in np.flatnonzero(asks):
         lists = [owner[starts[t]:ends[t]] for t in first[i] if ends[t] - starts[t] > 1]
         if not lists:
             continue
         near = np.unique(np.concatenate(lists))
-        near = near[(near < i) & (label[near] != label[i])]
+        near = near[((near < i) | ~asks[near]) & (label[near] != label[i])]
         near = near[100 * np.minimum(lens[near], lens[i]) >= percent * np.maximum(lens[near], lens[i])]
         if not len(near):
             continue
-        mark[flat[at[i]:at[i + 1]]] = 1
-        common = np.array([mark[flat[at[j]:at[j + 1]]].sum() for j in near], dtype=np.int64)
-        mark[flat[at[i]:at[i + 1]]] = 0
+        mark[flat[at[i]:at[i + 1]]] = True
+        before = np.concatenate([[0], np.cumsum(lens[near])])
+        if 4 * before[-1] > len(flat):
+            common = np.add.reduceat(mark[flat], at[:-1], dtype=np.int64)[near]
+        else:
+            held = flat[np.arange(before[-1]) + np.repeat(at[near] - before[:-1], lens[near])]
+            common = np.add.reduceat(mark[held], before[:-1], dtype=np.int64)
+        mark[flat[at[i]:at[i + 1]]] = False
         linked = near[100 * common >= percent * (lens[near] + lens[i] - common)]
         for other in np.unique(label[linked]):
             low, high = sorted((other, label[i]))
@@ -272,6 +283,89 @@ def link_region(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return label
 
 
+class _Classes:
+    """Disjoint classes of the places 0..n-1, named by their smallest place."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, i: int) -> int:
+        up = self.up
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    def join(self, places, other: int) -> None:
+        for i in places:
+            low, high = sorted((self.find(i), self.find(other)))
+            self.up[high] = low
+
+
+def voronoi_classes(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Component (smallest place) of each set under links, exactly, by Voronoi
+    cuts in memory.
+
+    A round takes up to ``PIVOTS`` pivots, in turn the next member of a fixed
+    random order and the member farthest from the pivots so far, and links
+    what lies within eps of one.  A linked pair meets in the region of the
+    pivot nearest to either, since both lie in its window of 2 eps.  In a
+    region of pivot p, a member linked to p is settled if every member not
+    linked to p is farther than eps from it by the triangle inequality: what
+    it still links with there is linked to p as well.  The others recur region
+    by region, or in one region if regions overlap too much."""
+    m, eps = len(sets), 1 - percent / 100
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = flat.astype(np.int32)
+    mark = np.zeros(int(flat.max()) + 1, dtype=bool)
+    order = np.random.default_rng(m).permutation(m)
+    turn = np.empty(m, dtype=np.int64)
+    turn[order] = np.arange(m)
+    classes = _Classes(m)
+    todo = [np.arange(m)]
+    while todo:
+        own = todo.pop()
+        if len({classes.find(i) for i in own.tolist()}) < 2:
+            continue
+        lens = at[own + 1] - at[own]
+        here = np.concatenate([flat[at[i]:at[i + 1]] for i in own])
+        starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
+        near, used = np.full(len(own), np.inf), np.zeros(len(own), dtype=bool)
+        dist, link = [], []
+        while len(dist) < PIVOTS and not used.all():
+            k = int(np.argmin(np.where(used, m, turn[own])) if len(dist) % 2 == 0 else np.argmax(np.where(used, -1, near)))
+            used[k] = True
+            pivot = here[starts[k]:starts[k] + lens[k]]
+            mark[pivot] = True
+            common = np.add.reduceat(mark[here], starts, dtype=np.int64)
+            mark[pivot] = False
+            union = lens + lens[k] - common
+            dist.append(1 - common / union)
+            link.append(100 * common >= percent * union)
+            near = np.minimum(near, dist[-1])
+            classes.join(own[link[-1]].tolist(), int(own[k]))
+        if used.all():
+            continue
+        parts = []
+        for d, linked in zip(dist, link):
+            cell = d <= near + 2 * eps + TINY
+            apart = cell & ~linked
+            if apart.any():
+                parts.append(cell & (~linked | (d >= d[apart].min() - eps - TINY)))
+        rest = np.logical_or.reduce(parts) if parts else np.zeros(len(own), dtype=bool)
+        if max((p.sum() for p in parts), default=0) <= SHRUNK * len(own) and sum(p.sum() for p in parts) <= 2 * len(own):
+            todo += [own[p] for p in parts]
+        elif rest.sum() <= SHRUNK * len(own):
+            todo.append(own[rest])
+        else:
+            left = own[rest]
+            _, first, known = np.unique([classes.find(i) for i in left.tolist()], return_index=True, return_inverse=True)
+            for i, k in enumerate(link_region([flat[at[j]:at[j + 1]] for j in left], percent, first[known])):
+                classes.join([int(left[i])], int(left[k]))
+    return np.array([classes.find(i) for i in range(m)])
+
+
 def _distances(sets: list[np.ndarray], pivot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(common shingles, union size) of each set with the pivot."""
     lens = np.array([len(s) for s in sets], dtype=np.int64)
@@ -288,7 +382,7 @@ def _local_links(regions: DataFrame, percent: int) -> DataFrame:
 
     def close(nodes: list, sets: list) -> Iterator[pa.RecordBatch]:
         if len(nodes) > 1:
-            label = link_region([np.frombuffer(s, np.uint64) for s in sets], percent)
+            label = voronoi_classes([np.frombuffer(s, np.uint64) for s in sets], percent)
             at = np.flatnonzero(label != np.arange(len(label)))
             if len(at):
                 ids = np.array(nodes, dtype=np.int64)
@@ -399,7 +493,7 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         parent = F.regexp_extract("region", "^(.*)/[^/]*$", 1)
         after = stay.groupBy("region").agg(F.count(F.lit(1)).alias("size")).withColumn("parent", parent) \
             .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before")), "parent")
-        stuck = saved(after.filter(F.col("size") > 0.7 * F.col("before")).select("parent").distinct(), "stuck")
+        stuck = saved(after.filter(F.col("size") > SHRUNK * F.col("before")).select("parent").distinct(), "stuck")
         whole = stuck.select(F.col("parent").alias("region"))
         links.append(_local_links(_in_block_pairs(rest, whole, percent), percent))
         kept = stay.withColumn("parent", parent).join(stuck.select("parent"), "parent", "left_anti").select("region", "node", "parent")

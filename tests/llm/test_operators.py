@@ -89,6 +89,45 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, size, percent, loca
     assert {i: r.component_id for i, r in got.items()} == linked_components(sets, percent)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85, 100])
+def test_voronoi_classes_equal_all_pairs(percent):
+    """Chains of sets around the radius, groups of copies, sets with a common
+    core at every distance, and sets that share nothing."""
+    rng = np.random.default_rng(percent)
+
+    def classes_by_pairs(sets):
+        docs = {i: set(s.tolist()) for i, s in enumerate(sets)}
+        return list(linked_components(docs, percent).values())
+
+    for round_ in range(12):
+        sets, core = [], rng.integers(0, 1 << 60, 60)
+        for _ in range(rng.integers(1, 5)):
+            own = rng.integers(0, 1 << 60, rng.integers(1, 80))
+            for _ in range(rng.integers(1, 40)):
+                own = np.where(rng.random(len(own)) < rng.choice([0.02, 0.1]), rng.integers(0, 1 << 60, len(own)), own)
+                sets.append(own)
+        sets += [np.concatenate([core[:rng.integers(1, 60)], rng.integers(0, 1 << 60, rng.integers(0, 40))])
+                 for _ in range(rng.integers(0, 60))]
+        sets = [np.unique(x.astype(np.uint64)) for x in sets]
+        rng.shuffle(sets)
+        assert jaccard_join.voronoi_classes(sets, percent).tolist() == classes_by_pairs(sets)
+
+
+def test_groups_of_copies_are_joined_by_pivots_alone(monkeypatch):
+    def refuse(*_):
+        raise AssertionError("pivots divide these sets")
+
+    monkeypatch.setattr(jaccard_join, "link_region", refuse)
+    rng = np.random.default_rng(4)
+    sets = []
+    for _ in range(12):
+        own = rng.integers(0, 1 << 60, 200)
+        sets += [np.unique(np.where(rng.random(200) < 0.01, rng.integers(0, 1 << 60, 200), own).astype(np.uint64))
+                 for _ in range(30)]
+    got = jaccard_join.voronoi_classes(sets, 85)
+    assert got.tolist() == [i // 30 * 30 for i in range(360)]
+
+
 def test_jaccard_blocks_bring_every_possible_link_together(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LOCAL_SHINGLES", 600)
     rng = np.random.default_rng(12)
