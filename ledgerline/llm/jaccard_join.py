@@ -477,7 +477,8 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         sizes = saved(regions.groupBy("region").agg(F.count(F.lit(1)).alias("size"), load.alias("load")), "region-sizes")
         fits = (F.col("load") <= LOCAL_SHINGLES) | (F.col("size") == 1)
         small = sizes.filter(fits & (F.col("size") > 1)).select("region")
-        links.append(_local_links(regions.join(small, "region", "left_semi"), percent))
+        links.append(saved(_local_links(regions.join(small, "region", "left_semi"), percent), f"local-links-{level}"))
+        free_finished_shuffles(members.sparkSession)        # those of the regions' sets
         large = sizes.filter(~fits)
         if large.isEmpty():
             break
@@ -489,16 +490,26 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         edge = narrow.filter("NOT linked").groupBy("region").agg(F.min("d").alias("edge"))
         reach = F.col("d") >= F.col("edge") - F.lit(eps + TINY)
         stay = narrow.join(edge, "region").filter(~F.col("linked") | reach)
-        # a region that a round leaves almost whole is joined in pairs of blocks
+        # A region whose regions overlap too much stays one, without the members
+        # settled in all of them; if those are few, it is joined in blocks.
         parent = F.regexp_extract("region", "^(.*)/[^/]*$", 1)
-        after = stay.groupBy("region").agg(F.count(F.lit(1)).alias("size")).withColumn("parent", parent) \
-            .join(large.select(F.col("region").alias("parent"), F.col("size").alias("before")), "parent")
-        stuck = saved(after.filter(F.col("size") > SHRUNK * F.col("before")).select("parent").distinct(), "stuck")
-        whole = stuck.select(F.col("parent").alias("region"))
-        links.append(_local_links(_in_block_pairs(rest, whole, percent), percent))
-        kept = stay.withColumn("parent", parent).join(stuck.select("parent"), "parent", "left_anti").select("region", "node", "parent")
-        regions = saved(rest.withColumnRenamed("region", "parent").join(kept, ["parent", "node"])
-                        .select("region", "node", "shingles"), f"regions-kept-{level}")
+        stay = saved(stay.select(parent.alias("parent"), "region", "node"), f"unsettled-{level}")
+        before = large.select(F.col("region").alias("parent"), F.col("size").alias("before"))
+
+        def too_many(rows: DataFrame, *by: str) -> DataFrame:
+            """Parents of which a group of rows keeps more than ``SHRUNK``."""
+            return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("size")).join(before, "parent") \
+                .filter(F.col("size") > SHRUNK * F.col("before")).select("parent").distinct()
+
+        stuck = saved(too_many(stay, "parent", "region"), "stuck")
+        left = saved(stay.join(stuck, "parent", "left_semi").select("parent", "node").distinct(), f"left-{level}")
+        whole = saved(too_many(left, "parent").withColumnRenamed("parent", "region"), "whole")
+        sets = rest.withColumnRenamed("region", "parent")
+        once = sets.join(left, ["parent", "node"]).select(F.col("parent").alias("region"), "node", "shingles")
+        links.append(saved(_local_links(_in_block_pairs(once, whole, percent), percent), f"block-links-{level}"))
+        free_finished_shuffles(members.sparkSession)        # those of the blocks
+        cut = sets.join(stay.join(stuck, "parent", "left_anti"), ["parent", "node"]).select("region", "node", "shingles")
+        regions = saved(cut.unionByName(once.join(whole, "region", "left_anti")), f"regions-kept-{level}")
         level += 1
     out = links[0]
     for x in links[1:]:
