@@ -46,6 +46,7 @@ CACHE_WORDS = 150_000
 PIVOT_BLOCK = 1_000_000            # pivots of a task's input that are linked at a time
 LOCAL_SHINGLES = 2_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
+WAVES = 4                          # passes in which an undivided region's pairs of blocks are joined
 SHRUNK = 0.7                       # a round must leave at most this share of a region in one place
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
 TINY = 1e-9
@@ -444,11 +445,12 @@ def _divide(regions: DataFrame, percent: int, level: int) -> DataFrame:
                      "region string, node long, shingles binary, d double, linked boolean, hub long")
 
 
-def _in_block_pairs(regions: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
+def _in_block_pairs(regions: DataFrame, whole: DataFrame, percent: int) -> list[DataFrame]:
     """Regions that pivots do not divide, as pairs of blocks of about half a
     task's members each.  Blocks follow the sets' sizes, and linked sets have
     sizes within the threshold's ratio, so only blocks whose size ranges can
-    link meet: a member is copied for its few neighbours, not for all."""
+    link meet: a member is copied for its few neighbours, not for all.  The
+    pairs come in ``WAVES`` frames, so that one pass holds a part of the copies."""
     n = F.expr("octet_length(shingles) div 8")
     rows = regions.join(whole, "region", "left_semi").withColumn("n", n) \
         .withColumn("part", F.pmod(F.xxhash64("node", F.lit(99)), F.lit(1024)))
@@ -462,9 +464,15 @@ def _in_block_pairs(regions: DataFrame, whole: DataFrame, percent: int) -> DataF
     pairs = low.join(high, "region").filter("low <= high").filter(100 * F.col("upto") >= percent * F.col("from")) \
         .withColumn("pair", F.concat_ws(":", "region", "low", "high")) \
         .select("region", "pair", F.explode(F.array_distinct(F.array("low", "high"))).alias("block"))
-    meets = pairs.groupBy("region", "block").agg(F.collect_list("pair").alias("pairs"))
-    return rows.join(cells, ["region", "n", "part"]).join(meets, ["region", "block"]) \
-        .select(F.explode("pairs").alias("region"), "node", "shingles")
+    pairs = saved(pairs, "block-pairs")
+
+    def wave(i: int) -> DataFrame:
+        mine = pairs.filter(F.pmod(F.xxhash64("pair"), F.lit(WAVES)) == i)
+        meets = mine.groupBy("region", "block").agg(F.collect_list("pair").alias("pairs"))
+        return rows.join(cells, ["region", "n", "part"]).join(meets, ["region", "block"]) \
+            .select(F.explode("pairs").alias("region"), "node", "shingles")
+
+    return [wave(i) for i in range(WAVES)]
 
 
 def verified_links(members: DataFrame, percent: int) -> DataFrame:
@@ -506,8 +514,9 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         whole = saved(too_many(left, "parent").withColumnRenamed("parent", "region"), "whole")
         sets = rest.withColumnRenamed("region", "parent")
         once = sets.join(left, ["parent", "node"]).select(F.col("parent").alias("region"), "node", "shingles")
-        links.append(saved(_local_links(_in_block_pairs(once, whole, percent), percent), f"block-links-{level}"))
-        free_finished_shuffles(members.sparkSession)        # those of the blocks
+        for pairs in _in_block_pairs(once, whole, percent):
+            links.append(saved(_local_links(pairs, percent), f"block-links-{level}"))
+            free_finished_shuffles(members.sparkSession)    # those of the blocks
         cut = sets.join(stay.join(stuck, "parent", "left_anti"), ["parent", "node"]).select("region", "node", "shingles")
         regions = saved(cut.unionByName(once.join(whole, "region", "left_anti")), f"regions-kept-{level}")
         level += 1

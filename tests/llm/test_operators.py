@@ -134,7 +134,8 @@ def test_jaccard_blocks_bring_every_possible_link_together(spark, monkeypatch):
     sizes = [int(x) for x in np.concatenate([rng.integers(1, 400, 120), np.full(80, 50)])]
     rows = [("r", i, np.arange(n, dtype="<u8").tobytes()) for i, n in enumerate(sizes)]
     regions = spark.createDataFrame(rows, "region string, node long, shingles binary")
-    got = jaccard_join._in_block_pairs(regions, regions.select("region").distinct(), 80).collect()
+    got = [r for pairs in jaccard_join._in_block_pairs(regions, regions.select("region").distinct(), 80)
+           for r in pairs.collect()]
     held = {}
     for r in got:
         held.setdefault(r.region, set()).add(r.node)
