@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text as T
+from ledgerline.session import input_bytes
 
 _SEEDS = (11, 29)
 
@@ -106,13 +107,33 @@ def duplicate_count(df: DataFrame, columns: list[str] | None = None,
                       "duplicate_rows")
 
 
+# bytes of the files under a frame per task that holds its distinct rows, and
+# the most tasks that this asks for by itself
+BYTES_PER_TASK = 8 * 1024 * 1024
+MOST_TASKS = 100_000
+
+
+def distinct_tasks(df: DataFrame) -> int:
+    """In how many tasks the distinct rows of ``df`` are held: in proportion
+    to its input files, and not fewer than the session's shuffles have."""
+    asked = min(MOST_TASKS, -(-input_bytes(df) // BYTES_PER_TASK))
+    return max(1, asked, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def drop_duplicates(df: DataFrame, columns: list[str] | None = None,
-                    fingerprints: bool = False) -> DataFrame:
+                    fingerprints: bool = False, mostly_distinct: bool = False) -> DataFrame:
     """One row per distinct value of ``columns`` (all columns by default).
     With fingerprints, rows with a unique fingerprint pass through without a
-    shuffle of their content; only candidate rows are deduplicated exactly."""
+    shuffle of their content; only candidate rows are deduplicated exactly.
+
+    ``mostly_distinct``: rows of which few are equal are dealt by their value
+    to ``distinct_tasks`` tasks before any are held.  Otherwise every task of
+    the stage above holds all of its own rows, and Spark sizes those tasks by
+    compressed bytes, of which such rows take few."""
     if columns and set(columns) != set(df.columns):
         return df.dropDuplicates(columns)    # keeps one whole row per key: Spark's own
+    if mostly_distinct:
+        df = df.repartition(distinct_tasks(df), *[T.column(c) for c in df.columns])
     if not fingerprints:
         return df.dropDuplicates()
     cols = df.columns

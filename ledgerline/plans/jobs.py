@@ -38,7 +38,7 @@ def clean_sales_data(df: DataFrame, region: str = "West", min_quantity: int = 1)
     """filter (region and quantity > n) -> drop missing quantity -> drop
     duplicate rows."""
     kept = df.where((F.col("region") == region) & (F.col("quantity") > min_quantity))
-    return dedup.drop_duplicates(kept.na.drop(subset=["quantity"]))
+    return dedup.drop_duplicates(kept.na.drop(subset=["quantity"]), mostly_distinct=True)
 
 
 # E02 -------------------------------------------------------------------------
@@ -61,7 +61,7 @@ def regional_sales(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> dict[
     """drop missing quantity -> to numeric -> drop duplicates -> revenue ->
     per region revenue + quantity (renamed, sorted) -> low performers."""
     c = clean.to_numeric(df.na.drop(subset=["quantity"]), "quantity", "price")
-    c = agg.with_revenue(dedup.drop_duplicates(c))
+    c = agg.with_revenue(dedup.drop_duplicates(c, mostly_distinct=True))
     summary = (c.where(F.col("region").isNotNull()).groupBy("region")
                .agg(F.coalesce(F.sum("revenue"), F.lit(0)).alias("Total_Revenue"),
                     F.coalesce(F.sum("quantity"), F.lit(0)).alias("Total_Quantity"))
@@ -75,7 +75,7 @@ def regional_sales(df: DataFrame, threshold: float = DEFAULT_THRESHOLD) -> dict[
 def clean_and_aggregate(df: DataFrame) -> dict[str, DataFrame]:
     """drop duplicates -> drop missing quantity -> to numeric -> revenue ->
     per product and per region, sorted by revenue."""
-    c = clean.to_numeric(dedup.drop_duplicates(df).na.drop(subset=["quantity"]),
+    c = clean.to_numeric(dedup.drop_duplicates(df, mostly_distinct=True).na.drop(subset=["quantity"]),
                          "quantity", "price")
     c = agg.with_revenue(c)
     return {"clean": c, **clean_and_aggregate_from_clean(c)}
@@ -220,7 +220,8 @@ def run_clean_sales(spark, in_path: str, out_dir: str, region: str = "West", min
     kept = rows.where((F.col("region") == region) & (F.col("quantity") > min_quantity))
     kept, o_kept = observed(kept.na.drop(subset=["quantity"]), "filtered")
     cols = [c for c in rows.columns if c != ROW]
-    first, o_first = observed(kept.groupBy(*cols).agg(F.min(ROW).alias(ROW)), "distinct")
+    dealt = kept.repartition(dedup.distinct_tasks(kept), *cols)
+    first, o_first = observed(dealt.groupBy(*cols).agg(F.min(ROW).alias(ROW)), "distinct")
     with scratch_table(first, "clean_sales") as out:
         paths = publish(spark, out_dir, {"clean_sales": _in_file_order(out)})
     steps = {n: o.get["rows"] for n, o in (("loaded", o_in), ("filtered", o_kept), ("distinct", o_first))}
@@ -265,7 +266,7 @@ def run_clean_and_aggregate(spark, in_path: str, out_dir: str, schema: str = SAL
     observed on that one write (no extra jobs).
     Returns {"paths": {output: folder}, "steps": {step: rows}}."""
     df, o_in = observed(_typed(spark, in_path, schema), "loaded")
-    dd, o_dd = observed(dedup.drop_duplicates(df), "drop_duplicates")
+    dd, o_dd = observed(dedup.drop_duplicates(df, mostly_distinct=True), "drop_duplicates")
     kept, o_na = observed(dd.na.drop(subset=["quantity"]), "dropna_quantity")
     clean_df = agg.with_revenue(clean.to_numeric(kept, "quantity", "price"))
     with scratch_table(clean_df, "clean_sales") as shared:

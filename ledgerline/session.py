@@ -66,6 +66,19 @@ def get_spark(master: str | None = None, app: str = "ledgerline",
     return spark
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, 0 if it reads none: one listing
+    per folder that holds some of them."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    files, total = set(df.inputFiles()), 0
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        hp = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+        total += sum(st.getLen() for st in hp.getFileSystem(conf).listStatus(hp)
+                     if st.getPath().toUri().toString() in files)
+    return total
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 

@@ -113,6 +113,39 @@ def test_no_task_meets_a_hot_duplicate(spark):
             spark.conf.set(k, v)
 
 
+def test_mostly_distinct_rows_are_dealt_before_they_are_held(spark, monkeypatch, tmp_path):
+    """The jobs hold distinct rows in tasks in proportion to the input files,
+    behind a shuffle by value; no aggregate runs in the stage above it."""
+    from ledgerline.plans import jobs
+    from ledgerline.session import input_bytes
+    rows = [(i % 40, "West" if i % 3 else None, f"p{i % 7}", float(i % 5) if i % 11 else None, 2.0) for i in range(300)]
+    rows += rows[:90]
+    path = f"{tmp_path}/a b/sales.parquet"
+    spark.createDataFrame(rows, jobs.SALES_FILE).repartition(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "a b" / "sales.parquet").glob("*.parquet"))
+    assert input_bytes(df) == size and input_bytes(spark.range(3).toDF("x")) == 0
+    monkeypatch.setattr(dedup, "BYTES_PER_TASK", size // 20)
+    assert dedup.distinct_tasks(df) in (20, 21)
+    monkeypatch.setattr(dedup, "MOST_TASKS", 13)
+    assert dedup.distinct_tasks(df) == 13 and dedup.distinct_tasks(spark.range(3).toDF("x")) == 8
+    # as a join on a key leaves them: dealt by a column, which an aggregate would take as enough
+    by_key = df.repartition("order_id")
+    clean = {r for r in rows if r[3] is not None}
+    got = jobs.clean_and_aggregate(by_key)["clean"]
+    assert sorted(map(str, (tuple(r)[:5] for r in got.collect()))) == sorted(map(str, clean))
+    summary = {r.Region: r.Total_Quantity for r in jobs.regional_sales(by_key)["summary"].collect()}
+    assert summary == {"West": sum(r[3] for r in clean if r[1] == "West")}
+    west = jobs.clean_sales_data(by_key)
+    assert sorted(map(str, map(tuple, west.collect()))) == sorted(str(r) for r in clean if r[1] == "West" and r[3] > 1)
+    zeros = spark.createDataFrame([(0.0,), (-0.0,), (float("nan"),), (float("nan"),), (None,), (None,)], "x double")
+    assert dedup.drop_duplicates(zeros.repartition(6), mostly_distinct=True).count() == 3
+    for job in (got, jobs.regional_sales(by_key)["summary"], west):
+        plan = job.select("*")._jdf.queryExecution().executedPlan().toString()     # not run yet
+        dealt = plan.index(", 13), REPARTITION_BY_NUM")
+        assert "HashAggregate" in plan[:dealt] and "HashAggregate" not in plan[dealt:], plan
+
+
 def test_results_do_not_depend_on_partitioning(spark):
     from ledgerline.operators import aggregate as agg
     from tests.fixtures import SALES, SALES_SCHEMA
