@@ -42,21 +42,25 @@ FILTER_BITS = 23
 
 
 def repeated_keys_filter(keys: DataFrame) -> DataFrame:
-    """The Bloom filter (word, bits) of the rows of ``keys``."""
+    """The Bloom filter of the rows of ``keys``: one row with all of its words,
+    an array of longs."""
     at = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1 << FILTER_BITS))
-    return (keys.select(F.shiftright(at, 6).alias("_word"), at.bitwiseAND(63).cast("int").alias("_bit"))
-            .groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _bit)")).alias("_bits")))
+    words = keys.sparkSession.range(1 << FILTER_BITS >> 6).select(F.col("id").alias("_word"), F.lit(0).cast("long").alias("_bits"))
+    hit = (keys.select(F.shiftright(at, 6).alias("_word"), at.bitwiseAND(63).cast("int").alias("_bit"))
+           .select("_word", F.expr("shiftleft(1L, _bit)").alias("_bits")))
+    held = words.unionByName(hit).groupBy("_word").agg(F.bit_or("_bits").alias("_bits"))
+    return held.agg(F.sort_array(F.collect_list(F.struct("_word", "_bits"))).alias("_words")).select("_words._bits")
 
 
 def maybe_repeated(rows: DataFrame, keys: DataFrame, hit: bool = True) -> DataFrame:
     """Rows whose values of the columns of ``keys`` hit (or miss) the filter
     of ``keys``; all rows whose key is in ``keys`` hit it.  Rows stay where
-    they are: only the bounded filter is sent out."""
+    they are: only the bounded filter is sent out, as a scalar."""
     at = F.pmod(F.xxhash64(*[F.col(c) for c in keys.columns]), F.lit(1 << FILTER_BITS))
-    tested = rows.withColumn("_at", at).withColumn("_word", F.shiftright("_at", 6)) \
-        .join(F.broadcast(repeated_keys_filter(keys)), "_word", "left")
-    found = F.coalesce(F.expr("(shiftright(_bits, CAST(_at & 63 AS INT)) & 1) = 1"), F.lit(False))
-    return tested.where(found if hit else ~found).drop("_word", "_at", "_bits")
+    words = repeated_keys_filter(keys).scalar()
+    bits = F.get(words, F.shiftright(at, 6).cast("int"))
+    found = F.call_function("shiftright", bits, at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+    return rows.where(found if hit else ~found)
 
 
 def _repeated(h: DataFrame) -> DataFrame:
