@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import (batch_of, free_finished_shuffles, map_arrow, saved, shuffle_partitions,
                                    texts_of)
+from ledgerline.session import scratch_table
 
 HEAD_WORDS = 65_000
 MAX_DISCOUNTED = 5
@@ -106,11 +107,24 @@ def pair_key(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return h * np.uint64(0x9E3779B97F4A7C15) + w * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def _dealt(at: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Places in the order of their buckets, those of a bucket ascending, and
+    each bucket with its span of that order; small bucket numbers sort by
+    digits."""
+    small = at.astype(np.uint16) if len(at) and at.max() < 1 << 16 else at
+    order = np.argsort(small, kind="stable")
+    by = at[order]
+    first = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])) if len(by) else np.empty(0, np.int64)
+    ends = np.append(first[1:], len(by))
+    return order, list(zip(by[first].tolist(), first.tolist(), ends.tolist()))
+
+
 def _parts(at: np.ndarray, *arrays: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The arrays' values by bucket."""
-    for k in np.unique(at):
-        own = at == k
-        yield int(k), [a[own] for a in arrays]
+    order, spans = _dealt(at)
+    arrays = [a[order] for a in arrays]
+    for k, i, j in spans:
+        yield k, [a[i:j] for a in arrays]
 
 
 def _squeeze(m: Model, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -323,7 +337,7 @@ def _reduce(rows: DataFrame, key: str, extra: str, summary) -> DataFrame:
 
 
 def _word_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """Partitioned table of the training words' counts."""
+    """The training words' counts, by bucket."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, _, _ in blocks(batches):
             h, n = b.counted()
@@ -338,8 +352,7 @@ def _word_counts(docs: DataFrame, buckets: int) -> DataFrame:
                 "grades": pa.array([grade.tolist()], pa.list_(pa.int64())), "sizes": pa.array([n.tolist()], pa.list_(pa.int64()))}
 
     rows = map_arrow(docs.filter("train"), count, _ROWS)
-    return saved(_reduce(rows, "<u8", "tokens long, types long, docs long, grades array<long>, sizes array<long>", summary),
-                 "katz-words")
+    return _reduce(rows, "<u8", "tokens long, types long, docs long, grades array<long>, sizes array<long>", summary)
 
 
 def _head(words: DataFrame, grades: dict[int, int], limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -461,18 +474,18 @@ def train(docs: DataFrame, train_rows, head_words: int = HEAD_WORDS) -> tuple[Mo
     ``train_rows`` holds: the model and its partitioned table."""
     buckets = max(LEAST_BUCKETS, shuffle_partitions(docs.sparkSession))
     d = _docs(docs, train_rows)
-    words = _word_counts(d, buckets)
-    totals = words.agg(F.sum("tokens"), F.sum("types"), F.sum("docs")).first()
-    tokens, types, n_docs = (int(x or 0) for x in totals)
-    grades = {int(r.g): int(r.n) for r in words.select(F.explode(F.arrays_zip("grades", "sizes")).alias("z"))
-              .groupBy(F.col("z.grades").alias("g")).agg(F.sum("z.sizes").alias("n")).collect()}
-    n_r = np.array([0] + [grades.get(r, 0) for r in range(1, MAX_DISCOUNTED + 2)], dtype=float)
-    head, counts = _head(words, grades, head_words)
-    if n_docs and END not in head:                          # the end is no history: always in the head
-        at = np.searchsorted(head, END)
-        head, counts = np.insert(head, at, END), np.insert(counts, at, n_docs)
-    model = Model(head, counts, tokens, types, n_docs, n_r, buckets)
-    pairs = _pair_counts(d, words, model)
+    with scratch_table(_word_counts(d, buckets), "katz-words") as words:     # the pairs bring its counts along
+        totals = words.agg(F.sum("tokens"), F.sum("types"), F.sum("docs")).first()
+        tokens, types, n_docs = (int(x or 0) for x in totals)
+        grades = {int(r.g): int(r.n) for r in words.select(F.explode(F.arrays_zip("grades", "sizes")).alias("z"))
+                  .groupBy(F.col("z.grades").alias("g")).agg(F.sum("z.sizes").alias("n")).collect()}
+        n_r = np.array([0] + [grades.get(r, 0) for r in range(1, MAX_DISCOUNTED + 2)], dtype=float)
+        head, counts = _head(words, grades, head_words)
+        if n_docs and END not in head:                      # the end is no history: always in the head
+            at = np.searchsorted(head, END)
+            head, counts = np.insert(head, at, END), np.insert(counts, at, n_docs)
+        model = Model(head, counts, tokens, types, n_docs, n_r, buckets)
+        pairs = _pair_counts(d, words, model)
     got = pairs.select(F.posexplode("n_r").alias("r", "n")).groupBy("r").agg(F.sum("n").alias("n")).collect()
     n_r = np.zeros(MAX_DISCOUNTED + 2)
     for r in got:
@@ -521,10 +534,12 @@ def _request(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def _split(at: np.ndarray, times: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Which of the keys go to a bucket, their occurrences and documents."""
-    of_doc = np.repeat(at.astype(np.int32), times)
-    for k in np.unique(at):
-        own = np.flatnonzero(at == k)
-        yield int(k), own, times[own], doc[of_doc == k]
+    order, spans = _dealt(at)
+    doc = doc[_dealt(np.repeat(at, times))[0]]
+    times = times[order]
+    ends = np.cumsum(times)
+    for k, i, j in spans:
+        yield k, order[i:j], times[i:j], doc[ends[i] - times[i]:ends[j - 1]]
 
 
 def _find(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

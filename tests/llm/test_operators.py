@@ -564,3 +564,36 @@ def test_token_counts_and_cache(spark, tmpdir_fresh):
     assert stored == len({t or "" for t in TEXTS})
     assert token_counts.token_counts(docs.limit(0), path).count() == 0
 
+
+
+def test_katz_deals_by_bucket_and_keeps_no_word_table(spark):
+    """Keys, occurrences and documents of a bucket in their order; the words'
+    counts are deleted once the pairs hold them."""
+    from ledgerline.llm import katz
+    from ledgerline.session import checkpoint_dir
+    rnd = np.random.default_rng(5)
+    for n, buckets in ((0, 3), (1, 3), (500, 7), (500, 70_000)):
+        at, times = rnd.integers(0, buckets, n), rnd.integers(1, 4, n)
+        doc = rnd.integers(0, 9, int(times.sum())).astype("<u2")
+        of_doc = np.repeat(at, times)
+        got = list(katz._split(at, times, doc))
+        assert [x[0] for x in got] == sorted(set(at.tolist()))
+        for k, own, n_x, d in got:
+            assert own.tolist() == np.flatnonzero(at == k).tolist() and n_x.tolist() == times[at == k].tolist()
+            assert d.tolist() == doc[of_doc == k].tolist() and d.dtype == doc.dtype
+        assert [(k, x.tolist()) for k, (x,) in katz._parts(at, times)] == [(k, times[at == k].tolist()) for k, *_ in got]
+    left = f"{checkpoint_dir(spark)}/ledgerline/katz-words-*"
+    fs = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(left)
+    files = fs.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    docs = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None)], "doc_id long, text string")
+    assert katz.katz_scores(docs, F.col("doc_id") == 2).count() == 3
+    assert len(files.globStatus(fs)) == 0
+
+
+def test_jaccard_codes_are_those_of_unique():
+    from ledgerline.llm.jaccard_join import _codes
+    rnd = np.random.default_rng(6)
+    sets = [np.unique(rnd.integers(0, 60, n).astype(np.uint64) << np.uint64(57)) for n in (1, 9, 40, 3)]
+    values, want = np.unique(np.concatenate(sets), return_inverse=True)
+    code, n = _codes(sets)
+    assert code.tolist() == want.tolist() and n == len(values) and code.dtype == np.int32
