@@ -234,6 +234,21 @@ def member_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
 # --- joins of regions ---------------------------------------------------------
 
+def _codes(sets: list[np.ndarray]) -> tuple[np.ndarray, int]:
+    """The sets' shingles end to end as dense codes in the order of their
+    hashes, and the number of codes; in less memory than ``np.unique``."""
+    flat = np.concatenate(sets)
+    order = np.argsort(flat)
+    flat = flat[order]
+    new = np.empty(len(flat), dtype=bool)
+    new[:1] = False
+    np.not_equal(flat[1:], flat[:-1], out=new[1:])
+    del flat
+    code = np.empty(len(order), dtype=np.int32)
+    code[order] = np.cumsum(new, dtype=np.int32)
+    return code, int(new.sum()) + 1 if len(code) else 0
+
+
 def link_region(sets: list[np.ndarray], percent: int, known: np.ndarray | None = None) -> np.ndarray:
     """Component (smallest place) of each set under links, exactly: in the
     order rare before frequent, linked sets share one of their first
@@ -245,7 +260,8 @@ def link_region(sets: list[np.ndarray], percent: int, known: np.ndarray | None =
     label = np.arange(m) if known is None else known.copy()
     lens = np.array([len(s) for s in sets], dtype=np.int64)
     at = np.concatenate([[0], np.cumsum(lens)])
-    _, flat, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    flat, codes = _codes(sets)
+    count = np.bincount(flat, minlength=codes)
     rank = np.empty(len(count), dtype=np.int32)
     rank[np.argsort(count, kind="stable")] = np.arange(len(count), dtype=np.int32)
     flat = rank[flat]
@@ -317,9 +333,8 @@ def voronoi_classes(sets: list[np.ndarray], percent: int) -> np.ndarray:
     by region, or in one region if regions overlap too much."""
     m, eps = len(sets), 1 - percent / 100
     at = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    flat = flat.astype(np.int32)
-    mark = np.zeros(int(flat.max()) + 1, dtype=bool)
+    flat, codes = _codes(sets)
+    mark = np.zeros(codes, dtype=bool)
     order = np.random.default_rng(m).permutation(m)
     turn = np.empty(m, dtype=np.int64)
     turn[order] = np.arange(m)
