@@ -13,8 +13,10 @@ sets near a boundary must also be copied into the neighbouring region.
     part is the pivot of the region of all sets that hold it there, and a set
     is copied to the regions of all its parts.
 2.  Regions that overlap join into clusters; no link leaves a cluster.
-3.  A cluster too large for one task is cut by pivot sets: every member goes
-    to its nearest pivot p and to every pivot q with d(x, q) <= d(x, p) + 2 eps.
+3.  A cluster too large for one task keeps together only sets that share one
+    of their rarest shingles, which linked sets do (``rare_shingle_regions``).
+    What is still too large is cut by pivot sets: every member goes to its
+    nearest pivot p and to every pivot q with d(x, q) <= d(x, p) + 2 eps.
     Members within eps of their pivot are linked to it; one that no unlinked
     member can reach within eps is settled and leaves.  This recurs until the
     regions are small; a region that pivots do not divide is joined in pairs
@@ -48,6 +50,9 @@ LOCAL_SHINGLES = 2_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
 WAVES = 4                          # passes in which an undivided region's pairs of blocks are joined
 SHRUNK = 0.7                       # a round must leave at most this share of a region in one place
+RARE_ROUNDS = 2                    # rounds that part large regions by rare shingles
+COUNTED_SETS = 20_000              # sets of large regions whose shingles are counted, about
+SLOT_BITS, CHUNK = 23, 4096        # counters (as a power of two), and how many travel in a row
 FILTER_BITS = 23                   # bits (as a power of two) of the members' filter
 TINY = 1e-9
 
@@ -111,12 +116,16 @@ class Parts:
         spare = 1 + differ // 8 if differ else 0
         return differ + 1 + spare, spare
 
+    def band(self, n: int) -> int:
+        """The size band of a set of ``n`` shingles."""
+        while self.bands[-1] <= n:
+            self.bands.append(100 * self.bands[-1] // self.percent + 1)
+        return bisect.bisect_right(self.bands, n) - 1
+
     def __call__(self, s: np.ndarray) -> np.ndarray:
         if not len(s):
             return s
-        while self.bands[-1] <= len(s):
-            self.bands.append(100 * self.bands[-1] // self.percent + 1)
-        band = bisect.bisect_right(self.bands, len(s)) - 1
+        band = self.band(len(s))
         mixed = _mix(s)
         out = []
         for g in (band, band + 1):
@@ -163,14 +172,15 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                      "doc_id long, n long, d1 long, d2 long")
 
 
-def shared_pivots(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) that join the sets (by their digest d1) with a common pivot.
+_PIVOT_ROWS = pa.schema([("pivot", pa.int64()), ("node", pa.int64())])
+
 
-    A block of a task's input links its own sets of one pivot to the least of
-    them and sends on only that one, so a very common pivot costs a row per
-    block.  A link found in a block travels as a pivot of its own."""
-    schema = pa.schema([("pivot", pa.int64()), ("node", pa.int64())])
+def _block_stars(sets: Iterator[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows (pivot, node) of the (node, its pivots) of a task.
 
+    A block links its own nodes of one pivot to the least of them and sends on
+    only that one, so a very common pivot costs a row per block.  A link found
+    in a block travels as a pivot of its own."""
     def close(pivots: list, nodes: list) -> pa.RecordBatch:
         p, n = np.concatenate(pivots).view(np.int64), np.repeat(np.array(nodes, np.int64), [len(x) for x in pivots])
         order = np.lexsort((n, p))
@@ -179,31 +189,101 @@ def shared_pivots(docs: DataFrame, size: int, percent: int) -> DataFrame:
         home = n[first][np.cumsum(first) - 1]
         link = np.unique(np.stack([n, home])[:, n != home], axis=1)
         own = (link.view(np.uint64) * _MULT[:2, None]).sum(axis=0, dtype=np.uint64).view(np.int64)
-        return batch_of(schema, pivot=np.concatenate([p[first], own, own]),
+        return batch_of(_PIVOT_ROWS, pivot=np.concatenate([p[first], own, own]),
                         node=np.concatenate([n[first], link[0], link[1]]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, parts = Shingler(size), Parts(percent)
-        pivots, nodes, held = [], [], 0
-        for b in batches:
-            for t in texts_of(b):
-                s = shingles(t)
-                if len(s):
-                    pivots.append(parts(s))
-                    nodes.append(_digest(s)[0])
-                    held += len(pivots[-1])
-                if held >= PIVOT_BLOCK:
-                    yield close(pivots, nodes)
-                    pivots, nodes, held = [], [], 0
-        if held:
+    pivots, nodes, held = [], [], 0
+    for node, own in sets:
+        pivots.append(own)
+        nodes.append(node)
+        held += len(own)
+        if held >= PIVOT_BLOCK:
             yield close(pivots, nodes)
+            pivots, nodes, held = [], [], 0
+    if held:
+        yield close(pivots, nodes)
+
 
+def _stars(rows: DataFrame) -> DataFrame:
+    """Links (a, b) of the nodes of each pivot to the least of them."""
     home = Window.partitionBy("pivot").orderBy("node")
-    return map_arrow(docs.filter("doc_id IS NOT NULL").select("text"), run, "pivot long, node long") \
-        .withColumn("home", F.first("node").over(home)).filter("home <> node") \
+    return rows.withColumn("home", F.first("node").over(home)).filter("home <> node") \
         .select(F.col("node").alias("a"), F.col("home").alias("b"))
 
 
+def shared_pivots(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (a, b) that join the sets (by their digest d1) with a common pivot."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, parts = Shingler(size), Parts(percent)
+        sets = (s for b in batches for s in map(shingles, texts_of(b)) if len(s))
+        yield from _block_stars((_digest(s)[0], parts(s)) for s in sets)
+
+    return _stars(map_arrow(docs.filter("doc_id IS NOT NULL").select("text"), run, "pivot long, node long"))
+
+
+def _keyed_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, its shingles mixed with the region) of rows (region, node,
+    shingles)."""
+    for r, n, s in zip(*(batch.column(c).to_pylist() for c in ("region", "node", "shingles"))):
+        yield n, _mix(np.frombuffer(s, np.uint64) ^ np.uint64(xxhash.xxh3_64_intdigest(r)))
+
+
+def _shingle_counts(members: DataFrame) -> np.ndarray:
+    """How often the shingles of each slot of their hash occur in about
+    ``COUNTED_SETS`` of the sets, up to 255; it only says in which order
+    shingles are looked at."""
+    every = F.lit(-(-members.count() // COUNTED_SETS) or 1)
+    schema = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << SLOT_BITS, np.uint32)      # of a task
+        for b in batches:
+            for _, keys in _keyed_sets(b):
+                np.add.at(seen, keys >> np.uint64(64 - SLOT_BITS), np.uint32(1))
+        chunks = np.minimum(seen, 255).astype(np.uint8).reshape(-1, CHUNK)
+        own = np.flatnonzero(chunks.any(axis=1))
+        yield batch_of(schema, chunk=own.astype(np.int32), counts=[chunks[i].tobytes() for i in own])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, c in zip(b.column("chunk").to_pylist(), b.column("counts").to_pylist()):
+                sums[k] = np.minimum(sums.get(k, 0) + np.frombuffer(c, np.uint8).astype(np.uint16), 255)
+        yield batch_of(schema, chunk=list(sums), counts=[c.astype(np.uint8).tobytes() for c in sums.values()])
+
+    rows = members.filter(F.pmod(F.xxhash64("node", F.lit(7)), every) == 0).select("region", "node", "shingles")
+    out = np.zeros(1 << SLOT_BITS, np.uint8).reshape(-1, CHUNK)
+    for r in map_arrow(map_arrow(rows, count, "chunk int, counts binary").repartition("chunk"), add,
+                       "chunk int, counts binary").collect():
+        out[r.chunk] = np.frombuffer(r.counts, np.uint8)
+    return out.reshape(-1)
+
+
+def rare_shingle_regions(members: DataFrame, percent: int) -> DataFrame:
+    """``members`` (region, node, shingles) in smaller regions that no link
+    leaves, without those that can link with nothing.
+
+    In any order of all shingles linked sets share one of their first
+    n - ceil(threshold * n) + 1: these are the set's pivots here, in each of
+    its size groups (see ``Parts``).  In the order rare before frequent few
+    sets share one that have no link."""
+    shipped = members.sparkSession.sparkContext.broadcast(_shingle_counts(members))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, sizes = shipped.value, Parts(percent)
+
+        def first(keys: np.ndarray) -> np.ndarray:
+            order = np.lexsort((keys, counts[keys >> np.uint64(64 - SLOT_BITS)]))
+            own = keys[order[:len(keys) + percent * len(keys) // -100 + 1]]
+            band = sizes.band(len(keys))
+            return np.concatenate([_mix(own + np.uint64(g << 40)) for g in (band, band + 1)])
+
+        yield from _block_stars((n, first(keys)) for b in batches for n, keys in _keyed_sets(b))
+
+    found = components(_stars(map_arrow(members.select("region", "node", "shingles"), run, "pivot long, node long")))
+    return members.join(found, "node").select(F.col("component").cast("string").alias("region"), "node", "shingles")
+
+
 def member_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
     """(node, d1, shingles binary) of the documents in ``nodes`` (node).  A
     bounded filter of their ids thins the texts before they are cut into
@@ -506,6 +586,11 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         if large.isEmpty():
             break
         rest = regions.join(large.select("region"), "region", "left_semi")
+        if level < RARE_ROUNDS:
+            regions = saved(rare_shingle_regions(rest, percent), "rare-regions")
+            free_finished_shuffles(members.sparkSession)    # those of the pivots
+            level += 1
+            continue
         cells = _divide(rest, percent, level)
         narrow = saved(cells.select("region", "node", "d", "linked", "hub", F.octet_length("shingles").alias("bytes")),
                        f"cells-{level}")

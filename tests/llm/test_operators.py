@@ -597,3 +597,49 @@ def test_jaccard_codes_are_those_of_unique():
     values, want = np.unique(np.concatenate(sets), return_inverse=True)
     code, n = _codes(sets)
     assert code.tolist() == want.tolist() and n == len(values) and code.dtype == np.int32
+
+
+@pytest.mark.parametrize("percent", [70, 85, 100])
+def test_sets_with_common_shingles_alone_leave_a_large_cluster(spark, percent):
+    """Regions by rare shingles keep every link and part sets that share only
+    what most of the cluster holds."""
+    rng = np.random.default_rng(percent)
+    common, rows = rng.integers(0, 1 << 60, 30, dtype=np.uint64), []
+    for i in range(60):
+        own = rng.integers(0, 1 << 60, 12 + i % 5, dtype=np.uint64)
+        for c in range(1 + (i % 3 == 0) * 4):
+            s = own.copy()
+            s[:c % 4] = rng.integers(0, 1 << 60, c % 4, dtype=np.uint64)
+            rows.append((f"r{i % 2}", len(rows), np.unique(np.concatenate([common[:20 + i % 11], s]))))
+    rows += [("r1", 7, rows[3][2]), ("r0", len(rows), rows[0][2])]          # a node of two rows; one set in both regions
+    members = spark.createDataFrame([(r, n, s.tobytes()) for r, n, s in rows], "region string, node long, shingles binary")
+    got = {}
+    for r in jaccard_join.rare_shingle_regions(members.repartition(5), percent).collect():
+        got.setdefault(r.node, set()).add(r.region)
+    for (r, a, x), (q, b, y) in itertools.combinations(rows, 2):
+        common_n = len(np.intersect1d(x, y))
+        if a != b and r == q and 100 * common_n >= percent * (len(x) + len(y) - common_n):
+            assert got[a] == got[b] and len(got[a]) == 1
+    if percent > 70:                    # the common part is up to two thirds of a set
+        assert max(Counter(r for rs in got.values() for r in rs).values()) < 20
+
+
+def test_undivided_cluster_is_parted_before_blocks_are_paired(spark, monkeypatch):
+    """Sets that share a template but no link: pivot sets do not divide them,
+    their rarest shingles do, and no pairs of blocks are joined."""
+    monkeypatch.setattr(jaccard_join, "LOCAL_SHINGLES", 500)
+    paired = []
+    blocks = jaccard_join._in_block_pairs
+    monkeypatch.setattr(jaccard_join, "_in_block_pairs", lambda regions, whole, percent: paired.append(whole.count()) or blocks(
+        regions, whole, percent))
+    rng = np.random.default_rng(8)
+    core = words(rng, 20)
+    texts = [" ".join(["first", *core, *words(rng, 30, 100_000)]) for _ in range(80)]
+    docs = list(enumerate(texts + [t.replace("first", "other") for t in texts[:9]]))
+    cut = jaccard_join.Shingler(4)
+    members = spark.createDataFrame([("0", i, cut(t).tobytes()) for i, t in docs], "region string, node long, shingles binary")
+    links = jaccard_join.verified_links(members, 85).collect()
+    assert sum(paired) == 0
+    found = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = linked_components(shingle_sets(docs, 4), 85)
+    assert {i: found.get(i, i) for i in want} == want and len(set(want.values())) == 80
