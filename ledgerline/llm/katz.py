@@ -143,7 +143,9 @@ def _pack_pairs(m: Model, h: np.ndarray, w: np.ndarray, c: np.ndarray, of_word:
     """Pairs sorted by history, with counts; each word's hash (and value
     ``of_word``) is kept once."""
     own_h, h_at = np.unique(h, return_inverse=True)
-    own_w, place, w_at = np.unique(w, return_index=True, return_inverse=True)
+    own_w, w_at = np.unique(w, return_inverse=True)
+    place = np.empty(len(own_w), np.int64)
+    place[w_at] = np.arange(len(w))                         # any of the word's
     order = np.argsort(h_at << 32 | w_at)
     more = [] if of_word is None else [of_word[place].astype("<i8")]
     return _pack(*_squeeze(m, own_h), np.bincount(h_at).astype("<u4"), *_squeeze(m, own_w), w_at[order].astype("<u4"),
@@ -382,7 +384,7 @@ def _add_pairs(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (history, word) with their summed counts."""
     h, w, c = (np.concatenate(x) for x in zip(*parts))
     key = pair_key(h, w)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     return h[order[first]], w[order[first]], np.add.reduceat(c[order], first)

@@ -643,3 +643,24 @@ def test_undivided_cluster_is_parted_before_blocks_are_paired(spark, monkeypatch
     found = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = linked_components(shingle_sets(docs, 4), 85)
     assert {i: found.get(i, i) for i in want} == want and len(set(want.values())) == 80
+
+
+def test_katz_pairs_are_summed_and_packed_without_stable_sorts(monkeypatch):
+    """Pairs keep their counts and their words' values, at the price of plain sorts."""
+    rng = np.random.default_rng(4)
+    asked = []
+    argsort, unique = np.argsort, np.unique
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: asked.append(k.get("kind")) or argsort(*a, **k))
+    monkeypatch.setattr(np, "unique", lambda *a, **k: asked.append(k.get("return_index")) or unique(*a, **k))
+    h, w = (rng.integers(1, 9, 400).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) for _ in range(2))
+    c = rng.integers(1, 50, 400)
+    h2, w2, c2 = katz._add_pairs([(h[:150], w[:150], c[:150]), (h[150:], w[150:], c[150:])])
+    want = Counter()
+    for x, y, n in zip(h.tolist(), w.tolist(), c.tolist()):
+        want[x, y] += n
+    assert dict(zip(zip(h2.tolist(), w2.tolist()), c2.tolist())) == want and len(h2) == len(want)
+    m = katz.Model(np.sort(unique(w)[:3]), np.array([5, 6, 7]), 100, 8, 2, np.zeros(7), 4)
+    value = (w2 >> np.uint64(40)).astype(np.int64)
+    got = katz._unpack_pairs(m, katz._pack_pairs(m, h2, w2, c2, value))
+    assert sorted(zip(*(x.tolist() for x in got))) == sorted(zip(h2.tolist(), w2.tolist(), c2.tolist(), value.tolist()))
+    assert not any(asked)
