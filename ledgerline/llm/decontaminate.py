@@ -10,7 +10,7 @@ never move.  The benchmark goes out in blocks of bounded size, one pass each.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -65,13 +65,13 @@ class Phrases:
 
 def _long_runs(ids: np.ndarray, least: int) -> np.ndarray:
     """Places of the runs of non-zero ids with at least ``least`` members."""
-    edge = np.diff(np.concatenate([[0], (ids != 0).view(np.int8), [0]]))
+    edge = np.diff((ids != 0).view(np.int8), prepend=np.int8(0), append=np.int8(0))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     keep = ends - starts >= least
     mark = np.zeros(len(ids) + 1, dtype=np.int32)
     mark[starts[keep]] = 1
     mark[ends[keep]] -= 1
-    return np.flatnonzero(np.cumsum(mark[:-1]))
+    return np.flatnonzero(np.cumsum(mark[:-1], out=mark[:-1]))
 
 
 def occurrences(phrases: Phrases, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +82,7 @@ def occurrences(phrases: Phrases, ids: np.ndarray) -> tuple[np.ndarray, np.ndarr
     if not len(places):
         return none
     gap = np.flatnonzero(np.diff(places) > 1) + 1
-    text = np.insert(ids[places], gap, 0)
+    text = np.insert(ids[places].astype(np.int64), gap, 0)
     origin = np.insert(places, gap, -1)
     text, origin = np.concatenate([[0], text]), np.concatenate([[-1], origin])
     index = FMIndex(text, len(phrases.vocabulary) + 1)
@@ -97,11 +97,11 @@ def _search_shard(phrases: Phrases, docs: list[np.ndarray], old: list) -> tuple[
     """Spans and items per document of a shard, merged with those found in
     earlier blocks (``old``: pairs of spans and items)."""
     starts = np.cumsum([0] + [len(d) + 1 for d in docs])
-    ids = np.zeros(starts[-1], dtype=np.int64)
+    ids = np.zeros(starts[-1], dtype=np.int32)
     for s, d in zip(starts, docs):
         ids[s:s + len(d)] = d
     which, place = occurrences(phrases, ids)
-    mark = np.zeros(len(ids) + 1, dtype=np.int64)
+    mark = np.zeros(len(ids) + 1, dtype=np.int32)
     np.add.at(mark, place, 1)
     np.add.at(mark, place + phrases.lengths[which], -1)
     doc = np.searchsorted(starts, place, side="right") - 1
@@ -115,7 +115,7 @@ def _search_shard(phrases: Phrases, docs: list[np.ndarray], old: list) -> tuple[
             mark[starts[i] + s["end"]] -= 1
         if items:
             found.setdefault(i, set()).update(items)
-    edge = np.diff(np.concatenate([[0], (np.cumsum(mark) > 0).view(np.int8)]))
+    edge = np.diff((np.cumsum(mark, out=mark) > 0).view(np.int8), prepend=np.int8(0))
     a, b = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     spans: list[list] = [[] for _ in docs]
     for d, s, e in zip((np.searchsorted(starts, a, side="right") - 1).tolist(), a.tolist(), b.tolist()):
@@ -135,7 +135,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> tuple[int, Iterato
 
 def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "text",
          item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-         shard_words: int = SHARD_WORDS) -> DataFrame:
+         shard_words: int = SHARD_WORDS, leave: tuple[Callable, T.StructType] | None = None) -> DataFrame:
     """``carry`` columns of ``docs`` plus n_words, hit_spans (merged word
     ranges [start, end) covered by occurrences of windows) and hit_items (ids,
     as strings, of the items with occurring windows).
@@ -144,6 +144,10 @@ def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "t
     not none, is one window.  NULL or wordless texts have no words; an empty
     benchmark hits nothing; repeated rows are judged each on their own; an
     item row without an id marks words but is not reported.
+
+    ``leave`` (a function and the schema of what it returns) makes other rows
+    in the task that marked them: of a batch with ``carry`` and the text as
+    _doc_text, and its rows' n_words, hit_spans and hit_items.
     """
     spark = docs.sparkSession
     n_blocks, blocks = _blocks(benchmark, item_id, item_text)
@@ -155,16 +159,30 @@ def mark(docs: DataFrame, benchmark: DataFrame, carry: list[str], text: str = "t
     for k, items in enumerate(blocks):
         last = k == n_blocks - 1
         shipped = spark.sparkContext.broadcast(Phrases(items, window))
-        keep = out.columns[:-3 - last]
-        schema = T.StructType([out.schema[c] for c in keep] + list(out.schema[-3:]))
-        out = map_arrow(out, _pass(shipped, keep, shard_words), schema)
+        if last and leave:
+            made, schema = leave
+        else:
+            keep = out.columns[:-3 - last]
+            made = _with_marks(keep)
+            schema = T.StructType([out.schema[c] for c in keep] + list(out.schema[-3:]))
+        out = map_arrow(out, _pass(shipped, made, shard_words), schema)
         if not last:            # this block's marks are kept, its phrases let go
             out = saved(out, "marks")
             shipped.unpersist()
     return out
 
 
-def _pass(shipped, keep: list[str], shard_words: int):
+def _with_marks(keep: list[str]):
+    def made(b: pa.RecordBatch, n_words: list, spans: list, items: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [b.column(c) for c in keep] + [pa.array(n_words, pa.int64()), pa.array(spans, _SPANS),
+                                           pa.array(items, _ITEMS)],
+            [*keep, "n_words", "hit_spans", "hit_items"])
+
+    return made
+
+
+def _pass(shipped, made: Callable, shard_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = shipped.value
         get = phrases.vocabulary.get
@@ -178,10 +196,7 @@ def _pass(shipped, keep: list[str], shard_words: int):
             at = 0
             for b in held:
                 n = b.num_rows
-                cols = [b.column(c) for c in keep] + [
-                    pa.array([len(d) for d in docs[at:at + n]], pa.int64()),
-                    pa.array(spans[at:at + n], _SPANS), pa.array(items[at:at + n], _ITEMS)]
-                yield pa.RecordBatch.from_arrays(cols, [*keep, "n_words", "hit_spans", "hit_items"])
+                yield made(b, [len(d) for d in docs[at:at + n]], spans[at:at + n], items[at:at + n])
                 at += n
 
         for b in batches:
@@ -235,28 +250,25 @@ def cut(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFram
     goes, one without an occurrence keeps its row as it is."""
     rest = [c for c in docs.columns if c != "text"]
     inner = {c: f"_c{i}" for i, c in enumerate(rest)}       # no clash with the added columns
-    m = mark(docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
-             .withColumn("_kept_text", F.col("text")), benchmark, [*inner.values(), "_kept_text"], window=window)
-    schema = T.StructType([m.schema[n] for n in inner.values()]
+    rows = docs.select(F.col("text").alias("text"), *[F.col(f"`{c}`").alias(n) for c, n in inner.items()])
+    schema = T.StructType([rows.schema[n] for n in inner.values()]
                           + [T.StructField("_kept_text", T.StringType()), T.StructField("_cut", T.BooleanType())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, keep, changed = [], [], []
-            rows = zip(b.column("_kept_text").to_pylist(), b.column("hit_spans").to_pylist(),
-                       b.column("n_words").to_pylist())
-            for i, (t, spans, n) in enumerate(rows):
-                if spans and sum(s["end"] - s["start"] for s in spans) == n:
-                    continue
-                keep.append(i)
-                texts.append(cut_spans(t, spans) if spans else t)
-                changed.append(bool(spans))
-            t = b.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [t.column(n) for n in inner.values()] + [pa.array(texts, pa.string()), pa.array(changed, pa.bool_())],
-                [*inner.values(), "_kept_text", "_cut"])
-
-    clean = map_arrow(m, run, schema)
+    def without(b: pa.RecordBatch, n_words: list, spans: list, items: list) -> pa.RecordBatch:
+        texts, keep, changed = [], [], []
+        for i, (t, s, n) in enumerate(zip(b.column("_doc_text").to_pylist(), spans, n_words)):
+            if s and sum(x["end"] - x["start"] for x in s) == n:
+                continue
+            keep.append(i)
+            texts.append(cut_spans(t, s) if s else t)
+            changed.append(bool(s))
+        left = b.take(pa.array(keep, pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [left.column(n) for n in inner.values()] + [pa.array(texts, pa.string()), pa.array(changed, pa.bool_())],
+            [*inner.values(), "_kept_text", "_cut"])
+
+    # cut where the spans are found: one worker a task, the texts go there once
+    clean = mark(rows, benchmark, list(inner.values()), window=window, leave=(without, schema))
     out = []
     for c in docs.columns:
         if c == "text":

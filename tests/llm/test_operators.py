@@ -6,6 +6,7 @@ import base64
 import hashlib
 import itertools
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -520,6 +521,37 @@ def test_decontamination_cut(spark):
     assert decontaminate.cut(docs.limit(0), bench).count() == 0
 
 
+def test_decontamination_cuts_where_it_marks(spark, monkeypatch):
+    """The spans are cut in the task that finds them, so a task has one Python
+    worker and the texts go there once, with one block of items and several."""
+    rng = np.random.default_rng(4)
+    items = [(i, " ".join(words(rng, 12, 40))) for i in range(6)]
+    rows = [(i, " ".join(words(rng, 9, 2_000)) + "\n" + items[i % 6][1] + "\nend.", "en") for i in range(20)]
+    rows += [(50, items[0][1], "en"), (51, items[1][1] + "!?", None), (52, None, "en"), (52, None, "en"), (None, "", None)]
+    docs, bench = spark.createDataFrame(rows, DOCS + ", lang string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted([(i, t.replace(items[i % 6][1], "\n"), g) for i, t, g in rows[:20]] + rows[22:], key=str)
+    for size in (4_000_000, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
+        got = decontaminate.cut(docs, bench)
+        assert got._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_decontamination_shard_in_bounded_memory():
+    """A shard's work takes a few bytes a word beside its ids."""
+    docs = [np.zeros(1_000, dtype=np.int32) for _ in range(200)]
+    docs[7][100:112] = range(1, 13)
+    phrases = decontaminate.Phrases([("a", " ".join(f"w{i}" for i in range(12)))], 10)
+    tracemalloc.start()
+    try:
+        spans, items = decontaminate._search_shard(phrases, docs, [])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert spans[7] == [{"start": 100, "end": 112}] and items[7] == ["a"] and not any(spans[:7] + spans[8:])
+    assert peak < 24 * 200_000
+
+
 def test_fm_index_finds_every_occurrence():
     rng = np.random.default_rng(0)
     text = np.concatenate([[0], rng.integers(0, 5, 600)])
