@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +54,23 @@ def free_finished_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def give_back_driver_memory(spark: SparkSession) -> None:
+    """``free_finished_shuffles``, and return to the system what the driver's
+    JVM and its Python have freed of their C heaps.  Planning job after job
+    leaves much there (the JVM's compiler above all), and neither gives it back
+    by itself.  A JVM without that command keeps it."""
+    free_finished_shuffles(spark)
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    # the server's class is closed to py4j, its interface is not
+    methods = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+    args = gateway.new_array(jvm.java.lang.Object, 4)
+    args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+    with contextlib.suppress(Py4JJavaError):
+        next(m for m in methods if m.getName() == "invoke").invoke(server, args)
+    give_back_memory()
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back: the
     lineage is cut there, so a lost executor re-reads files instead of

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import batch_of, free_finished_shuffles, map_arrow, saved, texts_of
+from ledgerline.llm.common import batch_of, free_finished_shuffles, give_back_driver_memory, map_arrow, saved, texts_of
 from ledgerline.llm.components import components
 
 CACHE_WORDS = 150_000
@@ -581,7 +581,7 @@ def verified_links(members: DataFrame, percent: int) -> DataFrame:
         fits = (F.col("load") <= LOCAL_SHINGLES) | (F.col("size") == 1)
         small = sizes.filter(fits & (F.col("size") > 1)).select("region")
         links.append(saved(_local_links(regions.join(small, "region", "left_semi"), percent), f"local-links-{level}"))
-        free_finished_shuffles(members.sparkSession)        # those of the regions' sets
+        give_back_driver_memory(members.sparkSession)       # and the shuffles of the regions' sets
         large = sizes.filter(~fits)
         if large.isEmpty():
             break
@@ -636,6 +636,7 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     document for linking; a NULL doc_id links with nothing and has a NULL
     component.  Empty input gives no rows.
     """
+    give_back_driver_memory(docs.sparkSession)              # that of the work before
     sig = saved(signatures(docs, size), "signatures")
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
     classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")

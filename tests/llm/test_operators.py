@@ -15,6 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    common,
     components,
     crf,
     decontaminate,
@@ -164,6 +165,38 @@ def test_components_of_paths_and_stars(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 140)}}
 
 
+def test_component_rounds_are_small_plans(spark):
+    """A round reads its edges four times, not once for each direction of each
+    use: what the driver plans, ships and keeps follows that."""
+    edges = spark.createDataFrame([(2, 1), (3, 2), (9, 8), (9, 3)], "a long, b long")
+    out = components._small_star(components._large_star(edges))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") <= 4
+    assert sorted(tuple(r) for r in out.collect()) == [(2, 1), (3, 1), (8, 2), (9, 2)]
+
+
+def test_components_of_random_links(spark):
+    rng = np.random.default_rng(12)
+    for nodes, links in ((3, 2), (40, 25), (40, 60), (300, 280)):
+        edges = rng.integers(0, nodes, (links, 2)).tolist()
+        want: dict = {}
+        for a, b in (e for e in edges if e[0] != e[1]):
+            one = want.setdefault(a, {a}) | want.setdefault(b, {b})
+            want |= dict.fromkeys(one, one)
+        rows = components.components(spark.createDataFrame([*edges, (None, 1), (2, None)], "a long, b long")).collect()
+        assert {r.node: r.component for r in rows} == {i: min(c) for i, c in want.items()} and len(rows) == len(want)
+
+
+def test_driver_memory_goes_back(spark, monkeypatch):
+    """Before and between the rounds of components; a JVM that can't trim its
+    C heap does no harm."""
+    given, real = [], common.give_back_memory
+    monkeypatch.setattr(common, "give_back_memory", lambda: given.append(1) or real())
+    common.give_back_driver_memory(spark)
+    assert len(given) == 1
+    rounds = components.components(spark.createDataFrame([(i, i + 1) for i in range(8)], "a long, b long"))
+    assert rounds.count() == 9 and len(given) > 3
+
+
 def test_warc_round_trip(spark):
     html = ["<p>one</p>", None, "", "<p>one</p>", "é\r\n\r\nbody", "x" * 300_000, "<p>one</p>"]
     rows = [(i, None if i == 4 else f"http://h/{i} a", h, "clash") for i, h in enumerate(html)] + [(None, "u", "solo", "c")]
