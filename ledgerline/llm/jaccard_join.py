@@ -12,7 +12,13 @@ sets near a boundary must also be copied into the neighbouring region.
     sizes).  A linked pair then has distance 0 in some part: the content of a
     part is the pivot of the region of all sets that hold it there, and a set
     is copied to the regions of all its parts.
-2.  Regions that overlap join into clusters; no link leaves a cluster.
+2.  There are more parts than needed, so a linked pair meets in several
+    regions: in so many more than the pair has parts that are empty or in a
+    large region.  Pairs that meet in small regions are counted, and only those
+    that meet often enough are joined (``candidate_links``).  Sets most of whose
+    parts are common ones (lines that many texts repeat) are cut once more among
+    themselves, and at last joined by any region that they share.  What is
+    joined makes clusters; no link leaves a cluster.
 3.  A cluster too large for one task keeps together only sets that share one
     of their rarest shingles, which linked sets do (``rare_shingle_regions``).
     What is still too large is cut by pivot sets: every member goes to its
@@ -46,6 +52,9 @@ from ledgerline.llm.components import components
 
 CACHE_WORDS = 150_000
 PIVOT_BLOCK = 1_000_000            # pivots of a task's input that are linked at a time
+SMALL_REGION = 16                  # sets of a region of which every pair is counted
+MET_ROWS = 1 << 18                 # rows of regions that are paired at a time, about
+CROWDED_ROUNDS = 3                 # rounds that count the pairs of the sets left
 LOCAL_SHINGLES = 2_000_000         # shingles of a region that one task joins
 PIVOTS = 8                         # pivot sets per region and round
 WAVES = 4                          # passes in which an undivided region's pairs of blocks are joined
@@ -122,18 +131,38 @@ class Parts:
             self.bands.append(100 * self.bands[-1] // self.percent + 1)
         return bisect.bisect_right(self.bands, n) - 1
 
+    def _cuts(self, s: np.ndarray) -> Iterator[tuple[int, bool, int, int, np.ndarray, np.ndarray]]:
+        """(group, whether it is the set's lower one, its parts, its spare, part
+        of each shingle, where a part begins) of the size groups of a set."""
+        band = self.band(len(s))
+        for g in (band, band + 1):
+            if g:
+                parts, spare = self.layout(g)
+                own = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)      # ascends with s
+                yield g, g == band, parts, spare, own, np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+
+    def room(self, s: np.ndarray) -> list[int]:
+        """In the groups where the set is of the smaller and of the larger
+        sizes, the spare parts that its empty parts leave."""
+        out = [0, 0]
+        if len(s):
+            for _, larger, parts, spare, _, at in self._cuts(s):
+                out[larger] = spare - (parts - len(at))
+        return out
+
+    def regions(self, s: np.ndarray) -> Iterator[tuple[bool, np.ndarray]]:
+        """(whether the set is of the larger sizes of the group, the pivots of
+        its parts that are not empty) of each size group."""
+        mixed = _mix(s)
+        for g, larger, _, _, own, at in self._cuts(s):
+            yield larger, _mix(np.add.reduceat(mixed, at) + own[at] * _MULT[0] + np.uint64(g << 40))
+
     def __call__(self, s: np.ndarray) -> np.ndarray:
         if not len(s):
             return s
-        band = self.band(len(s))
         mixed = _mix(s)
         out = []
-        for g in (band, band + 1):
-            if not g:
-                continue
-            parts, spare = self.layout(g)
-            own = ((s >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)      # ascends with s
-            at = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        for g, _, parts, spare, own, at in self._cuts(s):
             place, content = own[at], np.add.reduceat(mixed, at)
             if parts - len(at) > spare:
                 none = np.setdiff1d(np.arange(parts, dtype=np.uint64), place)
@@ -152,24 +181,24 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (shingles), d1, d2 (128-bit digest of the set)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())])
+def signatures(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, n (shingles), d1, d2 (128-bit digest of the set), small, large
+    (``Parts.room``)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+                        ("small", pa.int64()), ("large", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(size)
+        shingles, parts = Shingler(size), Parts(percent)
         for b in batches:
-            n, d1, d2 = [], [], []
+            rows = []
             for t in texts_of(b):
                 s = shingles(t)
-                x, y = _digest(s)
-                n.append(len(s))
-                d1.append(x)
-                d2.append(y)
-            yield batch_of(schema, doc_id=b.column("doc_id"), n=n, d1=d1, d2=d2)
+                rows.append((len(s), *_digest(s), *parts.room(s)))
+            cols = zip(*rows) if rows else [()] * 5
+            yield batch_of(schema, doc_id=b.column("doc_id"), **dict(zip(schema.names[1:], cols)))
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                     "doc_id long, n long, d1 long, d2 long")
+                     "doc_id long, n long, d1 long, d2 long, small long, large long")
 
 
 _PIVOT_ROWS = pa.schema([("pivot", pa.int64()), ("node", pa.int64())])
@@ -211,14 +240,149 @@ def _stars(rows: DataFrame) -> DataFrame:
         .select(F.col("node").alias("a"), F.col("home").alias("b"))
 
 
-def shared_pivots(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) that join the sets (by their digest d1) with a common pivot."""
+def _region_rows(sets: Iterator[tuple[int, list[tuple[bool, np.ndarray]]]], small: int) -> Iterator[pa.RecordBatch]:
+    """Rows (pivot, entry) of the (digest, its ``Parts.regions``) of a task.
+
+    An entry is a set in one of its size groups: the digest with 1 as its
+    lowest bit in the group where it is of the larger sizes, else 0.  Pivots
+    are even.  A block sends ``small`` + 1 entries of a pivot at most, which
+    tell that its region is large; the others travel under odd keys of their own."""
+    def close(pivots: list, nodes: list) -> pa.RecordBatch:
+        p = np.concatenate(pivots) & ~np.uint64(1)
+        n = np.repeat(np.array(nodes, np.int64), [len(x) for x in pivots])
+        order = np.argsort(p, kind="stable")
+        p, n = p[order], n[order]
+        at = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        many = np.arange(len(p)) - np.repeat(at, np.diff(np.append(at, len(p)))) > small
+        p[many] = _mix(p[many] * _MULT[0] + n[many].view(np.uint64) * _MULT[1]) | np.uint64(1)
+        return batch_of(_PIVOT_ROWS, pivot=p.view(np.int64), node=n)
+
+    pivots, nodes, seen, held = [], [], set(), 0
+    for node, regions in sets:
+        if node in seen:
+            continue
+        seen.add(node)
+        for larger, own in regions:
+            pivots.append(own)
+            nodes.append((node & -2) + larger)
+            held += len(own)
+        if held >= PIVOT_BLOCK:
+            yield close(pivots, nodes)
+            pivots, nodes, seen, held = [], [], set(), 0
+    if held:
+        yield close(pivots, nodes)
+
+
+_MET = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _met(rows: DataFrame, small: int) -> DataFrame:
+    """(a, b, times) of ``_region_rows``: how often two entries, not both of
+    the larger sizes, meet in regions of at most ``small`` entries; with a NULL
+    b, in how many larger regions the entry a is."""
+    def close(p: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        new = np.concatenate([[True], (p[1:] != p[:-1]) | (n[1:] != n[:-1])])
+        p, n = p[new], n[new]
+        at = np.flatnonzero(np.concatenate([[True], p[1:] != p[:-1]]))
+        size = np.diff(np.append(at, len(p)))
+        size[(p[at] & 1) == 1] = small + 1
+        a, b = [], []
+        for k in np.unique(size[(size > 1) & (size <= small)]):
+            first = at[size == k]
+            for i in range(k):
+                for j in range(i + 1, k):
+                    x, y = n[first + i], n[first + j]
+                    pair = (x & y & 1) == 0
+                    a.append(x[pair])
+                    b.append(y[pair])
+        alone = n[np.repeat(size > small, np.diff(np.append(at, len(p))))]
+        a, b = np.concatenate([*a, alone]), np.concatenate([*b, alone])
+        return batch_of(_MET, a=a, b=pa.array(b, mask=np.arange(len(b)) >= len(b) - len(alone)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count, enough = [], 0, MET_ROWS
+        for b in batches:
+            held.append((b.column("pivot").to_numpy(), b.column("node").to_numpy()))
+            count += b.num_rows
+            if count < enough:
+                continue
+            p, n = (np.concatenate(x) for x in zip(*held))
+            last = int(np.searchsorted(p, p[-1]))           # the last region may go on
+            if last:
+                yield close(p[:last], n[:last])
+            held, count = [(p[last:], n[last:])], len(p) - last
+            enough = MET_ROWS + 2 * count
+        if count:
+            yield close(*(np.concatenate(x) for x in zip(*held)))
+
+    return map_arrow(rows.repartition("pivot").sortWithinPartitions("pivot", "node"), run, "a long, b long") \
+        .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+
+
+def candidate_links(docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of sets (by their digest d1 with 0 as its lowest bit) that
+    join all linked sets of ``classes`` (d1, rep, small, large), and few others.
+
+    Linked sets agree in more parts of the group where the smaller one is of
+    the smaller sizes than are spare there.  Parts in which they agree are
+    empty in both or one region of both; so they meet in more small regions
+    than remain of the spare parts (``room``) without the empty parts and large
+    regions of either.  If for both nothing remains, both are crowded: they are
+    looked at again without the others, by whom regions were large, and in the
+    end joined by any pivot that they share."""
+    small = SMALL_REGION
+
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, parts = Shingler(size), Parts(percent)
         sets = (s for b in batches for s in map(shingles, texts_of(b)) if len(s))
-        yield from _block_stars((_digest(s)[0], parts(s)) for s in sets)
-
-    return _stars(map_arrow(docs.filter("doc_id IS NOT NULL").select("text"), run, "pivot long, node long"))
+        yield from _region_rows(((_digest(s)[0], parts.regions(s)) for s in sets), small)
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        return (np.frombuffer(x, np.uint64) for b in batches for x in b.column("shingles").to_pylist())
+
+    def of_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
+        yield from _region_rows(((_digest(s)[0], parts.regions(s)) for s in sets_of(batches)), small)
+
+    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = Parts(percent)
+        yield from _block_stars((_digest(s)[0] & -2, parts(s)) for s in sets_of(batches))
+
+    digest = F.expr("d1 & -2L").alias("digest")
+    entries = classes.select(digest, F.inline(F.array(F.struct(F.expr("d1 & -2L").alias("entry"), F.col("small").alias("room")),
+                                                      F.struct(F.expr("d1 | 1L").alias("entry"), F.col("large").alias("room")))))
+    rows = map_arrow(docs.filter("doc_id IS NOT NULL").select("text"), of_texts, "pivot long, node long")
+    out, sets, before = [], None, None
+    for level in range(CROWDED_ROUNDS):
+        met = saved(_met(rows, small), f"met-{level}")
+        free_finished_shuffles(docs.sparkSession)           # those of the pivots
+        taken = met.filter("b IS NULL").select(F.col("a").alias("entry"), F.col("times").alias("taken"))
+        room = saved(entries.join(taken, "entry", "left")
+                     .select("digest", "entry", (F.col("room") - F.coalesce("taken", F.lit(0))).alias("room")), f"room-{level}")
+        pairs = met.filter("b IS NOT NULL")
+        for end in ("a", "b"):
+            pairs = pairs.join(room.select(F.col("entry").alias(end), F.col("room").alias(f"room_{end}")), end)
+        out.append(pairs.filter("times > greatest(room_a, room_b)")
+                   .select(F.expr("a & -2L").alias("a"), F.expr("b & -2L").alias("b")))
+        crowded = saved(room.filter("room < 0").select("digest").distinct(), f"crowded-{level}")
+        count = crowded.count()
+        if not count:
+            break
+        if sets is None:
+            nodes = classes.select(digest, F.col("rep").alias("node")).join(crowded, "digest")
+            sets = saved(member_sets(docs, saved(nodes, "crowded-nodes"), size), "crowded-sets")
+        else:
+            sets = sets.join(crowded, "digest", "left_semi")
+        rows = sets.select("shingles")
+        if level + 1 == CROWDED_ROUNDS or before and count > SHRUNK * before:
+            out.append(_stars(map_arrow(rows, stars, "pivot long, node long")))
+            break
+        entries, before = entries.join(crowded, "digest", "left_semi"), count
+        rows = map_arrow(rows, of_sets, "pivot long, node long")
+    links = out[0]
+    for x in out[1:]:
+        links = links.unionByName(x)
+    return links
 
 
 def _keyed_sets(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -496,7 +660,10 @@ def _local_links(regions: DataFrame, percent: int) -> DataFrame:
                 sets.append(s)
         yield from close(nodes, sets)
 
-    rows = regions.select("region", "node", "shingles").repartition("region").sortWithinPartitions("region", "node")
+    # By the region itself Spark may leave this shuffle out behind a join on it,
+    # and then deal out a skewed partition of the join, small regions included.
+    rows = regions.select("region", "node", "shingles").repartition(F.xxhash64("region")) \
+        .sortWithinPartitions("region", "node")
     return map_arrow(rows, run, "a long, b long")
 
 
@@ -637,12 +804,14 @@ def jaccard_components(docs: DataFrame, size: int = 4, percent: int = 85) -> Dat
     component.  Empty input gives no rows.
     """
     give_back_driver_memory(docs.sparkSession)              # that of the work before
-    sig = saved(signatures(docs, size), "signatures")
+    sig = saved(signatures(docs, size, percent), "signatures")
     live = sig.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep")), "set-classes")
-    clusters = saved(components(shared_pivots(docs, size, percent)), "clusters")
+    least = [F.min(c).alias(c) for c in ("small", "large")]         # equal in a class
+    sets = saved(live.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *least), "set-classes")
+    classes = sets.select("d1", "d2", "rep")
+    clusters = saved(components(candidate_links(docs, sets, size, percent)), "clusters")
     free_finished_shuffles(docs.sparkSession)               # those of the pivots
-    members = clusters.withColumnRenamed("node", "d1").join(classes, "d1") \
+    members = classes.withColumn("node", F.expr("d1 & -2L")).join(clusters, "node") \
         .select(F.col("rep").alias("node"), "component")
     sets = member_sets(docs, saved(members, "cluster-members"), size)
     members = saved(sets.select(F.col("component").cast("string").alias("region"), "node", "shingles"), "cluster-sets")

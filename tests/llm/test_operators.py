@@ -710,6 +710,60 @@ def test_undivided_cluster_is_parted_before_blocks_are_paired(spark, monkeypatch
     assert {i: found.get(i, i) for i in want} == want and len(set(want.values())) == 80
 
 
+@pytest.mark.parametrize("size,percent,small", [(4, 85, 16), (5, 80, 16), (5, 80, 2), (4, 60, 3), (2, 100, 3)])
+def test_texts_with_common_lines_make_no_cluster(spark, monkeypatch, size, percent, small):
+    """Texts that share a line or two, but no link, are not gathered: only
+    sets that agree in more parts than are spare are.  No link is lost, also
+    where a group of copies or the common lines fill regions."""
+    monkeypatch.setattr(jaccard_join, "SMALL_REGION", small, raising=False)
+    gathered, real = [], jaccard_join.saved
+
+    def saved(df, name):
+        out = real(df, name)
+        if name == "cluster-members":
+            gathered.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "saved", saved)
+    rng = np.random.default_rng(9)
+    lines = [" ".join(words(rng, 14, 100_000)) for _ in range(3)]
+    texts = [" ".join([lines[i % 3], *words(rng, 40 + i % 30, 100_000), lines[i % 2]]) for i in range(400)]
+    copies = near_copies(rng, 8, 2, 60) + near_copies(rng, 1, 30, 90)
+    copies += [f"{lines[0]} {lines[1]} {lines[2]} {x}" for x in ("one", "two", "three", "a b c", "a b d")]
+    copies += [" ".join(words(rng, n, 3)) for n in range(1, 12) for _ in range(3)]
+    docs = list(enumerate(texts + copies))
+    got = {r.doc_id: r.component_id for r in
+           jaccard_join.jaccard_components(spark.createDataFrame(docs, DOCS).repartition(3), size, percent).collect()}
+    assert got == linked_components(shingle_sets(docs, size), percent)
+    if percent > 60:                    # the common lines are less than half of a text
+        assert gathered[0] <= len(copies) + 40
+
+
+def test_links_of_small_regions_survive_a_skewed_partition(spark):
+    """Spark deals out the partition of a large region over several tasks; the
+    small regions beside it stay whole."""
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    rng = np.random.default_rng(2)
+    rows = [("large", i, rng.integers(0, 1 << 60, 40).astype(np.uint64).tobytes()) for i in range(600)]
+    for i in range(60):
+        own = rng.integers(0, 1 << 60, 20).astype(np.uint64).tobytes()
+        rows += [(f"r{i}", 1000 + 2 * i, own), (f"r{i}", 1001 + 2 * i, own)]
+    rng.shuffle(rows)
+    rows = [(r, int(n), s) for r, n, s in rows]
+    members = common.saved(spark.createDataFrame(rows, "region string, node long, shingles binary").repartition(12), "test-sets")
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        chosen = common.saved(members.select("region").distinct(), "test-regions")
+        links = jaccard_join._local_links(members.join(chosen, "region", "left_semi"), 85).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sorted(tuple(r) for r in links) == [(1001 + 2 * i, 1000 + 2 * i) for i in range(60)]
+
+
 def test_katz_pairs_are_summed_and_packed_without_stable_sorts(monkeypatch):
     """Pairs keep their counts and their words' values, at the price of plain sorts."""
     rng = np.random.default_rng(4)
