@@ -315,7 +315,9 @@ def _met(rows: DataFrame, small: int) -> DataFrame:
         if count:
             yield close(*(np.concatenate(x) for x in zip(*held)))
 
-    return map_arrow(rows.repartition("pivot").sortWithinPartitions("pivot", "node"), run, "a long, b long") \
+    met = rows.withColumn("here", F.count(F.lit(1)).over(Window.partitionBy("pivot"))) \
+        .filter("here > 1 OR pivot % 2 <> 0").select("pivot", "node").sortWithinPartitions("pivot", "node")
+    return map_arrow(met, run, "a long, b long") \
         .groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
 
 
